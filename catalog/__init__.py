@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["indicators"]
+MODULES = ["indicators", "book"]
 
 
 def _merged(attribute):
