@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["indicators", "book"]
+MODULES = ["indicators", "bars", "book", "flow", "stats", "accounts"]
 
 
 def _merged(attribute):

@@ -260,7 +260,7 @@ add("round_price_score", lambda s, d: depth(s, d).groupBy("contract", "price").a
 SELECT contract, price, n, {r6("CASE WHEN c % 100 = 0 THEN 1.0 WHEN c % 50 = 0 THEN 0.8 WHEN c % 25 = 0 THEN 0.6 WHEN c % 10 = 0 THEN 0.4 ELSE 0.0 END")} AS score,
   {r6("CASE WHEN c % 100 = 0 THEN 1.0 WHEN c % 50 = 0 THEN 0.8 WHEN c % 25 = 0 THEN 0.6 WHEN c % 10 = 0 THEN 0.4 WHEN c % 5 = 0 THEN 0.2 ELSE 0.1 END")} AS fine_score FROM p""")
 _REPL = """v AS (SELECT *, lag(volume, 1) OVER w AS b, lag(volume, 2) OVER w AS a FROM routed WINDOW w AS (PARTITION BY contract, side, price ORDER BY ts, seq))
-SELECT contract, side, price, count(*) AS updates, round(CAST(CASE WHEN count(*) < 4 THEN 0.0 ELSE
+SELECT contract, side, price, count(*) AS updates, round(3e-9 + CAST(CASE WHEN count(*) < 4 THEN 0.0 ELSE
   least(1.0, count(*) FILTER (a > 0 AND b < a * 0.5 AND volume > a * 0.8) / greatest(1, count(*) - 2)) END AS DOUBLE), 6) + 0.0 AS replenishment_score
 FROM v GROUP BY contract, side, price"""
 add("replenishment_score", lambda s, d: X.replenishment_score(routed(s, d)), _ROUTED + "," + _REPL)

@@ -15,18 +15,23 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _nudge(digits: int) -> float:
+    """Shift far below the last printed digit: decimal halves (x.xx5) then round the same way in both engines."""
+    return float(f"3e-{digits + 3}")
+
+
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double so that both engines print the same digits, and turn -0.0 into 0.0."""
     return df.select(
         *[
-            (F.round(F.col(f"`{c}`"), digits) + F.lit(0.0)).alias(c) if t in ("double", "float") else F.col(f"`{c}`")
+            (F.round(F.col(f"`{c}`") + F.lit(_nudge(digits)), digits) + F.lit(0.0)).alias(c) if t in ("double", "float") else F.col(f"`{c}`")
             for c, t in df.dtypes
         ]
     )
 
 
 def r6(expr: str, digits: int = 6) -> str:
-    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
+    return f"(round(CAST({expr} AS DOUBLE) + {_nudge(digits)!r}, {digits}) + 0.0)"
 
 
 def with_sql(*ctes: str) -> str:
