@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["indicators", "bars", "book", "flow", "stats", "accounts"]
+MODULES = ["plans", "indicators", "bars", "book", "flow", "stats", "accounts", "streams"]
 
 
 def _merged(attribute):

@@ -46,9 +46,9 @@ def positions(s, d):
 
 
 def prices(s, d):
-    """Prices of all but every seventh contract."""
+    """Mean prices; every seventh contract is not quoted."""
     p = table(s, d, "part").groupBy((F.col("p_partkey") % 50).alias("contractId")).agg(F.avg("p_retailprice").alias("price"))
-    return p.filter(F.col("contractId") % 7 != 0)
+    return p.withColumn("price", F.when(F.col("contractId") % 7 != 0, F.col("price")))
 
 
 def instruments(s, d):
@@ -57,7 +57,7 @@ def instruments(s, d):
         "id", F.element_at(F.array(*[F.lit(x) for x in (0.25, 0.1, 0.05, 0.0)]), (F.col("m") % 4 + 1).cast("int")).alias("tickSize"), (F.col("m") / 10.0).alias("tickValue"))
 
 
-PRICES_SQL = """px AS (SELECT p_partkey % 50 AS "contractId", avg(p_retailprice) AS price FROM part GROUP BY 1 HAVING p_partkey % 50 % 7 <> 0),
+PRICES_SQL = """px AS (SELECT p_partkey % 50 AS "contractId", CASE WHEN any_value(p_partkey) % 50 % 7 <> 0 THEN avg(p_retailprice) END AS price FROM part GROUP BY 1),
 ins AS (SELECT p_partkey % 50 AS id, CASE max(p_size) % 4 WHEN 0 THEN 0.25::DOUBLE WHEN 1 THEN 0.1::DOUBLE WHEN 2 THEN 0.05::DOUBLE ELSE 0.0::DOUBLE END AS "tickSize",
   max(p_size) / 10.0::DOUBLE AS "tickValue" FROM part GROUP BY 1)"""
 PNL_SQL = """pnl AS MATERIALIZED (SELECT pos."accountId", pos."contractId", pos.type, pos.size, pos."averagePrice", px.price AS current_price,
@@ -68,8 +68,8 @@ PNL_SQL = """pnl AS MATERIALIZED (SELECT pos."accountId", pos."contractId", pos.
 pnl = lambda s, d: P.position_pnl(positions(s, d), prices(s, d), instruments=instruments(s, d))
 _PNL = with_sql(POS_SQL, PRICES_SQL, PNL_SQL)
 
-add("latest_positions", lambda s, d: positions(s, d).select(*KEY, "creationTimestamp", "id", "type", "size", F.round("averagePrice", 3).alias("averagePrice")).drop("averagePrice"),
-    with_sql(POS_SQL) + 'SELECT "accountId", "contractId", "creationTimestamp", id, type, size FROM pos')
+add("latest_positions", lambda s, d: positions(s, d).select(*KEY, "creationTimestamp", "id", "type", "size", "averagePrice"),
+    with_sql(POS_SQL) + f'''SELECT "accountId", "contractId", "creationTimestamp", id, type, size, {r6('"averagePrice"')} AS "averagePrice" FROM pos''')
 _HIST = with_sql(EVENTS_SQL) + f"""SELECT "accountId", "contractId", "creationTimestamp", id, l_linenumber, l_extendedprice, size, size_change FROM (
   SELECT *, coalesce(size - lag(size) OVER ({_PK}{_ASC}), 0) AS size_change FROM pe) QUALIFY row_number() OVER ({_PK}{_DESC}) <= 8"""
 _hist = lambda chunk: lambda s, d: P.position_history(position_events(s, d), 8, order=POS_ORDER, chunk=chunk).select(
@@ -222,7 +222,7 @@ add("order_stats", lambda s, d: O.order_stats(orders(s, d)), _ORD + f"""SELECT "
   {r6('sum("fillVolume") / nullif(sum(size), 0)')} AS fill_ratio FROM ord GROUP BY 1""")
 add("expire_events", lambda s, d: O.expire_events(order_events(s, d), "1999-01-01", 24 * 365, ts="updateTimestamp").select(*_ocols), _ORD + f"""
 SELECT {_OC} FROM oe WHERE "updateTimestamp" >= TIMESTAMP '1999-01-01' - INTERVAL 365 DAY""")
-add("upsert", lambda s, d: upsert(order_events(s, d).filter("seq % 3 <> 2"), order_events(s, d).filter("seq % 3 = 2"), key="id", order=["updateTimestamp", "seq"]).select(*_ocols),
+add("upsert", lambda s, d: upsert(order_events(s, d).filter("status <> 2"), order_events(s, d).filter("status = 2"), key="id", order=["updateTimestamp", "seq"]).select(*_ocols),
     _ORD + f"SELECT {_OC} FROM ord")
 
 
