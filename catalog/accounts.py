@@ -8,7 +8,7 @@ from tapestry.functions.joins import dimension_join, upsert
 from tapestry.operators import orders as O, positions as P, sessions as C
 
 from .stats import _EXEC, executions
-from .tables import LOTS_SQL, TICKS_SQL, TRADE_ORDER, _TIES, lots, r6, table, ticks, tidy, with_sql
+from .tables import LOTS_SQL, TICKS_SQL, TRADE_ORDER, lots, r6, table, ticks, tidy, with_sql
 
 QUERIES, ORACLES = {}, {}
 
@@ -20,19 +20,19 @@ def add(name, query, sql, digits=6):
 
 
 KEY = ["accountId", "contractId"]
-POS_ORDER = ["creationTimestamp"] + _TIES + ["id"]
+POS_ORDER = ["creationTimestamp", "id"]
 
 
 def position_events(s, d):
     """Position updates per supplier account over fifty contracts; returned lines close the position."""
     return lots(s, d).select(
-        F.col("contract").alias("accountId"), (F.col("l_partkey") % 50).alias("contractId"), F.col("ts").alias("creationTimestamp"), *_TIES,
-        F.col("l_orderkey").alias("id"), F.when(F.col("l_linestatus") == "O", 1).otherwise(2).alias("type"),
+        F.col("contract").alias("accountId"), (F.col("l_partkey") % 50).alias("contractId"), F.col("ts").alias("creationTimestamp"), F.col("seq").alias("id"), "l_extendedprice",
+         F.when(F.col("l_linestatus") == "O", 1).otherwise(2).alias("type"),
         F.when(F.col("l_returnflag") == "R", 0).otherwise(F.col("volume")).cast("int").alias("size"), F.col("price").alias("averagePrice"))
 
 
 EVENTS_SQL = LOTS_SQL + f""",
-pe AS MATERIALIZED (SELECT contract AS "accountId", l_partkey % 50 AS "contractId", ts AS "creationTimestamp", {', '.join(_TIES)}, l_orderkey AS id,
+pe AS MATERIALIZED (SELECT contract AS "accountId", l_partkey % 50 AS "contractId", ts AS "creationTimestamp", seq AS id, l_extendedprice,
   CASE WHEN l_linestatus = 'O' THEN 1 ELSE 2 END AS type, CAST(CASE WHEN l_returnflag = 'R' THEN 0 ELSE volume END AS INTEGER) AS size, price AS "averagePrice" FROM lots)"""
 _DESC = ", ".join(f'"{c}" DESC' if c == "creationTimestamp" else f"{c} DESC" for c in POS_ORDER)
 _ASC = _DESC.replace(" DESC", "")
@@ -70,10 +70,10 @@ _PNL = with_sql(POS_SQL, PRICES_SQL, PNL_SQL)
 
 add("latest_positions", lambda s, d: positions(s, d).select(*KEY, "creationTimestamp", "id", "type", "size", "averagePrice"),
     with_sql(POS_SQL) + f'''SELECT "accountId", "contractId", "creationTimestamp", id, type, size, {r6('"averagePrice"')} AS "averagePrice" FROM pos''')
-_HIST = with_sql(EVENTS_SQL) + f"""SELECT "accountId", "contractId", "creationTimestamp", id, l_linenumber, l_extendedprice, size, size_change FROM (
+_HIST = with_sql(EVENTS_SQL) + f"""SELECT "accountId", "contractId", "creationTimestamp", id, l_extendedprice, size, size_change FROM (
   SELECT *, coalesce(size - lag(size) OVER ({_PK}{_ASC}), 0) AS size_change FROM pe) QUALIFY row_number() OVER ({_PK}{_DESC}) <= 8"""
 _hist = lambda chunk: lambda s, d: P.position_history(position_events(s, d), 8, order=POS_ORDER, chunk=chunk).select(
-    *KEY, "creationTimestamp", "id", "l_linenumber", "l_extendedprice", "size", "size_change")
+    *KEY, "creationTimestamp", "id", "l_extendedprice", "size", "size_change")
 add("position_history", _hist("auto"), _HIST)
 add("position_history_split", _hist(5), _HIST)
 add("position_pnl", lambda s, d: pnl(s, d).select(*KEY, "current_price", "pnl_per_contract", "unrealized_pnl", "market_value", "direction"), _PNL + f"""

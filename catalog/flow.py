@@ -52,7 +52,7 @@ add("flow_since", lambda s, d: W.flow_since(sided(s, d), _START, ASOF), with_sql
 SELECT {_FLOW}, {r6(f'{_V} / {_SECS}', 4)} AS volume_per_second, {r6(f'count(*) / {_SECS}', 4)} AS trades_per_second,
   {_V} / {_SECS} > 500 AS high_rate FROM sided WHERE ts >= TIMESTAMP '{_START}' GROUP BY contract""", 4)
 _SIGNED = "CASE side WHEN 'buy' THEN volume WHEN 'sell' THEN -volume ELSE 0 END"
-_K = "contract, ts, l_orderkey, l_linenumber, l_partkey, l_extendedprice"
+_K = "contract, ts, seq, l_extendedprice"
 _DELTA = with_sql(_SIDED) + f"""SELECT {_K}, side, volume, CAST(sum({_SIGNED}) OVER (PARTITION BY contract ORDER BY {', '.join(TRADE_ORDER)}
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS delta FROM sided"""
 

@@ -73,20 +73,23 @@ HOUR_BARS_SQL = TICKS_SQL + ",\n" + bars_sql("bars", "ticks", "time_bucket(INTER
 
 # --- trades: one contract per supplier ----------------------------------------------------------------------
 
-_TIES = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-TRADE_ORDER = ["ts"] + _TIES
+# Order and line number, with the part as a last tiebreak, in one integer (fits up to 10^12 orders).
+TRADE_ORDER = ["ts", "seq"]
 
 
 def lots(spark, sf):
+    seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 20) + F.col("l_partkey") % (1 << 20)
     return table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("contract"), F.col("l_shipdate").cast("timestamp").alias("ts"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").cast("long").alias("volume"), *_TIES,
+        F.col("l_suppkey").alias("contract"), F.col("l_shipdate").cast("timestamp").alias("ts"), seq.alias("seq"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), F.col("l_quantity").cast("long").alias("volume"),
+        "l_partkey", "l_extendedprice", "l_returnflag", "l_linestatus",
     )
 
 
-LOTS_SQL = f"""lots AS (
-  SELECT l_suppkey AS contract, l_shipdate AS ts, l_extendedprice / l_quantity AS price,
-         CAST(l_quantity AS BIGINT) AS volume, {', '.join(_TIES)} FROM lineitem)"""
+LOTS_SQL = """lots AS (
+  SELECT l_suppkey AS contract, l_shipdate AS ts, (l_orderkey * 8 + l_linenumber) * 1048576 + l_partkey % 1048576 AS seq,
+         l_extendedprice / l_quantity AS price, CAST(l_quantity AS BIGINT) AS volume,
+         l_partkey, l_extendedprice, l_returnflag, l_linestatus FROM lineitem)"""
 
 
 def week_bars(spark, sf):

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .history import BLK, K, RN, SUB, Timeline, same_keys
 
@@ -52,77 +53,77 @@ def with_sub_blocks(df: DataFrame, t: Timeline, alphas: Iterable[float]) -> Data
     return df.withColumns({SUB: F.floor(F.col(RN) / n), K: F.col(RN) % n})
 
 
-def ewm(
-    df: DataFrame,
-    t: Timeline,
-    length: int,
-    outputs: Mapping[str, tuple[Column, float, bool]],
-    carry_blocks: bool = True,
-) -> DataFrame:
-    """Add ``{name: (value, alpha, adjust)}``; ``df`` carries sub-blocks of ``length`` rows.
+@dataclass(frozen=True)
+class Mean:
+    """Exponential mean of a column; ``adjust`` corrects for the missing weight at the start of the history."""
+
+    column: str
+    alpha: float
+    adjust: bool = True
+
+    @property
+    def weight(self) -> str:
+        return "1D" if self.adjust else f"if({RN} = 0, 1D, {self.alpha!r}D)"
+
+
+def ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean], carry_blocks: bool = True) -> DataFrame:
+    """Add the named means; ``df`` carries sub-blocks of ``length`` rows.
 
     Where the history is cut into blocks, ``carry_blocks`` brings the exact state into each block.  Later
     stages of a chain turn it off and rely on a look-back of ``memory(alpha)`` rows instead.
     """
-    rn, k = F.col(RN), F.col(K)
-    inside = Window.partitionBy(*t.keys, SUB).orderBy(RN).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*t.keys).orderBy(SUB, RN).rowsBetween(Window.unboundedPreceding, -1)
-    live = {n: (x, a, adj) for n, (x, a, adj) in outputs.items() if a < 1}
+    keys = ", ".join(f"`{k}`" for k in t.keys)
+    inside = f"(PARTITION BY {keys}, {SUB} ORDER BY {RN} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    earlier = f"(PARTITION BY {keys} ORDER BY {SUB}, {RN} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    live = {n: m for n, m in outputs.items() if m.alpha < 1}
     carried = t.split is not None and carry_blocks and bool(live)
     if carried:
         df = _with_block_state(df, t, live)
-    sums, ends, result = {}, {}, {n: x for n, (x, a, _) in outputs.items() if a >= 1}
-    for name, (x, alpha, adjust) in live.items():
-        q, s, p = F.lit(1.0 - alpha), f"__s_{name}", f"__p_{name}"
-        if carried:
-            x = F.when(rn >= _entry(t), x).otherwise(0.0)
-        sums[s] = F.pow(q, k) * F.sum(_weight(alpha, adjust) * x * F.pow(q, -k)).over(inside)
+    sums, ends, result = {}, {}, {n: F.col(m.column).cast("double") for n, m in outputs.items() if m.alpha >= 1}
+    for name, m in live.items():
+        q, s, p = f"{1.0 - m.alpha!r}D", f"__s_{name}", f"__p_{name}"
+        x = f"if({RN} >= {_entry(t)}, `{m.column}`, 0D)" if carried else f"`{m.column}`"
+        sums[s] = F.expr(f"power({q}, {K}) * sum({m.weight} * {x} * power({q}, -{K})) OVER {inside}")
         # Newest finished sub-block that holds anything: after a long run of zeros an older one still counts.
-        done = (k == length - 1) & (F.col(s) != 0)
-        ends[p] = F.last(F.when(done, F.struct(F.col(s).alias("v"), rn.alias("at"))), ignorenulls=True).over(earlier)
-        y = F.col(s) + F.coalesce(F.col(p)["v"] * F.pow(q, rn - F.col(p)["at"]), F.lit(0.0))
+        done = f"if({K} = {length - 1} AND `{s}` != 0, struct(`{s}` AS v, {RN} AS at), NULL)"
+        ends[p] = F.expr(f"last({done}, true) OVER {earlier}")
+        y = f"`{s}` + coalesce(`{p}`.v * power({q}, {RN} - `{p}`.at), 0D)"
         if carried:
-            y = y + F.coalesce(F.col(f"__b_{name}")["v"] * F.pow(q, rn - F.col(f"__b_{name}")["at"]), F.lit(0.0))
-        result[name] = y * alpha / (1.0 - F.pow(q, rn + 1)) if adjust else y
+            y += f" + coalesce(`__b_{name}`.v * power({q}, {RN} - `__b_{name}`.at), 0D)"
+        result[name] = F.expr(f"({y}) * {m.alpha!r}D / (1D - power({q}, {RN} + 1))" if m.adjust else y)
     if sums:
         df = df.withColumns(sums).withColumns(ends)
-    return df.withColumns(result).drop(*sums, *ends, *[f"__b_{n}" for n in live])
+    return df.withColumns(result).drop(*sums, *ends, *[f"__b_{n}" for n in live if carried])
 
 
-def _weight(alpha: float, adjust: bool) -> Column:
-    return F.lit(1.0) if adjust else F.when(F.col(RN) == 0, 1.0).otherwise(alpha)
-
-
-def _entry(t: Timeline, ahead: int = 0) -> Column:
+def _entry(t: Timeline, ahead: int = 0) -> str:
     """Position from which a block (or the one ``ahead``) accumulates; its first copied row has no predecessor."""
     size, lookback = t.split
-    return (F.col(BLK) + ahead) * size - max(lookback - 1, 0)
+    return f"(({BLK} + {ahead}) * {size} - {max(lookback - 1, 0)})"
 
 
-def _with_block_state(df: DataFrame, t: Timeline, live) -> DataFrame:
+def _with_block_state(df: DataFrame, t: Timeline, live: Mapping[str, Mean]) -> DataFrame:
     """Join the state just before each block's first row, summarised from the preceding blocks."""
-    size, last, rn = t.split[0], _entry(t, 1) - 1, F.col(RN)
+    size, last = t.split[0], f"({_entry(t, 1)} - 1)"
     upto = Window.partitionBy(*t.by).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    sums = {
-        n: F.sum(F.when((rn >= _entry(t)) & (rn <= last), _weight(a, adj) * x * F.pow(F.lit(1.0 - a), last - rn)))
-        for n, (x, a, adj) in live.items()
-    }
-    ends = df.groupBy(*t.keys).agg(*[c.alias(f"__e_{n}") for n, c in sums.items()])
+    inside = f"{RN} >= {_entry(t)} AND {RN} <= {last}"
+    ends = df.groupBy(*t.keys).agg(
+        *[
+            F.expr(f"sum(if({inside}, {m.weight} * `{m.column}` * power({1.0 - m.alpha!r}D, {last} - {RN}), 0D))").alias(f"__e_{n}")
+            for n, m in live.items()
+        ]
+    )
     # Chain the block sums; blocks further back than the mean remembers only count if all nearer ones are zero.
     order = Window.partitionBy(*t.by).orderBy(BLK)
     chained = {}
-    for n, (_, a, _) in live.items():
-        back = math.ceil(FADED / (decay(a) * size))
-        older = [F.coalesce(F.lag(f"__e_{n}", i).over(order), F.lit(0.0)) * (1.0 - a) ** (i * size) for i in range(1, back + 1)]
+    for n, m in live.items():
+        back = math.ceil(FADED / (decay(m.alpha) * size))
+        older = [F.coalesce(F.lag(f"__e_{n}", i).over(order), F.lit(0.0)) * (1.0 - m.alpha) ** (i * size) for i in range(1, back + 1)]
         chained[f"__v_{n}"] = sum(older, F.col(f"__e_{n}"))
     state = ends.withColumns(chained).select(
         *t.keys,
         *[
-            F.last(
-                F.when(F.col(f"__v_{n}") != 0, F.struct(F.col(f"__v_{n}").alias("v"), last.alias("at"))), ignorenulls=True
-            )
-            .over(upto)
-            .alias(f"__b_{n}")
+            F.last(F.expr(f"if(`__v_{n}` != 0, struct(`__v_{n}` AS v, {last} AS at), NULL)"), ignorenulls=True).over(upto).alias(f"__b_{n}")
             for n in live
         ],
     )

@@ -50,8 +50,13 @@ def bar_start(ts: Column, timeframe: str, tz: str = EXCHANGE_TZ) -> Column:
     return F.window(ts, f"{timeframe_seconds(timeframe)} seconds")["start"]
 
 
+def time_key(order) -> Column:
+    """Ordering value of ``min_by``/``max_by``: the plain column if there is only one (it aggregates by hash)."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+
+
 def _bar_columns(order, price, volume, floor_volume: bool) -> list[Column]:
-    at = F.struct(*order)
+    at = time_key(order)
     total = F.sum(volume)
     if floor_volume:
         # The first tick of a bar counts at least 1, and so does the bar.
@@ -102,7 +107,7 @@ def multi_timeframe(ticks: DataFrame, timeframes, *, by, order, price="price", v
             .agg(*_bar_columns(order, F.col(price), F.col(volume), floor_volume))
             .withColumnRenamed("__bar", "ts")
         )
-    at = F.struct(*order)
+    at = time_key(order)
     p, v = F.col(price), F.col(volume)
     fine = (
         ticks.withColumn("__bar", _floor(F.col(order[0]).cast("timestamp"), f"{base} sec", tz))

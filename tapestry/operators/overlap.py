@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.checks import ParameterError, need_period, need_positive
-from ..functions.ewm import ewm, memory, span_alpha
-from .registry import register
+from ..functions.ewm import Mean, memory, span_alpha
+from .registry import Means, register
 
 
 def _period(minimum=1):
@@ -19,18 +19,31 @@ def _of_column(column, **_):
     return [column]
 
 
-@register("sma", "overlap", {"column": "close", "period": 20}, needs=_of_column, check=_period(),
-          lookback=lambda period, **_: period - 1, min_rows=lambda period, **_: period)
-def sma(df, t, _, column, period):
+def _window(period, **_):
+    return period - 1
+
+
+def _full(period, **_):
+    return period
+
+
+def _span(period, **_):
+    return [span_alpha(period)]
+
+
+_COLUMN_PERIOD = {"column": "close", "period": 20}
+
+
+@register("sma", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), lookback=_window, min_rows=_full)
+def sma(t, x, column, period):
     """Simple moving average: ``sma_{period}``."""
-    return df.withColumn(f"sma_{period}", t.mean(column, period))
+    yield {f"sma_{period}": t.mean(column, period)}
 
 
-@register("ema", "overlap", {"column": "close", "period": 20}, needs=_of_column, check=_period(),
-          alphas=lambda period, **_: [span_alpha(period)], min_rows=lambda period, **_: period)
-def ema(df, t, length, column, period):
+@register("ema", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), alphas=_span, min_rows=_full)
+def ema(t, x, column, period):
     """Exponential moving average with bias-corrected start: ``ema_{period}``."""
-    return ewm(df, t, length, {f"ema_{period}": (F.col(column), span_alpha(period), True)})
+    yield Means({f"ema_{period}": Mean(column, span_alpha(period))})
 
 
 def _check_bands(period, std_dev, **_):
@@ -38,42 +51,38 @@ def _check_bands(period, std_dev, **_):
     need_positive(std_dev, "std_dev")
 
 
-@register("bbands", "overlap", {"column": "close", "period": 20, "std_dev": 2.0}, needs=_of_column, check=_check_bands,
-          lookback=lambda period, **_: period - 1, min_rows=lambda period, **_: period)
-def bbands(df, t, _, column, period, std_dev):
+@register("bbands", "overlap", {**_COLUMN_PERIOD, "std_dev": 2.0}, needs=_of_column, check=_check_bands, lookback=_window, min_rows=_full)
+def bbands(t, x, column, period, std_dev):
     """Bollinger bands: ``bb_middle_p, bb_upper_p, bb_lower_p``."""
     mid, dev = t.mean(column, period), t.std(column, period) * F.lit(float(std_dev))
-    return df.withColumns({f"bb_middle_{period}": mid, f"bb_upper_{period}": mid + dev, f"bb_lower_{period}": mid - dev})
+    yield {f"bb_middle_{period}": mid, f"bb_upper_{period}": mid + dev, f"bb_lower_{period}": mid - dev}
 
 
-def _ema_levels(df, t, length, column, period, levels):
-    """Chained exponential means ``__e1 .. __eN``."""
-    source = F.col(column)
-    for i in range(1, levels + 1):
-        df = ewm(df, t, length, {f"__e{i}": (source, span_alpha(period), True)}, carry_blocks=i == 1)
-        source = F.col(f"__e{i}")
-    return df
+def _chain(x, column, period, levels):
+    """Chained exponential means, each over the one before."""
+    source = column
+    for i in range(levels):
+        name = x(f"e{i + 1}")
+        yield Means({name: Mean(source, span_alpha(period))}, first=i == 0)
+        source = name
 
 
 def _chain_memory(levels):
     return lambda period, **_: (levels - 1) * memory(span_alpha(period))
 
 
-@register("dema", "overlap", {"column": "close", "period": 20}, needs=_of_column, check=_period(),
-          alphas=lambda period, **_: [span_alpha(period)], lookback=_chain_memory(2), min_rows=lambda period, **_: period)
-def dema(df, t, length, column, period):
+@register("dema", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), alphas=_span, lookback=_chain_memory(2), min_rows=_full)
+def dema(t, x, column, period):
     """Double EMA ``2*e1 - e2``: ``dema_{period}``."""
-    df = _ema_levels(df, t, length, column, period, 2)
-    return df.withColumn(f"dema_{period}", 2.0 * F.col("__e1") - F.col("__e2")).drop("__e1", "__e2")
+    yield from _chain(x, column, period, 2)
+    yield {f"dema_{period}": 2.0 * F.col(x("e1")) - F.col(x("e2"))}
 
 
-@register("tema", "overlap", {"column": "close", "period": 20}, needs=_of_column, check=_period(),
-          alphas=lambda period, **_: [span_alpha(period)], lookback=_chain_memory(3), min_rows=lambda period, **_: period)
-def tema(df, t, length, column, period):
+@register("tema", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), alphas=_span, lookback=_chain_memory(3), min_rows=_full)
+def tema(t, x, column, period):
     """Triple EMA ``3*e1 - 3*e2 + e3``: ``tema_{period}``."""
-    df = _ema_levels(df, t, length, column, period, 3)
-    value = 3.0 * F.col("__e1") - 3.0 * F.col("__e2") + F.col("__e3")
-    return df.withColumn(f"tema_{period}", value).drop("__e1", "__e2", "__e3")
+    yield from _chain(x, column, period, 3)
+    yield {f"tema_{period}": 3.0 * F.col(x("e1")) - 3.0 * F.col(x("e2")) + F.col(x("e3"))}
 
 
 def _check_wma(period, mode, **_):
@@ -82,18 +91,17 @@ def _check_wma(period, mode, **_):
         raise ParameterError(f"mode must be 'linear' or 'mean', got {mode!r}")
 
 
-@register("wma", "overlap", {"column": "close", "period": 20, "mode": "linear"}, needs=_of_column, check=_check_wma,
-          lookback=lambda period, **_: period - 1, min_rows=lambda period, **_: period)
-def wma(df, t, _, column, period, mode):
+@register("wma", "overlap", {**_COLUMN_PERIOD, "mode": "linear"}, needs=_of_column, check=_check_wma, lookback=_window, min_rows=_full)
+def wma(t, x, column, period, mode):
     """Linearly weighted moving average (``mode='mean'``: equal weights): ``wma_{period}``."""
     if mode == "mean":
-        return df.withColumn(f"wma_{period}", t.mean(column, period))
-    terms = [F.lit(float(period)) * F.col(column)] + [float(period - i) * t.lag(column, i) for i in range(1, period)]
-    return df.withColumn(f"wma_{period}", reduce(lambda a, b: a + b, terms) / (period * (period + 1) / 2.0))
+        yield {f"wma_{period}": t.mean(column, period)}
+    else:
+        terms = [F.lit(float(period)) * F.col(column)] + [float(period - i) * t.lag(column, i) for i in range(1, period)]
+        yield {f"wma_{period}": reduce(lambda a, b: a + b, terms) / (period * (period + 1) / 2.0)}
 
 
-@register("midpoint", "overlap", {"column": "close", "period": 14}, needs=_of_column, check=_period(),
-          lookback=lambda period, **_: period - 1, min_rows=lambda period, **_: period)
-def midpoint(df, t, _, column, period):
+@register("midpoint", "overlap", {"column": "close", "period": 14}, needs=_of_column, check=_period(), lookback=_window, min_rows=_full)
+def midpoint(t, x, column, period):
     """Middle of the rolling range of one column: ``midpoint_{period}``."""
-    return df.withColumn(f"midpoint_{period}", (t.high(column, period) + t.low(column, period)) / 2.0)
+    yield {f"midpoint_{period}": (t.high(column, period) + t.low(column, period)) / 2.0}

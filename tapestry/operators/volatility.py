@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.checks import need_less, need_period
-from ..functions.ewm import ewm, memory, wilder_alpha
+from ..functions.checks import need_period
+from ..functions.ewm import Mean, memory, wilder_alpha
 from ..functions.exprs import safe_div
-from .registry import register
+from .registry import Means, register
 
 HLC = ("high", "low", "close")
 
@@ -22,55 +22,54 @@ def _check(period):
     need_period(period)
 
 
-@register("trange", "volatility", needs=HLC, lookback=lambda: 1)
-def trange(df, t, _):
-    """True range: ``trange``."""
-    return df.withColumn("trange", true_range(t))
+def _wilder(period):
+    return [wilder_alpha(period)]
 
 
-def _with_atr(df, t, length, period, name):
-    df = df.withColumn("__tr", true_range(t))
-    return ewm(df, t, length, {name: (F.col("__tr"), wilder_alpha(period), False)}).drop("__tr")
+def _full(period):
+    return period
 
 
-def _wilder(period):
-    return [wilder_alpha(period)]
+@register("trange", "volatility", needs=HLC, lookback=lambda: 1)
+def trange(t, x):
+    """True range: ``trange``."""
+    yield {"trange": true_range(t)}
+
+
+def _atr(t, x, period, name):
+    yield {x("tr"): true_range(t)}
+    yield Means({name: Mean(x("tr"), wilder_alpha(period), False)})
 
 
-@register("atr", "volatility", {"period": 14}, needs=HLC, check=_check, lookback=lambda period: 1, alphas=_wilder,
-          min_rows=lambda period: period)
-def atr(df, t, length, period):
+@register("atr", "volatility", {"period": 14}, needs=HLC, check=_check, lookback=lambda period: 1, alphas=_wilder, min_rows=_full)
+def atr(t, x, period):
     """Average true range: ``atr_{period}``."""
-    return _with_atr(df, t, length, period, f"atr_{period}")
+    yield from _atr(t, x, period, f"atr_{period}")
 
 
-@register("natr", "volatility", {"period": 14}, needs=HLC, check=_check, lookback=lambda period: 1, alphas=_wilder,
-          min_rows=lambda period: period)
-def natr(df, t, length, period):
+@register("natr", "volatility", {"period": 14}, needs=HLC, check=_check, lookback=lambda period: 1, alphas=_wilder, min_rows=_full)
+def natr(t, x, period):
     """ATR in percent of the close: ``natr_{period}``."""
-    df = _with_atr(df, t, length, period, "__atr")
-    return df.withColumn(f"natr_{period}", 100.0 * safe_div(F.col("__atr"), F.col("close"))).drop("__atr")
+    yield from _atr(t, x, period, x("atr"))
+    yield {f"natr_{period}": 100.0 * safe_div(F.col(x("atr")), F.col("close"))}
 
 
 @register("adx", "volatility", {"period": 14}, needs=HLC, check=_check, alphas=_wilder,
           lookback=lambda period: 1 + memory(wilder_alpha(period)), min_rows=lambda period: 2)
-def adx(df, t, length, period):
+def adx(t, x, period):
     """Directional movement: ``di_plus_p, di_minus_p, adx_p``."""
-    df = df.withColumns({"__up": F.col("high") - t.lag("high"), "__dn": t.lag("low") - F.col("low"), "__tr": true_range(t)})
-    up, dn, a = F.col("__up"), F.col("__dn"), wilder_alpha(period)
-    df = ewm(df, t, length, {
-        "__plus": (F.when((up > dn) & (up > 0), up).otherwise(0.0), a, False),
-        "__minus": (F.when((dn > up) & (dn > 0), dn).otherwise(0.0), a, False),
-        "__atr": (F.col("__tr"), a, False),
-    })
-    plus, minus = f"di_plus_{period}", f"di_minus_{period}"
-    df = df.withColumns({
-        plus: 100.0 * safe_div(F.col("__plus"), F.col("__atr")),
-        minus: 100.0 * safe_div(F.col("__minus"), F.col("__atr")),
-    })
-    dx = 100.0 * safe_div(F.abs(F.col(plus) - F.col(minus)), F.col(plus) + F.col(minus))
-    df = ewm(df.withColumn("__dx", dx), t, length, {f"adx_{period}": (F.col("__dx"), a, False)}, carry_blocks=False)
-    return df.drop("__up", "__dn", "__tr", "__plus", "__minus", "__atr", "__dx")
+    up, dn, a = F.col("high") - t.lag("high"), t.lag("low") - F.col("low"), wilder_alpha(period)
+    yield {
+        x("up"): F.when((up > dn) & (up > 0), up).otherwise(0.0),
+        x("dn"): F.when((dn > up) & (dn > 0), dn).otherwise(0.0),
+        x("tr"): true_range(t),
+    }
+    yield Means({x(f"{c}_mean"): Mean(x(c), a, False) for c in ("up", "dn", "tr")})
+    plus, minus = (100.0 * safe_div(F.col(x(f"{c}_mean")), F.col(x("tr_mean"))) for c in ("up", "dn"))
+    yield {f"di_plus_{period}": plus, f"di_minus_{period}": minus}
+    plus, minus = F.col(f"di_plus_{period}"), F.col(f"di_minus_{period}")
+    yield {x("dx"): 100.0 * safe_div(F.abs(plus - minus), plus + minus)}
+    yield Means({f"adx_{period}": Mean(x("dx"), a, False)}, first=False)
 
 
 def _check_ultosc(**periods):
@@ -80,8 +79,8 @@ def _check_ultosc(**periods):
 
 @register("ultosc", "volatility", {"period1": 7, "period2": 14, "period3": 28}, needs=HLC, check=_check_ultosc,
           lookback=lambda **p: max(p.values()), min_rows=lambda **p: max(p.values()))
-def ultosc(df, t, _, period1, period2, period3):
+def ultosc(t, x, period1, period2, period3):
     """Ultimate oscillator: ``ultosc_{p1}_{p2}_{p3}``."""
-    df = df.withColumns({"__bp": F.col("close") - F.least(F.col("low"), t.lag("close")), "__tr": true_range(t)})
-    parts = [w * safe_div(t.total("__bp", p), t.total("__tr", p)) for w, p in ((4.0, period1), (2.0, period2), (1.0, period3))]
-    return df.withColumn(f"ultosc_{period1}_{period2}_{period3}", 100.0 * (parts[0] + parts[1] + parts[2]) / 7.0).drop("__bp", "__tr")
+    yield {x("bp"): F.col("close") - F.least(F.col("low"), t.lag("close")), x("tr"): true_range(t)}
+    parts = [w * safe_div(t.total(x("bp"), p), t.total(x("tr"), p)) for w, p in ((4.0, period1), (2.0, period2), (1.0, period3))]
+    yield {f"ultosc_{period1}_{period2}_{period3}": 100.0 * (parts[0] + parts[1] + parts[2]) / 7.0}

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.checks import need_less, need_period
-from ..functions.ewm import ewm, span_alpha
+from ..functions.ewm import Mean, span_alpha
 from ..functions.exprs import typical_price
-from .registry import register
+from .registry import Means, Sums, register
 
 HLCV = ("high", "low", "close", "volume")
 
 
 @register("obv", "volume", needs=("close", "volume"), lookback=lambda: 1)
-def obv(df, t, _):
+def obv(t, x):
     """On-balance volume: ``obv``; 0 on the first row."""
-    df = df.withColumn("__d", F.col("close") - t.lag("close"))
-    step = F.when(F.col("__d") > 0, F.col("volume")).when(F.col("__d") < 0, -F.col("volume")).otherwise(0)
-    return t.cumsum(df.withColumn("__step", step), {"obv": F.col("__step")}).drop("__d", "__step")
+    move, v = F.col("close") - t.lag("close"), F.col("volume")
+    yield {x("step"): F.when(move > 0, v).when(move < 0, -v).otherwise(0)}
+    yield Sums({"obv": F.col(x("step"))})
 
 
 def _check_vwap(period):
@@ -27,25 +27,25 @@ def _check_vwap(period):
 
 @register("vwap", "volume", {"period": None}, needs=HLCV, check=_check_vwap, lookback=lambda period: (period or 1) - 1,
           min_rows=lambda period: period or 1)
-def vwap(df, t, _, period):
+def vwap(t, x, period):
     """Volume-weighted average price, cumulative (``vwap``) or rolling (``vwap_{period}``); null without volume."""
     v, pv = F.col("volume").cast("double"), typical_price() * F.col("volume")
     if period is not None:
-        return df.withColumn(f"vwap_{period}", F.try_divide(t.total(pv, period), t.total(v, period)))
-    df = t.cumsum(df, {"__pv": pv, "__v": v})
-    return df.withColumn("vwap", F.try_divide(F.col("__pv"), F.col("__v"))).drop("__pv", "__v")
+        yield {f"vwap_{period}": F.try_divide(t.total(pv, period), t.total(v, period))}
+    else:
+        yield Sums({x("pv"): pv, x("v"): v})
+        yield {"vwap": F.try_divide(F.col(x("pv")), F.col(x("v")))}
 
 
-def _with_ad(df, t, name):
+def _ad(name):
     h, lo, c = F.col("high"), F.col("low"), F.col("close")
-    flow = F.when(h != lo, F.try_divide((c - lo) - (h - c), h - lo) * F.col("volume")).otherwise(0.0)
-    return t.cumsum(df, {name: flow})
+    return Sums({name: F.when(h != lo, F.try_divide((c - lo) - (h - c), h - lo) * F.col("volume")).otherwise(0.0)})
 
 
 @register("ad", "volume", needs=HLCV)
-def ad(df, t, _):
+def ad(t, x):
     """Accumulation/distribution line: ``ad``; bars without range add nothing."""
-    return _with_ad(df, t, "ad")
+    yield _ad("ad")
 
 
 def _check_adosc(fast_period, slow_period):
@@ -57,9 +57,8 @@ def _check_adosc(fast_period, slow_period):
 @register("adosc", "volume", {"fast_period": 3, "slow_period": 10}, needs=HLCV, check=_check_adosc,
           alphas=lambda fast_period, slow_period: [span_alpha(fast_period), span_alpha(slow_period)],
           min_rows=lambda fast_period, slow_period: slow_period)
-def adosc(df, t, length, fast_period, slow_period):
+def adosc(t, x, fast_period, slow_period):
     """Fast minus slow EMA of the A/D line: ``adosc_{fast}_{slow}``."""
-    df = _with_ad(df, t, "__ad")
-    x = F.col("__ad")
-    df = ewm(df, t, length, {"__f": (x, span_alpha(fast_period), True), "__s": (x, span_alpha(slow_period), True)})
-    return df.withColumn(f"adosc_{fast_period}_{slow_period}", F.col("__f") - F.col("__s")).drop("__ad", "__f", "__s")
+    yield _ad(x("ad"))
+    yield Means({x(n): Mean(x("ad"), span_alpha(p)) for n, p in (("fast", fast_period), ("slow", slow_period))})
+    yield {f"adosc_{fast_period}_{slow_period}": F.col(x("fast")) - F.col(x("slow"))}
