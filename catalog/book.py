@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tapestry.functions.joins import asof_join, price_range_join
 from tapestry.operators import book as B, flow as W, icebergs as X
+from tapestry.session import settle
 
 from .tables import DEPTH_SQL, depth, r6, tidy, with_sql
 
@@ -21,17 +22,22 @@ def add(name, query, sql, digits=6):
 
 
 def routed(spark, sf):
-    return B.route_depth(depth(spark, sf))
+    """Routed updates, written out once because most reports read them several times."""
+    return settle(B.route_depth(depth(spark, sf)), "routed")
 
 
-def book(spark, sf):
-    return B.book_asof(routed(spark, sf))
+def book(spark, sf, updates=None):
+    return settle(B.book_asof(routed(spark, sf) if updates is None else updates), "book")
+
+
+def book_and_trades(spark, sf):
+    updates = routed(spark, sf)
+    return book(spark, sf, updates), B.routed_trades(updates)
 
 
 def trades(spark, sf):
     """Executions with the side implied by the quotes at their time."""
-    q = B.bbo_history(depth(spark, sf), wanted=(F.col("type") == 5) & (F.col("volume") > 0))
-    return q.withColumn("side", W.classify(F.col("price"), F.col("best_bid"), F.col("best_ask")))
+    return B.routed_trades(routed(spark, sf))
 
 
 BBO_SQL = """n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY contract ORDER BY ts, seq) - 1 AS rn FROM depth),
@@ -71,17 +77,17 @@ _ALL = with_sql(DEPTH_SQL, BBO_SQL, ROUTED_SQL, BOOK_SQL, BEST_SQL, TRADES_SQL)
 
 add("bbo_history", lambda s, d: B.bbo_history(depth(s, d)).select("contract", "seq", "best_bid", "best_ask", "spread", "mid"),
     with_sql(DEPTH_SQL, BBO_SQL) + "SELECT contract, seq, best_bid, best_ask, spread, mid FROM b")
-add("route_depth", lambda s, d: routed(s, d).select("contract", "ts", "seq", "price", "volume", "side", "type"),
+add("route_depth", lambda s, d: B.route_depth(depth(s, d)).select("contract", "ts", "seq", "price", "volume", "side", "type"),
     _ROUTED + "SELECT contract, ts, seq, price, volume, side, type FROM routed")
 add("depth_type_counts", lambda s, d: B.depth_type_counts(depth(s, d)), with_sql(DEPTH_SQL) + """
 SELECT contract, count(*) FILTER (type = 1) AS type_1_count, count(*) FILTER (type = 2) AS type_2_count,
   count(*) FILTER (type = 5) AS type_5_count, count(*) FILTER (type = 9) AS type_9_count,
   count(*) FILTER (type = 10) AS type_10_count, count(*) FILTER (type IS NULL OR type NOT IN (1, 2, 5, 9, 10)) AS other_types
 FROM depth GROUP BY contract""")
-add("book_asof", lambda s, d: book(s, d), _BOOK + "SELECT contract, side, price, volume, ts, type FROM book")
+add("book_asof", lambda s, d: B.book_asof(B.route_depth(depth(s, d))), _BOOK + "SELECT contract, side, price, volume, ts, type FROM book")
 
 _T0, _T1, _STEP = "2024-01-02 00:00:00", "2024-01-30 00:00:00", 86400
-add("book_at_grid", lambda s, d: B.book_at_grid(routed(s, d), _T0, _T1, _STEP), _ROUTED + f""",
+add("book_at_grid", lambda s, d: B.book_at_grid(B.route_depth(depth(s, d)), _T0, _T1, _STEP), _ROUTED + f""",
 iv AS (SELECT *, lead(ts) OVER (PARTITION BY contract, side, price ORDER BY ts, seq) AS till FROM routed WHERE side IN ('bid', 'ask')),
 grid AS (SELECT unnest(generate_series(TIMESTAMP '{_T0}', TIMESTAMP '{_T1}', INTERVAL {_STEP} SECOND)) AS as_of),
 live AS (SELECT iv.contract, grid.as_of, iv.side, iv.price, iv.volume,
@@ -163,7 +169,12 @@ im AS (SELECT t5.*, coalesce((top_bid_volume - top_ask_volume) / nullif(top_bid_
 imb AS (SELECT contract, imbalance_ratio, CASE WHEN imbalance_ratio > 0.3 THEN 'bullish' WHEN imbalance_ratio < -0.3 THEN 'bearish' ELSE 'neutral' END AS direction,
   CASE WHEN imbalance_ratio > 0.3 AND trade_imbalance > 0.2 THEN 'high' WHEN imbalance_ratio < -0.3 AND trade_imbalance < -0.2 THEN 'high'
     WHEN abs(imbalance_ratio) > 0.3 THEN 'medium' ELSE 'low' END AS confidence, top_bid_volume, top_ask_volume, trade_imbalance FROM im)"""
-add("market_imbalance", lambda s, d: B.market_imbalance(book(s, d), W.trade_flow(trades(s, d), MINUTES, asof=ASOF)),
+def _imbalance(s, d):
+    levels, executed = book_and_trades(s, d)
+    return B.market_imbalance(levels, W.trade_flow(executed, MINUTES, asof=ASOF))
+
+
+add("market_imbalance", _imbalance,
     _ALL + "," + _FLOW_SQL + "," + _IMBALANCE_SQL + f"""
 SELECT contract, {r6('imbalance_ratio')} AS imbalance_ratio, direction, confidence, top_bid_volume, top_ask_volume,
   {r6('trade_imbalance')} AS trade_imbalance FROM imb""")
@@ -181,7 +192,12 @@ cand AS (
     AND contract IN (SELECT contract FROM vp)),
 sr AS (SELECT *, row_number() OVER (PARTITION BY contract, kind ORDER BY strength DESC, abs(price - current_price), price, type) AS rank
   FROM cand QUALIFY rank <= 10)"""
-add("support_resistance", lambda s, d: B.support_resistance(W.volume_profile(trades(s, d), 5.0), book(s, d)),
+def _support(s, d):
+    levels, executed = book_and_trades(s, d)
+    return B.support_resistance(W.volume_profile(executed, 5.0), levels)
+
+
+add("support_resistance", _support,
     _ALL + "," + _SR_SQL + f"""
 SELECT contract, {r6('current_price')} AS current_price, kind, {r6('price')} AS price, volume, {r6('strength')} AS strength, type, rank FROM sr""")
 
@@ -232,7 +248,18 @@ _REFRESH_SQL = """rf AS (SELECT contract, side, price, avg(volume) AS avg_volume
     CAST(sum(volume) AS BIGINT) AS total_volume, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 / nullif(count(*) - 1, 0) AS avg_refresh_seconds
   FROM routed WHERE side IN ('bid', 'ask') AND volume > 0 GROUP BY contract, side, price
   HAVING count(*) >= 3 AND sum(volume) >= 100 AND stddev_samp(volume) / avg(volume) < 1 - 0.6)"""
-_refresh = lambda s, d: X.iceberg_refresh(routed(s, d), MINUTES, 3, 0.6, 100, asof=ASOF)
+def _refresh(s, d, updates=None):
+    return X.iceberg_refresh(B.route_depth(depth(s, d)) if updates is None else updates, MINUTES, 3, 0.6, 100, asof=ASOF)
+
+
+def _confirmed(s, d):
+    updates = routed(s, d)
+    return X.confirm_with_trades(_refresh(s, d, updates), B.routed_trades(updates), 0.26).select(
+        "contract", "side", "price", "nearby_trades", "trade_volume", "avg_trade_size", "execution_consistency", "volume_to_trade_ratio",
+        "trade_confirmed", "confidence_score")
+
+
+
 add("iceberg_refresh", _refresh, _ROUTED + "," + _REFRESH_SQL + f"""
 SELECT contract, side, price, {r6('avg_volume')} AS avg_volume, {r6('volume_std')} AS volume_std, refresh_count, total_volume,
   {r6('avg_refresh_seconds')} AS avg_refresh_seconds, 'medium' AS confidence, {r6('0.7')} AS confidence_score,
@@ -241,9 +268,7 @@ _CONFIRM = """cf AS (SELECT rf.contract, rf.side, rf.price, rf.avg_volume, count
   FROM rf LEFT JOIN trades t ON t.contract = rf.contract AND t.price >= rf.price - 0.26 AND t.price <= rf.price + 0.26 GROUP BY 1, 2, 3, 4),
 cg AS (SELECT *, CASE WHEN n > 1 THEN 1.0 - sd / m WHEN n = 1 THEN 1.0 END AS c FROM cf)"""
 add("confirm_with_trades",
-    lambda s, d: X.confirm_with_trades(_refresh(s, d), trades(s, d), 0.26).select(
-        "contract", "side", "price", "nearby_trades", "trade_volume", "avg_trade_size", "execution_consistency", "volume_to_trade_ratio",
-        "trade_confirmed", "confidence_score"),
+    _confirmed,
     _ALL + "," + _REFRESH_SQL + "," + _CONFIRM + f"""
 SELECT contract, side, price, n AS nearby_trades, {r6('v')} AS trade_volume, {r6('m')} AS avg_trade_size, {r6('greatest(c, 0.0)')} AS execution_consistency,
   {r6('avg_volume / greatest(1.0, m)')} AS volume_to_trade_ratio, coalesce(c > 0.7 AND n >= 3, FALSE) AS trade_confirmed,
@@ -263,13 +288,13 @@ _REPL = """v AS (SELECT *, lag(volume, 1) OVER w AS b, lag(volume, 2) OVER w AS
 SELECT contract, side, price, count(*) AS updates, round(3e-9 + CAST(CASE WHEN count(*) < 4 THEN 0.0 ELSE
   least(1.0, count(*) FILTER (a > 0 AND b < a * 0.5 AND volume > a * 0.8) / greatest(1, count(*) - 2)) END AS DOUBLE), 6) + 0.0 AS replenishment_score
 FROM v GROUP BY contract, side, price"""
-add("replenishment_score", lambda s, d: X.replenishment_score(routed(s, d)), _ROUTED + "," + _REPL)
+add("replenishment_score", lambda s, d: X.replenishment_score(B.route_depth(depth(s, d))), _ROUTED + "," + _REPL)
 add("replenishment_score_split", lambda s, d: X.replenishment_score(routed(s, d), chunk=3), _ROUTED + "," + _REPL)
 _SIG = """sg AS (SELECT contract, side, price, count(*) AS updates, avg(volume) AS avg_volume, stddev_samp(volume) AS sd, CAST(sum(volume) AS BIGINT) AS total
   FROM routed GROUP BY contract, side, price),
 sh AS (SELECT *, CASE WHEN updates < 3 THEN 0.0 ELSE
   coalesce(greatest(0.0, least(1.0, 1.0 - CASE WHEN avg_volume > 0 THEN sd / avg_volume END)), 0.0) * least(1.0, updates / 10.0) END AS significance FROM sg)"""
-add("level_significance", lambda s, d: X.level_significance(routed(s, d)), _ROUTED + "," + _SIG + f"""
+add("level_significance", lambda s, d: X.level_significance(B.route_depth(depth(s, d))), _ROUTED + "," + _SIG + f"""
 SELECT contract, side, price, updates, {r6('avg_volume')} AS avg_volume, {r6('significance')} AS significance FROM sh""")
 
 

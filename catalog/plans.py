@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tapestry.functions.history import newest
-from tapestry.operators import book as B, flow as W
 from tapestry.operators.registry import register_custom, with_indicators
 from tapestry.plans import market, signals as G
 from tapestry.session import scratch_dir
 from tapestry.sources import envelopes as E, readers
 
 from .accounts import ORDERS_SQL, order_events
-from .book import ASOF, BEST_SQL, BOOK_SQL, BBO_SQL, MINUTES, ROUTED_SQL, TRADES_SQL, _CLUSTERS_SQL, _FLOW_SQL, _IMBALANCE_SQL, _SR_SQL, _liq, book, trades
+from .book import ASOF, BEST_SQL, BOOK_SQL, BBO_SQL, MINUTES, ROUTED_SQL, TRADES_SQL, _CLUSTERS_SQL, _FLOW_SQL, _IMBALANCE_SQL, _SR_SQL, _liq
 from .indicators import _trange, div, inputs, lag, recursion, roll, span
 from .tables import DEPTH_SQL, HOUR_BARS_SQL, TICKS_SQL, WEEK_BARS_SQL, depth, hour_bars, hour_split, r6, ticks, tidy, week_bars, week_split, with_sql
 
@@ -93,7 +92,7 @@ _METRICS = with_sql(DEPTH_SQL, BBO_SQL, ROUTED_SQL, BOOK_SQL, BEST_SQL, TRADES_S
 cm AS (SELECT *, sum(total_volume) OVER (PARTITION BY contract ORDER BY total_volume DESC, bucket ROWS UNBOUNDED PRECEDING) AS cum, sum(total_volume) OVER (PARTITION BY contract) AS total FROM vp),
 va AS (SELECT contract, max(avg_price) AS value_area_high, min(avg_price) AS value_area_low FROM cm WHERE cum - total_volume < CAST(0.7 AS DOUBLE) * total GROUP BY contract),
 snap AS (SELECT contract, CAST(coalesce(sum(volume) FILTER (side = 'bid'), 0) AS BIGINT) AS total_bid_volume, CAST(coalesce(sum(volume) FILTER (side = 'ask'), 0) AS BIGINT) AS total_ask_volume FROM book WHERE lvl <= 10 GROUP BY contract)""")
-add("market_metrics", lambda s, d: market.market_metrics(book(s, d), trades(s, d), asof=ASOF, flow_minutes=MINUTES, delta_minutes=MINUTES, iceberg_minutes=MINUTES, bucket_size=5.0, price_tolerance=1.0).select(
+add("market_metrics", lambda s, d: market.market_report(depth(s, d), asof=ASOF, flow_minutes=MINUTES, delta_minutes=MINUTES, iceberg_minutes=MINUTES, bucket_size=5.0, price_tolerance=1.0).select(
     "contract", "best_bid", "best_ask", "total_bid_volume", "total_ask_volume", "liquid_levels", "clusters", "cumulative_delta", "imbalance_ratio", "direction", "confidence", "poc_price", "poc_volume",
     "value_area_high", "value_area_low", "supports", "resistances", "total_volume", "trade_count", "vwap", "data_quality", "market_activity"), _METRICS + f"""
 SELECT contract, best_bid, best_ask, total_bid_volume, total_ask_volume, (SELECT count(*) FROM liq WHERE liq.contract = best.contract) AS liquid_levels,

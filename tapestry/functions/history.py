@@ -22,6 +22,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..session import settle
+
 # Rows one window group may hold before its history is split (override per session).
 MAX_GROUP_ROWS = 1_000_000
 MAX_GROUP_ROWS_CONF = "tapestry.maxGroupRows"
@@ -36,6 +38,10 @@ class Split:
     rows: int
     width: int | None
 
+    def settle(self, df: DataFrame) -> DataFrame:
+        """Write ``df`` out before it is scanned again, if histories are cut (every prefix scan reads it twice)."""
+        return df if self.width is None else settle(df)
+
 
 def names(cols: str | Sequence[str]) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -307,7 +313,7 @@ def over_history(
         return body(df, t).drop(RN, SUB, K)
 
     size = max(split.rows, lookback, lookahead, 1)
-    numbered = number_rows(df, by=by, order=order, chunk=split)
+    numbered = split.settle(number_rows(df, by=by, order=order, chunk=split))
     block, at = F.floor(F.col(RN) / size), F.col(RN) % size
     homes = [F.array(block)]
     if lookback:

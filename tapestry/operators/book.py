@@ -9,9 +9,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.exprs import safe_div
-from ..functions.history import RN, names, number_rows, over_history
+from ..functions.exprs import classify, safe_div
+from ..functions.history import RN, names, number_rows, over_history, row_limit
 from ..schemas import DEPTH_ASK, DEPTH_BID, DEPTH_CHANGES, DEPTH_TRADE
+from ..session import settle
 
 ORDER = ["ts", "seq"]
 MAX_LEVELS = 100
@@ -22,13 +23,15 @@ def route_depth(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto") -
 
     1 is an ask, 2 a bid, 5 a trade (only with volume).  Changes (9, 10) go to the bid side at or below the mid of
     the book built from plain bids and asks, to the ask side above it, and to both sides when there is no mid or
-    the price is 0.  The wire code stays visible in ``type`` (``bid_mod_9``).
+    the price is 0.  The wire code stays visible in ``type`` (``bid_mod_9``).  Trades and changes also carry the best
+    prices they were compared with.
     """
-    changes = F.col("type").isin(*DEPTH_CHANGES)
-    placed = bbo_history(depth, by=by, order=order, chunk=chunk, wanted=changes)
-    rest = depth.filter(~F.coalesce(changes, F.lit(False)))
-    with_mid = rest.withColumn("mid", F.lit(None).cast("double")).unionByName(placed.select(*depth.columns, "mid"))
-    code, price, mid = F.col("type"), F.col("price"), F.col("mid")
+    code = F.col("type")
+    looked_up = code.isin(*DEPTH_CHANGES, DEPTH_TRADE)
+    placed = bbo_history(depth, by=by, order=order, chunk=chunk, wanted=looked_up).select(*depth.columns, "best_bid", "best_ask", "mid")
+    rest = depth.filter(~F.coalesce(looked_up, F.lit(False)))
+    with_mid = placed.unionByName(rest, allowMissingColumns=True)
+    price, mid = F.col("price"), F.col("mid")
     change = code.isin(*DEPTH_CHANGES)
     undecided = mid.isNull() | (mid == 0) | (price == 0)
     entry = lambda side, label: F.struct(F.lit(side).alias("side"), label.alias("label"))
@@ -43,10 +46,16 @@ def route_depth(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto") -
         .when(change, F.array(ask_mod))
     )
     return with_mid.withColumn("__r", F.explode(routes)).select(
-        *names(by), *names(order), "price", "volume", F.col("__r.side").alias("side"), F.col("__r.label").alias("type")
+        *names(by), *names(order), "price", "volume", F.col("__r.side").alias("side"), F.col("__r.label").alias("type"),
+        "best_bid", "best_ask",
     )
 
 
+def routed_trades(routed: DataFrame) -> DataFrame:
+    """Trades among routed updates, with the aggressor as ``side``."""
+    return routed.filter(F.col("side") == "trade").withColumn("side", classify(F.col("price"), F.col("best_bid"), F.col("best_ask"))).drop("type")
+
+
 def depth_type_counts(depth: DataFrame, *, by="contract") -> DataFrame:
     """Number of updates per wire code."""
     known = [1, 2, 5, 9, 10]
@@ -125,21 +134,18 @@ def bbo_history(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto", w
     that many rows per key at most; the wider ones are few (a known bound) and broadcast.
     """
     by, order = names(by), names(order)
-    numbered = number_rows(depth, by=by, order=order, chunk=chunk)
     counts = depth.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
     longest, total = counts[0] or 1, counts[1] or 1
+    numbered = number_rows(depth, by=by, order=order, chunk=chunk)
+    if total > row_limit(depth.sparkSession, "auto"):
+        numbered = settle(numbered, "numbered")  # read four times below
     sizes = math.ceil(math.log2(longest + 1))
     cut = min(sizes, max(GROUP_BITS, math.ceil(math.log2(4 * total / BROADCAST_RANGES))) if total > 0 else sizes)
 
     plain = numbered.filter(F.col("type").isin(DEPTH_ASK, DEPTH_BID))
     live = _until_next(plain, by, order, chunk).filter(F.col("volume") > 0)
-    a, z = F.col("__from"), F.least(F.coalesce(F.col("__to"), F.lit(1 << 60)), F.lit(1 << sizes)).cast("long")
-    pieces = []
-    for s in range(sizes + 1):
-        lo, hi = F.ceil(a / F.lit(1 << s)).cast("long"), F.floor(z / F.lit(1 << s)).cast("long")
-        pieces.append(F.when((lo < hi) & (lo % 2 == 1), _range(s, lo)))
-        pieces.append(F.when((lo < hi) & (hi % 2 == 1), _range(s, hi - 1)))
-    ranges = live.withColumn("__p", F.explode(F.array_compact(F.array(*pieces))))
+    live = live.withColumn("__z", F.least(F.coalesce(F.col("__to"), F.lit(1 << 60)), F.lit(1 << sizes)).cast("bigint"))
+    ranges = live.withColumn("__p", F.explode(F.expr(_aligned_ranges("bigint(__from)", "__z", sizes))))
     best = ranges.groupBy(*by, F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")).agg(
         F.max(F.when(F.col("type") == DEPTH_BID, F.col("price"))).alias("best_bid"),
         F.min(F.when(F.col("type") == DEPTH_ASK, F.col("price"))).alias("best_ask"),
@@ -156,13 +162,17 @@ def bbo_history(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto", w
     return with_mid(numbered.join(quotes, by + [RN], "left").drop(RN))
 
 
-def _range(size: int, at: Column) -> Column:
-    return F.struct(F.lit(size).alias("size"), at.alias("at"))
+def _aligned_ranges(first: str, end: str, sizes: int) -> str:
+    """SQL array of the maximal aligned ranges ``(size, at)`` that make up the positions ``[first, end)``."""
+    lo, hi = f"shiftright({first} + shiftleft(1L, s) - 1, s)", f"shiftright({end}, s)"
+    entry = lambda cond, at: f"if({lo} < {hi} AND {cond}, struct(s AS size, {at} AS at), NULL)"
+    pair = f"array({entry(f'{lo} % 2 = 1', lo)}, {entry(f'{hi} % 2 = 1', f'{hi} - 1')})"
+    return f"array_compact(flatten(transform(sequence(0, {sizes}), s -> {pair})))"
 
 
-def _covering(numbered: DataFrame, by, sizes) -> DataFrame:
+def _covering(numbered: DataFrame, by, sizes: range) -> DataFrame:
     """Positions with the aligned range of every size that holds them."""
-    spots = F.array(*[_range(s, F.floor(F.col(RN) / F.lit(1 << s)).cast("long")) for s in sizes])
+    spots = F.expr(f"transform(sequence({sizes.start}, {sizes.stop - 1}), s -> struct(s AS size, shiftright(bigint({RN}), s) AS at))")
     return numbered.select(*by, RN, F.explode(spots).alias("__p")).select(
         *by, RN, F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")
     )

@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.exprs import classify
 from ..functions.history import names, newest, running
 from ..functions.joins import asof_join
 
 ORDER = ["ts", "seq"]
 
 
-def classify(price: Column, bid: Column, ask: Column) -> Column:
-    """Aggressor side of a trade given the quotes; unknown inside the spread or without quotes."""
-    return F.when(price >= ask, "buy").when(price <= bid, "sell").otherwise("unknown")
-
-
 def classify_trades(trades: DataFrame, quotes: DataFrame, *, by="contract", bid="best_bid", ask="best_ask", chunk="auto") -> DataFrame:
     """Add ``side`` to trades from the newest quote at or before each trade."""
     joined = asof_join(trades, quotes, by=by, values=[bid, ask], chunk=chunk)

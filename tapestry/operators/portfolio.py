@@ -14,12 +14,12 @@ def portfolio_metrics(trades: DataFrame, initial_balance: float = 100_000.0, *,
     split = plan_split(trades, by, order, chunk)
     slim = trades.select(*by, *order, F.coalesce(F.col(pnl), F.lit(0.0)).alias("__pnl"))
     d = running(slim, by=by, order=order, chunk=split, sums={"__sum": F.col("__pnl")})
-    d = d.withColumn("__equity", start + F.col("__sum"))
+    d = split.settle(d.withColumn("__equity", start + F.col("__sum")))
     d = running(d, by=by, order=order, chunk=split, maxes={"__max": F.col("__equity")})
-    d = d.withColumn("__peak", F.greatest(start, F.col("__max")))
+    d = split.settle(d.withColumn("__peak", F.greatest(start, F.col("__max"))))
     d = running(d, by=by, order=order, chunk=split, prevs={"__before": F.col("__peak")})
     fresh = F.col("__equity") > F.coalesce(F.col("__before"), start)
-    d = running(d.withColumn("__fresh", fresh), by=by, order=order, chunk=split, sums={"__run": F.col("__fresh").cast("int")})
+    d = running(split.settle(d.withColumn("__fresh", fresh)), by=by, order=order, chunk=split, sums={"__run": F.col("__fresh").cast("int")})
     x = F.col("__pnl")
     # One row per run between new peaks, then one per account.
     runs = d.groupBy(*by, "__run").agg(

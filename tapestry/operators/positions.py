@@ -162,7 +162,7 @@ def positions_from_fills(fills: DataFrame, *, by="contract", order=("ts", "seq")
     net, before = F.col("__net"), F.col("__net") - F.col("__q")
     opens = (before == 0) | (F.signum(net.cast("double")) == -F.signum(before.cast("double")))
     grown = F.when(net == 0, 0).when(opens, F.abs(net)).when(F.abs(net) > F.abs(before), F.abs(F.col("__q"))).otherwise(0)
-    d = d.withColumns({"__grown": grown, "__opens": opens.cast("int")})
+    d = split.settle(d.withColumns({"__grown": grown, "__opens": opens.cast("int")}))
     d = running(d, by=by, order=order, chunk=split, sums={"__episode": F.col("__opens")})
     episodes = d.groupBy(*by, "__episode").agg(
         F.max_by("__net", F.struct(*order)).alias("net"), F.sum(F.col("__grown") * F.col("price")).alias("paid"), F.sum("__grown").alias("grown")

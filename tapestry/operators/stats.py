@@ -87,7 +87,7 @@ def volatility_metrics(df: DataFrame, column: str = "close", window: int = 20, *
     need_period(window, 2, "window")
     by = names(by)
     split = plan_split(df, by, names(order), chunk)
-    d = df if return_column else returns(df, column, by=by, order=order, chunk=split)
+    d = df if return_column else split.settle(returns(df, column, by=by, order=order, chunk=split))
     r = return_column or "returns"
     d = over_history(d, lambda x, t: x.withColumn("__roll", t.std(r, window)), by=by, order=order, lookback=window - 1, chunk=split)
     zero, root = F.lit(0.0), float(periods_per_year) ** 0.5
@@ -121,7 +121,7 @@ def max_drawdown(df: DataFrame, column: str = "close", *, by="contract", order="
     by, order = names(by), names(order)
     split = plan_split(df, by, order, chunk)
     d = running(df.select(*by, *order, column), by=by, order=order, chunk=split, maxes={"__peak": F.col(column)})
-    d = d.withColumn("__dd", F.try_divide(F.col(column).cast("double"), F.col("__peak")) - 1.0)
+    d = split.settle(d.withColumn("__dd", F.try_divide(F.col(column).cast("double"), F.col("__peak")) - 1.0))
     d = running(d, by=by, order=order, chunk=split, sums={"__run": F.when(F.col("__dd") < 0, 0).otherwise(1)})
     runs = d.groupBy(*by, "__run").agg(F.min("__dd").alias("__dd"), F.count_if(F.col("__dd") < 0).alias("n"))
     return runs.groupBy(*by).agg(F.coalesce(F.min("__dd"), F.lit(0.0)).alias("max_drawdown"), F.max("n").alias("max_drawdown_duration"))

@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.history import names
 from ..operators import book as B, flow as W, icebergs as X
+from ..session import settle
+
+
+def market_report(depth: DataFrame, *, asof, by="contract", order=("ts", "seq"), **params) -> DataFrame:
+    """:func:`market_metrics` straight from depth updates; the routed updates and the book are written out once."""
+    routed = settle(B.route_depth(depth, by=by, order=order), "routed")
+    book = settle(B.book_asof(routed, by=by, order=order), "book")
+    return market_metrics(book, B.routed_trades(routed), asof=asof, by=by, **params)
 
 
 def market_metrics(book: DataFrame, trades: DataFrame, *, asof, flow_minutes: float = 5, delta_minutes: float = 30, iceberg_minutes: float = 10,

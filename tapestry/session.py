@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "16g") -> SparkSession:
@@ -32,3 +32,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="tapestry-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write an intermediate table to the shared scratch folder and continue from there.
+
+    Used before a table is read several times: it is computed once, and a lost executor only repeats the scan.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
