@@ -127,4 +127,4 @@ def _with_block_state(df: DataFrame, t: Timeline, live: Mapping[str, Mean]) -> D
             for n in live
         ],
     )
-    return same_keys(df, state, t.keys)
+    return same_keys(df, state, t.keys, t.null_keys)

@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -33,10 +34,14 @@ RN, BLK, BUCKET, SUB, K = "__rn", "__blk", "__bucket", "__sub", "__k"
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut a history: ``rows`` per block, ``width`` of a time bucket in microseconds (None: do not cut)."""
+    """How to cut a history: ``rows`` per block, ``width`` of a time bucket in microseconds (None: do not cut).
+
+    ``null_keys``: some group key is null, so state must be joined null-safely (at the price of another shuffle).
+    """
 
     rows: int
     width: int | None
+    null_keys: bool = False
 
     def settle(self, df: DataFrame) -> DataFrame:
         """Write ``df`` out before it is scanned again, if histories are cut (every prefix scan reads it twice)."""
@@ -74,7 +79,10 @@ def plan_split(df: DataFrame, by, order, chunk="auto", bar_seconds: float | None
         n = F.least(n, ((F.max("__us") - F.min("__us")) / (bar_seconds * 1e6)).cast("long") + 2)
     slim = df.select(*by, micros(ts).alias("__us"))
     groups = slim.groupBy(*by).agg(n.alias("n"), (F.max("__us") - F.min("__us") + 1).alias("span"))
-    worst = groups.agg(F.max("n").alias("n"), F.min(F.col("span") / F.col("n")).alias("gap")).first()
+    unnamed = F.lit(False)
+    for c in by:
+        unnamed = unnamed | F.col(c).isNull()
+    worst = groups.agg(F.max("n").alias("n"), F.min(F.col("span") / F.col("n")).alias("gap"), F.max(unnamed).alias("nulls")).first()
     if worst.n is None or worst.n <= limit:
         return Split(limit, None)
     width = max(1, int(worst.gap * limit))
@@ -90,21 +98,18 @@ def plan_split(df: DataFrame, by, order, chunk="auto", bar_seconds: float | None
         if fullest <= 2 * limit:
             break
         width = max(1, width // max(2, math.ceil(fullest / limit)))
-    return Split(limit, width)
+    return Split(limit, width, bool(worst.nulls))
 
 
 def bucket(ts: str, width: int) -> Column:
     return F.floor(micros(ts) / F.lit(width))
 
 
-def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Null-safe equi-join that keeps the left columns only once."""
+def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Left join on equally named keys; plain equality keeps the partitioning the windows already have."""
     renamed = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
-    cond = None
-    for c in on:
-        eq = left[c].eqNullSafe(renamed[f"__r_{c}"])
-        cond = eq if cond is None else cond & eq
-    return left.join(renamed, cond, how).drop(*[f"__r_{c}" for c in on])
+    pairs = [left[c].eqNullSafe(renamed[f"__r_{c}"]) if null_safe else left[c] == renamed[f"__r_{c}"] for c in on]
+    return left.join(renamed, reduce(lambda a, b: a & b, pairs), "left").drop(*[f"__r_{c}" for c in on])
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -169,7 +174,7 @@ def running(
         | {f"__l_{n}": F.lag(c).over(w) for n, c in prevs.items()}
         | ({"__first": F.row_number().over(w) == 1} if prevs else {})
     )
-    joined = same_keys(local, carries, keys)
+    joined = same_keys(local, carries, keys, split.null_keys)
     out = {}
     for n in sums:
         out[n] = F.coalesce(
@@ -204,7 +209,7 @@ def newest(df: DataFrame, n: int = 1, *, by, order) -> DataFrame:
         return df.withColumn(RN, F.row_number().over(w)).filter(F.col(RN) <= n).drop(RN)
     totals = df.groupBy(*names(by)).agg(F.count(F.lit(1)).alias("__n"))
     numbered = number_rows(df, by=by, order=order)
-    return same_keys(numbered, totals, names(by)).filter(F.col(RN) >= F.col("__n") - n).drop(RN, "__n")
+    return same_keys(numbered, totals, names(by), True).filter(F.col(RN) >= F.col("__n") - n).drop(RN, "__n")
 
 
 # ---------------------------------------------------------------------------------------------------------
@@ -214,8 +219,8 @@ def newest(df: DataFrame, n: int = 1, *, by, order) -> DataFrame:
 class Timeline:
     """Window specifications for one group order; ``keys`` are the columns that bound a window partition."""
 
-    def __init__(self, by: list[str], order: list[str], keys: list[str], split: tuple[int, int] | None = None):
-        self.by, self.order, self.keys, self.split = by, list(order), keys, split
+    def __init__(self, by: list[str], order: list[str], keys: list[str], split: tuple[int, int] | None = None, null_keys: bool = False):
+        self.by, self.order, self.keys, self.split, self.null_keys = by, list(order), keys, split, null_keys
 
     @property
     def w(self):
@@ -282,7 +287,7 @@ class Timeline:
             ],
         )
         local = df.withColumns({n: F.sum(c).over(f) for n, c in columns.items()})
-        joined = same_keys(local, base, self.keys)
+        joined = same_keys(local, base, self.keys, self.null_keys)
         return joined.withColumns({n: F.col(n) + F.col(f"__base_{n}") for n in columns}).drop(
             *[f"__base_{n}" for n in columns]
         )
@@ -321,6 +326,6 @@ def over_history(
     if lookahead:
         homes.append(F.when((at < lookahead) & (block > 0), F.array(block - 1)).otherwise(F.array().cast("array<bigint>")))
     framed = numbered.withColumn(BLK, F.explode(F.concat(*homes)))
-    t = Timeline(by, [RN], by + [BLK], (size, lookback))
+    t = Timeline(by, [RN], by + [BLK], (size, lookback), split.null_keys)
     out = body(framed, t)
     return out.filter(F.floor(F.col(RN) / size) == F.col(BLK)).drop(RN, BLK, SUB, K)

@@ -140,7 +140,8 @@ def bbo_history(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto", w
     if total > row_limit(depth.sparkSession, "auto"):
         numbered = settle(numbered, "numbered")  # read four times below
     sizes = math.ceil(math.log2(longest + 1))
-    cut = min(sizes, max(GROUP_BITS, math.ceil(math.log2(4 * total / BROADCAST_RANGES))) if total > 0 else sizes)
+    # At most 2 * total / 2^cut ranges are as wide as 2^cut.
+    cut = min(sizes + 1, max(GROUP_BITS, math.ceil(math.log2(2 * total / BROADCAST_RANGES))))
 
     plain = numbered.filter(F.col("type").isin(DEPTH_ASK, DEPTH_BID))
     live = _until_next(plain, by, order, chunk).filter(F.col("volume") > 0)

@@ -10,6 +10,7 @@ from ..functions.exprs import positive_zero, safe_div, typical_price
 from .registry import Means, register
 
 HLC = ("high", "low", "close")
+RSI_NOISE = 1e-9
 
 
 def _of_column(column, **_):
@@ -126,10 +127,13 @@ def mom(t, x, column, period):
           lookback=lambda stoch_period, k_period, d_period, **_: stoch_period + k_period + d_period - 2,
           min_rows=lambda rsi_period, **_: rsi_period + 1)
 def stochrsi(t, x, column, rsi_period, stoch_period, k_period, d_period):
-    """Stochastic of the RSI: ``stochrsi_k_{k}, stochrsi_d_{d}``; also leaves ``rsi_{p}``."""
+    """Stochastic of the RSI: ``stochrsi_k_{k}, stochrsi_d_{d}``; also leaves ``rsi_{p}``.
+
+    While the price stands still the RSI keeps its value up to rounding noise; such a range counts as none.
+    """
     yield from _rsi(t, x, column, rsi_period, "reference")
     r, k = f"rsi_{rsi_period}", f"stochrsi_k_{k_period}"
     lo, hi = t.low(r, stoch_period), t.high(r, stoch_period)
-    yield {x("raw"): 100.0 * safe_div(F.col(r) - lo, hi - lo)}
+    yield {x("raw"): 100.0 * safe_div(F.col(r) - lo, F.when(hi - lo > RSI_NOISE, hi - lo))}
     yield {k: t.mean(x("raw"), k_period)}
     yield {f"stochrsi_d_{d_period}": t.mean(k, d_period)}

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.checks import ParameterError, need_columns, need_period
 from ..functions.history import names, over_history, plan_split, running
+from ..functions.joins import broadcast_if_small
 
 NUMERIC = ("double", "float", "bigint", "int", "smallint", "tinyint")
 
@@ -44,13 +45,12 @@ def correlation_matrix(df: DataFrame, columns=None, method: str = "pearson", *,
     if method != "pearson":
         raise ParameterError(f"unknown method {method!r}")
     pairs = list(combinations(range(len(columns)), 2))
-    # corr() of a constant column divides by zero; it is undefined there, as with one row.
     wide = df.groupBy(*by).agg(*[_corr(columns[i], columns[j]).alias(f"__{i}_{j}") for i, j in pairs], F.count(F.lit(1)).alias("__n"))
 
     def cell(i, j):
         if i == j:
             return F.lit(1.0)
-        return F.coalesce(F.nanvl(F.col(f"__{min(i, j)}_{max(i, j)}"), F.lit(0.0)), F.lit(0.0))
+        return F.coalesce(F.col(f"__{min(i, j)}_{max(i, j)}"), F.lit(0.0))
 
     lines = [
         F.struct(F.lit(c).alias("column"), *[cell(i, j).alias(other) for j, other in enumerate(columns)]) for i, c in enumerate(columns)
@@ -59,7 +59,10 @@ def correlation_matrix(df: DataFrame, columns=None, method: str = "pearson", *,
 
 
 def _corr(a: str, b: str) -> Column:
-    return F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+    """Pearson correlation of the rows that have both values; null where one of them is constant."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def _spearman(df: DataFrame, columns) -> DataFrame:
@@ -76,9 +79,9 @@ def pair_correlation(series: DataFrame, pairs: DataFrame, *, value: str = "retur
     """Correlation of the values of the listed contract pairs (columns ``a, b``) at common times."""
     left = series.select(F.col(contract).alias("a"), F.col(ts).alias("__ts"), F.col(value).cast("double").alias("__x"))
     right = series.select(F.col(contract).alias("b"), F.col(ts).alias("__ts"), F.col(value).cast("double").alias("__y"))
-    both = left.join(pairs.select("a", "b").distinct(), "a").join(right, ["b", "__ts"])
+    both = left.join(broadcast_if_small(pairs.select("a", "b").distinct()), "a").join(right, ["b", "__ts"])
     both = both.filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
-    return both.groupBy("a", "b").agg(F.corr("__x", "__y").alias("correlation"), F.count(F.lit(1)).alias("points"))
+    return both.groupBy("a", "b").agg(_corr("__x", "__y").alias("correlation"), F.count(F.lit(1)).alias("points"))
 
 
 def volatility_metrics(df: DataFrame, column: str = "close", window: int = 20, *, return_column: str | None = None, by="contract", order="ts",
