@@ -51,6 +51,51 @@ def route_depth(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto") -
     )
 
 
+def route_depth_exact(depth: DataFrame, *, by="contract", order=ORDER, batch: str | None = None, chunk="auto") -> DataFrame:
+    """Like :func:`route_depth`, with the mid of the book that includes the changes placed before.
+
+    Each placement depends on the earlier ones.  Instead of walking through a contract row by row, all changes are placed
+    at once and placed again with the book that results, until no placement moves: every round settles at least the
+    first one that was still wrong, so the result is that of the walk.  ``batch``: column numbering the messages; the
+    book changes after a message, and its trades are compared with the book after it.
+    """
+    by, order = names(by), names(order)
+    size = _history_size(depth, by)
+    numbered = number_rows(depth, by=by, order=order, chunk=chunk)
+    if batch is None:
+        numbered = numbered.withColumns({"__before": F.col(RN) - 1, "__after": F.col(RN)})
+    else:
+        ends = numbered.groupBy(*by, batch).agg((F.min(RN) - 1).alias("__before"), F.max(RN).alias("__after"))
+        numbered = numbered.join(ends, by + [batch])
+    numbered = settle(numbered, "numbered")
+    code, price, mid = F.col("type"), F.col("price"), F.col("mid")
+    plain = numbered.filter(code.isin(DEPTH_ASK, DEPTH_BID)).withColumn("side", _plain_side())
+    changes = numbered.filter(code.isin(*DEPTH_CHANGES))
+
+    def book_updates(placed):
+        both = F.split(F.when(F.col("placed") == "both", "bid,ask").otherwise(F.col("placed")), ",")
+        moved = placed.withColumn("side", F.explode(both)).select(*plain.columns)
+        return plain.unionByName(moved)
+
+    undecided = mid.isNull() | (mid == 0) | (price == 0)
+    placement = F.when(undecided, "both").when(price <= mid, "bid").otherwise("ask")
+    placed = changes.withColumn("placed", F.lit("both")).limit(0)
+    earlier = changes.withColumn("placed", F.lit(""))
+    while True:
+        seen = with_mid(_best_at(earlier, "__before", book_updates(placed), by, order, chunk, size))
+        now = settle(seen.withColumn("__new", placement), "placed")
+        moved = now.filter(F.col("__new") != F.col("placed")).limit(1).count()
+        placed = earlier = now.withColumn("placed", F.col("__new")).select(*changes.columns, "placed")
+        if not moved:
+            break
+    updates = book_updates(placed)
+    label = F.when(code.isin(*DEPTH_CHANGES), F.concat(F.col("side"), F.lit("_mod_"), code.cast("string"))).otherwise(F.col("side"))
+    executed = numbered.filter((code == DEPTH_TRADE) & (F.col("volume") > 0)).withColumn("side", F.lit("trade"))
+    executed = _best_at(executed, "__after", updates, by, order, chunk, size)
+    routed = updates.unionByName(executed, allowMissingColumns=True)
+    return routed.select(*by, *order, "price", "volume", "side", label.alias("type"), "best_bid", "best_ask")
+
+
 def routed_trades(routed: DataFrame) -> DataFrame:
     """Trades among routed updates, with the aggressor as ``side``."""
     return routed.filter(F.col("side") == "trade").withColumn("side", classify(F.col("price"), F.col("best_bid"), F.col("best_ask"))).drop("type")
@@ -126,41 +171,55 @@ GROUP_BITS, BROADCAST_RANGES = 16, 1_000_000
 
 
 def bbo_history(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto", wanted: Column | None = None) -> DataFrame:
-    """Best bid and ask of the plain-quote book (codes 1 and 2) right after every depth row (or every ``wanted`` one).
+    """Best bid and ask of the plain-quote book (codes 1 and 2) right after every depth row (or every ``wanted`` one)."""
+    by, order = names(by), names(order)
+    size = _history_size(depth, by)
+    numbered = number_rows(depth, by=by, order=order, chunk=chunk)
+    if size[1] > row_limit(depth.sparkSession, "auto"):
+        numbered = settle(numbered, "numbered")  # read four times below
+    plain = numbered.filter(F.col("type").isin(DEPTH_ASK, DEPTH_BID)).withColumn("side", _plain_side())
+    spots = numbered if wanted is None else numbered.filter(wanted)
+    return with_mid(_best_at(spots, RN, plain, by, order, chunk, size)).drop(RN)
+
+
+def _plain_side() -> Column:
+    return F.when(F.col("type") == DEPTH_BID, "bid").otherwise("ask")
+
+
+def _history_size(depth: DataFrame, by) -> tuple[int, int]:
+    """Rows of the longest history, and of all."""
+    r = depth.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
+    return r[0] or 1, r[1] or 1
+
+
+def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chunk, size: tuple[int, int]) -> DataFrame:
+    """Add the best bid and ask after the book ``updates`` (with position and side) up to each spot's ``position``.
 
     The best price at a position is a maximum over the level states that cover it.  States are split into aligned
     power-of-two ranges of positions (at most two per size); a position lies in exactly one range per size, so range
     maxima and positions meet in equi-joins.  Ranges of up to ``2^GROUP_BITS`` positions are joined by shuffle, with
     that many rows per key at most; the wider ones are few (a known bound) and broadcast.
     """
-    by, order = names(by), names(order)
-    counts = depth.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
-    longest, total = counts[0] or 1, counts[1] or 1
-    numbered = number_rows(depth, by=by, order=order, chunk=chunk)
-    if total > row_limit(depth.sparkSession, "auto"):
-        numbered = settle(numbered, "numbered")  # read four times below
+    longest, total = size
     sizes = math.ceil(math.log2(longest + 1))
     # At most 2 * total / 2^cut ranges are as wide as 2^cut.
     cut = min(sizes + 1, max(GROUP_BITS, math.ceil(math.log2(2 * total / BROADCAST_RANGES))))
 
-    plain = numbered.filter(F.col("type").isin(DEPTH_ASK, DEPTH_BID))
-    live = _until_next(plain, by, order, chunk).filter(F.col("volume") > 0)
+    live = _until_next(updates, by, order, chunk).filter(F.col("volume") > 0)
     live = live.withColumn("__z", F.least(F.coalesce(F.col("__to"), F.lit(1 << 60)), F.lit(1 << sizes)).cast("bigint"))
     ranges = live.withColumn("__p", F.explode(F.expr(_aligned_ranges("bigint(__from)", "__z", sizes))))
     best = ranges.groupBy(*by, F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")).agg(
-        F.max(F.when(F.col("type") == DEPTH_BID, F.col("price"))).alias("best_bid"),
-        F.min(F.when(F.col("type") == DEPTH_ASK, F.col("price"))).alias("best_ask"),
+        F.max(F.when(F.col("side") == "bid", F.col("price"))).alias("best_bid"),
+        F.min(F.when(F.col("side") == "ask", F.col("price"))).alias("best_ask"),
     )
-
-    if wanted is not None:
-        numbered = numbered.filter(wanted)
+    places = spots.select(*by, F.col(position).alias("__pos")).distinct() if position != RN else spots.select(*by, F.col(RN).alias("__pos"))
     key = by + ["__size", "__at"]
-    found = _covering(numbered, by, range(cut)).join(best.filter(F.col("__size") < cut), key)
+    found = _covering(places, by, range(cut)).join(best.filter(F.col("__size") < cut), key)
     if cut <= sizes:
         wide = best.filter(F.col("__size") >= cut)
-        found = found.unionByName(_covering(numbered, by, range(cut, sizes + 1)).join(F.broadcast(wide), key))
-    quotes = found.groupBy(*by, RN).agg(F.max("best_bid").alias("best_bid"), F.min("best_ask").alias("best_ask"))
-    return with_mid(numbered.join(quotes, by + [RN], "left").drop(RN))
+        found = found.unionByName(_covering(places, by, range(cut, sizes + 1)).join(F.broadcast(wide), key))
+    quotes = found.groupBy(*by, F.col("__pos").alias(position)).agg(F.max("best_bid").alias("best_bid"), F.min("best_ask").alias("best_ask"))
+    return spots.join(quotes, by + [position], "left")
 
 
 def _aligned_ranges(first: str, end: str, sizes: int) -> str:
@@ -171,19 +230,19 @@ def _aligned_ranges(first: str, end: str, sizes: int) -> str:
     return f"array_compact(flatten(transform(sequence(0, {sizes}), s -> {pair})))"
 
 
-def _covering(numbered: DataFrame, by, sizes: range) -> DataFrame:
+def _covering(places: DataFrame, by, sizes: range) -> DataFrame:
     """Positions with the aligned range of every size that holds them."""
-    spots = F.expr(f"transform(sequence({sizes.start}, {sizes.stop - 1}), s -> struct(s AS size, shiftright(bigint({RN}), s) AS at))")
-    return numbered.select(*by, RN, F.explode(spots).alias("__p")).select(
-        *by, RN, F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")
+    spots = F.expr(f"transform(sequence({sizes.start}, {sizes.stop - 1}), s -> struct(s AS size, shiftright(bigint(__pos), s) AS at))")
+    return places.select(*by, "__pos", F.explode(spots).alias("__p")).select(
+        *by, "__pos", F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")
     )
 
 
-def _until_next(plain: DataFrame, by, order, chunk) -> DataFrame:
+def _until_next(updates: DataFrame, by, order, chunk) -> DataFrame:
     """Positions ``[__from, __to)`` during which each level state holds."""
-    named = plain.withColumn("__from", F.col(RN)).drop(RN)
+    named = updates.withColumn("__from", F.col(RN)).drop(RN)
     return over_history(
-        named, lambda x, t: x.withColumn("__to", t.lead("__from")), by=by + ["type", "price"], order=order, lookahead=1, chunk=chunk
+        named, lambda x, t: x.withColumn("__to", t.lead("__from")), by=by + ["side", "price"], order=order, lookahead=1, chunk=chunk
     )
 
 

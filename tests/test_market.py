@@ -122,6 +122,44 @@ def test_changes_are_routed_by_the_mid(depth):
                    (5, "bid", "bid_mod_9"), (5, "ask", "ask_mod_9"), (7, "trade", "trade")}
 
 
+def walk(rows):
+    """Sequential placement of ``(batch, price, volume, type)`` rows, message by message."""
+    books, out, seq = {"bid": {}, "ask": {}}, [], 0
+    best = lambda: (max(books["bid"], default=None), min(books["ask"], default=None))
+    for b in sorted({r[0] for r in rows}):
+        bid, ask = best()
+        mid = (bid + ask) / 2 if bid and ask else None
+        moves, fills = [], []
+        for _, price, volume, code in [r for r in rows if r[0] == b]:
+            if code in (1, 2):
+                moves.append((seq, "bid" if code == 2 else "ask", price, volume, "bid" if code == 2 else "ask"))
+            elif code == 5 and volume > 0:
+                fills.append((seq, price))
+            elif code in (9, 10):
+                sides = ["bid", "ask"] if not mid or price == 0 else ["bid"] if price <= mid else ["ask"]
+                moves += [(seq, s, price, volume, f"{s}_mod_{code}") for s in sides]
+            seq += 1
+        for n, s, price, volume, label in moves:
+            books[s].pop(price, None)
+            if volume > 0:
+                books[s][price] = volume
+            out.append((n, s, label, None, None))
+        out += [(n, "trade", "trade", *best()) for n, _ in fills]
+    return set(out)
+
+
+@pytest.mark.parametrize("per_message", [1, 4])
+@pytest.mark.parametrize("chunk", [None, 40])
+def test_exact_routing_equals_a_walk(spark, per_message, chunk):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(i // per_message, float(rnd.randint(95, 105)), rnd.randint(0, 3), rnd.choice([1, 2, 5, 9, 10])) for i in range(160)]
+    d = spark.createDataFrame([("A", at(seconds=i), i, p, v, t, b) for i, (b, p, v, t) in enumerate(rows)], schemas.DEPTH + ", message int")
+    got = K.route_depth_exact(d, batch="message" if per_message > 1 else None, chunk=chunk).collect()
+    assert {(r.seq, r.side, r.type, r.best_bid, r.best_ask) for r in got} == walk(rows)
+
+
 def test_trade_at_ask_is_a_buy(depth):
     t = K.routed_trades(K.route_depth(depth((2045.0, 100, 2), (2045.1, 80, 1), (2045.1, 50, 5))))
     flow = W.trade_flow(t, 60, asof=ASOF).first()
