@@ -79,6 +79,27 @@ add("bbo_history", lambda s, d: B.bbo_history(depth(s, d)).select("contract", "s
     with_sql(DEPTH_SQL, BBO_SQL) + "SELECT contract, seq, best_bid, best_ask, spread, mid FROM b")
 add("route_depth", lambda s, d: B.route_depth(depth(s, d)).select("contract", "ts", "seq", "price", "volume", "side", "type"),
     _ROUTED + "SELECT contract, ts, seq, price, volume, side, type FROM routed")
+# The walk through each contract, with the live prices of both sides as lists.
+_MID = "(list_max(p.bids) + list_min(p.asks)) / 2"
+_SIDE = f"""CASE WHEN x.type = 2 THEN 'bid' WHEN x.type = 1 THEN 'ask' WHEN x.type IN (9, 10) THEN
+  CASE WHEN list_max(p.bids) IS NULL OR list_min(p.asks) IS NULL OR list_max(p.bids) = 0 OR list_min(p.asks) = 0 OR {_MID} = 0 OR x.price = 0 THEN 'both'
+       WHEN x.price <= {_MID} THEN 'bid' ELSE 'ask' END ELSE 'none' END"""
+
+
+def _live(side):
+    rest = f"list_filter(p.{side}s, lambda y: y <> x.price)"
+    return f"CASE WHEN {_SIDE} IN ('{side}', 'both') THEN CASE WHEN x.volume > 0 THEN list_append({rest}, x.price) ELSE {rest} END ELSE p.{side}s END"
+
+
+_WALK = with_sql(DEPTH_SQL, "x AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY contract ORDER BY ts, seq) AS rn FROM depth)", f"""w AS (
+  SELECT contract, CAST(0 AS BIGINT) AS rn, CAST([] AS DOUBLE[]) AS bids, CAST([] AS DOUBLE[]) AS asks, 'none' AS placed FROM x WHERE rn = 1
+  UNION ALL SELECT x.contract, x.rn, {_live('bid')}, {_live('ask')}, {_SIDE} FROM w p JOIN x ON x.contract = p.contract AND x.rn = p.rn + 1),
+wx AS (SELECT x.*, w.placed, list_max(w.bids) AS bid, list_min(w.asks) AS ask FROM w JOIN x ON x.contract = w.contract AND x.rn = w.rn)""") + """
+SELECT contract, ts, seq, price, volume, side, CASE WHEN type IN (9, 10) THEN side || '_mod_' || type ELSE side END AS type, best_bid, best_ask FROM (
+  SELECT contract, ts, seq, price, volume, type, 'bid' AS side, CAST(NULL AS DOUBLE) AS best_bid, CAST(NULL AS DOUBLE) AS best_ask FROM wx WHERE placed IN ('bid', 'both')
+  UNION ALL SELECT contract, ts, seq, price, volume, type, 'ask', NULL, NULL FROM wx WHERE placed IN ('ask', 'both')
+  UNION ALL SELECT contract, ts, seq, price, volume, type, 'trade', bid, ask FROM wx WHERE type = 5 AND volume > 0)"""
+add("route_depth_exact", lambda s, d: B.route_depth_exact(depth(s, d)), _WALK)
 add("depth_type_counts", lambda s, d: B.depth_type_counts(depth(s, d)), with_sql(DEPTH_SQL) + """
 SELECT contract, count(*) FILTER (type = 1) AS type_1_count, count(*) FILTER (type = 2) AS type_2_count,
   count(*) FILTER (type = 5) AS type_5_count, count(*) FILTER (type = 9) AS type_9_count,
@@ -344,11 +365,16 @@ h AS (SELECT *, least(floor(volume_mean * ((5.0 + score * 10.0) * CASE WHEN rr >
 mf AS (SELECT * FROM h WHERE checks >= 0.6 - 1e-9)"""
 add("iceberg_multifactor", lambda s, d: _multi(s, d).select(
     "contract", "price", "confidence", "confidence_score", "volume_consistency", "refresh_regularity", "execution_correlation", "refresh_count",
-    "avg_refresh_seconds", F.col("estimated_hidden_size").cast("long").alias("estimated_hidden_size"), "validation_score", "statistical_significance"),
+    "avg_refresh_seconds", F.col("estimated_hidden_size").cast("long").alias("estimated_hidden_size"), "validation_score", "statistical_significance",
+    F.col("visible_volume").cast("long").alias("visible_volume"), F.col("total_estimated_size").cast("long").alias("total_estimated_size")),
     with_sql(DEPTH_SQL, _LADDER_SQL) + f"""SELECT contract, price, CASE WHEN score >= 0.9 THEN 'very_high' ELSE 'high' END AS confidence,
   {r6('score')} AS confidence_score, {r6('vc')} AS volume_consistency, {r6('rr')} AS refresh_regularity, {r6('ec')} AS execution_correlation, refresh_count,
   {r6('avg_refresh_seconds')} AS avg_refresh_seconds, CAST(hidden AS BIGINT) AS estimated_hidden_size, {r6('checks')} AS validation_score,
-  {r6('least(1.0, updates / 30.0) * 0.6 + vc * 0.4')} AS statistical_significance FROM mf""")
+  {r6('least(1.0, updates / 30.0) * 0.6 + vc * 0.4')} AS statistical_significance, CAST(floor(volume_mean) AS BIGINT) AS visible_volume,
+  CAST(floor(volume_mean + hidden) AS BIGINT) AS total_estimated_size FROM mf""")
+add("multifactor_summary", lambda s, d: X.multifactor_summary(_multi(s, d)).withColumn("total_hidden", F.col("total_hidden").cast("long")),
+    with_sql(DEPTH_SQL, _LADDER_SQL) + f"""SELECT contract, count(*) AS total_detected, {r6('avg(score)')} AS avg_confidence, count(*) FILTER (score >= 0.8) AS high_confidence_count,
+  CAST(sum(hidden) AS BIGINT) AS total_hidden, {r6('avg(hidden / floor(volume_mean))')} AS avg_size_ratio FROM mf GROUP BY contract""")
 add("iceberg_summary", lambda s, d: X.detection_summary(_refresh(s, d)), _ROUTED + "," + _REFRESH_SQL + f"""
 SELECT contract, count(*) AS total_detected, count(*) FILTER (side = 'bid') AS bid_icebergs, count(*) FILTER (side = 'ask') AS ask_icebergs,
   CAST(0 AS BIGINT) AS very_high_confidence, CAST(0 AS BIGINT) AS high_confidence, count(*) AS medium_confidence, CAST(0 AS BIGINT) AS low_confidence,

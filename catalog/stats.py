@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tapestry.operators import patterns as P, portfolio as R, stats as S
 from tapestry.operators.overlap import bbands
+from tapestry.functions.history import over_history
 from tapestry.functions.joins import merge_on_time
 
 from .indicators import lag, over, roll
@@ -30,6 +31,18 @@ def rets(s, d, chunk=None):
 
 add("returns", lambda s, d: rets(s, d).select("contract", "ts", "returns"), with_sql(WEEK_BARS_SQL, _RET) + f"SELECT contract, ts, {r6('returns')} AS returns FROM rt")
 add("returns_split", lambda s, d: rets(s, d, 40).select("contract", "ts", "returns"), with_sql(WEEK_BARS_SQL, _RET) + f"SELECT contract, ts, {r6('returns')} AS returns FROM rt")
+def _moves(s, d):
+    """Rolling sums of the rises and of the falls."""
+    def body(df, t):
+        df = df.withColumn("move", F.col("close") - t.lag("close"))
+        return df.withColumns({"gains": t.gains(F.col("move"), 10), "losses": t.losses(F.col("move"), 10)})
+
+    return over_history(hour_bars(s, d), body, by="contract", order="ts", lookback=10, chunk=hour_split(s, d)).select("contract", "ts", "gains", "losses")
+
+
+add("rolling_moves", _moves, with_sql(HOUR_BARS_SQL, f"mv AS (SELECT contract, ts, close - {lag('close')} AS m FROM bars)",
+    "mw AS (SELECT *, CASE WHEN m > 0 THEN m ELSE 0.0 END AS g, CASE WHEN m < 0 THEN -m ELSE 0.0 END AS l FROM mv)")
+    + f"SELECT contract, ts, {r6(roll('sum', 'g', 10))} AS gains, {r6(roll('sum', 'l', 10))} AS losses FROM mw")
 _COLS = ["open", "high", "low", "close", "volume"]
 
 

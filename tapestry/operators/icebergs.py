@@ -183,6 +183,8 @@ def iceberg_multifactor(updates: DataFrame, trades: DataFrame, minutes: float =
     )
     d = d.withColumns({
         "estimated_hidden_size": F.least(F.floor(mean * factor), F.col("total_observed") * 3),
+        "visible_volume": F.floor(mean),
+        "total_estimated_size": F.floor(mean + F.least(F.floor(mean * factor), F.col("total_observed") * 3)),
         "validation_score": checks,
         "statistical_significance": F.least(one, n / 30.0) * 0.6 + F.col("volume_consistency") * 0.4,
         "confidence": F.when(s >= 0.9, "very_high").otherwise("high"),
@@ -199,3 +201,13 @@ def detection_summary(hits: DataFrame, *, by="contract") -> DataFrame:
         *[F.count_if(F.col("confidence") == c).alias(f"{c}_confidence") for c in ("very_high", "high", "medium", "low")],
         F.sum("estimated_hidden_size").alias("total_hidden"), F.avg("confidence_score").alias("avg_confidence"),
     )
+
+
+def multifactor_summary(hits: DataFrame, *, by="contract") -> DataFrame:
+    """Quality figures of multi-factor detections: how many, how sure, and hidden against visible volume."""
+    hidden, visible = F.col("estimated_hidden_size"), F.col("visible_volume")
+    return hits.groupBy(*names(by)).agg(
+        F.count(F.lit(1)).alias("total_detected"), F.avg("confidence_score").alias("avg_confidence"),
+        F.count_if(F.col("confidence_score") >= 0.8).alias("high_confidence_count"), F.sum(hidden).alias("total_hidden"),
+        F.avg(F.when(visible > 0, hidden / visible)).alias("avg_size_ratio"),
+    )

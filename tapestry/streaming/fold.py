@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.history import names, newest, running
 from ..functions.joins import latest_state
+from ..operators.bars import timeframe_seconds
 from ..operators.book import book_asof
 from ..operators.positions import position_alerts
 from ..session import scratch_dir
@@ -115,6 +116,26 @@ def rolling_retention(*, keep: int, by, order) -> Step:
     return step
 
 
+def late_step(timeframe: str, *, delay_seconds: float = 0, ts: str = "ts") -> Step:
+    """Ticks that come too late for their bar, for a side table.
+
+    A bar is closed once the newest time of the earlier batches, less the delay, has reached its end.  The windowed
+    operators drop such rows silently (Spark may still accept one in the batch right after).  The state is that one
+    time stamp.
+    """
+    width = timeframe_seconds(timeframe) * 1_000_000
+
+    def step(batch, state):
+        newest_before = None if state is None else state.first()["newest"]
+        if newest_before is None:
+            return batch.limit(0), batch.agg(F.max(F.unix_micros(ts)).alias("newest"))
+        closed = newest_before - int(delay_seconds * 1_000_000)
+        end = (F.floor(F.unix_micros(ts) / F.lit(width)) + 1) * F.lit(width)
+        return batch.filter(end <= closed), batch.agg(F.greatest(F.max(F.unix_micros(ts)), F.lit(newest_before)).alias("newest"))
+
+    return step
+
+
 def run_to_end(stream: DataFrame, step: Step, label: str, hooks=()) -> tuple[DataFrame | None, DataFrame]:
     """Process everything available and return (all emitted rows or None, final state)."""
     spark = stream.sparkSession

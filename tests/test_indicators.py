@@ -153,3 +153,10 @@ def test_signals_follow_their_rule(series):
 
 def test_package_exports():
     assert "rsi" in tapestry.available("momentum")
+
+
+def test_upper_case_names(rising):
+    from tapestry import indicators
+
+    assert len(indicators.__all__) == 24
+    assert values(rising.transform(indicators.SMA, period=5, **K).transform(indicators.RSI, **K), "sma_5")[4] == 102.0
