@@ -82,8 +82,9 @@ def upsert(old: DataFrame, new: DataFrame, *, key, order) -> DataFrame:
 
 
 def latest_state(df: DataFrame, *, key, order) -> DataFrame:
-    """Newest row per key as one partially aggregated pass."""
-    key = names(key)
-    rest = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*rest), F.struct(*names(order)))
-    return df.groupBy(*key).agg(best.alias("__s")).select(*key, *[F.col(f"__s.{c}").alias(c) for c in rest])
+    """Newest row per key as one partially aggregated pass (the largest record, ordering columns first)."""
+    key, order = names(key), names(order)
+    rest = [c for c in df.columns if c not in key and c not in order]
+    extra = [c for c in order if c not in key]
+    best = F.max(F.struct(*order, *rest))
+    return df.groupBy(*key).agg(best.alias("__s")).select(*key, *[F.col(f"__s.{c}").alias(c) for c in df.columns if c in rest or c in extra])

@@ -50,24 +50,30 @@ def bar_start(ts: Column, timeframe: str, tz: str = EXCHANGE_TZ) -> Column:
     return F.window(ts, f"{timeframe_seconds(timeframe)} seconds")["start"]
 
 
-def time_key(order) -> Column:
-    """Ordering value of ``min_by``/``max_by``: the plain column if there is only one (it aggregates by hash)."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+def _ends(order, price: Column, volume: Column) -> tuple[Column, Column, Column]:
+    """First price, last price and first volume of a group.
 
+    A single ordering column aggregates by hash.  With tiebreaks, one smallest and one largest record hold all three.
+    """
+    if len(order) == 1:
+        return F.min_by(price, order[0]), F.max_by(price, order[0]), F.min_by(volume, order[0])
+    first = F.min(F.struct(*order, price.alias("__p"), volume.alias("__v")))
+    last = F.max(F.struct(*order, price.alias("__p")))
+    return first["__p"], last["__p"], first["__v"]
 
-def _bar_columns(order, price, volume, floor_volume: bool) -> list[Column]:
-    at = time_key(order)
-    total = F.sum(volume)
+
+def _floored(total: Column, first: Column, floor_volume: bool) -> Column:
+    """Bar volume; with the floor the first tick counts at least 1, and so does the bar."""
     if floor_volume:
-        # The first tick of a bar counts at least 1, and so does the bar.
-        first = F.min_by(volume, at)
         total = F.greatest(total + F.when(first <= 0, 1 - first).otherwise(0), F.lit(1))
+    return total.cast("long").alias("volume")
+
+
+def _bar_columns(order, price, volume, floor_volume: bool) -> list[Column]:
+    opening, closing, first = _ends(order, price, volume)
     return [
-        F.min_by(price, at).alias("open"),
-        F.max(price).alias("high"),
-        F.min(price).alias("low"),
-        F.max_by(price, at).alias("close"),
-        total.cast("long").alias("volume"),
+        opening.alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), closing.alias("close"),
+        _floored(F.sum(volume), first, floor_volume),
     ]
 
 
@@ -107,27 +113,23 @@ def multi_timeframe(ticks: DataFrame, timeframes, *, by, order, price="price", v
             .agg(*_bar_columns(order, F.col(price), F.col(volume), floor_volume))
             .withColumnRenamed("__bar", "ts")
         )
-    at = time_key(order)
     p, v = F.col(price), F.col(volume)
+    opening, closing, first = _ends(order, p, v)
     fine = (
         ticks.withColumn("__bar", _floor(F.col(order[0]).cast("timestamp"), f"{base} sec", tz))
         .groupBy(*by, "__bar")
         .agg(
-            F.min_by(p, at).alias("open"), F.max(p).alias("high"), F.min(p).alias("low"), F.max_by(p, at).alias("close"),
-            F.sum(v).alias("__v"), F.min_by(v, at).alias("__first"),
+            opening.alias("open"), F.max(p).alias("high"), F.min(p).alias("low"), closing.alias("close"),
+            F.sum(v).alias("__v"), first.alias("__first"),
         )
     )
     starts = [F.struct(F.lit(tf).alias("timeframe"), _floor(F.col("__bar"), tf, tz).alias("ts")) for tf in timeframes]
-    total = F.sum("__v")
-    if floor_volume:
-        first = F.min_by("__first", "__bar")
-        total = F.greatest(total + F.when(first <= 0, 1 - first).otherwise(0), F.lit(1))
     return (
         fine.withColumn("__tf", F.explode(F.array(*starts)))
         .groupBy(*by, F.col("__tf.timeframe").alias("timeframe"), F.col("__tf.ts").alias("ts"))
         .agg(
             F.min_by("open", "__bar").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
-            F.max_by("close", "__bar").alias("close"), total.cast("long").alias("volume"),
+            F.max_by("close", "__bar").alias("close"), _floored(F.sum("__v"), F.min_by("__first", "__bar"), floor_volume),
         )
     )
 

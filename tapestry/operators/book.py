@@ -119,9 +119,8 @@ def book_asof(updates: DataFrame, asof=None, levels: int = MAX_LEVELS, *, by="co
     d = updates.filter(F.col("side").isin("bid", "ask"))
     if asof is not None:
         d = d.filter(F.col(order[0]) <= F.lit(asof).cast("timestamp"))
-    last = F.max_by(F.struct("volume", F.col(order[0]).alias("ts"), "type"), F.struct(*order))
-    live = d.groupBy(*by, "side", "price").agg(last.alias("s")).filter(F.col("s.volume") > 0)
-    book = live.select(*by, "side", "price", "s.volume", "s.ts", "s.type")
+    live = d.groupBy(*by, "side", "price").agg(F.max(F.struct(*order, "volume", "type")).alias("s")).filter(F.col("s.volume") > 0)
+    book = live.select(*by, "side", "price", "s.volume", F.col(f"s.{order[0]}").alias("ts"), "s.type")
     return top_levels(book, levels, by=by)
 
 
