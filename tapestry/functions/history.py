@@ -37,11 +37,14 @@ class Split:
     """How to cut a history: ``rows`` per block, ``width`` of a time bucket in microseconds (None: do not cut).
 
     ``null_keys``: some group key is null, so state must be joined null-safely (at the price of another shuffle).
+    ``largest``, ``total``: measured rows of the largest group and of all (0 if nothing was measured).
     """
 
     rows: int
     width: int | None
     null_keys: bool = False
+    largest: int = 0
+    total: int = 0
 
     def settle(self, df: DataFrame) -> DataFrame:
         """Write ``df`` out before it is scanned again, if histories are cut (every prefix scan reads it twice)."""
@@ -82,9 +85,9 @@ def plan_split(df: DataFrame, by, order, chunk="auto", bar_seconds: float | None
     unnamed = F.lit(False)
     for c in by:
         unnamed = unnamed | F.col(c).isNull()
-    worst = groups.agg(F.max("n").alias("n"), F.min(F.col("span") / F.col("n")).alias("gap"), F.max(unnamed).alias("nulls")).first()
+    worst = groups.agg(F.max("n").alias("n"), F.min(F.col("span") / F.col("n")).alias("gap"), F.max(unnamed).alias("nulls"), F.sum("n").alias("total")).first()
     if worst.n is None or worst.n <= limit:
-        return Split(limit, None)
+        return Split(limit, None, False, worst.n or 0, worst.total or 0)
     width = max(1, int(worst.gap * limit))
     # The first width assumes rows spread evenly in time; narrow it until the fullest bucket fits.
     for _ in range(12):
@@ -98,7 +101,7 @@ def plan_split(df: DataFrame, by, order, chunk="auto", bar_seconds: float | None
         if fullest <= 2 * limit:
             break
         width = max(1, width // max(2, math.ceil(fullest / limit)))
-    return Split(limit, width, bool(worst.nulls))
+    return Split(limit, width, bool(worst.nulls), worst.n, worst.total)
 
 
 def bucket(ts: str, width: int) -> Column:

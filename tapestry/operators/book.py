@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import classify, safe_div
-from ..functions.history import RN, names, number_rows, over_history, row_limit
+from ..functions.history import RN, Split, names, number_rows, over_history, plan_split, row_limit
 from ..schemas import DEPTH_ASK, DEPTH_BID, DEPTH_CHANGES, DEPTH_TRADE
 from ..session import settle
 
@@ -60,8 +60,9 @@ def route_depth_exact(depth: DataFrame, *, by="contract", order=ORDER, batch: st
     book changes after a message, and its trades are compared with the book after it.
     """
     by, order = names(by), names(order)
-    size = _history_size(depth, by)
-    numbered = number_rows(depth, by=by, order=order, chunk=chunk)
+    split = plan_split(depth, by, order, chunk)
+    size, chunk = _history_size(depth, by, split), _of_levels(split, chunk)
+    numbered = number_rows(depth, by=by, order=order, chunk=split)
     if batch is None:
         numbered = numbered.withColumns({"__before": F.col(RN) - 1, "__after": F.col(RN)})
     else:
@@ -172,25 +173,33 @@ GROUP_BITS, BROADCAST_RANGES = 16, 1_000_000
 def bbo_history(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto", wanted: Column | None = None) -> DataFrame:
     """Best bid and ask of the plain-quote book (codes 1 and 2) right after every depth row (or every ``wanted`` one)."""
     by, order = names(by), names(order)
-    size = _history_size(depth, by)
-    numbered = number_rows(depth, by=by, order=order, chunk=chunk)
+    split = plan_split(depth, by, order, chunk)
+    size = _history_size(depth, by, split)
+    numbered = number_rows(depth, by=by, order=order, chunk=split)
     if size[1] > row_limit(depth.sparkSession, "auto"):
         numbered = settle(numbered, "numbered")  # read four times below
     plain = numbered.filter(F.col("type").isin(DEPTH_ASK, DEPTH_BID)).withColumn("side", _plain_side())
     spots = numbered if wanted is None else numbered.filter(wanted)
-    return with_mid(_best_at(spots, RN, plain, by, order, chunk, size)).drop(RN)
+    return with_mid(_best_at(spots, RN, plain, by, order, _of_levels(split, chunk), size)).drop(RN)
 
 
 def _plain_side() -> Column:
     return F.when(F.col("type") == DEPTH_BID, "bid").otherwise("ask")
 
 
-def _history_size(depth: DataFrame, by) -> tuple[int, int]:
+def _history_size(depth: DataFrame, by, split: Split) -> tuple[int, int]:
     """Rows of the longest history, and of all."""
+    if split.total:
+        return split.largest, split.total
     r = depth.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
     return r[0] or 1, r[1] or 1
 
 
+def _of_levels(split: Split, chunk):
+    """A level has no more rows than its contract: what fits needs no second measurement."""
+    return chunk if split.width is not None else split
+
+
 def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chunk, size: tuple[int, int]) -> DataFrame:
     """Add the best bid and ask after the book ``updates`` (with position and side) up to each spot's ``position``.
 

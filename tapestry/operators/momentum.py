@@ -29,16 +29,16 @@ def _one_more(period, **_):
     return period + 1
 
 
-def _check_rsi(mode="reference", **periods):
+def _check_rsi(mode="raw", **periods):
     for name, v in periods.items():
         if name.endswith("period"):
             need_period(v, 1, name)
-    if mode not in ("reference", "standard"):
-        raise ParameterError(f"mode must be 'reference' or 'standard', got {mode!r}")
+    if mode not in ("raw", "standard"):
+        raise ParameterError(f"mode must be 'raw' or 'standard', got {mode!r}")
 
 
 def _rsi(t, x, column, period, mode):
-    """``rsi_{period}``; without any loss it is 0 in reference mode and 100 in standard mode."""
+    """``rsi_{period}``; without any loss it is 0 in raw mode and 100 in standard mode."""
     move = F.col(column) - t.lag(column)
     yield {x("up"): F.when(move > 0, move).otherwise(0.0), x("down"): F.when(move < 0, -move).otherwise(0.0)}
     a = wilder_alpha(period)
@@ -50,7 +50,7 @@ def _rsi(t, x, column, period, mode):
     yield {f"rsi_{period}": value}
 
 
-@register("rsi", "momentum", {"column": "close", "period": 14, "mode": "reference"}, needs=_of_column, check=_check_rsi,
+@register("rsi", "momentum", {"column": "close", "period": 14, "mode": "raw"}, needs=_of_column, check=_check_rsi,
           lookback=lambda **_: 1, alphas=lambda period, **_: [wilder_alpha(period)], min_rows=_one_more)
 def rsi(t, x, column, period, mode):
     """Relative strength index with Wilder smoothing: ``rsi_{period}``."""
@@ -131,7 +131,7 @@ def stochrsi(t, x, column, rsi_period, stoch_period, k_period, d_period):
 
     While the price stands still the RSI keeps its value up to rounding noise; such a range counts as none.
     """
-    yield from _rsi(t, x, column, rsi_period, "reference")
+    yield from _rsi(t, x, column, rsi_period, "raw")
     r, k = f"rsi_{rsi_period}", f"stochrsi_k_{k_period}"
     lo, hi = t.low(r, stoch_period), t.high(r, stoch_period)
     yield {x("raw"): 100.0 * safe_div(F.col(r) - lo, F.when(hi - lo > RSI_NOISE, hi - lo))}
