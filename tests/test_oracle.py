@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from catalog import all_oracles, all_queries
 from check import compare, connect
 
 pytestmark = pytest.mark.slow
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
