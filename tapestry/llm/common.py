@@ -5,11 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 WHITE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 FIRST = -(1 << 63)  # a null doc_id sorts before every other
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -30,11 +31,17 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write a table that is read more than once to the shared folder and read it back.
 
-    Cuts the lineage: a lost executor only repeats scans of the written table.
+    Cuts the lineage: a lost executor only repeats scans of the written table.  Spark is asked to drop the shuffle files of
+    the write when it is done, as nothing reads them again.
     """
-    path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, label)
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -44,3 +51,21 @@ def partitions(spark: SparkSession) -> int:
 
 def whole(text: str) -> Column:
     return F.coalesce(F.col(text), F.lit(""))
+
+
+def text_hash(text: str) -> Column:
+    return F.xxhash64(whole(text))
+
+
+def row_key(doc_id: Column, hashed: Column, *more: Column) -> Column:
+    """What tells rows apart that may share a doc_id: the id and a hash of the text; nulls have a place of their own."""
+    return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in (doc_id.cast("long"), hashed, *more)])
+
+
+def restrict(docs: DataFrame, stay: DataFrame, id_col: str = "doc_id", text_col: str = "text", one: bool = False) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose id and text are in ``stay`` (doc_id, text_hash); ``one``: one row of each."""
+    keys = stay.select(row_key(F.col("doc_id"), F.col("text_hash")).alias("__key"))
+    rows = docs.withColumn("__key", row_key(F.col(id_col), text_hash(text_col))).join(keys, "__key", "left_semi")
+    if one:
+        rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(0)))).filter("__nth = 1")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -48,7 +48,7 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST, bins: int = BINS, seed: int = 0,
 ) -> DataFrame:
-    """One row per input row: ``doc_id, size, source_size, target, taken`` and the source.
+    """One row per input row: ``doc_id, size, source_size, target, taken``, the source and a hash of the text.
 
     ``size`` counts the words of the text (null: 0) and ``taken`` the words the mix takes, repeats counted: whole copies and
     at most one cut copy per source, where the target falls inside a document.  Longer documents are included with
@@ -59,7 +59,7 @@ def mix(
     size = F.regexp_count(text, F.lit(WORD)).cast("long")
     # 52 hash bits, strictly between 0 and 1.
     chance = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col).cast("long"), text), 12).cast("double") + 0.5) / float(1 << 52)
-    sized = store(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), chance.alias("u")), "sized")
+    sized = store(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), F.xxhash64(text).alias("text_hash"), size.alias("size"), chance.alias("u")), "sized")
     grade = F.when(F.col("size") > 0, F.floor(F.log2("size")) + 1).otherwise(0).cast("long")
     sized = sized.withColumn("grade", grade)
     grades = sized.groupBy("source", "grade").agg(F.sum("size").alias("words"))
@@ -85,7 +85,7 @@ def mix(
 
     odds = lambda p: p / (1 - p)
     chosen = sized.alias("s").join(plan.alias("p"), F.expr("s.source <=> p.source")).select(
-        "doc_id", F.col("s.source").alias("source"), "size", "u", "source_size", "target", "copies", "left",
+        "doc_id", "text_hash", F.col("s.source").alias("source"), "size", "u", "source_size", "target", "copies", "left",
         (F.col("grade") > F.col("top")).alias("sure"), (F.col("level") * F.col("grade")).alias("p"),
     )
     chance = F.when((F.col("p") > 0) & ~F.col("sure"), odds(F.col("u")) / odds(F.col("p")))
@@ -104,4 +104,4 @@ def mix(
     others = ranked.filter("q is null").withColumns({"ahead": F.lit(0).cast("long"), "room": F.when(F.col("sure"), F.col("size")).otherwise(0)})
     rows = drawn.unionByName(others)
     taken = F.col("copies") * F.col("size") + F.least("size", F.greatest("room", F.lit(0)))
-    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source")
+    return rows.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "source", "text_hash")

@@ -25,31 +25,31 @@ def _named(distinct: DataFrame, keys: list[str], label: str) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256`` and ``text_hash`` of the text as it is.
 
     Of equal normalised texts (white space deleted, null as empty) the row with the most code points in the original
     text stays, then the smallest id (a null id comes first).  Rows repeated whole are a group of which one stays.
     Empty texts equal each other.  Other columns are ignored, whatever their names.
     """
     text = whole(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("points"), F.regexp_replace(text, WHITE, "").alias("norm"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.char_length(text).cast("long").alias("points"), F.xxhash64(text).alias("hash"), F.regexp_replace(text, WHITE, "").alias("norm"))
     rows = rows.withColumn("body", F.encode("norm", "UTF-8")).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "points", F.sha2("norm", 256).alias("sha"), "body",
+        F.monotonically_increasing_id().alias("row"), "doc_id", "points", "hash", F.sha2("norm", 256).alias("sha"), "body",
         F.greatest(F.ceil(F.octet_length("body") / block_bytes), F.lit(1)).cast("int").alias("n"),
     )
     blocks = rows.select(
-        "row", "doc_id", "points", "sha", "n",
+        "row", "doc_id", "points", "hash", "sha", "n",
         F.posexplode(F.expr(f"transform(sequence(0, n - 1), i -> substring(body, i * {block_bytes} + 1, {block_bytes}))")).alias("pos", "block"),
     )
     names = _named(blocks.groupBy("block").agg(F.count("*").alias("times")), ["block"], "block-names")
     first = F.col("pos") == 0
     placed = store(
         blocks.join(names, "block", "left").select(
-            "row", "pos", "name", "n", *[F.when(first, F.col(c)).alias(c) for c in ("doc_id", "points", "sha")]
+            "row", "pos", "name", "n", *[F.when(first, F.col(c)).alias(c) for c in ("doc_id", "points", "hash", "sha")]
         ),
         "placed",
     )
-    about = placed.filter(first).select("row", "doc_id", "points", "sha", F.col("n").alias("blocks"))
+    about = placed.filter(first).select("row", "doc_id", "points", "hash", "sha", F.col("n").alias("blocks"))
     named = placed.select("row", "pos", "name", "n")
     longest = placed.agg(F.max("n")).first()[0] or 1
     finished = []
@@ -93,16 +93,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("keep_row") == F.col("row"))).alias("kept"),
         F.col("sha").alias("text_sha256"),
+        F.col("hash").alias("text_hash"),
     )
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of rows repeated whole, one."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(None).cast("long"))
-    sha = F.sha2(F.regexp_replace(whole(text_col), WHITE, ""), 256)
-    stay = exact_groups(docs, id_col, text_col).filter("kept").select(F.struct("doc_id", "text_sha256").alias("__key"))
-    points = F.char_length(whole(text_col))
-    marked = docs.withColumn("__key", F.struct(key.alias("doc_id"), sha.alias("text_sha256")))
-    mine = Window.partitionBy("__key").orderBy(points.desc())
-    chosen = marked.join(stay, marked["__key"].eqNullSafe(stay["__key"]), "left_semi")
-    return chosen.withColumn("__n", F.row_number().over(mine)).filter("__n = 1").drop("__n", "__key")

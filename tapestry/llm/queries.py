@@ -2,27 +2,57 @@
 
 from __future__ import annotations
 
-from . import license_rules, line_rules, mixing, naming
+from . import crf, gray_index, kneser_ney, license_rules, line_rules, mixing, naming, packing, suffix_array, suffix_trees
 from .common import table
 
 
+def op1_kneser_ney(spark, sf):
+    return kneser_ney.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op2_block_naming(spark, sf):
-    return naming.exact_groups(table(spark, sf, "documents"))
+    return naming.exact_groups(table(spark, sf, "documents")).drop("text_hash")
+
+
+def op3_window_packing(spark, sf):
+    return packing.pack(table(spark, sf, "documents"))
+
+
+def op4_word_crf(spark, sf):
+    return crf.identify(table(spark, sf, "documents"))
+
+
+def op5_suffix_trees(spark, sf):
+    return suffix_trees.remove_repeats(table(spark, sf, "documents"))
 
 
 def op6_license_rules(spark, sf):
     return license_rules.scan_licenses(table(spark, sf, "documents")).drop("spans")
 
 
+def op7_suffix_array(spark, sf):
+    return suffix_array.remove_repeats(table(spark, sf, "documents"))
+
+
 def op8_line_rules(spark, sf):
     return line_rules.line_rules(table(spark, sf, "documents")).drop("host", "text_hash")
 
 
+def op9_gray_index(spark, sf):
+    return gray_index.near_groups(table(spark, sf, "documents")).drop("component_key", "text_hash")
+
+
 def op10_pareto_mixing(spark, sf):
-    return mixing.mix(table(spark, sf, "documents")).drop("source")
+    return mixing.mix(table(spark, sf, "documents")).drop("source", "text_hash")
 
 
-QUERIES = {f.__name__: f for f in (op2_block_naming, op6_license_rules, op8_line_rules, op10_pareto_mixing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_kneser_ney, op2_block_naming, op3_window_packing, op4_word_crf, op5_suffix_trees, op6_license_rules, op7_suffix_array, op8_line_rules,
+        op9_gray_index, op10_pareto_mixing,
+    )
+}
 
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from tapestry.llm import license_rules, line_rules, mixing, naming
+from tapestry.llm.common import restrict
 
 WHITE = re.compile(r"[\x20\x09-\x0D]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -36,7 +37,7 @@ def test_block_naming_odd_rows(odd, empty):
     assert len(rows) == 6 and sum(r.kept for r in rows) == 4
     assert sorted(r.group_size for r in rows) == [1, 1, 1, 3, 3, 3]
     assert naming.exact_groups(empty).count() == 0
-    stay = naming.keep_one(odd)
+    stay = restrict(odd, naming.exact_groups(odd).filter("kept"), one=True)
     assert stay.columns == odd.columns and stay.count() == 4
 
 
