@@ -106,14 +106,14 @@ def _rules(s, d):
         F.col("s_suppkey").alias("accountId"), F.lit(30000.0).alias("max_loss"), F.lit(60000.0).alias("max_gain"), F.when(F.col("s_suppkey") % 2 == 0, 20000.0).alias("pnl_threshold"))
 
 
-_ALERTS = with_sql(EVENTS_SQL, f"""av AS (SELECT *, l_extendedprice / 20 AS price, size - lag(size) OVER (PARTITION BY "accountId" ORDER BY {_ASC}) AS change FROM pe WHERE size > 0),
+_ALERTS = with_sql(EVENTS_SQL, f"""av AS (SELECT *, l_extendedprice / 20 AS price, size - lag(size) OVER (PARTITION BY "accountId" ORDER BY {_ASC}) AS change FROM pe),
 ap AS (SELECT av.*, CASE WHEN type = 1 THEN price - "averagePrice" ELSE "averagePrice" - price END * size AS pnl, CASE WHEN s_suppkey % 2 = 0 THEN 20000.0 END AS thr
   FROM av JOIN supplier ON s_suppkey = "accountId"),
 ar AS (SELECT *, CASE WHEN change <> 0 THEN 'size_change' WHEN pnl <= -30000.0 THEN 'max_loss' WHEN pnl >= 60000.0 THEN 'max_gain' WHEN abs(pnl) >= thr THEN 'pnl_threshold' END AS reason FROM ap)""") + f"""
 SELECT "accountId", id, reason, size, coalesce(change, 0) AS size_change, {r6('pnl', 4)} AS pnl FROM ar WHERE reason IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY "accountId" ORDER BY {_ASC}) = 1"""
 add("position_alerts", lambda s, d: P.position_alerts(
-    position_events(s, d).filter("size > 0").withColumn("price", F.col("l_extendedprice") / 20), _rules(s, d), by="accountId", order=POS_ORDER).select(
+    position_events(s, d).withColumn("price", F.col("l_extendedprice") / 20), _rules(s, d), by="accountId", order=POS_ORDER).select(
     "accountId", "id", "reason", "size", "size_change", "pnl"), _ALERTS, 4)
 
 
@@ -213,8 +213,8 @@ SELECT "accountId", "contractId", s.id AS stop_order_id, s.p AS stop_price, t.id
   (SELECT "accountId", "contractId", id, "stopPrice" AS p FROM ord WHERE status = 1 AND type = 4 QUALIFY row_number() OVER (PARTITION BY "accountId", "contractId" ORDER BY "updateTimestamp" DESC, id DESC) = 1) s
   FULL JOIN (SELECT "accountId", "contractId", id, "limitPrice" AS p FROM ord WHERE status = 1 AND type = 1 QUALIFY row_number() OVER (PARTITION BY "accountId", "contractId" ORDER BY "updateTimestamp" DESC, id DESC) = 1) t
   USING ("accountId", "contractId")""")
-_order_fills = lambda s, d: executions(s, d).filter("NOT voided").select((F.col("id") * 3 % 4000).alias("orderId"))
-_OF = with_sql(ORDERS_SQL, _EXEC, "fl AS (SELECT id * 3 % 4000 AS oid FROM ex WHERE NOT voided)")
+_order_fills = lambda s, d: executions(s, d).filter("NOT voided").select((F.col("id") * 3).alias("orderId"))
+_OF = with_sql(ORDERS_SQL, _EXEC, "fl AS (SELECT id * 3 AS oid FROM ex WHERE NOT voided)")
 add("filled_orders", lambda s, d: O.filled_orders(orders(s, d), _order_fills(s, d)).select(*_ocols), _OF + f"SELECT {_OC} FROM ord WHERE status = 2 OR id IN (SELECT oid FROM fl)")
 add("unfilled_orders", lambda s, d: O.unfilled_orders(orders(s, d), _order_fills(s, d)).select(*_ocols), _OF + f"SELECT {_OC} FROM ord WHERE status <> 2 AND id NOT IN (SELECT oid FROM fl)")
 add("order_stats", lambda s, d: O.order_stats(orders(s, d)), _ORD + f"""SELECT "accountId", count(*) AS orders, {', '.join(f'count(*) FILTER (status = {i}) AS status_{i}' for i in range(5))},

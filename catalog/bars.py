@@ -33,7 +33,7 @@ add("bars_plain_volume", lambda s, d: B.bars(_user_ticks(s, d), "30min", by="con
 SELECT contract, time_bucket(INTERVAL 30 MINUTE, ts) AS ts, first(price ORDER BY ts, seq) AS open, max(price) AS high, min(price) AS low,
   last(price ORDER BY ts, seq) AS close, CAST(sum(volume) AS BIGINT) AS volume FROM ut GROUP BY contract, time_bucket(INTERVAL 30 MINUTE, ts)""")
 add("bars_floor_volume", lambda s, d: B.bars(_user_ticks(s, d), "4 hours", by="contract", order=TICK_ORDER),
-    with_sql(_USER_SQL, bars_sql("b", "ut", "time_bucket(INTERVAL 4 HOUR, ts, TIMESTAMP '2000-01-01')", "ts, seq")) + f"SELECT {_OHLCV} FROM b")
+    with_sql(_USER_SQL, bars_sql("b", "ut", "time_bucket(INTERVAL 4 HOUR, ts - INTERVAL 6 HOUR, TIMESTAMP '2000-01-01') + INTERVAL 6 HOUR", "ts, seq")) + f"SELECT {_OHLCV} FROM b")
 add("bars_custom_width", lambda s, d: B.bars(ticks(s, d), "90 min", by="contract", order=TICK_ORDER),
     with_sql(TICKS_SQL, bars_sql("b", "ticks", "time_bucket(INTERVAL 90 MINUTE, ts, TIMESTAMP '1970-01-01')", "ts, seq")) + f"SELECT {_OHLCV} FROM b")
 

@@ -63,7 +63,7 @@ BOOK_SQL = """last_state AS (SELECT * FROM routed WHERE side IN ('bid', 'ask')
   QUALIFY row_number() OVER (PARTITION BY contract, side, price ORDER BY ts DESC, seq DESC) = 1),
 book AS MATERIALIZED (SELECT contract, side, price, volume, ts, type,
     row_number() OVER (PARTITION BY contract, side ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END) AS lvl
-  FROM last_state WHERE volume > 0 QUALIFY lvl <= 100)"""
+  FROM last_state WHERE volume > 0)"""
 BEST_SQL = """best0 AS (SELECT contract, max(CASE WHEN side = 'bid' THEN price END) AS best_bid,
     min(CASE WHEN side = 'ask' THEN price END) AS best_ask FROM book GROUP BY contract),
 best AS MATERIALIZED (SELECT *, CASE WHEN best_bid <> 0 AND best_ask <> 0 THEN best_ask - best_bid END AS spread,
@@ -114,7 +114,7 @@ grid AS (SELECT unnest(generate_series(TIMESTAMP '{_T0}', TIMESTAMP '{_T1}', INT
 live AS (SELECT iv.contract, grid.as_of, iv.side, iv.price, iv.volume,
     row_number() OVER (PARTITION BY iv.contract, grid.as_of, iv.side ORDER BY CASE side WHEN 'bid' THEN -price ELSE price END) AS level
   FROM iv JOIN grid ON iv.ts <= grid.as_of AND (iv.till IS NULL OR grid.as_of < iv.till) WHERE iv.volume > 0)
-SELECT contract, as_of, side, price, volume, level FROM live WHERE level <= 100""")
+SELECT contract, as_of, side, price, volume, level FROM live""")
 add("bbo", lambda s, d: B.bbo(book(s, d)), _BOOK + "SELECT contract, best_bid, best_ask, spread, mid FROM best")
 _SNAP = """(SELECT contract, max(CASE WHEN side = 'bid' THEN price END) AS best_bid, min(CASE WHEN side = 'ask' THEN price END) AS best_ask,
   CAST(coalesce(sum(volume) FILTER (side = 'bid'), 0) AS BIGINT) AS total_bid_volume,

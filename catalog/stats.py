@@ -89,7 +89,8 @@ dg AS (SELECT contract, run, min(dd) AS dd, count(*) FILTER (dd < 0) AS n FROM d
 SELECT contract, """ + r6("min(dd)") + " AS max_drawdown, max(n) AS max_drawdown_duration FROM dg GROUP BY contract"
 add("max_drawdown", lambda s, d: S.max_drawdown(week_bars(s, d), chunk=week_split(s, d)), with_sql(WEEK_BARS_SQL) .rstrip() + ",\n" + _DD)
 add("max_drawdown_split", lambda s, d: S.max_drawdown(week_bars(s, d), chunk=30), with_sql(WEEK_BARS_SQL).rstrip() + ",\n" + _DD)
-_LI = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double")]
+_LI = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"),
+       ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double")]
 add("profile_table", lambda s, d: S.profile_table(table(s, d, "lineitem")), " UNION ALL ".join(
     f"""SELECT count(*) AS rows, min(l_shipdate) AS first_ts, max(l_shipdate) AS last_ts, '{c}' AS "column", '{t}' AS dtype, CAST(min({c}) AS DOUBLE) AS min,
   CAST(max({c}) AS DOUBLE) AS max, {r6(f'avg({c})')} AS mean FROM lineitem""" for c, t in _LI))
@@ -174,6 +175,5 @@ SELECT id, "accountId", "contractId", "creationTimestamp", round("profitAndLoss"
 WHERE "creationTimestamp" >= TIMESTAMP '2024-01-03' AND "creationTimestamp" <= TIMESTAMP '2024-02-01'
 QUALIFY row_number() OVER (PARTITION BY "accountId" ORDER BY "creationTimestamp" DESC, id DESC) <= 20""")
 add("merge_on_time", lambda s, d: merge_on_time(
-    hour_bars(s, d).filter("contract = 'view'").select(F.lit("x").alias("contract"), "ts", "close"),
-    hour_bars(s, d).filter("contract = 'click'").select(F.lit("x").alias("contract"), "ts", "volume")), with_sql(HOUR_BARS_SQL) + """
-SELECT 'x' AS contract, v.ts, v.close, c.volume FROM bars v JOIN bars c ON v.ts = c.ts AND v.contract = 'view' AND c.contract = 'click'""")
+    hour_bars(s, d).select("contract", "ts", "close"), hour_bars(s, d).select("contract", (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts"), "volume")),
+    with_sql(HOUR_BARS_SQL) + "SELECT v.contract, v.ts, v.close, c.volume FROM bars v JOIN bars c ON v.contract = c.contract AND v.ts = c.ts + INTERVAL 1 HOUR")

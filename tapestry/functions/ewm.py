@@ -71,7 +71,25 @@ def ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean], ca
 
     Where the history is cut into blocks, ``carry_blocks`` brings the exact state into each block.  Later
     stages of a chain turn it off and rely on a look-back of ``memory(alpha)`` rows instead.
+
+    Null inputs have no weight and a null mean.  An adjusted mean is divided by the weight that its non-null rows have
+    gathered, which is a mean of ones and zeros through the same windows.
     """
+    final, weights = dict(outputs), {}
+    for name, m in outputs.items():
+        if m.adjust and m.alpha < 1:
+            weights[name] = f"__w_{m.column}_{m.alpha!r}".replace(".", "_")
+            df = df.withColumn(f"__one_{m.column}", F.when(F.col(m.column).isNotNull(), 1.0).otherwise(0.0))
+            outputs = {**outputs, weights[name]: Mean(f"__one_{m.column}", m.alpha)}
+    out = _ewm(df, t, length, outputs, carry_blocks)
+    means = {
+        n: F.when(F.col(m.column).isNotNull(), F.col(n) / F.col(weights[n]) if n in weights else F.col(n)) for n, m in final.items()
+    }
+    return out.withColumns(means).drop(*set(weights.values()), *{f"__one_{final[n].column}" for n in weights})
+
+
+def _ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean], carry_blocks: bool) -> DataFrame:
+    """The weighted sums themselves; for means that are not adjusted, the weights add up to one."""
     keys = ", ".join(f"`{k}`" for k in t.keys)
     inside = f"(PARTITION BY {keys}, {SUB} ORDER BY {RN} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     earlier = f"(PARTITION BY {keys} ORDER BY {SUB}, {RN} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -90,7 +108,7 @@ def ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean], ca
         y = f"`{s}` + coalesce(`{p}`.v * power({q}, {RN} - `{p}`.at), 0D)"
         if carried:
             y += f" + coalesce(`__b_{name}`.v * power({q}, {RN} - `__b_{name}`.at), 0D)"
-        result[name] = F.expr(f"({y}) * {m.alpha!r}D / (1D - power({q}, {RN} + 1))" if m.adjust else y)
+        result[name] = F.expr(y)
     if sums:
         df = df.withColumns(sums).withColumns(ends)
     return df.withColumns(result).drop(*sums, *ends, *[f"__b_{n}" for n in live if carried])

@@ -59,6 +59,25 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def order_key(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """One number in the order of a time (and an integer tiebreak), null first; None if the columns are of other types.
+
+    Numbers can be compared inside hash aggregation, records only after a sort.
+    """
+    kinds = dict(df.dtypes)
+    whole = ("tinyint", "smallint", "int", "bigint")
+    if len(order) > 2 or kinds.get(order[0]) not in ("timestamp", *whole) or any(kinds.get(c) not in whole for c in order[1:]):
+        return None
+    first = F.unix_micros(order[0]) if kinds[order[0]] == "timestamp" else F.col(order[0]).cast("long")
+    if len(order) == 1:
+        return first
+    if kinds[order[0]] != "timestamp":
+        return None  # two full 64-bit numbers do not fit
+    lowest = F.lit(-(1 << 62))
+    wide = F.lit("18446744073709551616").cast("decimal(20,0)")
+    return F.coalesce(first, lowest).cast("decimal(19,0)") * wide + F.coalesce(F.col(order[1]).cast("long"), F.lit(-(1 << 63))).cast("decimal(19,0)")
+
+
 def row_limit(spark: SparkSession, chunk) -> int:
     if chunk == "auto":
         return int(spark.conf.get(MAX_GROUP_ROWS_CONF, str(MAX_GROUP_ROWS)))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.checks import ParameterError, need_columns
-from ..functions.history import names, newest
+from ..functions.clock import clock, instant, midnight
+from ..functions.history import names, newest, order_key
 from ..schemas import EXCHANGE_TZ
 
 # Named bar widths in seconds (week and month are nominal).
@@ -16,6 +18,7 @@ TIMEFRAMES = {
     "1min": 60, "5min": 300, "15min": 900, "30min": 1800,
     "1hr": 3600, "4hr": 14400, "1day": 86400, "1week": 604800, "1month": 2592000,
 }
+# Unit names and their seconds.
 _UNITS = {
     "s": 1, "sec": 1, "second": 1, "seconds": 1,
     "m": 60, "min": 60, "minute": 60, "minutes": 60,
@@ -37,26 +40,36 @@ def timeframe_seconds(timeframe: str) -> int:
     return int(m.group(1)) * _UNITS[m.group(2)]
 
 
+def calendar_name(timeframe: str) -> str | None:
+    """``4hr``, ``1day``, ``1week`` or ``1month`` if ``timeframe`` means one of them in any spelling."""
+    if timeframe in TIMEFRAMES:
+        return timeframe if timeframe in _CALENDAR else None
+    seconds = timeframe_seconds(timeframe)
+    return next((name for name in sorted(_CALENDAR) if TIMEFRAMES[name] == seconds), None)
+
+
 def bar_start(ts: Column, timeframe: str, tz: str = EXCHANGE_TZ) -> Column:
     """Start of the bar holding ``ts``; day, week, month and 4-hour bars follow the exchange's local clock."""
-    if timeframe in _CALENDAR:
-        local = F.from_utc_timestamp(ts, tz)
-        if timeframe == "4hr":
-            day = F.date_trunc("day", local)
-            start = F.timestamp_add("HOUR", F.floor(F.hour(local) / 4).cast("int") * 4, day)
+    name = calendar_name(timeframe)
+    if name:
+        local = clock(ts, tz)
+        day = F.to_date(local)
+        if name == "4hr":
+            start = F.timestamp_add("HOUR", F.floor(F.hour(local) / 4).cast("int") * 4, midnight(day))
         else:
-            start = F.date_trunc(timeframe[1:], local)
-        return F.to_utc_timestamp(start, tz)
+            start = midnight(day if name == "1day" else F.trunc(day, name[1:]))
+        return instant(start, tz)
     return F.window(ts, f"{timeframe_seconds(timeframe)} seconds")["start"]
 
 
-def _ends(order, price: Column, volume: Column) -> tuple[Column, Column, Column]:
+def _ends(df: DataFrame, order, price: Column, volume: Column) -> tuple[Column, Column, Column]:
     """First price, last price and first volume of a group.
 
-    A single ordering column aggregates by hash.  With tiebreaks, one smallest and one largest record hold all three.
+    An order that fits one number aggregates by hash.  Otherwise one smallest and one largest record hold all three.
     """
-    if len(order) == 1:
-        return F.min_by(price, order[0]), F.max_by(price, order[0]), F.min_by(volume, order[0])
+    key = order_key(df, order)
+    if key is not None:
+        return F.min_by(price, key), F.max_by(price, key), F.min_by(volume, key)
     first = F.min(F.struct(*order, price.alias("__p"), volume.alias("__v")))
     last = F.max(F.struct(*order, price.alias("__p")))
     return first["__p"], last["__p"], first["__v"]
@@ -69,8 +82,8 @@ def _floored(total: Column, first: Column, floor_volume: bool) -> Column:
     return total.cast("long").alias("volume")
 
 
-def _bar_columns(order, price, volume, floor_volume: bool) -> list[Column]:
-    opening, closing, first = _ends(order, price, volume)
+def _bar_columns(df: DataFrame, order, price, volume, floor_volume: bool) -> list[Column]:
+    opening, closing, first = _ends(df, order, price, volume)
     return [
         opening.alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), closing.alias("close"),
         _floored(F.sum(volume), first, floor_volume),
@@ -89,7 +102,7 @@ def bars(ticks: DataFrame, timeframe: str = "1min", *, by, order, price="price",
     return (
         ticks.withColumn("__bar", start)
         .groupBy(*by, "__bar")
-        .agg(*_bar_columns(order, F.col(price), F.col(volume), floor_volume))
+        .agg(*_bar_columns(ticks, order, F.col(price), F.col(volume), floor_volume))
         .withColumnRenamed("__bar", "ts")
         .select(*by, "ts", "open", "high", "low", "close", "volume")
     )
@@ -104,17 +117,19 @@ def multi_timeframe(ticks: DataFrame, timeframes, *, by, order, price="price", v
     """
     by, order, timeframes = names(by), names(order), list(timeframes)
     base = min(timeframe_seconds(tf) for tf in timeframes)
+    if any(map(calendar_name, timeframes)):
+        base = math.gcd(base, 900)  # local clocks differ from UTC by quarter hours
     nested = base <= 3600 and 3600 % base == 0 and all(timeframe_seconds(tf) % base == 0 for tf in timeframes)
     if not nested:
         starts = [F.struct(F.lit(tf).alias("timeframe"), _floor(F.col(order[0]).cast("timestamp"), tf, tz).alias("ts")) for tf in timeframes]
         return (
             ticks.withColumn("__tf", F.explode(F.array(*starts)))
             .groupBy(*by, F.col("__tf.timeframe").alias("timeframe"), F.col("__tf.ts").alias("__bar"))
-            .agg(*_bar_columns(order, F.col(price), F.col(volume), floor_volume))
+            .agg(*_bar_columns(ticks, order, F.col(price), F.col(volume), floor_volume))
             .withColumnRenamed("__bar", "ts")
         )
     p, v = F.col(price), F.col(volume)
-    opening, closing, first = _ends(order, p, v)
+    opening, closing, first = _ends(ticks, order, p, v)
     fine = (
         ticks.withColumn("__bar", _floor(F.col(order[0]).cast("timestamp"), f"{base} sec", tz))
         .groupBy(*by, "__bar")
@@ -136,7 +151,7 @@ def multi_timeframe(ticks: DataFrame, timeframes, *, by, order, price="price", v
 
 def _floor(ts: Column, timeframe: str, tz: str) -> Column:
     """Like :func:`bar_start` but a plain expression, usable several times in one projection."""
-    if timeframe in _CALENDAR:
+    if calendar_name(timeframe):
         return bar_start(ts, timeframe, tz)
     width = timeframe_seconds(timeframe) * 1_000_000
     return F.timestamp_micros(F.floor(F.unix_micros(ts) / F.lit(width)) * F.lit(width))

@@ -15,7 +15,7 @@ from ..schemas import DEPTH_ASK, DEPTH_BID, DEPTH_CHANGES, DEPTH_TRADE
 from ..session import settle
 
 ORDER = ["ts", "seq"]
-MAX_LEVELS = 100
+GRID_BLOCK = 4096
 
 
 def route_depth(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto") -> DataFrame:
@@ -111,10 +111,10 @@ def depth_type_counts(depth: DataFrame, *, by="contract") -> DataFrame:
     )
 
 
-def book_asof(updates: DataFrame, asof=None, levels: int = MAX_LEVELS, *, by="contract", order=ORDER) -> DataFrame:
-    """Live levels at ``asof`` (default: after the last update), best ``levels`` per side.
+def book_asof(updates: DataFrame, asof=None, levels: int | None = None, *, by="contract", order=ORDER) -> DataFrame:
+    """All live levels at ``asof`` (default: after the last update), or the best ``levels`` per side.
 
-    The newest update per level is a partial aggregate; levels deeper than the cut are only left out here, never lost.
+    The newest update per level is a partial aggregate.
     """
     by, order = names(by), names(order)
     d = updates.filter(F.col("side").isin("bid", "ask"))
@@ -122,7 +122,7 @@ def book_asof(updates: DataFrame, asof=None, levels: int = MAX_LEVELS, *, by="co
         d = d.filter(F.col(order[0]) <= F.lit(asof).cast("timestamp"))
     live = d.groupBy(*by, "side", "price").agg(F.max(F.struct(*order, "volume", "type")).alias("s")).filter(F.col("s.volume") > 0)
     book = live.select(*by, "side", "price", "s.volume", F.col(f"s.{order[0]}").alias("ts"), "s.type")
-    return top_levels(book, levels, by=by)
+    return book if levels is None else top_levels(book, levels, by=by)
 
 
 def level_rank() -> Column:
@@ -145,7 +145,7 @@ def level_intervals(updates: DataFrame, *, by="contract", order=ORDER, chunk="au
     return out.withColumn("valid_from", F.col(order[0]))
 
 
-def book_at_grid(updates: DataFrame, start, end, step_seconds: int, *, levels: int = MAX_LEVELS, by="contract", order=ORDER,
+def book_at_grid(updates: DataFrame, start, end, step_seconds: int, *, levels: int | None = None, by="contract", order=ORDER,
                  chunk="auto") -> DataFrame:
     """Books at the instants ``start, start+step, .. <= end``.
 
@@ -160,11 +160,14 @@ def book_at_grid(updates: DataFrame, start, end, step_seconds: int, *, levels: i
     last = F.least(F.coalesce(last_covered, F.lit(1 << 60)), F.floor((t1 - t0) / F.lit(step)))
     at = (
         spans.withColumn("__a", first).withColumn("__z", last).filter(F.col("__a") <= F.col("__z"))
-        .withColumn("__i", F.explode(F.sequence("__a", "__z")))
+        # Two short arrays instead of one with every instant: blocks of the grid, then the instants of a block.
+        .withColumn("__b", F.explode(F.expr(f"sequence(__a div {GRID_BLOCK}, __z div {GRID_BLOCK})")))
+        .withColumn("__i", F.explode(F.expr(f"sequence(greatest(__a, __b * {GRID_BLOCK}), least(__z, (__b + 1) * {GRID_BLOCK} - 1))")))
         .select(*by, F.timestamp_micros(t0 + F.col("__i") * step).alias("as_of"), "side", "price", "volume")
     )
     w = Window.partitionBy(*by, "as_of", "side").orderBy(level_rank())
-    return at.withColumn("level", F.row_number().over(w)).filter(F.col("level") <= levels)
+    ranked = at.withColumn("level", F.row_number().over(w))
+    return ranked if levels is None else ranked.filter(F.col("level") <= levels)
 
 
 GROUP_BITS, BROADCAST_RANGES = 16, 1_000_000
@@ -269,9 +272,9 @@ def bbo(book: DataFrame, *, by="contract") -> DataFrame:
     return with_mid(best)
 
 
-def book_snapshot(book: DataFrame, levels: int = 10, *, by="contract") -> DataFrame:
-    """Per contract: best prices, volume and level count of the best ``levels`` per side."""
-    d = top_levels(book, levels, by=by)
+def book_snapshot(book: DataFrame, levels: int | None = 10, *, by="contract") -> DataFrame:
+    """Per contract: best prices, volume and level count of the best ``levels`` per side (None: all)."""
+    d = book if levels is None else top_levels(book, levels, by=by)
     side = lambda s, c: F.when(F.col("side") == s, c)
     agg = d.groupBy(*names(by)).agg(
         F.max(side("bid", F.col("price"))).alias("best_bid"), F.min(side("ask", F.col("price"))).alias("best_ask"),
@@ -327,10 +330,10 @@ def liquidity_levels(book: DataFrame, min_volume: int = 100, levels: int = 20, *
 def order_clusters(book: DataFrame, price_tolerance: float = 0.25, min_cluster_size: int = 3, *, by="contract") -> DataFrame:
     """Runs of neighbouring levels within a tolerance of the run's first (best) price.
 
-    A book side holds at most ``MAX_LEVELS`` rows, so each is folded as one small sorted array.
+    Where a run ends depends on where it began, so each side of a contract's book is folded in order, as one sorted array.
     """
     by = names(by)
-    side = top_levels(book, MAX_LEVELS, by=by).groupBy(*by, "side").agg(
+    side = book.groupBy(*by, "side").agg(
         F.sort_array(F.collect_list(F.struct(level_rank().alias("rank"), F.col("price"), F.col("volume")))).alias("levels")
     )
     item = "array<struct<price:double,volume:bigint>>"
@@ -366,7 +369,7 @@ def book_stats(updates: DataFrame, *, by="contract", order=ORDER) -> DataFrame:
     """Level counts, best prices, number of updates and trades."""
     by = names(by)
     book = book_asof(updates, by=by, order=order)
-    shape = book_snapshot(book, MAX_LEVELS, by=by).select(*by, "bid_levels", "ask_levels", "best_bid", "best_ask", "spread", "mid")
+    shape = book_snapshot(book, None, by=by).select(*by, "bid_levels", "ask_levels", "best_bid", "best_ask", "spread", "mid")
     counts = updates.groupBy(*by).agg(
         F.count(F.lit(1)).alias("updates"), F.count_if(F.col("side") == "trade").alias("trades"), F.max(order[0]).alias("last_update")
     )

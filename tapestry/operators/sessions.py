@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.clock import clock, instant, midnight
 from ..schemas import EXCHANGE_TZ
 
 
 def to_exchange_tz(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ, name: str = "local_ts") -> DataFrame:
-    return df.withColumn(name, F.from_utc_timestamp(F.col(ts), tz))
+    """Add what a wall clock at the exchange shows."""
+    return df.withColumn(name, clock(F.col(ts), tz))
 
 
 def calendar_columns(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataFrame:
     """Exchange-local date, weekday (0 is Monday), hour and minute."""
-    local = F.from_utc_timestamp(F.col(ts), tz)
+    local = clock(F.col(ts), tz)
     return df.withColumns({
         "local_date": F.to_date(local), "local_weekday": F.weekday(local), "local_hour": F.hour(local), "local_minute": F.minute(local),
     })
@@ -21,7 +23,7 @@ def calendar_columns(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> Da
 
 def _at(day: Column, hour: int, plus_days: Column | int = 0) -> Column:
     d = F.date_add(day, F.lit(plus_days) if isinstance(plus_days, int) else plus_days)
-    return F.timestamp_add("HOUR", F.lit(hour), d.cast("timestamp"))
+    return F.timestamp_add("HOUR", F.lit(hour), midnight(d))
 
 
 def session_flags(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataFrame:
@@ -29,7 +31,7 @@ def session_flags(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataF
 
     Open from Sunday 17:00 to Friday 16:00 local time, with a break from 16:00 to 17:00 every day.
     """
-    local = F.from_utc_timestamp(F.col(ts), tz)
+    local = clock(F.col(ts), tz)
     day, wd, hour = F.to_date(local), F.weekday(local), F.hour(local)
     friday_late, saturday, sunday_early, pause = (wd == 4) & (hour >= 16), wd == 5, (wd == 6) & (hour < 17), hour == 16
     closed = friday_late | saturday | sunday_early | pause
@@ -37,6 +39,6 @@ def session_flags(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataF
     closes = F.when(hour >= 16, _at(day, 16, 1)).otherwise(_at(day, 16))
     return df.withColumns({
         "is_open": ~closed,
-        "next_open": F.when(closed, F.to_utc_timestamp(opens, tz)),
-        "next_close": F.when(~closed, F.to_utc_timestamp(closes, tz)),
+        "next_open": F.when(closed, instant(opens, tz)),
+        "next_close": F.when(~closed, instant(closes, tz)),
     })

@@ -130,8 +130,8 @@ def max_drawdown(df: DataFrame, column: str = "close", *, by="contract", order="
     return runs.groupBy(*by).agg(F.coalesce(F.min("__dd"), F.lit(0.0)).alias("max_drawdown"), F.max("n").alias("max_drawdown_duration"))
 
 
-def profile_table(df: DataFrame, limit: int = 5, *, ts: str | None = None) -> DataFrame:
-    """One row per leading numeric column: type, range and mean, with the number of rows and the time range."""
+def profile_table(df: DataFrame, limit: int | None = None, *, ts: str | None = None) -> DataFrame:
+    """One row per numeric column (or the first ``limit``): type, range and mean, with the number of rows and the time range."""
     cols = numeric_columns(df)[:limit]
     kinds = dict(df.dtypes)
     ts = ts or next((c for c, t in df.dtypes if t.startswith("timestamp")), None)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.clock import instant
+from ..schemas import EXCHANGE_TZ
+
 QUOTE_FIELDS = "bestBid double, bid double, bestAsk double, ask double, lastPrice double, last double, price double, volume bigint, timestamp string"
 DEPTH_FIELDS = "price double, volume bigint, type int, timestamp string"
 ORDER_FIELDS = (
@@ -77,6 +80,11 @@ def parse_depth(df: DataFrame, arrival: str = "arrival_ts", payload: str = "payl
 
 
 def depth_time(text: Column, arrival: Column) -> Column:
-    """Time of a depth entry; the arrival time if it is missing, unreadable or the empty-date sentinel."""
+    """Time of a depth entry; the arrival time if it is missing, unreadable or the empty-date sentinel.
+
+    A time without an offset is the exchange's wall clock.
+    """
     usable = F.when((text != "") & (text != "0001-01-01T00:00:00+00:00"), text)
-    return F.coalesce(F.try_to_timestamp(usable), arrival)
+    zoned = F.regexp_like(usable, F.lit(r"(Z|UTC|[+-]\d{2}(:?\d{2})?)$")) & F.contains(usable, F.lit(":"))
+    naive = instant(usable.try_cast("timestamp_ntz"), EXCHANGE_TZ)
+    return F.coalesce(F.when(zoned, F.try_to_timestamp(usable)).otherwise(naive), arrival)

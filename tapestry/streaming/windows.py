@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.history import names
-from ..operators.bars import _bar_columns, timeframe_seconds
+from ..functions.checks import ParameterError
+from ..operators.bars import _bar_columns, calendar_name, timeframe_seconds
 from ..operators.flow import _flow_columns, _with_ratios
 
 
@@ -15,11 +16,13 @@ def stream_bars(ticks: DataFrame, timeframe: str = "1min", *, by, order=("ts", "
     ``delay``: how far ticks may lag the newest event time before they no longer count.
     """
     by, order = names(by), names(order)
+    if calendar_name(timeframe):
+        raise ParameterError(f"{timeframe!r} follows the local calendar, which has no streaming window: roll up finished shorter bars")
     window = F.window(order[0], f"{timeframe_seconds(timeframe)} seconds")
     return (
         ticks.withWatermark(order[0], delay)
         .groupBy(*by, window.alias("w"))
-        .agg(*_bar_columns(order, F.col("price"), F.col("volume"), floor_volume))
+        .agg(*_bar_columns(ticks, order, F.col("price"), F.col("volume"), floor_volume))
         .select(*by, F.col("w.start").alias("ts"), "open", "high", "low", "close", "volume")
     )
 
