@@ -31,14 +31,15 @@ from .common import FIRST, partitions, store, whole
 SLICE = 1 << 19  # symbols hashed together
 HELD = 1 << 20  # pieces that a task settles together
 LONGEST = 256  # windows of a piece
+SETTLED = 1 << 20  # bytes of open pieces whose windows are compared together, one anchor at least
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 PIECE = {"anchor": "u8", "print": "u8", "doc": "i8", "text": "u4", "home": "u4", "start": "u4", "count": "u2", "inner": "u1"}
 SPAN = {"doc": "i8", "text": "u4", "start": "u4", "count": "u4"}
-OPEN = {"doc": "i8", "text": "u4", "bucket": "u4", "start": "u4", "count": "u2"}
-HELD_PIECE = {"doc": "i8", "text": "u4", "home": "u4", "start": "u4", "count": "u2", "size": "u4", "left": "u2"}
+OPEN = {"doc": "i8", "text": "u4", "bucket": "u4", "part": "u2", "start": "u4", "count": "u2"}
+HELD_PIECE = {"doc": "i8", "text": "u4", "home": "u4", "part": "u2", "start": "u4", "count": "u2", "size": "u4", "left": "u2"}
 
 
 def pack(columns: dict[str, np.ndarray], kinds: dict[str, str]) -> bytes:
@@ -256,7 +257,8 @@ def gather(rows: DataFrame, windows: Windows, buckets: int) -> DataFrame:
         anchors = np.cumsum(_first_of(p, "anchor")) - 1
         some = np.bincount(anchors, kinds, anchors[-1] + 1 if len(anchors) else 0) > 1
         some |= np.bincount(anchors, p["inner"], len(some)) > 0
-        unsure = {k: v[stays & some[anchors]] for k, v in p.items()} | {"bucket": np.full(int((stays & some[anchors]).sum()), bucket)}
+        unsure = {k: v[stays & some[anchors]] for k, v in p.items()}
+        unsure |= {"bucket": np.full(len(unsure["doc"]), bucket), "part": mixed(unsure["anchor"]) >> np.uint64(48)}
         yield from ((home, 1, blob) for home, blob in packed_by(unsure["home"].astype(np.int64), unsure, OPEN))
 
     sent = rows.mapInPandas(cut, "bucket int, kind int, blob binary")
@@ -341,10 +343,10 @@ def fetch(rows: DataFrame, unsure: DataFrame, windows: Windows, buckets: int) ->
                 if mine is None:
                     continue
                 raw, bounds = windows.symbols(body)
-                for b, s, c in dict.fromkeys(zip(mine["bucket"].tolist(), mine["start"].tolist(), mine["count"].tolist())):
+                for b, part, s, c in dict.fromkeys(zip(*(mine[k].tolist() for k in ("bucket", "part", "start", "count")))):
                     x, y = int(bounds[s]), int(bounds[s + c - 1 + windows.width])
                     left = 256 if s == 0 else raw[x - 1] if not windows.words else 0
-                    out.append((b, doc, text, home, s, c, y - x, left, raw[x:y]))
+                    out.append((b, doc, text, home, part, s, c, y - x, left, raw[x:y]))
                     size += y - x
                 if size >= 1 << 24:
                     yield send()
@@ -386,8 +388,24 @@ class Open:
         return out
 
 
-def open_windows(blobs: list[bytes], windows: Windows) -> Open:
+def open_windows(blobs: list[bytes], windows: Windows) -> Iterator[Open]:
+    """The open windows of a bucket, some anchors at a time, so that memory does not grow with the bucket's windows."""
     p, raw = contents(blobs)
+    order = np.argsort(p["part"], kind="stable")
+    size = p["size"].astype(np.int64)
+    begin = (np.cumsum(size) - size)[order]
+    p = {k: v[order] for k, v in p.items()}
+    cuts = np.flatnonzero(_first_of(p, "part")) if len(order) else np.zeros(0, np.int64)
+    before = np.cumsum(size[order]) - size[order]
+    a = 0
+    for b in [*cuts[1:].tolist(), len(order)]:
+        if b > a and (b == len(order) or before[b] - before[a] >= SETTLED):
+            some = b"".join([raw[x : x + n] for x, n in zip(begin[a:b].tolist(), p["size"][a:b].tolist())])
+            yield _open_windows({k: v[a:b] for k, v in p.items()}, some, windows)
+            a = b
+
+
+def _open_windows(p: dict[str, np.ndarray], raw: bytes, windows: Windows) -> Open:
     count = p["count"].astype(np.int64)
     at = np.cumsum(p["size"].astype(np.int64)) - p["size"]
     array = np.frombuffer(raw, np.uint8)
@@ -461,8 +479,8 @@ def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, windows: Win
     gathered = store(gather(rows, windows, buckets), "pieces")
 
     def settle(bucket: int, blobs: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]:
-        found = open_windows([b for _, b in blobs], windows)
-        yield from spans_of(found, method(found, windows))
+        for found in open_windows([b for _, b in blobs], windows):
+            yield from spans_of(found, method(found, windows))
 
     fetched = fetch(rows, gathered.filter("kind = 1"), windows, buckets)
     settled = store(_grouped(fetched, "bucket", buckets, settle, "home int, blob binary"), "repeats")
