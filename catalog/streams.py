@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tapestry.functions.joins import latest_state
-from tapestry.streaming import fold as S, sinks, windows as W
+from tapestry.operators.book import book_asof
+from tapestry.session import scratch_dir
+from tapestry.streaming import fold, sinks, state as S, windows as W
 
 from .accounts import ORDERS_SQL, _OC, _ocols
 from .book import BBO_SQL, BOOK_SQL, ROUTED_SQL
@@ -21,21 +23,29 @@ def add(name, query, sql, digits=6):
         ORACLES[name] = sql
 
 
-def stream(spark, sf, name):
-    """The given file as a stream source."""
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").option("maxFilesPerTrigger", 1).parquet(sf)
+PARTS = 4
+
+
+def stream(spark, sf, name, ts):
+    """The given table as a stream of files in time order, so that every query runs over several micro-batches."""
+    rows = table(spark, sf, name).withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
+    low, high = rows.agg(F.min("__us"), F.max("__us")).first()
+    path = scratch_dir(spark, "arrivals")
+    for i in range(PARTS):
+        part = rows.filter(F.least(F.floor((F.col("__us") - low) / ((high - low) / PARTS + 1)), F.lit(PARTS - 1)) == i)
+        part.drop("__us").write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.drop("__us").schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def tick_stream(s, d):
-    return stream(s, d, "events").select(
+    return stream(s, d, "events", "ts").select(
         F.col("event_type").alias("contract"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("long").alias("volume"))
 
 
 def depth_stream(s, d):
     code = F.create_map(*[F.lit(x) for kv in DEPTH_TYPES.items() for x in kv])
-    return stream(s, d, "events").select(
+    return stream(s, d, "events", "ts").select(
         (F.col("user_id") % 10).alias("contract"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"),
         (F.round(F.col("value") * 4) / 4).alias("price"), F.get_json_object("props", "$.k").cast("long").alias("volume"), code[F.col("event_type")].alias("type"))
 
@@ -91,7 +101,7 @@ def _partial(s, d):
         F.when(t == 5, F.col("volume")).alias("volume"))
 
 
-add("stream_quotes", lambda s, d: S.run_to_end(_partial(s, d), S.quote_step(), "quotes")[0], with_sql(_QUOTES) + "SELECT contract, ts, seq, bid, ask, last, volume FROM fq")
+add("stream_quotes", lambda s, d: sinks.drain(S.fill_quotes(_partial(s, d)), "quotes"), with_sql(_QUOTES) + "SELECT contract, ts, seq, bid, ask, last, volume FROM fq")
 
 
 def _plain_updates(s, d):
@@ -99,7 +109,8 @@ def _plain_updates(s, d):
     return depth_stream(s, d).select("contract", "ts", "seq", side.alias("side"), "price", "volume", side.alias("type"))
 
 
-add("stream_book", lambda s, d: S.run_to_end(_plain_updates(s, d), S.book_step(), "book")[0],
+_LEVEL = ["contract", "side", "price"]
+add("stream_book", lambda s, d: book_asof(S.drain_changes(S.newest(_plain_updates(s, d).filter("side <> 'trade'"), key=_LEVEL, order=["ts", "seq"]), "book", key=_LEVEL, order=["ts", "seq"])),
     with_sql(DEPTH_SQL, """routed AS (SELECT contract, ts, seq, price, volume, CASE WHEN type IN (2, 9) THEN 'bid' WHEN type IN (1, 10) THEN 'ask' ELSE 'trade' END AS side,
   CASE WHEN type IN (2, 9) THEN 'bid' WHEN type IN (1, 10) THEN 'ask' ELSE 'trade' END AS type FROM depth)""", BOOK_SQL) + "SELECT contract, side, price, volume, ts, type FROM book")
 
@@ -107,18 +118,18 @@ add("stream_book", lambda s, d: S.run_to_end(_plain_updates(s, d), S.book_step()
 def _orders(s, d):
     """Order updates as a stream of the orders file."""
     st, k = F.col("o_orderstatus"), F.col("o_orderkey")
-    return stream(s, d, "orders").select(
+    return stream(s, d, "orders", "o_orderdate").select(
         F.floor(k / 3).alias("id"), F.col("o_custkey").alias("accountId"), F.col("o_orderdate").cast("timestamp").alias("updateTimestamp"), k.alias("seq"),
         F.when(st == "O", 1).when(st == "F", 2).otherwise(0).alias("status"))
 
 
-add("stream_latest_orders", lambda s, d: S.run_to_end(_orders(s, d), S.latest_step(key="id", order=["updateTimestamp", "seq"]), "orders")[1],
+add("stream_latest_orders", lambda s, d: S.drain_changes(S.newest(_orders(s, d), key="id", order=["updateTimestamp", "seq"]), "orders", key="id", order=["updateTimestamp", "seq"]),
     with_sql(ORDERS_SQL) + 'SELECT id, "accountId", "updateTimestamp", seq, status FROM ord')
 
 
 def _position_stream(s, d):
     k = F.get_json_object("props", "$.k").cast("int")
-    return stream(s, d, "events").select(
+    return stream(s, d, "events", "ts").select(
         F.col("event_id").alias("id"), F.col("user_id").alias("contractId"), F.col("ts").cast("timestamp").alias("creationTimestamp"),
         F.when(F.col("event_type") == "view", 2).otherwise(1).alias("type"), (F.floor(k / 90) + 1).cast("int").alias("size"), F.lit(60.0).alias("averagePrice"), F.col("value").alias("price"))
 
@@ -126,7 +137,7 @@ def _position_stream(s, d):
 def _alerts(s, d):
     rules = table(s, d, "events").select(F.col("user_id").alias("contractId")).distinct().select(
         "contractId", F.lit(59.0).alias("max_loss"), F.lit(150.0).alias("max_gain"), F.lit(None).cast("double").alias("pnl_threshold"))
-    return S.run_to_end(_position_stream(s, d), S.alert_step(rules), "alerts")[0].select("contractId", "id", "reason", "size", "size_change", "pnl")
+    return sinks.drain(S.alerts(_position_stream(s, d), rules), "alerts").select("contractId", "id", "reason", "size", "size_change", "pnl")
 
 
 add("stream_alerts", _alerts, with_sql(r"""pe AS (SELECT event_id AS id, user_id AS "contractId", ts, CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS type,
@@ -146,3 +157,41 @@ def _hooked(s, d):
 
 
 add("stream_new_bar_hook", _hooked, ORACLES["stream_bars"])
+
+_POSITION = dict(key="contractId", order=["creationTimestamp", "id"])
+add("stream_latest_positions", lambda s, d: S.drain_changes(S.newest(_position_stream(s, d), **_POSITION), "positions", **_POSITION).select("contractId", "id", "type", "size", "price"),
+    r"""SELECT user_id AS "contractId", event_id AS id, CASE WHEN event_type = 'view' THEN 2 ELSE 1 END AS type, CAST(floor(CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) / 90) + 1 AS INTEGER) AS size,
+  round(value + 3e-9, 6) AS price FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+_TTL = 36 * 3600
+
+
+def _live(s, d):
+    """Contracts that still have an update within the time to live at the end of the stream."""
+    changes = S.tracked(_position_stream(s, d).select("contractId", "creationTimestamp", "id"), ttl_seconds=_TTL, delay="10 minutes", **_POSITION)
+    newest = S.drain_changes(changes, "tracked", key="contractId", order=["creationTimestamp", "expired"])
+    return newest.filter("not expired").select("contractId", "id")
+
+
+add("stream_expiry", _live, f"""SELECT user_id AS "contractId", event_id AS id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+  AND epoch_ms(ts) + {_TTL * 1000} >= (SELECT epoch_ms(max(ts) - INTERVAL 10 MINUTE) FROM events)""")
+
+
+def _live_bars(s, d):
+    """Bars as they stand at the end of the stream, the open one included."""
+    key = ["contract", "ts"]
+    bars = W.stream_bars(tick_stream(s, d), "1hr", by="contract", delay="10 minutes")
+    return S.drain_changes(bars, "live-bars", key=key, order=["volume"])
+
+
+add("stream_live_bars", _live_bars, with_sql(HOUR_BARS_SQL) + "SELECT contract, ts, open, high, low, close, volume FROM bars")
+
+
+def _late(s, d):
+    """Ticks that arrive in the order of their ids, far from the order of their times: most come too late for their bar."""
+    t = tick_stream(s, d).withColumn("ts", F.col("ts") - F.when(F.col("seq") % 50 == 0, F.expr("INTERVAL 40 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS")))
+    return fold.run_to_end(t, fold.late_step("1hr", delay_seconds=600), "late")[0].select("contract", "seq")
+
+
+add("stream_late_ticks", _late, with_sql(TICKS_SQL, f"""p AS (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM ticks),
+a AS (SELECT contract, seq, seq % 50 = 0 AS old, ts, least(floor((epoch_us(ts) - lo) / ((hi - lo) / {PARTS} + 1)), {PARTS - 1}) AS part FROM ticks, p)""") + """
+SELECT contract, seq FROM a WHERE old AND part > 0""")

@@ -1,8 +1,8 @@
-"""Stateful operators on streams as a fold of micro-batches over a state table.
+"""Bounded side tables of a stream: the newest rows of each group, and rows that came too late.
 
-Each micro-batch runs a batch operator on (state, new rows), so a hot contract is cut exactly as in batch.  The
-state alternates between two folders by batch number: batch n reads what n-1 wrote and overwrites the other
-one, so a batch that is retried after a failure starts from the same state again.
+What is kept between micro-batches is small (``keep`` rows per group, one time stamp) and alternates between two folders
+by batch number: batch n reads what n-1 wrote and overwrites the other one, so a batch that is retried after a failure
+starts from the same table again.  Per-key state of any size belongs in Spark's state store (see ``state``).
 """
 
 from __future__ import annotations
@@ -11,13 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.history import names, newest, running
-from ..functions.joins import latest_state
+from ..functions.history import newest
 from ..operators.bars import timeframe_seconds
-from ..operators.book import book_asof
-from ..operators.positions import position_alerts
 from ..session import scratch_dir
-from ..sources.quotes import forward_fill_quotes
 
 Step = Callable[[DataFrame, "DataFrame | None"], "tuple[DataFrame | None, DataFrame]"]
 
@@ -50,62 +46,6 @@ def _with(state: DataFrame | None, batch: DataFrame) -> DataFrame:
     return batch if state is None else state.unionByName(batch, allowMissingColumns=True)
 
 
-def quote_step(*, by="contract", order=("ts", "seq")) -> Step:
-    """Forward fill of partial quotes; the state is the newest full quote per contract."""
-
-    def step(batch, state):
-        joined = _with(None if state is None else state.withColumn("__old", F.lit(True)), batch.withColumn("__old", F.lit(False)))
-        filled = forward_fill_quotes(joined, by=by, order=order)
-        return filled.filter(~F.col("__old")).drop("__old"), newest(filled.drop("__old"), 1, by=by, order=order)
-
-    return step
-
-
-def book_step(*, by="contract", order=("ts", "seq")) -> Step:
-    """Order book from routed updates; the state is the newest update of every level, removed levels included.
-
-    Emits the best levels after each batch.  Keeping removed levels lets an update that arrives late still lose
-    against a newer removal.
-    """
-    order = names(order)
-
-    def step(batch, state):
-        updates = batch.filter(F.col("side").isin("bid", "ask"))
-        levels = latest_state(_with(state, updates), key=[*names(by), "side", "price"], order=order)
-        return book_asof(levels, by=by, order=order), levels
-
-    return step
-
-
-def latest_step(*, key, order) -> Step:
-    """Newest row per key (orders, positions); emits the rows that changed."""
-
-    def step(batch, state):
-        merged = latest_state(_with(state, batch), key=key, order=order)
-        touched = batch.select(*names(key)).distinct()
-        return merged.join(touched, names(key), "left_semi"), merged
-
-    return step
-
-
-def alert_step(rules: DataFrame, *, by="contractId", order=("creationTimestamp", "id"), price="price") -> Step:
-    """Position alerts, each raised once; the state is the newest update per contract and whether it was raised."""
-    by, order = names(by), names(order)
-
-    def step(batch, state):
-        fresh = batch.withColumns({"__raised": F.lit(False), "__old": F.lit(False)})
-        joined = _with(None if state is None else state.withColumn("__old", F.lit(True)), fresh)
-        raised = joined.groupBy(*by).agg(F.max("__raised").alias("__done"))
-        open_ = joined.join(raised.filter(~F.col("__done")).select(*by), by, "left_semi")
-        hits = position_alerts(open_, rules, by=by, order=order, price=price)
-        done = raised.filter(F.col("__done")).select(*by).unionByName(hits.select(*by)).withColumn("__hit", F.lit(True))
-        last = newest(joined.drop("__raised", "__old"), 1, by=by, order=order)
-        following = last.join(done, by, "left").withColumn("__raised", F.coalesce("__hit", F.lit(False))).drop("__hit")
-        return hits, following
-
-    return step
-
-
 def rolling_retention(*, keep: int, by, order) -> Step:
     """Newest ``keep`` rows per group, as the live tables retain them."""
 

@@ -5,10 +5,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tapestry.functions.history import newest
 from tapestry.functions.joins import latest_state
 from tapestry.operators import bars as B, book as K
 from tapestry.sources.quotes import forward_fill_quotes
-from tapestry.streaming import fold as S, sinks, windows as W
+from tapestry.streaming import fold, sinks, state as S, windows as W
 
 T0 = dt.datetime(2024, 1, 2)
 
@@ -45,15 +46,15 @@ def test_bars(source):
 def test_forward_fill(source):
     batch, stream = source
     quotes = lambda d: d.select("contract", "ts", "seq", F.when(F.col("volume") == 1, F.col("price")).alias("bid"), F.when(F.col("volume") == 2, F.col("price")).alias("ask"))
-    rows, state = S.run_to_end(quotes(stream()), S.quote_step(), "q")
+    rows = sinks.drain(S.fill_quotes(quotes(stream())), "q")
     cols = ["contract", "ts", "seq", "bid", "ask"]
     assert as_set(rows, *cols) == as_set(forward_fill_quotes(quotes(batch)), *cols)
-    assert state.count() == 2
 
 
 def test_book(source):
     batch, stream = source
-    _, levels = S.run_to_end(stream().withColumn("type", F.col("side")), S.book_step(), "b")
+    key = dict(key=["contract", "side", "price"], order=["ts", "seq"])
+    levels = S.drain_changes(S.newest(stream().withColumn("type", F.col("side")), **key), "b", **key)
     cols = ["contract", "side", "price", "volume", "ts"]
     want = as_set(K.book_asof(batch.withColumn("type", F.col("side"))), *cols)
     assert as_set(K.book_asof(levels), *cols) == want
@@ -61,14 +62,15 @@ def test_book(source):
 
 def test_latest(source):
     batch, stream = source
-    rows, state = S.run_to_end(stream(), S.latest_step(key=["contract", "price"], order=["ts", "seq"]), "l")
+    key = dict(key=["contract", "price"], order=["ts", "seq"])
+    state = S.drain_changes(S.newest(stream(), **key), "l", **key)
     cols = ["contract", "price", "seq", "volume"]
     assert as_set(state, *cols) == as_set(latest_state(batch, key=["contract", "price"], order=["ts", "seq"]), *cols)
 
 
 def test_retention(source):
     batch, stream = source
-    rows, state = S.run_to_end(stream(), S.rolling_retention(keep=20, by="contract", order=["ts", "seq"]), "r")
+    rows, state = fold.run_to_end(stream(), fold.rolling_retention(keep=20, by="contract", order=["ts", "seq"]), "r")
     assert rows is None and {r["count"] for r in state.groupBy("contract").count().collect()} == {20}
 
 
@@ -76,27 +78,34 @@ def test_alert_is_raised_once(spark, source):
     _, stream = source
     rules = spark.createDataFrame([("A", 1e9, 1e9, 1e9)], "contract string, max_loss double, max_gain double, pnl_threshold double")
     events = stream().select("contract", "ts", "seq", F.lit(1).alias("type"), (F.floor(F.col("seq") / 70) + 1).cast("int").alias("size"), F.lit(1.0).alias("averagePrice"), "price")
-    rows, state = S.run_to_end(events, S.alert_step(rules, by="contract", order=["ts", "seq"]), "a")
-    got = rows.collect()
+    got = sinks.drain(S.alerts(events, rules, by="contract", order=["ts", "seq"]), "a").collect()
     assert len(got) == 1 and got[0].reason == "size_change" and got[0].size_change == 1 and got[0].seq >= 70
 
 
-def test_retried_batch_starts_from_the_same_state(spark, source, tmp_path):
-    """Running a batch again (as after a failure) reads the state before it, not its own."""
+def test_retried_batch_starts_from_the_same_table(spark, source, tmp_path):
+    """Running a batch again (as after a failure) reads the table before it, not its own."""
     batch, _ = source
-    step = S.latest_step(key="contract", order=["ts", "seq"])
+    step = fold.rolling_retention(keep=3, by="contract", order=["ts", "seq"])
     path = str(tmp_path / "state")
     first, second = batch.filter("seq < 100"), batch.filter("seq >= 100")
     step(first, None)[1].write.parquet(f"{path}/slot=0")
     for _ in range(2):
         step(second, spark.read.parquet(f"{path}/slot=0"))[1].write.mode("overwrite").parquet(f"{path}/slot=1")
-    assert as_set(S.current_state(spark, path, 1), "contract", "seq") == as_set(latest_state(batch, key="contract", order=["ts", "seq"]), "contract", "seq")
+    want = newest(batch, 3, by="contract", order=["ts", "seq"])
+    assert as_set(fold.current_state(spark, path, 1), "contract", "seq") == as_set(want, "contract", "seq")
+
+
+def test_tracked_keys_expire(source):
+    _, stream = source
+    changes = S.tracked(stream().filter("seq < 90 or contract = 'A'").select("contract", "ts", "seq"), key="contract", order=["ts", "seq"], ttl_seconds=1800)
+    got = {r.contract: r.expired for r in S.drain_changes(changes, "t", key="contract", order=["ts", "expired"]).collect()}
+    assert got == {"A": False, "B": True}
 
 
 def test_hooks_see_every_batch(source):
     _, stream = source
     seen = []
-    S.run_to_end(stream(), S.latest_step(key="contract", order=["ts", "seq"]), "h", hooks=[lambda rows, n: seen.append(n)])
+    fold.run_to_end(stream(), fold.rolling_retention(keep=5, by="contract", order=["ts", "seq"]), "h", hooks=[lambda rows, n: seen.append(n)])
     assert seen == list(range(6))
 
 
@@ -108,7 +117,7 @@ def test_late_rows_go_to_a_side_table(spark, tmp_path):
     for i, sec in enumerate(order):
         spark.createDataFrame([("A", T0 + dt.timedelta(seconds=sec), i, 1.0, 1)], schema).coalesce(1).write.parquet(f"{path}/part={i}")
     read = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
-    late, _ = S.run_to_end(read(), S.late_step("5min"), "late")
+    late, _ = fold.run_to_end(read(), fold.late_step("5min"), "late")
     late = sorted(r.seq for r in late.collect())
     assert late == [2, 4]
     kept = sinks.drain(W.stream_bars(read(), "5min", by="contract"), "bars")
