@@ -25,7 +25,7 @@ SHINGLE = 4
 LIMIT = 4  # differing bits
 CHUNK = 1024  # fingerprints of a bucket that one task compares with as many others
 FAN = 16  # children of a node
-PAIRS = 1 << 21  # pairs that may be looked at together
+PAIRS = 1 << 18  # pairs that may be looked at together
 SEED = 42
 
 
@@ -74,6 +74,37 @@ def _spread(owner: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np
     return np.repeat(owner, count), np.repeat(first, count) + offset
 
 
+def _near_pairs(code, asked, top: Level, leaf: Level, asks, lo, hi, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows within ``limit`` bits: each asker goes down from the upper nodes ``lo`` to ``hi`` of its cell."""
+    count = lambda x: np.bitwise_count(x).astype(np.int16)
+    q, node = _spread(asks, lo, hi - lo)
+    apart = count((code[q] ^ top.every[node]) & top.mask[node])
+    near = apart <= limit
+    at, child = _spread(np.flatnonzero(near), top.first[node[near]], top.children[node[near]])
+    q, above, apart = q[at], top.mask[node[at]], apart[at]
+    apart = apart + count((code[q] ^ leaf.every[child]) & leaf.mask[child] & ~above)
+    near = apart <= limit
+    at, row = _spread(np.flatnonzero(near), leaf.first[child[near]], leaf.children[child[near]])
+    q, above, apart, row = q[at], leaf.mask[child[at]], apart[at], asked[row]
+    near = (apart + count((code[q] ^ code[row]) & ~above) <= limit) & (q != row)
+    return q[near], row[near]
+
+
+def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the trees of the pairs; every row ends up at its root."""
+    a, b = parent[a], parent[b]
+    a, b = a[a != b], b[a != b]
+    while len(a):
+        np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            up = parent[parent]
+            if (up == parent).all():
+                break
+            parent[:] = up
+        a, b = parent[a], parent[b]
+        a, b = a[a != b], b[a != b]
+
+
 def linked(codes: np.ndarray, cells: np.ndarray, sides: np.ndarray, limit: int = LIMIT) -> np.ndarray:
     """Component of each row within its cell, as the row number of one member.
 
@@ -88,24 +119,12 @@ def linked(codes: np.ndarray, cells: np.ndarray, sides: np.ndarray, limit: int =
         top = Level(leaf.segments, leaf.every, leaf.some)
         asks = np.flatnonzero(side != 2)
         lo, hi = np.searchsorted(top.segments, cell[asks], "left"), np.searchsorted(top.segments, cell[asks], "right")
-        count = lambda x: np.bitwise_count(x).astype(np.int16)
-        q, node = _spread(asks, lo, hi - lo)
-        apart = count((code[q] ^ top.every[node]) & top.mask[node])
-        near = apart <= limit
-        at, child = _spread(np.flatnonzero(near), top.first[node[near]], top.children[node[near]])
-        q, above, apart = q[at], top.mask[node[at]], apart[at]
-        apart = apart + count((code[q] ^ leaf.every[child]) & leaf.mask[child] & ~above)
-        near = apart <= limit
-        at, row = _spread(np.flatnonzero(near), leaf.first[child[near]], leaf.children[child[near]])
-        q, above, apart, row = q[at], leaf.mask[child[at]], apart[at], asked[row]
-        near = (apart + count((code[q] ^ code[row]) & ~above) <= limit) & (q != row)
-        a, b = q[near], row[near]
-        while len(a):
-            np.minimum.at(parent, np.maximum(a, b), np.minimum(a, b))
-            while (parent[parent] != parent).any():
-                parent = parent[parent]
-            a, b = parent[a], parent[b]
-            a, b = a[a != b], b[a != b]
+        # Some askers at a time, so that the pairs that are left stay few even if all are near.
+        below = np.diff(np.searchsorted(cell[asked], np.r_[np.unique(cell), cell[-1] + 1]))[np.searchsorted(np.unique(cell), cell[asks])]
+        turn = np.cumsum(below) // PAIRS
+        for some in np.split(np.arange(len(asks)), np.flatnonzero(np.diff(turn)) + 1):
+            a, b = _near_pairs(code, asked, top, leaf, asks[some], lo[some], hi[some], limit)
+            _unite(parent, a, b)
     out = np.empty(len(code), np.int64)
     out[order] = order[parent]
     return out
