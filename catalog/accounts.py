@@ -8,7 +8,7 @@ from tapestry.functions.joins import dimension_join, upsert
 from tapestry.operators import orders as O, positions as P, sessions as C
 
 from .stats import _EXEC, executions
-from .tables import LOTS_SQL, TICKS_SQL, TRADE_ORDER, lots, r6, table, ticks, tidy, with_sql
+from .tables import cut, LOTS_SQL, TICKS_SQL, TRADE_ORDER, lots, r6, table, ticks, tidy, with_sql
 
 QUERIES, ORACLES = {}, {}
 
@@ -163,7 +163,7 @@ fr AS (SELECT contract, n, q AS net, abs(q) * price AS paid, abs(q) AS grown FRO
 SELECT contract, CAST(net AS BIGINT) AS net_size, {r6('CASE WHEN net <> 0 THEN paid / grown END', 4)} AS average_price FROM fr
 QUALIFY row_number() OVER (PARTITION BY contract ORDER BY n DESC) = 1"""
 add("positions_from_fills", lambda s, d: P.positions_from_fills(fills(s, d), order=TRADE_ORDER), _FILLS, 4)
-add("positions_from_fills_split", lambda s, d: P.positions_from_fills(fills(s, d), order=TRADE_ORDER, chunk=70), _FILLS, 4)
+add("positions_from_fills_split", lambda s, d: P.positions_from_fills(fills(s, d), order=TRADE_ORDER, chunk=cut(70)), _FILLS, 4)
 add("daily_loss", lambda s, d: P.daily_loss(executions(s, d), 80.0), with_sql(_EXEC) + f"""
 SELECT "accountId", CAST("creationTimestamp" AS DATE) AS day, {r6('coalesce(sum("profitAndLoss"), 0.0)')} AS realized_pnl,
   coalesce(sum("profitAndLoss"), 0.0) <= -80.0 AS limit_reached FROM ex GROUP BY 1, 2""")

@@ -8,7 +8,7 @@ from tapestry.functions.joins import asof_join, price_range_join
 from tapestry.operators import book as B, flow as W, icebergs as X
 from tapestry.session import settle
 
-from .tables import DEPTH_SQL, depth, r6, tidy, with_sql
+from .tables import cut, DEPTH_SQL, depth, r6, tidy, with_sql
 
 QUERIES, ORACLES = {}, {}
 ASOF, MINUTES = "2024-01-31 00:00:00", 30 * 24 * 60  # covers every row
@@ -252,7 +252,7 @@ def _asof(chunk):
 
 
 add("asof_join", _asof("auto"), _ASOF_SQL)
-add("asof_join_split", _asof(100), _ASOF_SQL)
+add("asof_join_split", _asof(cut(100)), _ASOF_SQL)
 add("classify_trades",
     lambda s, d: W.classify_trades(_raw_trades(s, d), B.bbo_history(depth(s, d)).select("contract", "ts", "seq", "best_bid", "best_ask"))
     .select("contract", "ts", "seq", "price", "volume", "best_bid", "best_ask", "side"),
@@ -310,7 +310,7 @@ SELECT contract, side, price, count(*) AS updates, round(3e-9 + CAST(CASE WHEN c
   least(1.0, count(*) FILTER (a > 0 AND b < a * 0.5 AND volume > a * 0.8) / greatest(1, count(*) - 2)) END AS DOUBLE), 6) + 0.0 AS replenishment_score
 FROM v GROUP BY contract, side, price"""
 add("replenishment_score", lambda s, d: X.replenishment_score(routed(s, d)), _ROUTED + "," + _REPL)
-add("replenishment_score_split", lambda s, d: X.replenishment_score(routed(s, d), chunk=3), _ROUTED + "," + _REPL)
+add("replenishment_score_split", lambda s, d: X.replenishment_score(routed(s, d), chunk=cut(3)), _ROUTED + "," + _REPL)
 _SIG = """sg AS (SELECT contract, side, price, count(*) AS updates, avg(volume) AS avg_volume, stddev_samp(volume) AS sd, CAST(sum(volume) AS BIGINT) AS total
   FROM routed GROUP BY contract, side, price),
 sh AS (SELECT *, CASE WHEN updates < 3 THEN 0.0 ELSE

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tapestry.operators import flow as W
 from tapestry.sources.quotes import forward_fill_quotes, quotes_to_ticks
 
-from .tables import DEPTH_SQL, LOTS_SQL, TRADE_ORDER, WEEK_BARS_SQL, depth, lots, r6, ticks, tidy, week_bars, with_sql, TICKS_SQL
+from .tables import cut, DEPTH_SQL, LOTS_SQL, TRADE_ORDER, WEEK_BARS_SQL, depth, lots, r6, ticks, tidy, week_bars, with_sql, TICKS_SQL
 
 QUERIES, ORACLES = {}, {}
 ASOF, MINUTES = "2006-01-01 00:00:00", 60 * 24 * 365 * 20
@@ -116,7 +116,7 @@ fq AS MATERIALIZED (SELECT contract, ts, seq, last_value(bid IGNORE NULLS) OVER
   FROM pq WINDOW w AS (PARTITION BY contract ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 filled = lambda s, d: forward_fill_quotes(partial(s, d))
 add("forward_fill_quotes", filled, with_sql(_QUOTES) + "SELECT contract, ts, seq, bid, ask, last, volume FROM fq")
-add("forward_fill_quotes_split", lambda s, d: forward_fill_quotes(partial(s, d), chunk=50), with_sql(_QUOTES) + "SELECT contract, ts, seq, bid, ask, last, volume FROM fq")
+add("forward_fill_quotes_split", lambda s, d: forward_fill_quotes(partial(s, d), chunk=cut(50)), with_sql(_QUOTES) + "SELECT contract, ts, seq, bid, ask, last, volume FROM fq")
 add("quotes_to_ticks", lambda s, d: quotes_to_ticks(filled(s, d)), with_sql(_QUOTES) + f"""
 SELECT * FROM (SELECT contract, ts, seq, CASE WHEN last IS NOT NULL AND volume IS NOT NULL THEN last WHEN bid IS NOT NULL AND ask IS NOT NULL THEN (bid + ask) / 2
   ELSE coalesce(bid, ask) END AS price, CASE WHEN last IS NOT NULL AND volume IS NOT NULL THEN volume ELSE 0 END AS volume,

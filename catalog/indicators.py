@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import functions as F
+
 import tapestry.operators  # noqa: F401
 from tapestry.operators.registry import REGISTRY, with_indicators
 
-from .tables import HOUR_BARS_SQL, WEEK_BARS_SQL, hour_bars, hour_split, r6, tidy, week_bars, week_split, with_sql
+from .tables import cut, HOUR_BARS_SQL, WEEK_BARS_SQL, hour_bars, hour_split, r6, tidy, week_bars, week_split, with_sql
 
 KEYS = ["contract", "ts"]
 QUERIES, ORACLES = {}, {}
@@ -16,7 +18,7 @@ DIGITS = 4  # prices run to 1e5, so that double noise stays far below the last d
 
 def _run(name, outputs, params, chunk=None):
     def query(spark, sf):
-        split = chunk if chunk is not None else week_split(spark, sf)
+        split = cut(chunk) if chunk is not None else week_split(spark, sf)
         out = REGISTRY[name](week_bars(spark, sf), by="contract", order="ts", chunk=split, **params)
         return tidy(out.select(*KEYS, *outputs), DIGITS)
 
@@ -194,6 +196,30 @@ for _key, _name, _out, _sql, _rows in [
 ]:
     add(_name, _out, _sql, key=_key, chunk=_rows)
 
+# Means over columns with nulls: a chosen column with gaps, and the output of another indicator of the same call.
+_gap_q = 1.0 - span(5)
+
+
+def _gap_sql(value: str) -> str:
+    live = "CASE WHEN x.g IS NULL THEN 0.0 ELSE 1.0 END"
+    return select({"ema_5": "CASE WHEN g IS NOT NULL THEN n / d END"}, inputs(g=value), recursion(
+        {"n": "coalesce(x.g, 0.0)", "d": live}, {"n": f"(coalesce(x.g, 0.0) + {_gap_q!r} * p.n)", "d": f"({live} + {_gap_q!r} * p.d)"}),
+        source="x JOIN r USING (contract, ts)")
+
+
+def _gaps(spark, sf):
+    bars = week_bars(spark, sf).withColumn("gappy", F.when(F.col("volume") % 3 != 0, F.col("close")))
+    return tidy(REGISTRY["ema"](bars, column="gappy", period=5, by="contract", order="ts", chunk=week_split(spark, sf)).select(*KEYS, "ema_5"), DIGITS)
+
+
+def _chained(spark, sf):
+    specs = [("ema", {"column": "sma_10", "period": 5}), ("sma", {"period": 10})]
+    return tidy(with_indicators(week_bars(spark, sf), specs, by="contract", order="ts", chunk=week_split(spark, sf)).select(*KEYS, "ema_5"), DIGITS)
+
+
+QUERIES["ema_with_gaps"], ORACLES["ema_with_gaps"] = _gaps, _gap_sql("CASE WHEN volume % 3 <> 0 THEN close END")
+QUERIES["ema_of_sma"], ORACLES["ema_of_sma"] = _chained, _gap_sql(roll("avg", "close", 10))
+
 _MANY = [("sma", {}), ("ema", {}), ("rsi", {}), ("atr", {}), ("obv", {})]
 
 

@@ -13,7 +13,7 @@ from tapestry.sources import envelopes as E, readers
 from .accounts import ORDERS_SQL, order_events
 from .book import ASOF, BEST_SQL, BOOK_SQL, BBO_SQL, MINUTES, ROUTED_SQL, TRADES_SQL, _CLUSTERS_SQL, _FLOW_SQL, _IMBALANCE_SQL, _SR_SQL, _liq
 from .indicators import _trange, div, inputs, lag, recursion, roll, span
-from .tables import DEPTH_SQL, HOUR_BARS_SQL, TICKS_SQL, WEEK_BARS_SQL, depth, hour_bars, hour_split, r6, ticks, tidy, week_bars, week_split, with_sql
+from .tables import cut, DEPTH_SQL, HOUR_BARS_SQL, TICKS_SQL, WEEK_BARS_SQL, depth, hour_bars, hour_split, r6, ticks, tidy, week_bars, week_split, with_sql
 
 QUERIES, ORACLES = {}, {}
 
@@ -59,7 +59,7 @@ _cols = ["contract", "ts", "close", *_SIGNAL_COLS, "signal", "stop", "target"]
 add("signals", lambda s, d: G.latest_signals(hour_bars(s, d), chunk=hour_split(s, d)).select(*_cols),
     _SIGNALS + _SIGNAL_OUT + " QUALIFY row_number() OVER (PARTITION BY contract ORDER BY ts DESC) = 1")
 add("signals_history", lambda s, d: G.signals(hour_bars(s, d), chunk=hour_split(s, d)).select(*_cols), _SIGNALS + _SIGNAL_OUT)
-add("signals_history_split", lambda s, d: G.signals(hour_bars(s, d), chunk=200).select(*_cols), _SIGNALS + _SIGNAL_OUT)
+add("signals_history_split", lambda s, d: G.signals(hour_bars(s, d), chunk=cut(200)).select(*_cols), _SIGNALS + _SIGNAL_OUT)
 add("reversal_signals", lambda s, d: G.reversal_signals(hour_bars(s, d), chunk=hour_split(s, d)).select("contract", "ts", "signal"), _SIGNALS + """
 SELECT contract, ts, CASE WHEN rsi_14 < 30 AND close > sma_20 AND sma_20 > sma_50 THEN 'buy' WHEN rsi_14 > 70 AND close < sma_20 AND sma_20 < sma_50 THEN 'sell' ELSE 'none' END AS signal FROM sg""")
 add("latest", lambda s, d: newest(week_bars(s, d), 3, by="contract", order="ts").select("contract", "ts", "volume"), with_sql(WEEK_BARS_SQL) + """

@@ -10,7 +10,7 @@ from tapestry.functions.history import over_history
 from tapestry.functions.joins import merge_on_time
 
 from .indicators import lag, over, roll
-from .tables import HOUR_BARS_SQL, TICKS_SQL, WEEK_BARS_SQL, hour_bars, hour_split, r6, table, ticks, tidy, week_bars, week_split, with_sql
+from .tables import cut, HOUR_BARS_SQL, TICKS_SQL, WEEK_BARS_SQL, hour_bars, hour_split, r6, table, ticks, tidy, week_bars, week_split, with_sql
 
 QUERIES, ORACLES = {}, {}
 _W = "PARTITION BY contract ORDER BY ts"
@@ -88,7 +88,7 @@ dr AS (SELECT *, sum(CASE WHEN dd < 0 THEN 0 ELSE 1 END) OVER ({_W} ROWS UNBOUND
 dg AS (SELECT contract, run, min(dd) AS dd, count(*) FILTER (dd < 0) AS n FROM dr GROUP BY contract, run)
 SELECT contract, """ + r6("min(dd)") + " AS max_drawdown, max(n) AS max_drawdown_duration FROM dg GROUP BY contract"
 add("max_drawdown", lambda s, d: S.max_drawdown(week_bars(s, d), chunk=week_split(s, d)), with_sql(WEEK_BARS_SQL) .rstrip() + ",\n" + _DD)
-add("max_drawdown_split", lambda s, d: S.max_drawdown(week_bars(s, d), chunk=30), with_sql(WEEK_BARS_SQL).rstrip() + ",\n" + _DD)
+add("max_drawdown_split", lambda s, d: S.max_drawdown(week_bars(s, d), chunk=cut(30)), with_sql(WEEK_BARS_SQL).rstrip() + ",\n" + _DD)
 _LI = [("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"),
        ("l_extendedprice", "double"), ("l_discount", "double"), ("l_tax", "double")]
 add("profile_table", lambda s, d: S.profile_table(table(s, d, "lineitem")), " UNION ALL ".join(
@@ -112,7 +112,7 @@ m AS (SELECT i.contract, i.ts, i.n AS index1, i.close AS price, i.top, i.low, mi
 """ + "SELECT contract, ts, 'double_top' AS pattern, index1, index2, " + r6("price", 4) + " AS price, " + r6("top - low", 4) + """ AS strength FROM m WHERE price = top
 UNION ALL SELECT contract, ts, 'double_bottom', index1, index2, """ + r6("price", 4) + ", " + r6("top - low", 4) + " FROM m WHERE price = low"
 add("chart_patterns", lambda s, d: P.chart_patterns(week_bars(s, d), chunk=week_split(s, d)), with_sql(WEEK_BARS_SQL).rstrip() + ",\n" + _CHART, 4)
-add("chart_patterns_split", lambda s, d: P.chart_patterns(week_bars(s, d), chunk=50), with_sql(WEEK_BARS_SQL).rstrip() + ",\n" + _CHART, 4)
+add("chart_patterns_split", lambda s, d: P.chart_patterns(week_bars(s, d), chunk=cut(50)), with_sql(WEEK_BARS_SQL).rstrip() + ",\n" + _CHART, 4)
 _m, _sd = roll("avg", "close", 20), roll("stddev_samp", "close", 20)
 add("bollinger_position", lambda s, d: P.bollinger_position(bbands(week_bars(s, d), by="contract", order="ts", chunk=week_split(s, d))).select("contract", "ts", "bb_position"),
     with_sql(WEEK_BARS_SQL, f"bb AS (SELECT contract, ts, close, {_m} - 2.0 * {_sd} AS lo, {_m} + 2.0 * {_sd} AS hi FROM bars)") + f"""
@@ -163,7 +163,7 @@ def money(df):
 _PNL = "pn AS (SELECT user_id AS account, ts, event_id AS seq, value - 50 AS pnl FROM events)"
 _PORT = with_sql(_PNL).rstrip() + ",\n" + metrics_sql("pn", "account", "ts", "seq", "pnl", 10000.0)
 add("portfolio_metrics", lambda s, d: money(R.portfolio_metrics(closed(s, d), 10000.0)), _PORT)
-add("portfolio_metrics_split", lambda s, d: money(R.portfolio_metrics(closed(s, d), 10000.0, chunk=20)), _PORT)
+add("portfolio_metrics_split", lambda s, d: money(R.portfolio_metrics(closed(s, d), 10000.0, chunk=cut(20))), _PORT)
 _EXEC = r"""ex AS (SELECT event_id AS id, user_id AS "accountId", event_type AS "contractId", ts AS "creationTimestamp",
   CASE WHEN CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) % 3 <> 0 THEN value - 50 END AS "profitAndLoss", event_type = 'error' AS voided,
   CAST(regexp_extract(props, '(\d+)', 1) AS BIGINT) + 1 AS size FROM events)"""

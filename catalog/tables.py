@@ -96,6 +96,11 @@ def week_bars(spark, sf):
     return bars(lots(spark, sf), "1week", by="contract", order=TRADE_ORDER, tz="UTC")
 
 
+def cut(rows: int) -> Split:
+    """Cut histories into blocks of a few rows and a dozen ranges, as very long ones would be."""
+    return Split(rows, 12)
+
+
 def week_split(spark, sf) -> Split:
     """How to cut the weekly bars, measured on the slim trade columns instead of on the aggregated bars."""
     return plan_split(lots(spark, sf), "contract", "ts", "auto", bar_seconds=7 * 86400)

@@ -7,11 +7,12 @@ owns a large share of the data.  Two kernels keep the group size bounded:
 ``over_history``  for look-back / look-ahead computations.  Rows get their global position, the history
     is cut into blocks of consecutive positions, and each block receives copies of the few neighbouring
     rows its frames reach into.  The window partition is then ``by + block``.
-``running``       for unbounded prefixes (sum, max, last known value, previous row).  Each time bucket is
-    scanned on its own and the state before the bucket is joined in from a per-bucket summary.
+``running``       for unbounded prefixes (sum, max, last known value, previous row).  Ranges of the whole order, cut at
+    sampled quantiles, are scanned on their own; the state before a range is joined in from a summary of one row per
+    group and range.
 
 Whether to split is decided by measuring the largest group (one column-pruned count); groups that fit use
-the single-shuffle plain form.
+the single-shuffle plain form, with the same results.
 """
 
 from __future__ import annotations
@@ -34,21 +35,21 @@ RN, BLK, BUCKET, SUB, K = "__rn", "__blk", "__bucket", "__sub", "__k"
 
 @dataclass(frozen=True)
 class Split:
-    """How to cut a history: ``rows`` per block, ``width`` of a time bucket in microseconds (None: do not cut).
+    """How to cut a history: ``rows`` per block, number of ``ranges`` of the whole order (None: do not cut).
 
     ``null_keys``: some group key is null, so state must be joined null-safely (at the price of another shuffle).
     ``largest``, ``total``: measured rows of the largest group and of all (0 if nothing was measured).
     """
 
     rows: int
-    width: int | None
+    ranges: int | None
     null_keys: bool = False
     largest: int = 0
     total: int = 0
 
     def settle(self, df: DataFrame) -> DataFrame:
         """Write ``df`` out before it is scanned again, if histories are cut (every prefix scan reads it twice)."""
-        return df if self.width is None else settle(df)
+        return df if self.ranges is None else settle(df)
 
 
 def names(cols: str | Sequence[str]) -> list[str]:
@@ -104,27 +105,10 @@ def plan_split(df: DataFrame, by, order, chunk="auto", bar_seconds: float | None
     unnamed = F.lit(False)
     for c in by:
         unnamed = unnamed | F.col(c).isNull()
-    worst = groups.agg(F.max("n").alias("n"), F.min(F.col("span") / F.col("n")).alias("gap"), F.max(unnamed).alias("nulls"), F.sum("n").alias("total")).first()
+    worst = groups.agg(F.max("n").alias("n"), F.max(unnamed).alias("nulls"), F.sum("n").alias("total")).first()
     if worst.n is None or worst.n <= limit:
         return Split(limit, None, False, worst.n or 0, worst.total or 0)
-    width = max(1, int(worst.gap * limit))
-    # The first width assumes rows spread evenly in time; narrow it until the fullest bucket fits.
-    for _ in range(12):
-        if width == 1:
-            break
-        fullest = (
-            slim.groupBy(*by, F.floor(F.col("__us") / width).alias("b")).count().agg(F.max("count")).first()[0]
-        )
-        if bar_seconds:
-            fullest = min(fullest, width / (bar_seconds * 1e6) + 2)
-        if fullest <= 2 * limit:
-            break
-        width = max(1, width // max(2, math.ceil(fullest / limit)))
-    return Split(limit, width, bool(worst.nulls), worst.n, worst.total)
-
-
-def bucket(ts: str, width: int) -> Column:
-    return F.floor(micros(ts) / F.lit(width))
+    return Split(limit, math.ceil(worst.total / limit), bool(worst.nulls), worst.n, worst.total)
 
 
 def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -157,7 +141,7 @@ def running(
     by, order = names(by), names(order)
     sums, maxes, lasts, prevs = (dict(m or {}) for m in (sums, maxes, lasts, prevs))
     split = plan_split(df, by, order, chunk)
-    if split.width is None:
+    if split.ranges is None:
         w = Window.partitionBy(*by).orderBy(*order)
         f = w.rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns(
@@ -167,7 +151,9 @@ def running(
             | {n: F.lag(c).over(w) for n, c in prevs.items()}
         )
 
-    df = df.withColumn(BUCKET, bucket(order[0], split.width))
+    # Ranges of group, time and tiebreak at sampled quantiles: even whatever the times are, also within one time stamp.
+    # Written out, because the carries below must see the same cuts as the rows.
+    df = settle(df.repartitionByRange(split.ranges, *by, *order).withColumn(BUCKET, F.spark_partition_id()), "ranges")
     keys = by + [BUCKET]
     pos = F.struct(*order)
     aggs, prefix = [], []
@@ -332,7 +318,7 @@ def over_history(
     """
     by, order = names(by), names(order)
     split = plan_split(df, by, order, chunk)
-    if split.width is None:
+    if split.ranges is None:
         t = Timeline(by, order, by)
         if positions:
             df = df.withColumn(RN, F.row_number().over(t.w) - 1)

@@ -6,17 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .history import names, newest, running
 
-BROADCAST_ROWS = 1_000_000  # a dimension above this is joined by shuffle
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast after counting that it stays below ``rows``."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def dimension_join(facts: DataFrame, dim: DataFrame, on, *, fact_key: str | None = None, how: str = "left") -> DataFrame:
-    """Look up ``dim`` for every fact; broadcast only a dimension counted to be small."""
-    dim = broadcast_if_small(dim)
+    """Look up ``dim`` for every fact; Spark broadcasts a dimension whose measured size allows it, and splits hot keys otherwise."""
     if fact_key is None:
         return facts.join(dim, names(on), how)
     return facts.join(dim, facts[fact_key] == dim[on], how).drop(dim[on])
@@ -56,13 +47,13 @@ def near_price_buckets(price: Column, tol: float) -> tuple[Column, Column]:
 def price_range_join(dense: DataFrame, levels: DataFrame, *, by, tol: float, price: str = "price", level: str = "level_price") -> DataFrame:
     """Rows of ``dense`` within ``tol`` of a level, by an equi-join on price buckets and an exact filter.
 
-    A hot price does no harm: few levels are broadcast, and otherwise AQE splits the large side of the sort-merge join.
+    A hot price does no harm: AQE broadcasts levels that turn out to be few, and otherwise splits the large side of the sort-merge join.
     """
     by = names(by)
     one, _ = near_price_buckets(F.col(price), tol)
     _, many = near_price_buckets(F.col(level), tol)
     a = dense.withColumn("__b", one)
-    b = broadcast_if_small(levels.withColumn("__b", F.explode(many)))
+    b = levels.withColumn("__b", F.explode(many))
     pairs = a.join(b, by + ["__b"]).drop("__b")
     return pairs.filter((F.col(price) >= F.col(level) - tol) & (F.col(price) <= F.col(level) + tol))
 

@@ -200,7 +200,7 @@ def _history_size(depth: DataFrame, by, split: Split) -> tuple[int, int]:
 
 def _of_levels(split: Split, chunk):
     """A level has no more rows than its contract: what fits needs no second measurement."""
-    return chunk if split.width is not None else split
+    return chunk if split.ranges is not None else split
 
 
 def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chunk, size: tuple[int, int]) -> DataFrame:
@@ -209,7 +209,8 @@ def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chu
     The best price at a position is a maximum over the level states that cover it.  States are split into aligned
     power-of-two ranges of positions (at most two per size); a position lies in exactly one range per size, so range
     maxima and positions meet in equi-joins.  Ranges of up to ``2^GROUP_BITS`` positions are joined by shuffle, with
-    that many rows per key at most; the wider ones are few (a known bound) and broadcast.
+    that many rows per key at most; the wider ones are few and joined apart from them, so that skew splitting
+    or a runtime broadcast applies to them alone.
     """
     longest, total = size
     sizes = math.ceil(math.log2(longest + 1))
@@ -228,7 +229,7 @@ def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chu
     found = _covering(places, by, range(cut)).join(best.filter(F.col("__size") < cut), key)
     if cut <= sizes:
         wide = best.filter(F.col("__size") >= cut)
-        found = found.unionByName(_covering(places, by, range(cut, sizes + 1)).join(F.broadcast(wide), key))
+        found = found.unionByName(_covering(places, by, range(cut, sizes + 1)).join(wide, key))
     quotes = found.groupBy(*by, F.col("__pos").alias(position)).agg(F.max("best_bid").alias("best_bid"), F.min("best_ask").alias("best_ask"))
     return spots.join(quotes, by + [position], "left")
 

@@ -109,18 +109,23 @@ def register_custom(name: str, fn: Callable[..., DataFrame], group: str = "custo
 def with_indicators(df: DataFrame, specs: Iterable, *, by, order, chunk="auto", strict: bool = False) -> DataFrame:
     """Apply many indicators, given as names or ``(name, params)``, in one pass over one exchange and sort.
 
-    Custom indicators run afterwards, in the order given.
+    One may read a column that another makes: those whose inputs are there run together, then those that wait for them.
+    The history is measured once, for all.  Custom indicators run afterwards, in the order given.
     """
-    plan, custom = [], []
+    waiting, custom = [], []
     for spec in specs:
         name, params = (spec, {}) if isinstance(spec, str) else spec
         if name in CUSTOM:
             custom.append((name, params))
         elif name in REGISTRY:
-            plan.append((REGISTRY[name], REGISTRY[name].resolve(df, params)))
+            waiting.append((REGISTRY[name], params))
         else:
             raise ParameterError(f"unknown indicator {name!r}; have {available()}")
-    df = _apply(df, plan, by, order, chunk, strict)
+    chunk = plan_split(df, by, order, chunk) if waiting else chunk
+    while waiting:
+        ready = [(i, p) for i, p in waiting if set(i.needs(**{**i.defaults, **p})) <= set(df.columns)] or waiting
+        waiting = [s for s in waiting if s not in ready]
+        df = _apply(df, [(i, i.resolve(df, p)) for i, p in ready], by, order, chunk, strict)
     for name, params in custom:
         df = CUSTOM[name](df, by=by, order=order, **params)
     return df

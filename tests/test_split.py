@@ -87,17 +87,35 @@ def test_blocks_are_bounded(frame):
     assert seen["largest"] <= 60
 
 
+def test_bursts_and_single_time_stamps_are_cut_evenly(spark, monkeypatch):
+    """A burst in a long even history, and rows of one time stamp, both give ranges of about the wanted size."""
+    import datetime as dt
+
+    import tapestry.functions.history as H
+
+    start, seen = dt.datetime(2024, 1, 1), []
+    real = H.settle
+    monkeypatch.setattr(H, "settle", lambda df, label="stage": seen.append(real(df, label)) or seen[-1])
+    even = [("A", start + dt.timedelta(seconds=60 * i), i, 1) for i in range(4000)] + [("A", start, 10_000 + i, 1) for i in range(2000)]
+    for data in (even, [("B", start, i, 1) for i in range(6000)]):
+        d = spark.createDataFrame(data, "contract string, ts timestamp, seq long, volume long").repartition(6)
+        out = running(d, sums={"s": F.col("volume")}, chunk=500, **K)
+        assert [r.s for r in out.orderBy("ts", "seq").collect()] == list(range(1, 6001))
+        sizes = [r["count"] for r in seen[-1].groupBy("contract", "__bucket").count().collect()]
+        assert max(sizes) <= 1000 and len(sizes) <= 13
+
+
 def test_plan_is_measured(frame):
-    assert plan_split(frame, "contract", "ts", "auto").width is None
-    assert plan_split(frame, "contract", "ts", 100).width is not None
-    assert plan_split(frame, "contract", "ts", 100, bar_seconds=10**6).width is None
+    assert plan_split(frame, "contract", "ts", "auto").ranges is None
+    assert plan_split(frame, "contract", "ts", 100).ranges is not None
+    assert plan_split(frame, "contract", "ts", 100, bar_seconds=10**6).ranges is None
     assert plan_split(frame, "contract", "ts", Split(1, 5)) == Split(1, 5)
 
 
 def test_session_limit(spark, frame):
     spark.conf.set("tapestry.maxGroupRows", "60")
     try:
-        assert plan_split(frame, "contract", "ts").width is not None
+        assert plan_split(frame, "contract", "ts").ranges is not None
     finally:
         spark.conf.unset("tapestry.maxGroupRows")
 
