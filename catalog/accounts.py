@@ -75,7 +75,7 @@ _HIST = with_sql(EVENTS_SQL) + f"""SELECT "accountId", "contractId", "creationTi
 _hist = lambda chunk: lambda s, d: P.position_history(position_events(s, d), 8, order=POS_ORDER, chunk=chunk).select(
     *KEY, "creationTimestamp", "id", "l_extendedprice", "size", "size_change")
 add("position_history", _hist("auto"), _HIST)
-add("position_history_split", _hist(5), _HIST)
+add("position_history_split", _hist(cut(5)), _HIST)
 add("position_pnl", lambda s, d: pnl(s, d).select(*KEY, "current_price", "pnl_per_contract", "unrealized_pnl", "market_value", "direction"), _PNL + f"""
 SELECT "accountId", "contractId", {r6('current_price', 4)} AS current_price, {r6('pnl_per_contract', 4)} AS pnl_per_contract, {r6('unrealized_pnl', 4)} AS unrealized_pnl,
   {r6('market_value', 4)} AS market_value, direction FROM pnl""", 4)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tapestry.functions.checks import short_groups
 from tapestry.functions.history import newest
 from tapestry.operators.registry import register_custom, with_indicators
 from tapestry.plans import market, signals as G
 from tapestry.session import scratch_dir
 from tapestry.sources import envelopes as E, readers
 
-from .accounts import ORDERS_SQL, order_events
+from .accounts import EVENTS_SQL, ORDERS_SQL, accounts, order_events, position_events
 from .book import ASOF, BEST_SQL, BOOK_SQL, BBO_SQL, MINUTES, ROUTED_SQL, TRADES_SQL, _CLUSTERS_SQL, _FLOW_SQL, _IMBALANCE_SQL, _SR_SQL, _liq
 from .indicators import _trange, div, inputs, lag, recursion, roll, span
 from .tables import cut, DEPTH_SQL, HOUR_BARS_SQL, TICKS_SQL, WEEK_BARS_SQL, depth, hour_bars, hour_split, r6, ticks, tidy, week_bars, week_split, with_sql
@@ -137,6 +138,51 @@ SELECT seq, CAST(contract AS VARCHAR) AS contract, CASE WHEN type = 2 THEN p0 EN
 FROM (SELECT *, CASE WHEN seq % 2 = 0 THEN nullif(price, 0) ELSE price END AS p0 FROM depth)""")
 
 
+def _trade_messages(s, d):
+    """Trades as pairs, records and lists; some without a price, a volume or a readable time."""
+    q, k = depth(s, d), F.col("seq") % 5
+    local = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    when = F.when(k == 0, F.concat(local, F.lit("+00:00"))).when(k == 1, local).when(k == 2, "0001-01-01T00:00:00+00:00")
+    entry = F.struct(F.when(k != 4, F.col("price")).alias("price"), F.when(k != 3, F.col("volume")).alias("volume"), when.alias("timestamp"), F.col("contract").cast("string").alias("contractId"))
+    js = F.to_json(entry)
+    pair = lambda x: F.concat(F.lit('["'), F.col("contract").cast("string"), F.lit('", '), x, F.lit("]"))
+    text = F.when(F.col("seq") % 3 == 0, js).when(F.col("seq") % 3 == 1, pair(js)).otherwise(pair(F.to_json(F.array(entry, entry))))
+    return q.select("seq", F.timestamp_micros(F.unix_micros("ts") + 5_000_000).alias("arrival_ts"), text.alias("payload"))
+
+
+# January lies in standard time: a time without offset is six hours behind UTC.
+add("trade_messages", lambda s, d: E.parse_trades(_trade_messages(s, d)).drop("arrival_ts"), with_sql(DEPTH_SQL) + """
+SELECT seq, CAST(contract AS VARCHAR) AS contract, nth, price, CASE WHEN seq % 5 = 3 THEN 0 ELSE volume END AS volume, 'trade' AS type,
+  CASE seq % 5 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) + INTERVAL 6 HOUR ELSE ts + INTERVAL 5 SECOND END AS ts
+FROM depth, (SELECT unnest([0, 1]) AS nth) WHERE seq % 5 <> 4 AND (nth = 0 OR seq % 3 = 2)""")
+
+
+def _records(rows, *fields):
+    """Records as an enveloped list, a bare list and a bare record."""
+    data, form = F.struct(*fields), F.col("nr") % 3
+    text = F.when(form == 0, F.to_json(F.array(F.struct(F.lit(1).alias("action"), data.alias("data"))))).when(form == 1, F.to_json(F.array(data))).otherwise(F.to_json(data))
+    return rows.select("nr", text.alias("payload"))
+
+
+def _position_messages(s, d):
+    rows = position_events(s, d).withColumns({"nr": F.col("id"), "contractId": F.col("contractId").cast("string"), "averagePrice": F.floor("averagePrice").cast("double")})
+    return _records(rows, "id", "accountId", "contractId", "type", "size", "averagePrice")
+
+
+add("position_messages", lambda s, d: E.unwrap(_position_messages(s, d), E.POSITION_FIELDS).drop("creationTimestamp"), with_sql(EVENTS_SQL) + """
+SELECT id AS nr, CASE WHEN id % 3 = 0 THEN 1 END AS action, id, "accountId", CAST("contractId" AS VARCHAR) AS "contractId", type, size, CAST(floor("averagePrice") AS DOUBLE) AS "averagePrice" FROM pe""")
+
+
+def _account_messages(s, d):
+    rows = accounts(s, d).withColumns({"nr": F.col("id"), "canTrade": F.col("balance") > 0, "isVisible": F.lit(True)})
+    return _records(rows, "id", "name", "balance", "canTrade", "isVisible")
+
+
+add("account_messages", lambda s, d: E.unwrap(_account_messages(s, d), E.ACCOUNT_FIELDS).drop("simulated"), """
+SELECT c_custkey AS nr, CASE WHEN c_custkey % 3 = 0 THEN 1 END AS action, c_custkey AS id, c_name AS name, round(c_acctbal + 3e-9, 6) AS balance, c_acctbal > 0 AS "canTrade", true AS "isVisible" FROM customer""")
+add("strict_rows", lambda s, d: short_groups(week_bars(s, d), ["contract"], 300), with_sql(WEEK_BARS_SQL) + "SELECT contract, count(*) AS rows FROM bars GROUP BY contract HAVING count(*) < 300")
+
+
 def _depth_messages(s, d):
     """Two level updates per message; some times are missing, unreadable or the empty-date sentinel."""
     q, k = depth(s, d), F.col("seq") % 4

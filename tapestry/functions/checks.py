@@ -30,8 +30,12 @@ def need_less(a, b, names: str) -> None:
         raise ParameterError(f"{names}: first must be below second, got {a!r}, {b!r}")
 
 
+def short_groups(df: DataFrame, by, minimum: int) -> DataFrame:
+    """Groups with fewer than ``minimum`` rows, and how many they have."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") < minimum)
+
+
 def need_rows(df: DataFrame, by, minimum: int) -> None:
     """Strict mode: every group must hold ``minimum`` rows (costs one aggregation)."""
-    short = df.groupBy(*by).count().filter(F.col("count") < minimum).limit(1).count()
-    if short:
+    if not short_groups(df, by, minimum).isEmpty():
         raise ParameterError(f"a group has fewer than {minimum} rows")

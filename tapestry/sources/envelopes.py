@@ -8,6 +8,7 @@ from ..functions.clock import instant
 from ..schemas import EXCHANGE_TZ
 
 QUOTE_FIELDS = "bestBid double, bid double, bestAsk double, ask double, lastPrice double, last double, price double, volume bigint, timestamp string"
+TRADE_FIELDS = "price double, volume bigint, timestamp string"
 DEPTH_FIELDS = "price double, volume bigint, type int, timestamp string"
 ORDER_FIELDS = (
     "id bigint, accountId bigint, contractId string, creationTimestamp string, updateTimestamp string, status int, type int, side int, size int, "
@@ -68,6 +69,19 @@ def parse_quotes(df: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
+def parse_trades(df: DataFrame, arrival: str = "arrival_ts", payload: str = "payload") -> DataFrame:
+    """Trade messages, one row per trade: ``price``, ``volume`` (missing: 0), time; trades without a price are left out."""
+    d = split_market(df, payload)
+    many = F.startswith(F.trim("data"), F.lit("["))
+    one = F.array(F.from_json("data", f"struct<{_colons(TRADE_FIELDS)}>"))
+    trades = F.when(many, F.from_json("data", f"array<struct<{_colons(TRADE_FIELDS)}>>")).otherwise(one)
+    rest = [c for c in d.columns if c != "data"]
+    return d.select(*rest, F.posexplode(trades).alias("nth", "t")).filter("t.price IS NOT NULL").select(
+        *rest, F.col("nth").cast("long").alias("nth"), F.col("t.price").alias("price"), F.coalesce("t.volume", F.lit(0)).alias("volume"),
+        depth_time(F.col("t.timestamp"), F.col(arrival)).alias("ts"), F.lit("trade").alias("type"),
+    )
+
+
 def parse_depth(df: DataFrame, arrival: str = "arrival_ts", payload: str = "payload") -> DataFrame:
     """Depth messages, one row per level update, numbered within the message."""
     d = split_market(df, payload)
