@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tapestry.functions.joins import dimension_join, upsert
+from tapestry.operators.bars import bars
 from tapestry.operators import orders as O, positions as P, sessions as C
 
 from .stats import _EXEC, executions
@@ -284,3 +285,27 @@ SELECT seq, ts, NOT closed AS is_open, CASE WHEN closed THEN day + INTERVAL 23 H
   CASE WHEN NOT closed THEN day + INTERVAL 22 HOUR + CASE WHEN h >= 16 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END END AS next_close FROM fl""")
 add("calendar_columns", lambda s, d: C.calendar_columns(C.to_exchange_tz(ticks(s, d).select("seq", "ts"))), with_sql(TICKS_SQL, _LOCAL) + """
 SELECT seq, ts, l AS local_ts, CAST(l AS DATE) AS local_date, CAST(wd AS INTEGER) AS local_weekday, CAST(h AS INTEGER) AS local_hour, CAST(minute(l) AS INTEGER) AS local_minute FROM fl""")
+
+# Years with both changes of the clock: order times at every hour of the day.
+_Z = "America/Chicago"
+
+
+def _order_times(s, d):
+    ts = F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 24 * 3_600_000_000)
+    return table(s, d, "orders").select(F.col("o_orderkey").alias("seq"), ts.alias("ts"), (F.col("o_custkey") % 5).alias("contract"), F.col("o_totalprice").alias("price"), F.lit(1).cast("long").alias("volume"))
+
+
+_DST = f"""ot AS (SELECT o_orderkey AS seq, o_orderdate + INTERVAL 1 HOUR * (o_orderkey % 24) AS ts, o_custkey % 5 AS contract, o_totalprice AS price, 1 AS volume FROM orders),
+ol AS (SELECT *, (ts AT TIME ZONE 'UTC') AT TIME ZONE '{_Z}' AS l FROM ot),
+od AS (SELECT *, CAST(CAST(l AS DATE) AS TIMESTAMP) AS day, isodow(l) - 1 AS wd, hour(l) AS h FROM ol)"""
+_UTC = lambda x: f"((({x}) AT TIME ZONE '{_Z}') AT TIME ZONE 'UTC')"
+add("calendar_dst", lambda s, d: C.calendar_columns(_order_times(s, d).select("seq", "ts")), with_sql(_DST) + """
+SELECT seq, ts, CAST(l AS DATE) AS local_date, CAST(wd AS INTEGER) AS local_weekday, CAST(h AS INTEGER) AS local_hour, CAST(minute(l) AS INTEGER) AS local_minute FROM od""")
+add("session_flags_dst", lambda s, d: C.session_flags(_order_times(s, d).select("seq", "ts")), with_sql(
+    _DST, "fl AS (SELECT *, (wd = 4 AND h >= 16) OR wd = 5 OR (wd = 6 AND h < 17) OR h = 16 AS closed FROM od)") + f"""
+SELECT seq, ts, NOT closed AS is_open,
+  CASE WHEN closed THEN {_UTC("day + INTERVAL 17 HOUR + CASE WHEN wd = 4 AND h >= 16 THEN INTERVAL 2 DAY WHEN wd = 5 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END")} END AS next_open,
+  CASE WHEN NOT closed THEN {_UTC("day + INTERVAL 16 HOUR + CASE WHEN h >= 16 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END")} END AS next_close FROM fl""")
+add("bars_1day_dst", lambda s, d: bars(_order_times(s, d), "1 day", by="contract", order=["ts", "seq"]), with_sql(_DST) + f"""
+SELECT contract, {_UTC("day")} AS ts, first(price ORDER BY ts, seq) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, seq) AS close,
+  CAST(sum(volume) AS BIGINT) AS volume FROM od GROUP BY contract, day""")

@@ -19,7 +19,9 @@ def clock(ts: Column, tz: str) -> Column:
 def instant(local: Column, tz: str) -> Column:
     """Instant at which a clock of zone ``tz`` shows ``local``."""
     utc = local if tz == "UTC" else F.convert_timezone(F.lit(tz), F.lit("UTC"), local)
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr(EPOCH), utc))
+    # Field by field: the difference of two clocks would be taken in the session's zone.
+    seconds = F.unix_date(F.to_date(utc)).cast("long") * 86400 + F.hour(utc) * 3600 + F.minute(utc) * 60
+    return F.timestamp_micros(seconds * 1_000_000 + (F.extract(F.lit("SECOND"), utc) * 1_000_000).cast("long"))
 
 
 def midnight(day: Column) -> Column:

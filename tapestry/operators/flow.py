@@ -17,18 +17,25 @@ def classify_trades(trades: DataFrame, quotes: DataFrame, *, by="contract", bid=
     return joined.withColumn("side", classify(F.col("price"), F.col(bid), F.col(ask)))
 
 
-def within(df: DataFrame, minutes: float, asof, ts="ts") -> DataFrame:
-    """Rows of the last ``minutes`` before ``asof`` (inclusive)."""
+def in_last(minutes: float, asof, ts="ts") -> Column:
+    """Whether a row is of the last ``minutes`` before ``asof`` (inclusive)."""
     end = F.lit(asof).cast("timestamp")
     start = F.timestamp_micros(F.unix_micros(end) - F.lit(int(minutes * 60_000_000)))
-    return df.filter((F.col(ts) >= start) & (F.col(ts) <= end))
+    return (F.col(ts) >= start) & (F.col(ts) <= end)
 
 
-def _flow_columns() -> list[Column]:
-    v, buy, sell = F.col("volume"), F.col("side") == "buy", F.col("side") == "sell"
+def within(df: DataFrame, minutes: float, asof, ts="ts") -> DataFrame:
+    """Rows of the last ``minutes`` before ``asof`` (inclusive)."""
+    return df.filter(in_last(minutes, asof, ts))
+
+
+def _flow_columns(where: Column | None = None) -> list[Column]:
+    """Aggregates of the trades (``where`` given: of those), for one pass with others."""
+    where = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    v, buy, sell = F.when(where, F.col("volume")), where & (F.col("side") == "buy"), where & (F.col("side") == "sell")
     zero = F.lit(0)
     return [
-        F.coalesce(F.sum(v), zero).alias("total_volume"), F.count(F.lit(1)).alias("trade_count"),
+        F.coalesce(F.sum(v), zero).alias("total_volume"), F.count_if(where).alias("trade_count"),
         F.coalesce(F.sum(F.when(buy, v)), zero).alias("buy_volume"), F.coalesce(F.sum(F.when(sell, v)), zero).alias("sell_volume"),
         F.count_if(buy).alias("buy_trades"), F.count_if(sell).alias("sell_trades"), F.sum(F.col("price") * v).alias("__pv"),
     ]
@@ -75,6 +82,14 @@ def cumulative_delta(trades: DataFrame, minutes: float = 30, *, asof, by="contra
     return running(within(trades, minutes, asof), by=by, order=order, sums={"delta": signed_volume()}, chunk=chunk)
 
 
+def delta_trend(x: Column) -> Column:
+    # Limits of the trend names.
+    return (
+        F.when(x > 500, "strongly_bullish").when(x > 100, "bullish").when(x < -500, "strongly_bearish")
+        .when(x < -100, "bearish").otherwise("neutral")
+    )
+
+
 def delta_summary(trades: DataFrame, minutes: float = 30, *, asof, by="contract") -> DataFrame:
     """Final delta, its trend and pace."""
     v = F.col("volume")
@@ -85,11 +100,7 @@ def delta_summary(trades: DataFrame, minutes: float = 30, *, asof, by="contract"
         F.count(F.lit(1)).alias("trade_count"),
     )
     x = F.col("cumulative_delta")
-    trend = (
-        F.when(x > 500, "strongly_bullish").when(x > 100, "bullish").when(x < -500, "strongly_bearish")
-        .when(x < -100, "bearish").otherwise("neutral")
-    )
-    return d.withColumns({"delta_trend": trend, "delta_per_minute": x / F.lit(float(minutes)) if minutes > 0 else F.lit(0.0)})
+    return d.withColumns({"delta_trend": delta_trend(x), "delta_per_minute": x / F.lit(float(minutes)) if minutes > 0 else F.lit(0.0)})
 
 
 def volume_profile(trades: DataFrame, bucket_size: float = 0.25, *, by="contract") -> DataFrame:
