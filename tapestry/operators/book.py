@@ -170,7 +170,8 @@ def book_at_grid(updates: DataFrame, start, end, step_seconds: int, *, levels: i
     return ranked if levels is None else ranked.filter(F.col("level") <= levels)
 
 
-GROUP_BITS, BROADCAST_RANGES = 16, 1_000_000
+RANGE_BITS = 3  # a range is eight of the next smaller size
+GROUP_BITS = 15
 
 
 def bbo_history(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto", wanted: Column | None = None) -> DataFrame:
@@ -207,18 +208,16 @@ def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chu
     """Add the best bid and ask after the book ``updates`` (with position and side) up to each spot's ``position``.
 
     The best price at a position is a maximum over the level states that cover it.  States are split into aligned
-    power-of-two ranges of positions (at most two per size); a position lies in exactly one range per size, so range
-    maxima and positions meet in equi-joins.  Ranges of up to ``2^GROUP_BITS`` positions are joined by shuffle, with
+    ranges of 8^s positions; a position lies in exactly one range per size, so range maxima and positions meet in
+    equi-joins, with one copy of a position per size (seven for a million rows).  Ranges of up to ``2^GROUP_BITS`` positions are joined by shuffle, with
     that many rows per key at most; the wider ones are few and joined apart from them, so that skew splitting
     or a runtime broadcast applies to them alone.
     """
-    longest, total = size
-    sizes = math.ceil(math.log2(longest + 1))
-    # At most 2 * total / 2^cut ranges are as wide as 2^cut.
-    cut = min(sizes + 1, max(GROUP_BITS, math.ceil(math.log2(2 * total / BROADCAST_RANGES))))
+    sizes = math.ceil(math.log2(size[0] + 1) / RANGE_BITS)
+    cut = min(sizes + 1, GROUP_BITS // RANGE_BITS + 1)
 
     live = _until_next(updates, by, order, chunk).filter(F.col("volume") > 0)
-    live = live.withColumn("__z", F.least(F.coalesce(F.col("__to"), F.lit(1 << 60)), F.lit(1 << sizes)).cast("bigint"))
+    live = live.withColumn("__z", F.least(F.coalesce(F.col("__to"), F.lit(1 << 60)), F.lit(1 << (RANGE_BITS * sizes))).cast("bigint"))
     ranges = live.withColumn("__p", F.explode(F.expr(_aligned_ranges("bigint(__from)", "__z", sizes))))
     best = ranges.groupBy(*by, F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")).agg(
         F.max(F.when(F.col("side") == "bid", F.col("price"))).alias("best_bid"),
@@ -236,15 +235,20 @@ def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chu
 
 def _aligned_ranges(first: str, end: str, sizes: int) -> str:
     """SQL array of the maximal aligned ranges ``(size, at)`` that make up the positions ``[first, end)``."""
-    lo, hi = f"shiftright({first} + shiftleft(1L, s) - 1, s)", f"shiftright({end}, s)"
-    entry = lambda cond, at: f"if({lo} < {hi} AND {cond}, struct(s AS size, {at} AS at), NULL)"
-    pair = f"array({entry(f'{lo} % 2 = 1', lo)}, {entry(f'{hi} % 2 = 1', f'{hi} - 1')})"
-    return f"array_compact(flatten(transform(sequence(0, {sizes}), s -> {pair})))"
+    lo = lambda s: f"shiftright({first} + shiftleft(1L, {RANGE_BITS} * ({s})) - 1, {RANGE_BITS} * ({s}))"
+    hi = lambda s: f"shiftright({end}, {RANGE_BITS} * ({s}))"
+    # What the next size covers, in units of this one; nothing if it has no whole range inside.
+    covered = f"{lo('s + 1')} < {hi('s + 1')}"
+    left = f"if({covered}, {lo('s + 1')} * {1 << RANGE_BITS}, {hi('s')})"
+    right = f"if({covered}, {hi('s + 1')} * {1 << RANGE_BITS}, {hi('s')})"
+    run = lambda a, z: f"if({a} < {z}, sequence({a}, {z} - 1), array())"
+    places = f"concat({run(lo('s'), left)}, {run(right, hi('s'))})"
+    return f"flatten(transform(sequence(0, {sizes}), s -> transform({places}, p -> struct(s AS size, p AS at))))"
 
 
 def _covering(places: DataFrame, by, sizes: range) -> DataFrame:
     """Positions with the aligned range of every size that holds them."""
-    spots = F.expr(f"transform(sequence({sizes.start}, {sizes.stop - 1}), s -> struct(s AS size, shiftright(bigint(__pos), s) AS at))")
+    spots = F.expr(f"transform(sequence({sizes.start}, {sizes.stop - 1}), s -> struct(s AS size, shiftright(bigint(__pos), {RANGE_BITS} * s) AS at))")
     return places.select(*by, "__pos", F.explode(spots).alias("__p")).select(
         *by, "__pos", F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")
     )
