@@ -11,7 +11,7 @@ from itertools import product
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import whole
+from .common import WHITE, whole
 
 # Fixed values of the contract: phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -108,7 +108,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     t = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("body"))
     t = t.withColumn("n_words", F.regexp_count("body", F.lit(WORD_ANY_CASE)).cast("long"))
     # Unicode lower case finds every ASCII keyword that ASCII lower case finds; it only decides what is looked at more closely.
-    t = t.withColumn("gate", F.lower("body")).withColumn("found", F.expr(f"filter(array({', '.join(map(_literal, keywords))}), k -> contains(gate, k))"))
+    # White space is collapsed as in ``clean``, because a notice may be wrapped between the words of a keyword.
+    t = t.withColumn("gate", F.lower(F.regexp_replace("body", WHITE, " "))).withColumn("found", F.expr(f"filter(array({', '.join(map(_literal, keywords))}), k -> contains(gate, k))"))
     phrased = F.expr("contains(gate, 'reserved') or contains(gate, 'license') or contains(gate, 'cc')")
     lowered = F.translate("body", upper, low)
     t = t.withColumn("plain", F.when(phrased, F.concat(F.lit("x "), F.btrim(F.regexp_replace(lowered, NOT_WORD, " ")), F.lit(" "))))
@@ -120,7 +121,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         "first_word": F.when(some, spaces(F.get("cuts", F.lit(0)))).cast("long"),
         "last_word": F.when(some, F.col("n_words") - spaces(F.element_at("cuts", -1)) + 1).cast("long"),
         "base_found": F.filter(F.array(*[F.when(some & F.contains("plain", F.lit(f" {p} ")), F.lit(x)) for p, x in PHRASES.items()]), lambda x: x.isNotNull()),
-        "clean": F.when(F.size("found") > 0, F.regexp_replace(lowered, r"[\x20\x09-\x0D]+", " ")),
+        "clean": F.when(F.size("found") > 0, F.regexp_replace(lowered, WHITE, " ")),
     }
     packed = ", ".join(f"struct({i} as rule, {_literal(p)} as pattern, array({', '.join(_literal(k) for k in keys.split('|'))}) as keys)" for i, (_, p, _, keys) in enumerate(rules))
     t = t.withColumns(base).withColumn("active", F.expr(f"if(size(found) = 0, array(), filter(array({packed}), r -> arrays_overlap(r.keys, found)))"))
