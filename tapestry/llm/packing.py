@@ -13,6 +13,8 @@ itself in buffers of bounded length; the open window at the end of a buffer move
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 import zlib
 from collections import deque
@@ -42,9 +44,18 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def added_tokens(json_path: str) -> dict[str, int]:
+    """Tokens of a tokenizer file that are found in texts before the vocabulary is, and their ids."""
+    with open(json_path, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError(f"{json_path}: added tokens are matched literally only")
+    return {t["content"]: t["id"] for t in added}
+
+
 class ByteBPE:
-    """Byte-level BPE of a rank file.  White space before a word belongs to it, so single spaces are safe places to cut a
-    text: the ids of each stretch between them are kept and looked up again."""
+    """Byte-level BPE of a rank file, with the added tokens of the JSON file beside it.  White space before a word belongs to
+    it, so single spaces are safe places to cut a text: the ids of each stretch between them are kept and looked up again."""
 
     odd_space = re.compile(r" \s|\s ")
 
@@ -56,7 +67,10 @@ class ByteBPE:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern or PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache: dict[str, bytes] = {}
-        self.sentence_end = np.zeros(max(ranks.values()) + 1, bool)
+        beside = os.path.splitext(ranks_path)[0] + ".json"
+        self.added = added_tokens(beside) if os.path.exists(beside) else {}
+        self.added_token = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
+        self.sentence_end = np.zeros(max([*ranks.values(), *self.added.values()]) + 1, bool)
         for token, rank in ranks.items():
             self.sentence_end[rank] = token.rstrip(b" ").endswith((b".", b"!", b"?", b"\n", "。".encode()))
 
@@ -69,6 +83,15 @@ class ByteBPE:
         return ids
 
     def encode(self, text: str) -> np.ndarray:
+        if not (self.added_token and self.added_token.search(text)):
+            return self._plain(text)
+        parts, at = [], 0
+        for found in self.added_token.finditer(text):
+            parts += [self._plain(text[at : found.start()]), np.array([self.added[found.group()]], "<u4")]
+            at = found.end()
+        return np.concatenate([*parts, self._plain(text[at:])])
+
+    def _plain(self, text: str) -> np.ndarray:
         if self.odd_space.search(text):
             return np.array(self.encoding.encode_ordinary(text), "<u4")
         first, *rest = text.split(" ")
