@@ -1,134 +1,5 @@
-"""Near copies by exact Jaccard similarity of word shingles.
+"""Near copies by exact Jaccard similarity of 5-word shingles, for the pipeline."""
 
-Two sets whose similarity is 4/5 or more share one of the first floor(n / 5) + 1 of their n shingles, in whatever order all
-sets have in common.  Only these prefixes are shuffled.  The order puts shingles last that a sample of the texts finds in
-many of them, so that a passage that many texts share is in hardly any prefix; the result does not depend on the sample.
+from .bottom_k import near_copies
 
-Texts that meet at a shingle are first compared with one text of it, twice with different ones, so that a large group of
-near copies falls together in a few links; what still lies apart after that is compared pair by pair.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
-
-from .common import partitions, store, text_hash, whole
-from .gray_index import components
-
-SHINGLE = 5
-SAMPLE = 20_000  # texts that are looked at for frequent shingles
-FREQUENT = 4  # texts of the sample that have a frequent shingle
-MOST_FREQUENT = 200_000
-ROWS = 1 << 18
-SEED = 42
-
-
-def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
-    """Distinct hashes of the word shingles of ``text`` in ASCII lower case, ascending; one shingle if it has fewer words."""
-    words = (text or "").encode().lower().split()
-    k = min(shingle, len(words))
-    joined, ends = b" ".join(words), np.cumsum([len(w) + 1 for w in words], dtype=np.int64)
-    if not k:
-        return np.array([xxhash.xxh64_intdigest(b"", SEED)], "<u8").view("<i8")
-    starts, stops = np.r_[0, ends[:-1]][: len(words) - k + 1].tolist(), (ends[k - 1 :] - 1).tolist()
-    return np.unique(np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in zip(starts, stops)], "<u8").view("<i8"))
-
-
-def _sets(docs: DataFrame) -> DataFrame:
-    """``id, shingles`` of each row; some at a time, as texts may be long."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            ids, sets, held = [], [], 0
-            for i, body in zip(frame["id"].tolist(), frame["body"].tolist()):
-                ids.append(i)
-                sets.append(shingles(body))
-                held += len(sets[-1])
-                if held >= ROWS:
-                    yield pd.DataFrame({"id": ids, "shingles": sets})
-                    ids, sets, held = [], [], 0
-            if ids:
-                yield pd.DataFrame({"id": ids, "shingles": sets})
-
-    return docs.mapInPandas(run, "id long, shingles array<long>")
-
-
-def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of a sample, ascending, and the texts that have them."""
-    share = min(1.0, SAMPLE / max(docs.count(), 1))
-    some = docs.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000)
-    counted = _sets(some).select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toPandas().sort_values("shingle")
-    return top["shingle"].to_numpy("int64"), top["n"].to_numpy("int64")
-
-
-def _prefixes(docs: DataFrame, frequent: np.ndarray, times: np.ndarray) -> DataFrame:
-    """``id, n, shingle``: the first shingles of each text, frequent ones last, and how many it has."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            held, rows = [], 0
-            for i, body in zip(frame["id"].tolist(), frame["body"].tolist()):
-                found = shingles(body)
-                rank = np.zeros(len(found), np.int64)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
-                    rank = np.where(frequent[at] == found, times[at], 0)
-                first = found[np.lexsort((found, rank))[: len(found) // 5 + 1]]
-                held.append(pd.DataFrame({"id": i, "n": len(found), "shingle": first}))
-                rows += len(first)
-                if rows >= ROWS:
-                    yield pd.concat(held, ignore_index=True)
-                    held, rows = [], 0
-            if held:
-                yield pd.concat(held, ignore_index=True)
-
-    return docs.mapInPandas(run, "id long, n long, shingle long")
-
-
-def _similar(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The ``pairs`` (u, v) whose texts have a similarity of 4/5 or more."""
-    pairs = store(pairs.groupBy("u", "v").agg(F.lit(1).alias("one")).drop("one"), "pairs")
-    asked = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    sets = store(_sets(docs.join(asked, "id", "left_semi")).dropDuplicates(["id"]), "shingles")
-    both = pairs.join(sets.toDF("u", "su"), "u").join(sets.toDF("v", "sv"), "v")
-    return store(both.filter("9 * size(array_intersect(su, sv)) >= 4 * (size(su) + size(sv))").select("u", "v"), "similar")
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, text_hash, component_key``.
-
-    Texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or more are linked, and linked texts are one
-    component.  Equal texts are one text; texts without words, null included, are one component.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(text_col).alias("id"), whole(text_col).alias("body"))
-    texts = rows.select("id", "body")
-    meet = _prefixes(texts, *_frequent(texts)).repartition(partitions(docs.sparkSession), "shingle").dropDuplicates(["shingle", "id"])
-    at = Window.partitionBy("shingle")
-    meet = store(meet.withColumn("texts", F.count("*").over(at)).filter("texts > 1").drop("texts"), "meetings")
-    close = F.expr("5 * least(n, m) >= 4 * greatest(n, m)")
-
-    links, roots = None, None
-    for turn in range(3):
-        placed = meet if roots is None else meet.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-        if roots is not None:
-            apart = placed.withColumn("least", F.min("root").over(at)).withColumn("most", F.max("root").over(at))
-            placed = store(apart.filter("least < most").drop("least", "most"), "apart")
-        if turn < 2:
-            star = F.min(F.struct(F.xxhash64("id", F.lit(turn)), F.col("id").alias("v"), F.col("n").alias("m"))).over(at)
-            pairs = placed.withColumn("star", star).select(F.col("id").alias("u"), "n", "star.v", "star.m").filter("u != v")
-        else:
-            other = placed.select("shingle", F.col("id").alias("v"), F.col("n").alias("m"), F.col("root").alias("other"))
-            pairs = placed.withColumnRenamed("id", "u").join(other, "shingle").filter("root < other")
-        pairs = pairs.filter(close).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        found = _similar(texts, pairs)
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-    return rows.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-        "doc_id", F.col("id").alias("text_hash"), F.coalesce("root", "id").alias("component_key")
-    )
+__all__ = ["near_copies"]

@@ -34,7 +34,6 @@ STEP = 256
 EVEN = (256, 512, 1024)  # lengths that are not padded
 EVEN_PENALTY = 8
 BUFFER = 1 << 19
-CACHE = 300_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -54,10 +53,7 @@ def added_tokens(json_path: str) -> dict[str, int]:
 
 
 class ByteBPE:
-    """Byte-level BPE of a rank file, with the added tokens of the JSON file beside it.  White space before a word belongs to
-    it, so single spaces are safe places to cut a text: the ids of each stretch between them are kept and looked up again."""
-
-    odd_space = re.compile(r" \s|\s ")
+    """Byte-level BPE of a rank file, with the added tokens of the JSON file beside it."""
 
     def __init__(self, ranks_path: str, pattern: str | None = None):
         import tiktoken
@@ -66,7 +62,6 @@ class ByteBPE:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern or PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cache: dict[str, bytes] = {}
         beside = os.path.splitext(ranks_path)[0] + ".json"
         self.added = added_tokens(beside) if os.path.exists(beside) else {}
         self.added_token = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
@@ -74,14 +69,6 @@ class ByteBPE:
         for token, rank in ranks.items():
             self.sentence_end[rank] = token.rstrip(b" ").endswith((b".", b"!", b"?", b"\n", "。".encode()))
 
-    def _fresh(self, stretch: str) -> bytes:
-        ids = np.array(self.encoding.encode_ordinary(stretch), "<u4").tobytes()
-        if len(stretch) <= 48:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[stretch] = ids
-        return ids
-
     def encode(self, text: str) -> np.ndarray:
         if not (self.added_token and self.added_token.search(text)):
             return self._plain(text)
@@ -92,13 +79,7 @@ class ByteBPE:
         return np.concatenate([*parts, self._plain(text[at:])])
 
     def _plain(self, text: str) -> np.ndarray:
-        if self.odd_space.search(text):
-            return np.array(self.encoding.encode_ordinary(text), "<u4")
-        first, *rest = text.split(" ")
-        known, fresh = self.cache.get, self._fresh
-        parts = [known(first) or fresh(first)] if first else []
-        parts += [known(s) or fresh(s) for s in (" " + x for x in rest)]
-        return np.frombuffer(b"".join(parts), "<u4")
+        return np.array(self.encoding.encode_ordinary(text), "<u4")
 
 
 def best_cuts(at: list[int], penalty: list[int], window: int = WINDOW, even: tuple[int, ...] = EVEN) -> list[int]:

@@ -9,9 +9,10 @@ import pytest
 sys.path.insert(0, "/root/repo")
 import corpus_pipeline
 from check import compare, connect
-from tapestry.llm import gray_index, line_rules, mixing
+from tapestry.llm import line_rules, mixing
 from tapestry.llm.common import store, table
 from tapestry.llm.queries import ORACLES, QUERIES
+from tests.llm.test_jaccard import brute
 from tests.llm.test_packing import check as check_packing
 
 SF = "/root/testdata/sf0.001"
@@ -49,18 +50,7 @@ def test_exact(stages):
 
 
 def test_near(stages):
-    got = stages[2].collect()
-    prints = {r.doc_id: gray_index.fingerprint(r.text) & (1 << 64) - 1 for r in got}
-    left, want = sorted(prints), []
-    while left:
-        first, waiting = left[0], [left[0]]
-        want.append(first)
-        left.remove(first)
-        while waiting:
-            a = waiting.pop()
-            near = [b for b in left if (prints[a] ^ prints[b]).bit_count() <= 4]
-            waiting += near
-            left = [b for b in left if b not in near]
+    want = brute([(r.doc_id, r.text) for r in stages[2].collect()])
     assert sorted(r.doc_id for r in stages[3].collect()) == want
 
 
