@@ -7,13 +7,15 @@ a passage that many texts share is in hardly any sketch; the result does not dep
 
 The place of a shared value bounds what two sets can have in common from there on, which drops most meetings.  For the pairs
 that are left the sketches are intersected: what they share, and what lies beyond them, bounds the similarity of the sets.
-Pairs that pass are compared on their full sets.  Texts of a list first meet two of their list only, so that a large group of
-near copies falls together in few links; members of a list that still lie apart after that all meet.
+Pairs that pass are compared on the full sets of their texts; texts are smaller than sets of hashes, so they are what travels.
+Sets first meet one member of their lists only, twice, so that a large group of near copies falls together in few links;
+members of a list that still lie apart after that all meet.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ MOST_FREQUENT = 200_000
 ROWS = 1 << 18  # values that a task holds before it passes them on
 SEEN = 1 << 18  # sets that a task remembers, not to write a copy again
 SEED = 42
-SET = "doc_id long, text_hash long, words long, node long, n int, low array<long>, rest array<long>"
+SET = "doc_id long, text_hash long, words long, node long, n int, low array<long>"
 
 
 def shingles(text: str | None, shingle: int = SHINGLE) -> tuple[int, np.ndarray]:
@@ -65,7 +67,7 @@ def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """One row per text with the identity ``node`` of its set, the sketch ``low`` and the ``rest`` (null for a copy in the same task)."""
+    """One row per text with the identity ``node`` of its set and the sketch ``low`` (null for a copy in the same task)."""
     frequent, times = _frequent(texts, shingle)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,16 +78,16 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
                 words, found = shingles(body, shingle)
                 node, n = xxhash.xxh3_64_intdigest(found.tobytes(), SEED), len(found)
                 node -= (node >> 63) << 64
-                low = rest = None
+                low = None
                 if node not in seen:
                     seen = seen if len(seen) < SEEN else set()
                     seen.add(node)
                     if len(frequent):
                         at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
                         found = found[np.lexsort((found, np.where(frequent[at] == found, times[at], 0)))]
-                    low, rest = np.split(found.view("<i8"), [n // 5 + 1])
-                rows.append((None if pd.isna(doc_id) else int(doc_id), text_hash, words, node, n, low, rest))
-                held += n if low is not None else 1
+                    low = found.view("<i8")[: n // 5 + 1].copy()
+                rows.append((None if pd.isna(doc_id) else int(doc_id), text_hash, words, node, n, low))
+                held += 1 if low is None else len(low)
                 if held >= ROWS:
                     yield as_frame(rows)
                     rows, held = [], 0
@@ -106,18 +108,28 @@ def most_shared(places: str, sizes: str) -> str:
     return f"9 * least({n} - {i}, {m} - {j}) >= 4 * ({n} + {m})"
 
 
-def _confirmed(sets: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+def _confirmed(texts: DataFrame, sets: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """The ``pairs`` (u, v) whose sets have a similarity of 4/5 or more."""
-    pairs = store(pairs.groupBy("u", "v").agg(F.count("*").alias("lists")), "pairs")
-    asked = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    held = store(sets.join(reps.join(asked, "node").select("row"), "row").select("node", "n", "low", "rest"), "asked-sets")
+    ends = lambda p: p.select(F.col("u").alias("node")).unionByName(p.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("pairs"))
+    pairs = store(pairs, "pairs")
+    asked = store(nodes.join(ends(pairs), "node").select("row"), "asked")
+    held = store(sets.select("row", "node", "n", "low").join(asked, "row").drop("row"), "asked-sketches")
     low = lambda x: held.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("low").alias(f"low{x}"))
-    full = lambda x: held.select(F.col("node").alias(x), F.concat("low", "rest").alias(f"s{x}"))
     # Shared values beyond the sketches are in the rest of the set whose sketch ends first.
     bound = "9 * (size(array_intersect(lowu, lowv)) + greatest(nu - size(lowu), nv - size(lowv))) >= 4 * (nu + nv)"
     near = store(pairs.join(low("u"), "u").join(low("v"), "v").filter(bound).select("u", "v"), "candidates")
-    exact = "9 * size(array_intersect(su, sv)) >= 4 * (size(su) + size(sv))"
-    return store(near.join(full("u"), "u").join(full("v"), "v").filter(exact).select("u", "v"), "similar")
+    asked = store(nodes.join(ends(near), "node").select("node", F.col("text").alias("text_hash")), "asked")
+    bodies = store(texts.select("text_hash", "body").join(asked, "text_hash").dropDuplicates(["node"]).select("node", "body"), "asked-texts")
+    body = lambda x: bodies.select(F.col("node").alias(x), F.col("body").alias(f"t{x}"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = lru_cache(256)(lambda text: shingles(text, shingle)[1])
+        for frame in batches:
+            pairs = [(known(a), known(b)) for a, b in zip(frame["tu"], frame["tv"])]
+            same = np.array([9 * len(np.intersect1d(a, b, assume_unique=True)) >= 4 * (len(a) + len(b)) for a, b in pairs], bool)
+            yield frame.loc[same, ["u", "v"]]
+
+    return store(near.join(body("u"), "u").join(body("v"), "v").select("u", "v", "tu", "tv").mapInPandas(run, "u long, v long"), "similar")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE) -> DataFrame:
@@ -131,30 +143,39 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(whole(text_col)).alias("text_hash"), whole(text_col).alias("body"))
     sets = store(_sets(texts, shingle).withColumn("row", F.monotonically_increasing_id()), "sets")
     rows = sets.select("doc_id", "text_hash", "words", "node", "n")
-    nodes = store(sets.groupBy("node").agg(F.min("doc_id").alias("first"), F.min(F.when(F.col("low").isNotNull(), F.col("row"))).alias("row")), "nodes")
-    reps, sets = nodes.select("node", "row"), sets.filter("low IS NOT NULL")
-
+    nodes = store(
+        sets.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text"), F.min(F.when(F.col("low").isNotNull(), F.col("row"))).alias("row")), "nodes"
+    )
+    sets = sets.filter("low IS NOT NULL")
     entries = sets.select("node", "n", F.posexplode("low").alias("at", "value")).repartition(partitions(docs.sparkSession), "value")
     listed = Window.partitionBy("value")
     entries = entries.dropDuplicates(["value", "node"]).withColumn("members", F.count("*").over(listed))
     lists = store(entries.filter("members > 1").drop("members"), "lists")
 
-    # Sets of like size meet one or two of them first: those of smallest hash under two seeds.
+    fits, links, roots = F.expr(most_shared("i j", "n m")), None, None
     alike = Window.partitionBy("value", F.floor(F.log("n") / F.log(F.lit(1.25))))
-    star = lambda seed: F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"))).over(alike)
-    meet = lists.withColumn("stars", F.array(star(1), star(2))).select(F.col("node").alias("u"), "n", F.col("at").alias("i"), F.inline("stars"))
-    fits = F.expr(most_shared("i j", "n m"))
-    ordered = lambda df: df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    links = _confirmed(sets, reps, ordered(meet.filter("u != v").filter(fits)))
-    roots = components(links)
-
-    # What is still apart meets in every list that both are in.
-    placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.withColumn("least", F.min("root").over(listed)).withColumn("most", F.max("root").over(listed))
-    apart = store(mixed.filter("least < most").drop("least", "most"), "apart")
-    other = apart.select("value", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"), F.col("root").alias("other"))
-    late = _confirmed(sets, reps, ordered(apart.withColumnsRenamed({"node": "u", "at": "i"}).join(other, "value").filter("root < other").filter(fits)))
-    roots = components(links.unionByName(late))
+    for turn in range(3):
+        if roots is not None:
+            placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            mixed = placed.withColumn("least", F.min("root").over(listed)).withColumn("most", F.max("root").over(listed))
+            lists = store(mixed.filter("least < most").drop("least", "most"), "apart")
+        else:
+            lists = lists.withColumn("root", F.col("node"))
+        asks = lists.withColumnsRenamed({"node": "u", "at": "i"})
+        if turn < 2:
+            # Sets of like size meet the one of smallest hash in each of their lists; each asks the one it meets most often.
+            star = F.min(F.struct(F.xxhash64("u", F.lit(turn)).alias("h"), F.col("u").alias("v"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("root").alias("other"))).over(alike)
+            meet = asks.withColumn("star", star).select("u", "n", "i", "root", "star.*").filter("root != other").filter(fits)
+            often = meet.groupBy("u", "v").agg(F.count("*").alias("lists")).groupBy("u").agg(F.max_by("v", "lists").alias("v"))
+            pairs = often.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        else:
+            other = lists.select("value", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"), F.col("root").alias("other"))
+            meet = asks.join(other, "value").filter("root < other").filter(fits)
+            pairs = meet.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.count("*").alias("lists")).drop("lists")
+        found = _confirmed(texts, sets, nodes, pairs, shingle)
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+        lists = lists.drop("root")
 
     placed = store(nodes.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     firsts = placed.groupBy("root").agg(F.min("first").alias("component_id"))
