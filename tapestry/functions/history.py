@@ -8,10 +8,9 @@ owns a large share of the data.  Two kernels keep the group size bounded:
     is cut into blocks of consecutive positions, and each block receives copies of the few neighbouring
     rows its frames reach into.  The window partition is then ``by + block``.
 ``running``       for unbounded prefixes (sum, max, last known value, previous row).  Ranges of the whole order, cut at
-    sampled quantiles, are scanned on their own; the state before a range is joined in from a summary of one row per
-    group and range.
+    sampled quantiles, are scanned on their own; the state before a range comes from the last rows of the ranges.
 
-Whether to split is decided by measuring the largest group (one column-pruned count); groups that fit use
+Whether ``over_history`` cuts is decided by measuring the largest group (one column-pruned count); groups that fit use
 the single-shuffle plain form, with the same results.
 """
 
@@ -22,8 +21,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from . import prefix
 from ..session import settle
 
 # Rows one window group may hold before its history is split (override per session).
@@ -122,6 +122,14 @@ def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: b
 # prefix scans
 
 
+def range_count(df: DataFrame, chunk) -> int:
+    """Number of ranges: one per shuffle partition, unless ``chunk`` asks for ranges of so many rows or is a ready ``Split``."""
+    if isinstance(chunk, int):
+        return max(1, math.ceil(df.count() / chunk))
+    wanted = chunk.ranges if isinstance(chunk, Split) else None
+    return wanted or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def running(
     df: DataFrame,
     *,
@@ -129,74 +137,72 @@ def running(
     order,
     chunk="auto",
     sums: Mapping[str, Column] | None = None,
+    peaks: Mapping[str, str] | None = None,
     maxes: Mapping[str, Column] | None = None,
+    reigns: Mapping[str, str] | None = None,
     lasts: Mapping[str, Column] | None = None,
     prevs: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Add running values to every row.
 
-    ``sums``/``maxes``: prefix sum / maximum including the row; ``lasts``: last non-null value up to and
-    including the row; ``prevs``: value of the row before (null on the first).
+    ``sums``/``maxes``: prefix sum / maximum including the row; ``peaks``: highest value so far of a named sum; ``reigns``: a
+    number pair that stays the same from one row at the named maximum to the next such row; ``lasts``: last non-null value up
+    to and including the row; ``prevs``: value of the row before (null on the first).
+
+    One shuffle, at every size: rows are dealt into ranges of the whole order (group, time, tiebreak) at sampled quantiles, even
+    whatever the times are, and scanned there one after the other.  A range only lacks what came before it of its first
+    group; the last rows of all ranges, one per range, tell it.  The ranges are written out, so that a lost executor
+    cannot cut them anew, and the table that comes back is the written one with that carry added.
     """
     by, order = names(by), names(order)
-    sums, maxes, lasts, prevs = (dict(m or {}) for m in (sums, maxes, lasts, prevs))
-    split = plan_split(df, by, order, chunk)
-    if split.ranges is None:
-        w = Window.partitionBy(*by).orderBy(*order)
-        f = w.rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns(
-            {n: F.sum(c).over(f) for n, c in sums.items()}
-            | {n: F.max(c).over(f) for n, c in maxes.items()}
-            | {n: F.last(c, ignorenulls=True).over(f) for n, c in lasts.items()}
-            | {n: F.lag(c).over(w) for n, c in prevs.items()}
-        )
-
-    # Ranges of group, time and tiebreak at sampled quantiles: even whatever the times are, also within one time stamp.
-    # Written out, because the carries below must see the same cuts as the rows.
-    df = settle(df.repartitionByRange(split.ranges, *by, *order).withColumn(BUCKET, F.spark_partition_id()), "ranges")
-    keys = by + [BUCKET]
-    pos = F.struct(*order)
-    aggs, prefix = [], []
-    before = Window.partitionBy(*by).orderBy(BUCKET)
-    upto = before.rowsBetween(Window.unboundedPreceding, -1)
-    for n, c in sums.items():
-        aggs.append(F.sum(c).alias(f"__a_{n}"))
-        prefix.append(F.sum(f"__a_{n}").over(upto).alias(f"__c_{n}"))
-    for n, c in maxes.items():
-        aggs.append(F.max(c).alias(f"__a_{n}"))
-        prefix.append(F.max(f"__a_{n}").over(upto).alias(f"__c_{n}"))
-    for n, c in lasts.items():
-        aggs.append(F.max(F.when(c.isNotNull(), F.struct(pos.alias("p"), c.alias("v"))))["v"].alias(f"__a_{n}"))
-        prefix.append(F.last(f"__a_{n}", ignorenulls=True).over(upto).alias(f"__c_{n}"))
-    for n, c in prevs.items():
-        aggs.append(F.max(F.struct(pos.alias("p"), c.alias("v")))["v"].alias(f"__a_{n}"))
-        prefix.append(F.lag(f"__a_{n}").over(before).alias(f"__c_{n}"))
-    carries = df.groupBy(*keys).agg(*aggs).select(*keys, *prefix)
-
-    w = Window.partitionBy(*keys).orderBy(*order)
-    f = w.rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumns(
-        {f"__l_{n}": F.sum(c).over(f) for n, c in sums.items()}
-        | {f"__l_{n}": F.max(c).over(f) for n, c in maxes.items()}
-        | {f"__l_{n}": F.last(c, ignorenulls=True).over(f) for n, c in lasts.items()}
-        | {f"__l_{n}": F.lag(c).over(w) for n, c in prevs.items()}
-        | ({"__first": F.row_number().over(w) == 1} if prevs else {})
-    )
-    joined = same_keys(local, carries, keys, split.null_keys)
-    out = {}
-    for n in sums:
-        out[n] = F.coalesce(
-            F.col(f"__l_{n}") + F.col(f"__c_{n}"), F.col(f"__l_{n}"), F.col(f"__c_{n}")
-        )
-    for n in maxes:
-        out[n] = F.greatest(F.col(f"__l_{n}"), F.col(f"__c_{n}"))
-    for n in lasts:
-        out[n] = F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}"))
-    for n in prevs:
-        out[n] = F.when(F.col("__first"), F.col(f"__c_{n}")).otherwise(F.col(f"__l_{n}"))
-    return joined.select(
-        *[c for c in df.columns if c != BUCKET and c not in out], *[c.alias(n) for n, c in out.items()]
+    sums, peaks, maxes, reigns, lasts, prevs = (dict(m or {}) for m in (sums, peaks, maxes, reigns, lasts, prevs))
+    given = sums | maxes | lasts | prevs
+    dealt = df.repartitionByRange(range_count(df, chunk), *by, *order).sortWithinPartitions(*by, *order)
+    kinds = {f.name: f.dataType for f in df.select(*[c.alias(n) for n, c in given.items()]).schema}
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    for n in (*sums, *maxes):
+        kinds[n] = T.LongType() if isinstance(kinds[n], whole) else T.DoubleType()
+    plain = [c for c in df.columns if c not in given and c not in peaks and c not in reigns]
+    dealt = dealt.select(*plain, F.spark_partition_id().alias(BUCKET), *[c.cast(kinds[n]).alias(f"__x_{n}") for n, c in given.items()])
+    peak_of, reign_of = {s: n for n, s in peaks.items()}, {m: n for n, m in reigns.items()}
+    scans = [prefix.running_sum(f"__l_{n}", f"__x_{n}", f"__l_{peak_of[n]}" if n in peak_of else None) for n in sums]
+    scans += [prefix.running_max(f"__l_{n}", f"__x_{n}", f"__l_{reign_of[n]}" if n in reign_of else None) for n in maxes]
+    scans += [prefix.running_last(f"__l_{n}", f"__x_{n}") for n in lasts] + [prefix.previous(f"__l_{n}", f"__x_{n}") for n in prevs]
+    local = {n: kinds[n] for n in given} | {n: kinds[s] for n, s in peaks.items()} | {n: T.LongType() for n in reigns}
+    schema = T.StructType([dealt.schema[c] for c in (*plain, BUCKET)])
+    for n, kind in [(f"__l_{n}", k) for n, k in local.items()] + [(f"__x_{n}", kinds[n]) for n in prevs]:
+        schema = schema.add(n, kind)
+    schema = schema.add(prefix.AT_START, "boolean").add(prefix.AT_END, "boolean")
+    ranged = settle(dealt.mapInArrow(prefix.scanner(by, scans, schema.names), schema), "ranges")
+
+    # From here on one row per range.
+    ends = ranged.filter(prefix.AT_END)
+    here = Window.partitionBy(*by).orderBy(BUCKET)
+    before, upto = here.rowsBetween(Window.unboundedPreceding, -1), here.rowsBetween(Window.unboundedPreceding, 0)
+    carry = {n: F.sum(f"__l_{n}").over(upto) for n in sums} | {n: F.max(f"__l_{n}").over(upto) for n in maxes}
+    carry |= {n: F.last(f"__l_{n}", ignorenulls=True).over(upto) for n in lasts} | {n: F.col(f"__x_{n}") for n in prevs}
+    steps = {f"__h_{n}": F.coalesce(F.sum(f"__l_{s}").over(before), F.lit(0)) + F.col(f"__l_{n}") for n, s in peaks.items()}
+    steps |= {f"__h_{n}": _reign(f"__l_{m}", F.max(f"__l_{m}").over(before), f"__l_{n}", F.lit(None)) for n, m in reigns.items()}
+    carry |= {n: F.max(f"__h_{n}").over(upto) for n in peaks} | {n: F.last(f"__h_{n}", ignorenulls=True).over(upto) for n in reigns}
+    following = F.lead(BUCKET).over(Window.orderBy(BUCKET))
+    carries = ends.withColumns(steps).select(
+        *[F.col(c).alias(f"__r_{c}") for c in by], following.alias("__r_bucket"), *[c.alias(f"__c_{n}") for n, c in carry.items()], F.lit(True).alias("__carried")
     )
+    match = reduce(lambda a, b: a & b, [ranged[c].eqNullSafe(carries[f"__r_{c}"]) for c in by], ranged[BUCKET] == carries["__r_bucket"])
+    joined = ranged.join(F.broadcast(carries), match, "left")
+    own, brought = (lambda n: F.col(f"__l_{n}")), (lambda n: F.col(f"__c_{n}"))
+    out = {n: F.coalesce(own(n) + brought(n), own(n), brought(n)) for n in sums}
+    out |= {n: F.greatest(F.coalesce(brought(s), F.lit(0)) + own(n), brought(n)) for n, s in peaks.items()}
+    out |= {n: F.greatest(own(n), brought(n)) for n in maxes} | {n: F.coalesce(own(n), brought(n)) for n in lasts}
+    out |= {n: _reign(f"__l_{m}", brought(m), f"__l_{n}", brought(n)) for n, m in reigns.items()}
+    out |= {n: F.when(F.col(prefix.AT_START) & F.col("__carried"), brought(n)).otherwise(own(n)) for n in prevs}
+    return joined.select(*plain, *[c.alias(n) for n, c in out.items()])
+
+
+def _reign(high: str, earlier: Column, count: str, inherited: Column) -> Column:
+    """Which row at the maximum reigns: the range's own, unless an earlier range went higher."""
+    pair = F.struct(F.col(BUCKET).alias("range"), F.col(count).alias("at"))
+    return F.when(earlier.isNotNull() & (F.col(high).isNull() | (F.col(high) < earlier)), inherited).otherwise(pair)
 
 
 def number_rows(df: DataFrame, *, by, order, chunk="auto", name: str = RN) -> DataFrame:

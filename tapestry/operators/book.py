@@ -5,12 +5,16 @@ A book is a table ``contract, side, price, volume, ts, type`` with one row per l
 
 from __future__ import annotations
 
-import math
+import heapq
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions.blocks import AT_ENTRY, BLOCK, POS, Walker, last_blocks, level_states, newest_in_block, positioned, walk
 from ..functions.exprs import classify, safe_div
-from ..functions.history import RN, Split, names, number_rows, over_history, plan_split, row_limit
+from ..functions.history import names, over_history, range_count
+from ..functions.prefix import Rows
 from ..schemas import DEPTH_ASK, DEPTH_BID, DEPTH_CHANGES, DEPTH_TRADE
 from ..session import settle
 
@@ -54,47 +58,128 @@ def route_depth(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto") -
 def route_depth_exact(depth: DataFrame, *, by="contract", order=ORDER, batch: str | None = None, chunk="auto") -> DataFrame:
     """Like :func:`route_depth`, with the mid of the book that includes the changes placed before.
 
-    Each placement depends on the earlier ones.  Instead of walking through a contract row by row, all changes are placed
-    at once and placed again with the book that results, until no placement moves: every round settles at least the
-    first one that was still wrong, so the result is that of the walk.  ``batch``: column numbering the messages; the
-    book changes after a message, and its trades are compared with the book after it.
+    Each placement depends on the earlier ones, so blocks are walked from the book that is expected at their start: at first
+    that of the plain quotes.  A walk tells which levels each block leaves behind, and the blocks whose book at the start turns
+    out to be another one are walked again.  The first block of a contract is right at once and every round settles the
+    next one at least, so there are as many rounds as blocks at most; two or three are usual, as a placement depends on
+    the mid alone.  ``batch``: column numbering the messages (rows that follow each other); the book changes after a message,
+    and its trades are compared with the book after it.
     """
     by, order = names(by), names(order)
-    split = plan_split(depth, by, order, chunk)
-    size, chunk = _history_size(depth, by, split), _of_levels(split, chunk)
-    numbered = number_rows(depth, by=by, order=order, chunk=split)
-    if batch is None:
-        numbered = numbered.withColumns({"__before": F.col(RN) - 1, "__after": F.col(RN)})
-    else:
-        ends = numbered.groupBy(*by, batch).agg((F.min(RN) - 1).alias("__before"), F.max(RN).alias("__after"))
-        numbered = numbered.join(ends, by + [batch])
-    numbered = settle(numbered, "numbered")
-    code, price, mid = F.col("type"), F.col("price"), F.col("mid")
-    plain = numbered.filter(code.isin(DEPTH_ASK, DEPTH_BID)).withColumn("side", _plain_side())
-    changes = numbered.filter(code.isin(*DEPTH_CHANGES))
-
-    def book_updates(placed):
-        both = F.split(F.when(F.col("placed") == "both", "bid,ask").otherwise(F.col("placed")), ",")
-        moved = placed.withColumn("side", F.explode(both)).select(*plain.columns)
-        return plain.unionByName(moved)
-
-    undecided = mid.isNull() | (mid == 0) | (price == 0)
-    placement = F.when(undecided, "both").when(price <= mid, "bid").otherwise("ask")
-    placed = changes.withColumn("placed", F.lit("both")).limit(0)
-    earlier = changes.withColumn("placed", F.lit(""))
-    while True:
-        seen = with_mid(_best_at(earlier, "__before", book_updates(placed), by, order, chunk, size))
-        now = settle(seen.withColumn("__new", placement), "placed")
-        moved = now.filter(F.col("__new") != F.col("placed")).limit(1).count()
-        placed = earlier = now.withColumn("placed", F.col("__new")).select(*changes.columns, "placed")
-        if not moved:
+    message, line = [], order
+    if batch is not None:
+        # A message stays in one block: all its rows are ordered by its first one.
+        opens = F.min(F.struct(*order)).over(Window.partitionBy(*by, batch))
+        depth, message, line = depth.withColumn("__opens", opens), [batch], ["__opens", *order]
+    blocks = range_count(depth, chunk)
+    slim = depth.select(*by, *line, *[c for c in message if c not in by + line], "price", "volume", "type")
+    rows = _whole_messages(slim, by, line, order, chunk) if message else positioned(slim, by=by, order=line, chunk=chunk)
+    rows = rows.withColumn("side", _plain_side())
+    until = last_blocks(rows, by=by)
+    state = lambda updates: level_states(newest_in_block(updates, by=by, key=["side", "price"], value="volume"), until, by=by, key=["side", "price"], alive=F.col("volume") > 0)
+    entry = settle(state(rows.filter(F.col("side").isNotNull())), "entry")
+    schema = T.StructType([rows.schema[c] for c in (*by, *order, "price", "volume")]).add("side", "string").add("type", "string")
+    schema = schema.add("best_bid", "double").add("best_ask", "double").add(rows.schema[BLOCK]).add(rows.schema[POS])
+    columns = [*by, *order, "price", "volume"]
+    todo, done = rows, None
+    for _ in range(blocks):
+        walker = lambda: _placements(columns, message)
+        walked = todo.unionByName(_same_blocks(entry, todo, by, done), allowMissingColumns=True)
+        fresh = settle(walk(walked, by=by, order=[POS], blocks=blocks, walker=walker, schema=schema), "routed")
+        done = fresh if done is None else done.join(stale, _same(done, stale, by), "left_anti").unionByName(fresh)  # noqa: F821
+        after = settle(state(done.filter(F.col("side") != "trade")), "entry")
+        stale = settle(_changed(entry, after, by), "stale")
+        if stale.isEmpty():
             break
-    updates = book_updates(placed)
-    label = F.when(code.isin(*DEPTH_CHANGES), F.concat(F.col("side"), F.lit("_mod_"), code.cast("string"))).otherwise(F.col("side"))
-    executed = numbered.filter((code == DEPTH_TRADE) & (F.col("volume") > 0)).withColumn("side", F.lit("trade"))
-    executed = _best_at(executed, "__after", updates, by, order, chunk, size)
-    routed = updates.unionByName(executed, allowMissingColumns=True)
-    return routed.select(*by, *order, "price", "volume", "side", label.alias("type"), "best_bid", "best_ask")
+        todo, entry = rows.join(stale, _same(rows, stale, by), "left_semi"), after
+    return done.select(*columns, "side", "type", "best_bid", "best_ask")
+
+
+def _whole_messages(slim: DataFrame, by, line, order, chunk) -> DataFrame:
+    """Rows dealt by the start of their message, so that no block ends inside one."""
+    dealt = slim.repartitionByRange(range_count(slim, chunk), *by, line[0]).sortWithinPartitions(*by, *line)
+    return settle(dealt.select("*", F.spark_partition_id().alias(BLOCK), F.monotonically_increasing_id().alias(POS)), "positioned")
+
+
+def _same(a: DataFrame, b: DataFrame, by) -> Column:
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in by], a[BLOCK] == b[BLOCK])
+
+
+def _same_blocks(entry: DataFrame, todo: DataFrame, by, done) -> DataFrame:
+    """The states of the blocks that are walked."""
+    if done is None:
+        return entry
+    asked = todo.select(*by, BLOCK).distinct()
+    return entry.join(asked, _same(entry, asked, by), "left_semi")
+
+
+def _changed(old: DataFrame, new: DataFrame, by) -> DataFrame:
+    """Groups and blocks whose states at the start differ."""
+    state = [*by, BLOCK, "side", "price", "volume"]
+    both = old.select(*state, F.lit(1).alias("__n")).unionByName(new.select(*state, F.lit(-1).alias("__n")))
+    return both.groupBy(*state).agg(F.sum("__n").alias("__n")).filter("__n != 0").select(*by, BLOCK).distinct()
+
+
+def _placements(columns: list[str], message: list[str]) -> Walker:
+    """Walker that places changes by the mid before their message and compares trades with the book after theirs."""
+    book: dict[str, Side] = new_book()
+    mid, current, waiting = None, None, []
+
+    def step(rows: Rows) -> pa.RecordBatch:
+        nonlocal book, mid, current, waiting
+        out: list[tuple] = []  # (batch, row, side, label, bid, ask)
+        fields = [rows.batch.column(c).to_pylist() for c in ("type", "price", "volume", POS, *message)]
+        for i, (start, code, price, volume, pos, *number) in enumerate(zip(rows.start.tolist(), *fields)):
+            if start:
+                out += after_message()
+                book, current = new_book(), None
+            if pos == AT_ENTRY:
+                book[rows.batch.column("side")[i].as_py()].put(price, volume)
+                continue
+            number = number[0] if number else pos
+            if current is None or current[0] != number:
+                out += after_message()
+                current = (number,)
+                mid = _mid(book)
+            if code in (DEPTH_BID, DEPTH_ASK):
+                sides, label = ["bid" if code == DEPTH_BID else "ask"], None
+            elif code in DEPTH_CHANGES:
+                sides = ["bid", "ask"] if not mid or price == 0 else ["bid"] if price is not None and price <= mid else ["ask"]
+                label = f"_mod_{code}"
+            else:
+                if code == DEPTH_TRADE and volume is not None and volume > 0:
+                    waiting.append((rows.batch, i))
+                continue
+            for side in sides:
+                book[side].put(price, volume)
+                out.append((rows.batch, i, side, side + (label or ""), None, None))
+        # Trades of an open message wait for its end; its last rows may come with the next batch.
+        return written(out)
+
+    def after_message() -> list[tuple]:
+        nonlocal waiting
+        bid, ask = book["bid"].best(), book["ask"].best()
+        told, waiting = [(batch, i, "trade", "trade", bid, ask) for batch, i in waiting], []
+        return told
+
+    def written(out: list[tuple]) -> pa.RecordBatch | None:
+        parts = []
+        for batch in {id(o[0]): o[0] for o in out}.values():
+            mine = [o for o in out if o[0] is batch]
+            taken = batch.select([*columns, BLOCK, POS]).take(pa.array([o[1] for o in mine], pa.int64()))
+            told = {"side": pa.string(), "type": pa.string(), "best_bid": pa.float64(), "best_ask": pa.float64()}
+            extra = [pa.array([o[k] for o in mine], kind) for k, kind in enumerate(told.values(), 2)]
+            n = len(columns)
+            parts.append(pa.RecordBatch.from_arrays([*taken.columns[:n], *extra, *taken.columns[n:]], [*columns, *told, BLOCK, POS]))
+        return pa.concat_batches(parts) if parts else None
+
+    step.finish = lambda: written(after_message())
+    return step
+
+
+def _mid(book: dict[str, Side]) -> float | None:
+    bid, ask = book["bid"].best(), book["ask"].best()
+    return (bid + ask) / 2.0 if bid and ask else None
 
 
 def routed_trades(routed: DataFrame) -> DataFrame:
@@ -147,119 +232,149 @@ def level_intervals(updates: DataFrame, *, by="contract", order=ORDER, chunk="au
 
 def book_at_grid(updates: DataFrame, start, end, step_seconds: int, *, levels: int | None = None, by="contract", order=ORDER,
                  chunk="auto") -> DataFrame:
-    """Books at the instants ``start, start+step, .. <= end``.
+    """Books at the instants ``start, start+step, .. <= end``, their levels numbered from the best (or the best ``levels`` only).
 
-    Every level state is expanded to the instants it covers, so nothing is joined and only live rows appear.
+    The instants are put among the updates of every contract, and whoever walks through a block writes the book down when it
+    meets one; levels are sorted again only after a change.
     """
-    by = names(by)
-    step = step_seconds * 1_000_000
+    by, order = names(by), names(order)
+    step, ts = step_seconds * 1_000_000, order[0]
     t0, t1 = (F.unix_micros(F.lit(x).cast("timestamp")) for x in (start, end))
-    spans = level_intervals(updates, by=by, order=order, chunk=chunk).filter(F.col("volume") > 0)
-    first = F.greatest(F.ceil((F.unix_micros("valid_from") - t0) / F.lit(step)), F.lit(0))
-    last_covered = F.ceil((F.unix_micros("valid_to") - t0) / F.lit(step)) - 1
-    last = F.least(F.coalesce(last_covered, F.lit(1 << 60)), F.floor((t1 - t0) / F.lit(step)))
-    at = (
-        spans.withColumn("__a", first).withColumn("__z", last).filter(F.col("__a") <= F.col("__z"))
-        # Two short arrays instead of one with every instant: blocks of the grid, then the instants of a block.
-        .withColumn("__b", F.explode(F.expr(f"sequence(__a div {GRID_BLOCK}, __z div {GRID_BLOCK})")))
-        .withColumn("__i", F.explode(F.expr(f"sequence(greatest(__a, __b * {GRID_BLOCK}), least(__z, (__b + 1) * {GRID_BLOCK} - 1))")))
-        .select(*by, F.timestamp_micros(t0 + F.col("__i") * step).alias("as_of"), "side", "price", "volume")
-    )
-    w = Window.partitionBy(*by, "as_of", "side").orderBy(level_rank())
-    ranked = at.withColumn("level", F.row_number().over(w))
-    return ranked if levels is None else ranked.filter(F.col("level") <= levels)
-
-
-RANGE_BITS = 3  # a range is eight of the next smaller size
-GROUP_BITS = 15
+    changes = updates.filter(F.col("side").isin("bid", "ask") & (F.col(ts) <= F.lit(end).cast("timestamp")))
+    changes = changes.select(*by, *order, "side", "price", "volume", F.lit(False).alias("__asked"))
+    first = changes.groupBy(*by).agg(F.greatest(F.ceil((F.unix_micros(F.min(ts)) - t0) / F.lit(step)), F.lit(0)).alias("__a"))
+    spots = first.withColumn("__z", F.floor((t1 - t0) / F.lit(step))).filter("__a <= __z")
+    # Two short arrays instead of one with every instant: blocks of the grid, then the instants of a block.
+    spots = spots.withColumn("__b", F.explode(F.expr(f"sequence(__a div {GRID_BLOCK}, __z div {GRID_BLOCK})")))
+    spots = spots.withColumn("__i", F.explode(F.expr(f"sequence(greatest(__a, __b * {GRID_BLOCK}), least(__z, (__b + 1) * {GRID_BLOCK} - 1))")))
+    asked = spots.select(*by, F.timestamp_micros(t0 + F.col("__i") * step).alias(ts), F.lit(True).alias("__asked"))
+    both, line = changes.unionByName(asked, allowMissingColumns=True), [ts, "__asked", *order[1:]]
+    blocks = range_count(both, chunk)
+    rows = positioned(both, by=by, order=line, chunk=chunk)
+    entry = _entry_levels(rows.filter(~F.col("__asked")), rows, by)
+    schema = T.StructType([changes.schema[c] for c in by]).add("as_of", "timestamp")
+    schema = schema.add("side", "string").add("price", "double").add("volume", changes.schema["volume"].dataType).add("level", "integer")
+    walked = rows.unionByName(entry, allowMissingColumns=True)
+    return walk(walked, by=by, order=[POS], blocks=blocks, walker=lambda: _whole_books(by, ts, levels), schema=schema)
+
+
+def _whole_books(by: list[str], ts: str, levels: int | None) -> Walker:
+    """Walker that writes down all levels at the rows that ask for them."""
+    book: dict[str, Side] = new_book()
+    known: dict[str, list[tuple]] = {}
+
+    def step(rows: Rows) -> pa.RecordBatch:
+        nonlocal book, known
+        at, sides, prices, volumes, ranks = [], [], [], [], []
+        fields = [rows.batch.column(c).to_pylist() for c in ("side", "price", "volume", "__asked")]
+        for i, (start, side, price, volume, asked) in enumerate(zip(rows.start.tolist(), *fields)):
+            if start:
+                book, known = new_book(), {}
+            if side is not None:
+                book[side].put(price, volume)
+                known.pop(side, None)
+            elif asked:
+                for name in ("bid", "ask"):
+                    if name not in known:
+                        known[name] = list(zip(*book[name].levels(levels))) or [(), ()]
+                    p, v = known[name]
+                    at += [i] * len(p)
+                    sides += [name] * len(p)
+                    prices += p
+                    volumes += v
+                    ranks += range(1, len(p) + 1)
+        spots = rows.batch.select([*by, ts]).take(pa.array(at, pa.int64()))
+        found = [pa.array(sides, pa.string()), pa.array(prices, pa.float64()), pa.array(volumes, rows.batch.schema.field("volume").type), pa.array(ranks, pa.int32())]
+        return pa.RecordBatch.from_arrays([*spots.columns, *found], [*by, "as_of", "side", "price", "volume", "level"])
+
+    return step
 
 
 def bbo_history(depth: DataFrame, *, by="contract", order=ORDER, chunk="auto", wanted: Column | None = None) -> DataFrame:
-    """Best bid and ask of the plain-quote book (codes 1 and 2) right after every depth row (or every ``wanted`` one)."""
-    by, order = names(by), names(order)
-    split = plan_split(depth, by, order, chunk)
-    size = _history_size(depth, by, split)
-    numbered = number_rows(depth, by=by, order=order, chunk=split)
-    if size[1] > row_limit(depth.sparkSession, "auto"):
-        numbered = settle(numbered, "numbered")  # read four times below
-    plain = numbered.filter(F.col("type").isin(DEPTH_ASK, DEPTH_BID)).withColumn("side", _plain_side())
-    spots = numbered if wanted is None else numbered.filter(wanted)
-    return with_mid(_best_at(spots, RN, plain, by, order, _of_levels(split, chunk), size)).drop(RN)
-
-
-def _plain_side() -> Column:
-    return F.when(F.col("type") == DEPTH_BID, "bid").otherwise("ask")
-
+    """Best bid and ask of the plain-quote book (codes 1 and 2) right after every depth row (or every ``wanted`` one).
 
-def _history_size(depth: DataFrame, by, split: Split) -> tuple[int, int]:
-    """Rows of the longest history, and of all."""
-    if split.total:
-        return split.largest, split.total
-    r = depth.groupBy(*by).count().agg(F.max("count"), F.sum("count")).first()
-    return r[0] or 1, r[1] or 1
-
-
-def _of_levels(split: Split, chunk):
-    """A level has no more rows than its contract: what fits needs no second measurement."""
-    return chunk if split.ranges is not None else split
-
-
-def _best_at(spots: DataFrame, position: str, updates: DataFrame, by, order, chunk, size: tuple[int, int]) -> DataFrame:
-    """Add the best bid and ask after the book ``updates`` (with position and side) up to each spot's ``position``.
-
-    The best price at a position is a maximum over the level states that cover it.  States are split into aligned
-    ranges of 8^s positions; a position lies in exactly one range per size, so range maxima and positions meet in
-    equi-joins, with one copy of a position per size (seven for a million rows).  Ranges of up to ``2^GROUP_BITS`` positions are joined by shuffle, with
-    that many rows per key at most; the wider ones are few and joined apart from them, so that skew splitting
-    or a runtime broadcast applies to them alone.
+    Blocks of the history are walked from the levels that are live at their start, with the best price of a side kept on top
+    of a heap.
     """
-    sizes = math.ceil(math.log2(size[0] + 1) / RANGE_BITS)
-    cut = min(sizes + 1, GROUP_BITS // RANGE_BITS + 1)
-
-    live = _until_next(updates, by, order, chunk).filter(F.col("volume") > 0)
-    live = live.withColumn("__z", F.least(F.coalesce(F.col("__to"), F.lit(1 << 60)), F.lit(1 << (RANGE_BITS * sizes))).cast("bigint"))
-    ranges = live.withColumn("__p", F.explode(F.expr(_aligned_ranges("bigint(__from)", "__z", sizes))))
-    best = ranges.groupBy(*by, F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")).agg(
-        F.max(F.when(F.col("side") == "bid", F.col("price"))).alias("best_bid"),
-        F.min(F.when(F.col("side") == "ask", F.col("price"))).alias("best_ask"),
-    )
-    places = spots.select(*by, F.col(position).alias("__pos")).distinct() if position != RN else spots.select(*by, F.col(RN).alias("__pos"))
-    key = by + ["__size", "__at"]
-    found = _covering(places, by, range(cut)).join(best.filter(F.col("__size") < cut), key)
-    if cut <= sizes:
-        wide = best.filter(F.col("__size") >= cut)
-        found = found.unionByName(_covering(places, by, range(cut, sizes + 1)).join(wide, key))
-    quotes = found.groupBy(*by, F.col("__pos").alias(position)).agg(F.max("best_bid").alias("best_bid"), F.min("best_ask").alias("best_ask"))
-    return spots.join(quotes, by + [position], "left")
-
-
-def _aligned_ranges(first: str, end: str, sizes: int) -> str:
-    """SQL array of the maximal aligned ranges ``(size, at)`` that make up the positions ``[first, end)``."""
-    lo = lambda s: f"shiftright({first} + shiftleft(1L, {RANGE_BITS} * ({s})) - 1, {RANGE_BITS} * ({s}))"
-    hi = lambda s: f"shiftright({end}, {RANGE_BITS} * ({s}))"
-    # What the next size covers, in units of this one; nothing if it has no whole range inside.
-    covered = f"{lo('s + 1')} < {hi('s + 1')}"
-    left = f"if({covered}, {lo('s + 1')} * {1 << RANGE_BITS}, {hi('s')})"
-    right = f"if({covered}, {hi('s + 1')} * {1 << RANGE_BITS}, {hi('s')})"
-    run = lambda a, z: f"if({a} < {z}, sequence({a}, {z} - 1), array())"
-    places = f"concat({run(lo('s'), left)}, {run(right, hi('s'))})"
-    return f"flatten(transform(sequence(0, {sizes}), s -> transform({places}, p -> struct(s AS size, p AS at))))"
-
-
-def _covering(places: DataFrame, by, sizes: range) -> DataFrame:
-    """Positions with the aligned range of every size that holds them."""
-    spots = F.expr(f"transform(sequence({sizes.start}, {sizes.stop - 1}), s -> struct(s AS size, shiftright(bigint(__pos), {RANGE_BITS} * s) AS at))")
-    return places.select(*by, "__pos", F.explode(spots).alias("__p")).select(
-        *by, "__pos", F.col("__p.size").alias("__size"), F.col("__p.at").alias("__at")
-    )
+    by, columns = names(by), depth.columns
+    blocks = range_count(depth, chunk)
+    rows = positioned(depth, by=by, order=order, chunk=chunk).withColumn("side", _plain_side())
+    rows = rows.withColumn("__asked", F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False)))
+    entry = _entry_levels(rows.filter(F.col("side").isNotNull()), rows, by)
+    needed = rows.filter(F.col("side").isNotNull() | F.col("__asked")).unionByName(entry, allowMissingColumns=True)
+    schema = T.StructType([depth.schema[c] for c in columns]).add("best_bid", "double").add("best_ask", "double")
+    return with_mid(walk(needed, by=by, order=[POS], blocks=blocks, walker=lambda: _best_prices(columns), schema=schema))
 
 
-def _until_next(updates: DataFrame, by, order, chunk) -> DataFrame:
-    """Positions ``[__from, __to)`` during which each level state holds."""
-    named = updates.withColumn("__from", F.col(RN)).drop(RN)
-    return over_history(
-        named, lambda x, t: x.withColumn("__to", t.lead("__from")), by=by + ["side", "price"], order=order, lookahead=1, chunk=chunk
-    )
+def _plain_side() -> Column:
+    return F.when(F.col("type") == DEPTH_BID, "bid").when(F.col("type") == DEPTH_ASK, "ask")
+
+
+def _entry_levels(updates: DataFrame, rows: DataFrame, by) -> DataFrame:
+    """Live levels at the start of every block of ``rows``."""
+    newest = newest_in_block(updates, by=by, key=["side", "price"], value="volume")
+    return level_states(newest, last_blocks(rows, by=by), by=by, key=["side", "price"], alive=F.col("volume") > 0)
+
+
+class Side:
+    """Live levels of one side, the best on top of a heap that forgets dead prices when they surface."""
+
+    def __init__(self, sign: int):
+        self.sign, self.live, self.heap = sign, {}, []
+
+    def put(self, price: float | None, volume) -> None:
+        if price is None:
+            return
+        if volume is not None and volume > 0:
+            if price not in self.live:
+                heapq.heappush(self.heap, self.sign * price)
+            self.live[price] = volume
+        else:
+            self.live.pop(price, None)
+            if len(self.heap) > 2 * len(self.live) + 64:
+                self.heap = [self.sign * p for p in self.live]
+                heapq.heapify(self.heap)
+
+    def best(self) -> float | None:
+        while self.heap and self.sign * self.heap[0] not in self.live:
+            heapq.heappop(self.heap)
+        return self.sign * self.heap[0] if self.heap else None
+
+    def levels(self, n: int | None) -> list[tuple]:
+        order = sorted(self.live.items(), reverse=self.sign < 0)
+        return order if n is None else order[:n]
+
+
+def new_book() -> dict[str, Side]:
+    return {"bid": Side(-1), "ask": Side(1)}
+
+
+def _best_prices(columns: list[str]) -> Walker:
+    """Walker that applies updates (side, price, volume) and tells the best prices after the rows that are asked for."""
+    book: dict[str, Side] = new_book()
+
+    def step(rows: Rows) -> pa.RecordBatch:
+        nonlocal book
+        at, bids, asks = [], [], []
+        fields = [rows.batch.column(c).to_pylist() for c in ("side", "price", "volume", "__asked")]
+        bid, ask = book["bid"].best(), book["ask"].best()
+        for i, (start, side, price, volume, asked) in enumerate(zip(rows.start.tolist(), *fields)):
+            if start:
+                book, bid, ask = new_book(), None, None
+            if side is not None:
+                book[side].put(price, volume)
+                if side == "bid":
+                    bid = book["bid"].best()
+                else:
+                    ask = book["ask"].best()
+            if asked:
+                at.append(i)
+                bids.append(bid)
+                asks.append(ask)
+        taken = rows.batch.select(columns).take(pa.array(at, pa.int64()))
+        return taken.append_column("best_bid", pa.array(bids, pa.float64())).append_column("best_ask", pa.array(asks, pa.float64()))
+
+    return step
 
 
 def with_mid(df: DataFrame) -> DataFrame:

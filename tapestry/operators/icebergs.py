@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import safe_div
-from ..functions.history import names, over_history, plan_split, running
+from ..functions.history import names, over_history, running
 from ..functions.joins import price_range_join
 from .flow import within
 
@@ -130,10 +130,9 @@ def iceberg_multifactor(updates: DataFrame, trades: DataFrame, minutes: float =
     by = names(by)
     key = by + ["price"]
     seen = within(updates, minutes, asof)
-    split = plan_split(seen, key, order, chunk)
-    steps = running(seen, by=key, order=order, prevs={"__prev": F.col("volume")}, chunk=split)
+    steps = running(seen.select(*key, *order, "volume"), by=key, order=order, prevs={"__prev": F.col("volume")}, chunk=chunk)
     refreshed = (F.col("__prev") > 0) & (F.col("volume") > F.col("__prev") * 1.2)
-    gaps = running(split.settle(steps.filter(refreshed)), by=key, order=order, prevs={"__last": F.col(order[0])}, chunk=split)
+    gaps = running(steps.filter(refreshed), by=key, order=order, prevs={"__last": F.col(order[0])}, chunk=chunk)
     seconds = (F.unix_micros(order[0]) - F.unix_micros("__last")) / 1e6
     rhythm = gaps.groupBy(*key).agg(
         F.count(seconds).alias("refresh_count"), F.avg(seconds).alias("avg_refresh_seconds"), F.stddev_samp(seconds).alias("__gap_std")

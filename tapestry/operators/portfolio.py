@@ -4,26 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.history import names, newest, plan_split, running
+from ..functions.history import names, newest, running
 
 
 def portfolio_metrics(trades: DataFrame, initial_balance: float = 100_000.0, *, by="account", order=("ts", "seq"), pnl="pnl", chunk="auto") -> DataFrame:
-    """Per account: totals, win rate, profit factor, and the drawdown of the equity curve (peaks include the start)."""
+    """Per account: totals, win rate, profit factor, and the drawdown of the equity curve (peaks include the start).
+
+    One scan in order gives the curve and its peaks; everything else is aggregated.
+    """
     by, order = names(by), names(order)
     start = F.lit(float(initial_balance))
-    split = plan_split(trades, by, order, chunk)
     slim = trades.select(*by, *order, F.coalesce(F.col(pnl), F.lit(0.0)).alias("__pnl"))
-    d = running(slim, by=by, order=order, chunk=split, sums={"__sum": F.col("__pnl")})
-    d = split.settle(d.withColumn("__equity", start + F.col("__sum")))
-    d = running(d, by=by, order=order, chunk=split, maxes={"__max": F.col("__equity")})
-    d = split.settle(d.withColumn("__peak", F.greatest(start, F.col("__max"))))
-    d = running(d, by=by, order=order, chunk=split, prevs={"__before": F.col("__peak")})
-    fresh = F.col("__equity") > F.coalesce(F.col("__before"), start)
-    d = running(split.settle(d.withColumn("__fresh", fresh)), by=by, order=order, chunk=split, sums={"__run": F.col("__fresh").cast("int")})
+    d = running(slim, by=by, order=order, chunk=chunk, sums={"__sum": F.col("__pnl")}, peaks={"__high": "__sum"})
+    d = d.withColumns({"__equity": start + F.col("__sum"), "__peak": F.greatest(start, start + F.col("__high"))})
     x = F.col("__pnl")
-    # One row per run between new peaks, then one per account.
-    runs = d.groupBy(*by, "__run").agg(
-        F.count_if(~F.col("__fresh")).alias("below"), F.max((F.col("__peak") - F.col("__equity")) / F.col("__peak")).alias("dd"),
+    # Every new peak is higher than the one before, so one row per peak and account holds the run that it starts.
+    runs = d.groupBy(*by, "__peak").agg(
+        (F.count(F.lit(1)) - F.when(F.col("__peak") > start, 1).otherwise(0)).alias("below"), F.max((F.col("__peak") - F.col("__equity")) / F.col("__peak")).alias("dd"),
         F.count(F.lit(1)).alias("n"), F.sum(x).alias("pnl"), F.count_if(x > 0).alias("wins"), F.count_if(x < 0).alias("losses"),
         F.coalesce(F.sum(F.when(x > 0, x)), F.lit(0.0)).alias("gain"), F.coalesce(F.sum(F.when(x < 0, -x)), F.lit(0.0)).alias("loss"),
         F.max(x).alias("best"), F.min(x).alias("worst"),

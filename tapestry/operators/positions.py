@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.clock import clock
 from ..functions.exprs import safe_div
-from ..functions.history import names, newest, plan_split, running
+from ..functions.history import names, newest, running, same_keys
 from ..functions.joins import dimension_join, latest_state
 from ..schemas import BUY, LONG
 
@@ -157,21 +157,18 @@ def positions_from_fills(fills: DataFrame, *, by="contract", order=("ts", "seq")
     new position with its remainder.
     """
     by, order = names(by), names(order)
-    split = plan_split(fills, by, order, chunk)
     signed = F.when(F.col("side") == BUY, F.col("quantity")).otherwise(-F.col("quantity"))
-    d = running(fills.withColumn("__q", signed), by=by, order=order, chunk=split, sums={"__net": F.col("__q")})
+    d = running(fills.select(*by, *order, "price", signed.alias("__q")), by=by, order=order, chunk=chunk, sums={"__net": F.col("__q"), "__nth": F.lit(1)})
     net, before = F.col("__net"), F.col("__net") - F.col("__q")
     opens = (before == 0) | (F.signum(net.cast("double")) == -F.signum(before.cast("double")))
     grown = F.when(net == 0, 0).when(opens, F.abs(net)).when(F.abs(net) > F.abs(before), F.abs(F.col("__q"))).otherwise(0)
-    d = split.settle(d.withColumns({"__grown": grown, "__opens": opens.cast("int")}))
-    d = running(d, by=by, order=order, chunk=split, sums={"__episode": F.col("__opens")})
-    episodes = d.groupBy(*by, "__episode").agg(
-        F.max_by("__net", F.struct(*order)).alias("net"), F.sum(F.col("__grown") * F.col("price")).alias("paid"), F.sum("__grown").alias("grown")
-    )
-    last = F.max_by(F.struct("net", "paid", "grown"), "__episode")
-    return episodes.groupBy(*by).agg(last.alias("s")).select(
-        *by, F.col("s.net").alias("net_size"), F.when(F.col("s.net") != 0, F.try_divide("s.paid", "s.grown")).alias("average_price")
-    )
+    d = d.withColumns({"__grown": grown, "__opens": F.when(opens, F.col("__nth"))})
+    # Where the newest position was opened, and what it gathered since.
+    newest_position = d.groupBy(*by).agg(F.max_by("__net", "__nth").alias("__size"), F.max("__opens").alias("__opened"))
+    since = same_keys(d.drop("__opens").filter("__grown != 0"), newest_position, by, True).filter(F.col("__nth") >= F.col("__opened"))
+    paid = since.groupBy(*by).agg(F.sum(F.col("__grown") * F.col("price")).alias("__paid"), F.sum("__grown").alias("__all"))
+    out = same_keys(newest_position, paid, by, True)
+    return out.select(*by, F.col("__size").alias("net_size"), F.when(F.col("__size") != 0, F.try_divide("__paid", "__all")).alias("average_price"))
 
 
 def daily_loss(executions: DataFrame, limit: float, *, account="accountId", ts="creationTimestamp", pnl="profitAndLoss", tz: str = "UTC") -> DataFrame:

@@ -118,15 +118,18 @@ def longest_run(df: DataFrame, flag: Column, *, by, order, chunk="auto", name: s
 
 
 def max_drawdown(df: DataFrame, column: str = "close", *, by="contract", order="ts", chunk="auto") -> DataFrame:
-    """Deepest fall below the running peak (negative) and the longest stretch below it."""
+    """Deepest fall below the running peak (negative) and the longest stretch below it.
+
+    Rows at the peak divide the history into reigns; together with the missing values before a row they tell its stretch, so
+    one scan in order is enough and the rest is aggregation.
+    """
     need_columns(df, column)
-    by, order = names(by), names(order)
-    split = plan_split(df, by, order, chunk)
-    d = running(df.select(*by, *order, column), by=by, order=order, chunk=split, maxes={"__peak": F.col(column)})
-    d = split.settle(d.withColumn("__dd", F.try_divide(F.col(column).cast("double"), F.col("__peak")) - 1.0))
-    d = running(d, by=by, order=order, chunk=split, sums={"__run": F.when(F.col("__dd") < 0, 0).otherwise(1)})
-    runs = d.groupBy(*by, "__run").agg(F.min("__dd").alias("__dd"), F.count_if(F.col("__dd") < 0).alias("n"))
-    return runs.groupBy(*by).agg(F.coalesce(F.min("__dd"), F.lit(0.0)).alias("max_drawdown"), F.max("n").alias("max_drawdown_duration"))
+    by, order, x = names(by), names(order), F.col(column)
+    hole = F.when(x.isNull(), 1).otherwise(0)
+    d = running(df.select(*by, *order, column), by=by, order=order, chunk=chunk, maxes={"__peak": x}, reigns={"__reign": "__peak"}, sums={"__holes": hole})
+    d = d.withColumn("__dd", F.try_divide(x.cast("double"), F.col("__peak")) - 1.0)
+    runs = d.groupBy(*by, "__reign", "__holes").agg(F.min("__dd").alias("__dd"), F.count_if(F.col("__dd") < 0).alias("n"))
+    return runs.groupBy(*by).agg(F.least(F.coalesce(F.min("__dd"), F.lit(0.0)), F.lit(0.0)).alias("max_drawdown"), F.max("n").alias("max_drawdown_duration"))
 
 
 def profile_table(df: DataFrame, limit: int | None = None, *, ts: str | None = None) -> DataFrame:

@@ -184,9 +184,6 @@ def test_best_prices_against_a_scan(spark, frame):
                 sides[r.type][r.price] = r.volume
             bids, asks = ([p for p, v in sides[k].items() if v > 0] for k in (2, 1))
             want[name, r.seq] = (max(bids, default=None), min(asks, default=None))
-    bits = B.GROUP_BITS
-    for chunk, cut in ((None, bits), (60, bits), (None, 3)):
-        B.GROUP_BITS, B.BROADCAST_RANGES = cut, 10**6
+    for chunk in (None, 60, 500):
         got = {(r.contract, r.seq): (r.best_bid, r.best_ask) for r in B.bbo_history(d, chunk=chunk).collect()}
         assert got == want
-    B.GROUP_BITS = bits
