@@ -63,7 +63,7 @@ def _delta(chunk):
 
 
 add("cumulative_delta", _delta("auto"), _DELTA)
-add("cumulative_delta_split", _delta(80), _DELTA)
+add("cumulative_delta_split", _delta(cut(80)), _DELTA)
 add("delta_summary", lambda s, d: W.delta_summary(sided(s, d), MINUTES, asof=ASOF), with_sql(_SIDED) + f"""
 SELECT *, CASE WHEN cumulative_delta > 500 THEN 'strongly_bullish' WHEN cumulative_delta > 100 THEN 'bullish'
   WHEN cumulative_delta < -500 THEN 'strongly_bearish' WHEN cumulative_delta < -100 THEN 'bearish' ELSE 'neutral' END AS delta_trend,

@@ -8,6 +8,7 @@ moves twice whatever the length of its history, and a task holds the live states
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
@@ -76,3 +77,38 @@ def walk(rows: DataFrame, *, by, order: Sequence[str], blocks: int, walker: Call
             yield out
 
     return dealt.mapInArrow(run, schema)
+
+
+def same_block(a: DataFrame, b: DataFrame, by: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in by], a[BLOCK] == b[BLOCK])
+
+
+def settled_walk(
+    rows: DataFrame, entry: DataFrame, *, by, order: Sequence[str], blocks: int, walker: Callable[[], Walker], schema: T.StructType,
+    entry_after: Callable[[DataFrame], DataFrame], state: Sequence[str],
+) -> DataFrame:
+    """A walk whose states at block starts depend on the walk itself.
+
+    Blocks are walked from the states that are expected (``entry``).  What they leave behind (``entry_after`` all rows walked)
+    tells the states again; blocks that began with others are walked once more.  The first block of a group is right at once
+    and each round settles the next one at least, so there are at most as many rounds as blocks.  ``state``: the columns that
+    make up a state, besides group and block; ``schema`` has the columns of the group, block and position.
+    """
+    by = names(by)
+    todo, expected, done, stale = rows, entry, None, None
+    for _ in range(blocks):
+        start = expected if stale is None else expected.join(stale, same_block(expected, stale, by), "left_semi")
+        fresh = settle(walk(todo.unionByName(start, allowMissingColumns=True), by=by, order=order, blocks=blocks, walker=walker, schema=schema), "walked")
+        done = fresh if done is None else done.join(stale, same_block(done, stale, by), "left_anti").unionByName(fresh)
+        after = settle(entry_after(done), "entry")
+        stale = settle(_changed(expected, after, [*by, BLOCK], state), "stale")
+        if stale.isEmpty():
+            break
+        todo, expected = rows.join(stale, same_block(rows, stale, by), "left_semi"), after
+    return done
+
+
+def _changed(old: DataFrame, new: DataFrame, key: Sequence[str], state: Sequence[str]) -> DataFrame:
+    """Groups and blocks whose states at the start differ."""
+    both = old.select(*key, *state, F.lit(1).alias("__n")).unionByName(new.select(*key, *state, F.lit(-1).alias("__n")))
+    return both.groupBy(*key, *state).agg(F.sum("__n").alias("__n")).filter("__n != 0").select(*key).distinct()

@@ -1,6 +1,8 @@
 """Wall-clock arithmetic of a named zone that never reads the session's time zone.
 
-A *clock* is a ``timestamp_ntz``: what a wall clock in the zone shows.
+A *clock* is a ``timestamp_ntz``: what a wall clock in the zone shows.  *Wall* microseconds are the same reading as a number,
+counted from its own 1970: whole days, hours and weekdays then are integer arithmetic, and only the way to the wall and back
+looks up the zone.
 """
 
 from __future__ import annotations
@@ -26,3 +28,41 @@ def instant(local: Column, tz: str) -> Column:
 
 def midnight(day: Column) -> Column:
     return day.cast("timestamp_ntz")
+
+
+HOUR = 3_600_000_000
+DAY = 24 * HOUR
+
+
+def wall(ts: Column, tz: str) -> Column:
+    """Wall microseconds of zone ``tz`` at the instant ``ts``."""
+    return F.unix_micros(ts if tz == "UTC" else F.from_utc_timestamp(ts, tz))
+
+
+def from_wall(micros: Column, tz: str) -> Column:
+    """Instant at which the wall of zone ``tz`` shows ``micros``."""
+    utc = F.timestamp_micros(micros.cast("long"))
+    return utc if tz == "UTC" else F.to_utc_timestamp(utc, tz)
+
+
+def whole(micros: Column, unit: int) -> Column:
+    """``micros`` without what exceeds a multiple of ``unit``."""
+    return micros - F.pmod(micros, F.lit(unit))
+
+
+def day_number(micros: Column) -> Column:
+    """Days since 1970."""
+    return (whole(micros, DAY) / F.lit(DAY)).cast("int")
+
+
+def wall_date(micros: Column) -> Column:
+    return F.date_from_unix_date(day_number(micros))
+
+
+def wall_hour(micros: Column) -> Column:
+    return F.floor(F.pmod(micros, F.lit(DAY)) / F.lit(HOUR)).cast("int")
+
+
+def wall_weekday(micros: Column) -> Column:
+    """0 is Monday."""
+    return F.pmod(day_number(micros) + 3, F.lit(7))

@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.checks import ParameterError, need_columns
-from ..functions.clock import clock, instant, midnight
+from ..functions.clock import DAY, HOUR, from_wall, wall, wall_date, whole
 from ..functions.history import names, newest, order_key
 from ..schemas import EXCHANGE_TZ
 
@@ -52,16 +52,17 @@ def bar_start(ts: Column, timeframe: str, tz: str = EXCHANGE_TZ) -> Column:
     """Start of the bar holding ``ts``; day, week, month and 4-hour bars follow the exchange's local clock."""
     name = calendar_name(timeframe)
     if name:
-        local = clock(ts, tz)
-        day = F.to_date(local)
-        if name == "4hr":
-            start = F.timestamp_add("HOUR", F.floor(F.hour(local) / 4).cast("int") * 4, midnight(day))
-        else:
-            start = midnight(day if name == "1day" else F.trunc(day, name[1:]))
-        return instant(start, tz)
+        return from_wall(_calendar_start(wall(ts, tz), name), tz)
     return F.window(ts, f"{timeframe_seconds(timeframe)} seconds")["start"]
 
 
+def _calendar_start(local: Column, name: str) -> Column:
+    """Wall microseconds at which the bar of the wall reading ``local`` starts."""
+    if name in ("4hr", "1day"):
+        return whole(local, 4 * HOUR if name == "4hr" else DAY)
+    return F.unix_date(F.trunc(wall_date(local), name[1:])).cast("long") * DAY
+
+
 def _ends(df: DataFrame, order, price: Column, volume: Column) -> tuple[Column, Column, Column]:
     """First price, last price and first volume of a group.
 
@@ -138,7 +139,8 @@ def multi_timeframe(ticks: DataFrame, timeframes, *, by, order, price="price", v
             F.sum(v).alias("__v"), first.alias("__first"),
         )
     )
-    starts = [F.struct(F.lit(tf).alias("timeframe"), _floor(F.col("__bar"), tf, tz).alias("ts")) for tf in timeframes]
+    fine = fine.withColumn("__wall", wall(F.col("__bar"), tz))  # looked up once, not per timeframe
+    starts = [F.struct(F.lit(tf).alias("timeframe"), _fine_start(tf, tz).alias("ts")) for tf in timeframes]
     return (
         fine.withColumn("__tf", F.explode(F.array(*starts)))
         .groupBy(*by, F.col("__tf.timeframe").alias("timeframe"), F.col("__tf.ts").alias("ts"))
@@ -157,6 +159,12 @@ def _floor(ts: Column, timeframe: str, tz: str) -> Column:
     return F.timestamp_micros(F.floor(F.unix_micros(ts) / F.lit(width)) * F.lit(width))
 
 
+def _fine_start(timeframe: str, tz: str) -> Column:
+    """Start of the bar that holds a finer bar (``__bar``, ``__wall``)."""
+    name = calendar_name(timeframe)
+    return from_wall(_calendar_start(F.col("__wall"), name), tz) if name else _floor(F.col("__bar"), timeframe, tz)
+
+
 def rollup_bars(df: DataFrame, timeframe: str, *, by, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataFrame:
     """Coarser bars from finer bars."""
     by = names(by)

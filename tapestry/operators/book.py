@@ -6,12 +6,11 @@ A book is a table ``contract, side, price, volume, ts, type`` with one row per l
 from __future__ import annotations
 
 import heapq
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.blocks import AT_ENTRY, BLOCK, POS, Walker, last_blocks, level_states, newest_in_block, positioned, walk
+from ..functions.blocks import AT_ENTRY, BLOCK, POS, Walker, last_blocks, level_states, newest_in_block, positioned, settled_walk, walk
 from ..functions.exprs import classify, safe_div
 from ..functions.history import names, over_history, range_count
 from ..functions.prefix import Rows
@@ -81,17 +80,10 @@ def route_depth_exact(depth: DataFrame, *, by="contract", order=ORDER, batch: st
     schema = T.StructType([rows.schema[c] for c in (*by, *order, "price", "volume")]).add("side", "string").add("type", "string")
     schema = schema.add("best_bid", "double").add("best_ask", "double").add(rows.schema[BLOCK]).add(rows.schema[POS])
     columns = [*by, *order, "price", "volume"]
-    todo, done = rows, None
-    for _ in range(blocks):
-        walker = lambda: _placements(columns, message)
-        walked = todo.unionByName(_same_blocks(entry, todo, by, done), allowMissingColumns=True)
-        fresh = settle(walk(walked, by=by, order=[POS], blocks=blocks, walker=walker, schema=schema), "routed")
-        done = fresh if done is None else done.join(stale, _same(done, stale, by), "left_anti").unionByName(fresh)  # noqa: F821
-        after = settle(state(done.filter(F.col("side") != "trade")), "entry")
-        stale = settle(_changed(entry, after, by), "stale")
-        if stale.isEmpty():
-            break
-        todo, entry = rows.join(stale, _same(rows, stale, by), "left_semi"), after
+    done = settled_walk(
+        rows, entry, by=by, order=[POS], blocks=blocks, walker=lambda: _placements(columns, message), schema=schema,
+        entry_after=lambda d: state(d.filter(F.col("side") != "trade")), state=["side", "price", "volume"],
+    )
     return done.select(*columns, "side", "type", "best_bid", "best_ask")
 
 
@@ -101,25 +93,6 @@ def _whole_messages(slim: DataFrame, by, line, order, chunk) -> DataFrame:
     return settle(dealt.select("*", F.spark_partition_id().alias(BLOCK), F.monotonically_increasing_id().alias(POS)), "positioned")
 
 
-def _same(a: DataFrame, b: DataFrame, by) -> Column:
-    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in by], a[BLOCK] == b[BLOCK])
-
-
-def _same_blocks(entry: DataFrame, todo: DataFrame, by, done) -> DataFrame:
-    """The states of the blocks that are walked."""
-    if done is None:
-        return entry
-    asked = todo.select(*by, BLOCK).distinct()
-    return entry.join(asked, _same(entry, asked, by), "left_semi")
-
-
-def _changed(old: DataFrame, new: DataFrame, by) -> DataFrame:
-    """Groups and blocks whose states at the start differ."""
-    state = [*by, BLOCK, "side", "price", "volume"]
-    both = old.select(*state, F.lit(1).alias("__n")).unionByName(new.select(*state, F.lit(-1).alias("__n")))
-    return both.groupBy(*state).agg(F.sum("__n").alias("__n")).filter("__n != 0").select(*by, BLOCK).distinct()
-
-
 def _placements(columns: list[str], message: list[str]) -> Walker:
     """Walker that places changes by the mid before their message and compares trades with the book after theirs."""
     book: dict[str, Side] = new_book()
@@ -447,34 +420,58 @@ def liquidity_levels(book: DataFrame, min_volume: int = 100, levels: int = 20, *
     return d.withColumn("liquidity_score", F.col("volume") / mean)
 
 
-def order_clusters(book: DataFrame, price_tolerance: float = 0.25, min_cluster_size: int = 3, *, by="contract") -> DataFrame:
+def order_clusters(book: DataFrame, price_tolerance: float = 0.25, min_cluster_size: int = 3, *, by="contract", chunk="auto") -> DataFrame:
     """Runs of neighbouring levels within a tolerance of the run's first (best) price.
 
-    Where a run ends depends on where it began, so each side of a contract's book is folded in order, as one sorted array.
+    Where a run ends depends on where it began, so levels are walked in order, block by block; a block first takes its own
+    first level for the start of a run, and is walked again if the run before reaches into it.
     """
     by = names(by)
-    side = book.groupBy(*by, "side").agg(
-        F.sort_array(F.collect_list(F.struct(level_rank().alias("rank"), F.col("price"), F.col("volume")))).alias("levels")
+    sides, order = [*by, "side"], ["__rank"]
+    levels = book.select(*sides, "price", "volume", level_rank().alias("__rank"))
+    rows = positioned(levels, by=sides, order=order, chunk=chunk)
+    schema = T.StructType([rows.schema[c] for c in (*sides, "price", "volume", BLOCK, POS)]).add("__anchor", "double")
+    none = rows.select(*sides, BLOCK, F.lit(None).cast("double").alias("__anchor"), POS).limit(0)
+
+    def entry_after(done: DataFrame) -> DataFrame:
+        ends = done.groupBy(*sides, BLOCK).agg(F.max_by("__anchor", POS).alias("__anchor"))
+        following = F.lead(BLOCK).over(Window.partitionBy(*sides).orderBy(BLOCK))
+        return ends.select(*sides, following.alias(BLOCK), "__anchor", F.lit(AT_ENTRY).cast("long").alias(POS)).filter(F.col(BLOCK).isNotNull())
+
+    columns = [*sides, "price", "volume", BLOCK, POS]
+    runs = settled_walk(
+        rows, none, by=sides, order=[POS], blocks=range_count(levels, chunk), walker=lambda: _run_anchors(columns, price_tolerance), schema=schema,
+        entry_after=entry_after, state=["__anchor"],
     )
-    item = "array<struct<price:double,volume:bigint>>"
-    start = F.array().cast(f"array<{item}>")
-
-    def step(acc, x):
-        pv = F.struct(x["price"].alias("price"), x["volume"].alias("volume"))
-        joins = (F.size(acc) > 0) & (F.abs(F.get(F.get(acc, F.size(acc) - 1), F.lit(0))["price"] - x["price"]) <= price_tolerance)
-        grown = F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat(F.try_element_at(acc, F.lit(-1)), F.array(pv))))
-        return F.when(joins, grown).otherwise(F.concat(acc, F.array(F.array(pv))))
-
-    runs = side.select(*by, "side", F.explode(F.aggregate("levels", start, step)).alias("run")).filter(F.size("run") >= min_cluster_size)
-    prices, volumes = F.col("run.price"), F.col("run.volume")
-    total = F.aggregate(volumes, F.lit(0).cast("bigint"), lambda a, v: a + v)
-    return runs.select(
-        *by, "side",
-        (F.aggregate(prices, F.lit(0.0), lambda a, p: a + p) / F.size("run")).alias("center_price"),
-        F.array_min(prices).alias("low_price"), F.array_max(prices).alias("high_price"),
-        total.alias("total_volume"), F.size("run").cast("long").alias("order_count"),
-        (F.aggregate("run", F.lit(0.0), lambda a, r: a + r["price"] * r["volume"]) / total).alias("volume_weighted_price"),
+    price, volume = F.col("price"), F.col("volume")
+    clusters = runs.groupBy(*sides, "__anchor").agg(
+        F.avg(price).alias("center_price"), F.min(price).alias("low_price"), F.max(price).alias("high_price"), F.sum(volume).alias("total_volume"),
+        F.count(F.lit(1)).alias("order_count"), (F.sum(price * volume) / F.sum(volume)).alias("volume_weighted_price"),
     )
+    return clusters.filter(F.col("order_count") >= min_cluster_size).drop("__anchor")
+
+
+def _run_anchors(columns: list[str], tolerance: float) -> Walker:
+    """Walker that gives every level the first price of its run."""
+    anchor: float | None = None
+
+    def step(rows: Rows) -> pa.RecordBatch:
+        nonlocal anchor
+        anchors, at = [], []
+        fields = [rows.batch.column(c).to_pylist() for c in (POS, "__anchor", "price")]
+        for i, (start, pos, known, price) in enumerate(zip(rows.start.tolist(), *fields)):
+            if start:
+                anchor = None
+            if pos == AT_ENTRY:
+                anchor = known
+                continue
+            if anchor is None or abs(anchor - price) > tolerance:
+                anchor = price
+            at.append(i)
+            anchors.append(anchor)
+        return rows.batch.select(columns).take(pa.array(at, pa.int64())).append_column("__anchor", pa.array(anchors, pa.float64()))
+
+    return step
 
 
 def strongest_clusters(clusters: DataFrame, *, by="contract") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.exprs import classify
-from ..functions.history import names, newest, running
+from ..functions.history import names, newest, running, same_keys
 from ..functions.joins import asof_join
 
 ORDER = ["ts", "seq"]
@@ -124,9 +124,9 @@ def point_of_control(profile: DataFrame, *, by="contract") -> DataFrame:
 def value_area(profile: DataFrame, share: float = 0.7, *, by="contract") -> DataFrame:
     """Price range of the fullest buckets that together hold ``share`` of the volume."""
     by = names(by)
-    w = Window.partitionBy(*by).orderBy(F.desc("total_volume"), "bucket").rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("total_volume").over(Window.partitionBy(*by))
-    d = profile.withColumns({"__cum": F.sum("total_volume").over(w), "__total": total})
+    # Ranks over even ranges of all buckets, so that a contract with very many of them is no single task.
+    d = running(profile.withColumn("__least", -F.col("total_volume")), by=by, order=["__least", "bucket"], sums={"__cum": F.col("total_volume")})
+    d = same_keys(d, profile.groupBy(*by).agg(F.sum("total_volume").alias("__total")), by, True)
     taken = d.filter(F.col("__cum") - F.col("total_volume") < share * F.col("__total"))
     return taken.groupBy(*by).agg(
         F.max("avg_price").alias("value_area_high"), F.min("avg_price").alias("value_area_low"),
@@ -161,17 +161,16 @@ def spread_stats(quotes: DataFrame, *, by="contract", bid="bid", ask="ask", mid:
     """Mean, median, range and deviation of the spread, and its mean relative to the mid."""
     m = F.col(mid) if mid else (F.col(bid) + F.col(ask)) / 2.0
     d = quotes.select(*names(by), (F.col(ask) - F.col(bid)).alias("spread"), F.try_divide(F.col(ask) - F.col(bid), m).alias("rel")).dropna()
-    # Exact median by counting distinct spreads: the order statistics of a value table, not a list of all rows.
-    values = d.groupBy(*names(by), "spread").agg(F.count(F.lit(1)).alias("n"), F.sum("rel").alias("rel"))
-    w = Window.partitionBy(*names(by)).orderBy("spread")
-    ranked = values.withColumns({
-        "upto": F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("n").over(Window.partitionBy(*names(by))),
-    })
+    # Exact median by counting distinct spreads, ranked in even ranges: no list and no window over a contract's values.
+    by = names(by)
+    values = d.groupBy(*by, "spread").agg(F.count(F.lit(1)).alias("n"), F.sum("rel").alias("rel"))
+    ranked = running(values, by=by, order=["spread"], sums={"upto": F.col("n")})
+    ranked = same_keys(ranked, d.groupBy(*by).agg(F.count(F.lit(1)).alias("total")), by, True)
     s, n, upto, total = F.col("spread"), F.col("n"), F.col("upto"), F.col("total")
     lower, upper = F.floor((total + 1) / 2), F.floor(total / 2) + 1
     holds = lambda k: (upto - n < k) & (k <= upto)
     mean = F.sum(s * n) / F.sum(n)
-    out = ranked.groupBy(*names(by)).agg(
+    out = ranked.groupBy(*by).agg(
         mean.alias("avg_spread"), ((F.max(F.when(holds(lower), s)) + F.max(F.when(holds(upper), s))) / 2.0).alias("median_spread"),
         F.min("spread").alias("min_spread"), F.max("spread").alias("max_spread"), (F.sum("rel") / F.sum("n")).alias("avg_relative_spread"),
         F.sum(n).alias("quotes"), F.sum(s * s * n).alias("__ss"),

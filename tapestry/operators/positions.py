@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.clock import clock
+from ..functions.clock import wall, wall_date
 from ..functions.exprs import safe_div
 from ..functions.history import names, newest, running, same_keys
 from ..functions.joins import dimension_join, latest_state
@@ -173,7 +173,7 @@ def positions_from_fills(fills: DataFrame, *, by="contract", order=("ts", "seq")
 
 def daily_loss(executions: DataFrame, limit: float, *, account="accountId", ts="creationTimestamp", pnl="profitAndLoss", tz: str = "UTC") -> DataFrame:
     """Realised profit per account and day (of zone ``tz``) against a loss limit."""
-    d = executions.groupBy(account, F.to_date(clock(F.col(ts).cast("timestamp"), tz)).alias("day")).agg(F.coalesce(F.sum(pnl), F.lit(0.0)).alias("realized_pnl"))
+    d = executions.groupBy(account, wall_date(wall(F.col(ts).cast("timestamp"), tz)).alias("day")).agg(F.coalesce(F.sum(pnl), F.lit(0.0)).alias("realized_pnl"))
     return d.withColumn("limit_reached", F.col("realized_pnl") <= -float(limit))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from ..functions.clock import clock, instant, midnight
+from ..functions.clock import DAY, HOUR, clock, from_wall, wall, wall_date, wall_hour, wall_weekday, whole
 from ..schemas import EXCHANGE_TZ
 
 
@@ -15,15 +15,9 @@ def to_exchange_tz(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ, name: s
 
 def calendar_columns(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataFrame:
     """Exchange-local date, weekday (0 is Monday), hour and minute."""
-    local = clock(F.col(ts), tz)
-    return df.withColumns({
-        "local_date": F.to_date(local), "local_weekday": F.weekday(local), "local_hour": F.hour(local), "local_minute": F.minute(local),
-    })
-
-
-def _at(day: Column, hour: int, plus_days: Column | int = 0) -> Column:
-    d = F.date_add(day, F.lit(plus_days) if isinstance(plus_days, int) else plus_days)
-    return F.timestamp_add("HOUR", F.lit(hour), midnight(d))
+    w = wall(F.col(ts).cast("timestamp"), tz)
+    minute = F.floor(F.pmod(w, F.lit(HOUR)) / F.lit(HOUR // 60)).cast("int")
+    return df.withColumns({"local_date": wall_date(w), "local_weekday": wall_weekday(w), "local_hour": wall_hour(w), "local_minute": minute})
 
 
 def session_flags(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataFrame:
@@ -31,14 +25,14 @@ def session_flags(df: DataFrame, ts: str = "ts", tz: str = EXCHANGE_TZ) -> DataF
 
     Open from Sunday 17:00 to Friday 16:00 local time, with a break from 16:00 to 17:00 every day.
     """
-    local = clock(F.col(ts), tz)
-    day, wd, hour = F.to_date(local), F.weekday(local), F.hour(local)
+    rows, w = df.withColumn("__wall", wall(F.col(ts).cast("timestamp"), tz)), F.col("__wall")
+    day, wd, hour = whole(w, DAY), wall_weekday(w), wall_hour(w)
     friday_late, saturday, sunday_early, pause = (wd == 4) & (hour >= 16), wd == 5, (wd == 6) & (hour < 17), hour == 16
     closed = friday_late | saturday | sunday_early | pause
-    opens = F.when(friday_late, _at(day, 17, 2)).when(saturday, _at(day, 17, 1)).otherwise(_at(day, 17))
-    closes = F.when(hour >= 16, _at(day, 16, 1)).otherwise(_at(day, 16))
-    return df.withColumns({
-        "is_open": ~closed,
-        "next_open": F.when(closed, instant(opens, tz)),
-        "next_close": F.when(~closed, instant(closes, tz)),
-    })
+    opens = day + 17 * HOUR + F.when(friday_late, 2 * DAY).when(saturday, DAY).otherwise(0)
+    closes = day + 16 * HOUR + F.when(hour >= 16, DAY).otherwise(0)
+    rows = rows.withColumns({"is_open": ~closed, "__next": F.when(closed, opens).otherwise(closes)})
+    rows = rows.withColumn("__next", from_wall(F.col("__next"), tz))
+    return rows.withColumns({
+        "next_open": F.when(~F.col("is_open"), F.col("__next")), "next_close": F.when(F.col("is_open"), F.col("__next")),
+    }).drop("__wall", "__next")

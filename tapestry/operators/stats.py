@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.checks import ParameterError, need_columns, need_period
-from ..functions.history import names, over_history, plan_split, running
+from ..functions.history import names, over_history, plan_split, running, same_keys
 
 NUMERIC = ("double", "float", "bigint", "int", "smallint", "tinyint")
 
@@ -30,19 +30,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def correlation_matrix(df: DataFrame, columns=None, method: str = "pearson", *, by=()) -> DataFrame:
     """Pairwise correlation, one row per column (and group); 1 on the diagonal, 0 where undefined.
 
-    Pearson: all pairs in one aggregation.  Spearman: distributed ranks over the complete rows, no groups.
+    Pearson: all pairs in one aggregation.  Spearman: the same over average ranks of the complete rows of each group.
     """
     by = names(by)
     columns = list(columns or [c for c in numeric_columns(df) if c not in by])
     if not columns:
         raise ParameterError("no numeric columns")
     need_columns(df, *columns)
-    if method == "spearman":
-        if by:
-            raise ParameterError("spearman takes no groups")
-        return _spearman(df, columns)
-    if method != "pearson":
+    if method not in ("pearson", "spearman"):
         raise ParameterError(f"unknown method {method!r}")
+    if method == "spearman":
+        df = _spearman(df, columns, by)
     pairs = list(combinations(range(len(columns)), 2))
     wide = df.groupBy(*by).agg(*[_corr(columns[i], columns[j]).alias(f"__{i}_{j}") for i, j in pairs], F.count(F.lit(1)).alias("__n"))
 
@@ -64,22 +62,38 @@ def _corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def _spearman(df: DataFrame, columns) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+def average_ranks(df: DataFrame, column: str, *, by=(), name: str = "rank") -> DataFrame:
+    """Rank of each row's value in its group, equal values sharing the mean of their ranks.
+
+    Distinct values are ranked in even ranges of the whole order and joined back, so neither a large group nor a value that
+    many rows share is one task.
+    """
+    by = names(by)
+    values = running(df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n")), by=by, order=[column], sums={"__upto": F.col("__n")})
+    ranks = values.select(*by, column, (F.col("__upto") - (F.col("__n") - 1) / 2.0).alias(name))
+    return same_keys(df, ranks, [*by, column], True)
+
 
-    features = VectorAssembler(inputCols=columns, outputCol="__v").transform(df.select(*[F.col(c).cast("double") for c in columns]).dropna())
-    matrix = Correlation.corr(features, "__v", "spearman").first()[0].toArray()
-    rows = [(c, *[1.0 if i == j else (0.0 if v != v else float(v)) for j, v in enumerate(matrix[i])]) for i, c in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "`column` string, " + ", ".join(f"`{c}` double" for c in columns))
+def _spearman(df: DataFrame, columns, by) -> DataFrame:
+    """Rows with all values, each value replaced by its rank in the group."""
+    d = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns]).dropna(subset=columns)
+    for i, c in enumerate(columns):
+        d = average_ranks(d, c, by=by, name=f"__rank_{i}")
+    return d.select(*by, *[F.col(f"__rank_{i}").alias(c) for i, c in enumerate(columns)])
 
 
-def pair_correlation(series: DataFrame, pairs: DataFrame, *, value: str = "returns", contract: str = "contract", ts: str = "ts") -> DataFrame:
-    """Correlation of the values of the listed contract pairs (columns ``a, b``) at common times."""
-    left = series.select(F.col(contract).alias("a"), F.col(ts).alias("__ts"), F.col(value).cast("double").alias("__x"))
-    right = series.select(F.col(contract).alias("b"), F.col(ts).alias("__ts"), F.col(value).cast("double").alias("__y"))
-    both = left.join(pairs.select("a", "b").distinct(), "a").join(right, ["b", "__ts"])
-    both = both.filter(F.col("__x").isNotNull() & F.col("__y").isNotNull())
+def pair_correlation(series: DataFrame, pairs: DataFrame | None = None, *, value: str = "returns", contract: str = "contract", ts: str = "ts") -> DataFrame:
+    """Correlation of the values of contract pairs (columns ``a, b``) at common times.
+
+    Without ``pairs``: every two contracts of the data that have a common time, the smaller name first.
+    """
+    named = series.filter(F.col(value).isNotNull())
+    left = named.select(F.col(contract).alias("a"), F.col(ts).alias("__ts"), F.col(value).cast("double").alias("__x"))
+    right = named.select(F.col(contract).alias("b"), F.col(ts).alias("__ts"), F.col(value).cast("double").alias("__y"))
+    if pairs is None:
+        both = left.join(right, "__ts").filter(F.col("a") < F.col("b"))
+    else:
+        both = left.join(pairs.select("a", "b").distinct(), "a").join(right, ["b", "__ts"])
     return both.groupBy("a", "b").agg(_corr("__x", "__y").alias("correlation"), F.count(F.lit(1)).alias("points"))
 
 

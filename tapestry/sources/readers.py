@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
-from ..functions.clock import clock
+from ..functions.clock import wall, wall_date
 from ..functions.checks import ParameterError
 from ..functions.history import names, newest
 
@@ -84,6 +84,6 @@ def write_table(df: DataFrame, path: str, *, partition_by=(), mode: str = "appen
 
 def write_bars(df: DataFrame, path: str, *, ts: str = "ts", mode: str = "append") -> None:
     """Bars laid out by day, so that readers prune by time; rows of a day stay together per contract."""
-    d = df.withColumn("date", F.to_date(clock(F.col(ts).cast("timestamp"), "UTC")))
+    d = df.withColumn("date", wall_date(wall(F.col(ts).cast("timestamp"), "UTC")))
     # Rebalancing lets AQE split a day of a hot contract over several files and merge small ones.
     write_table(d.hint("rebalance", "date", "contract").sortWithinPartitions("date", "contract", ts), path, partition_by="date", mode=mode)
