@@ -100,6 +100,34 @@ SELECT contract, ts, seq, price, volume, side, CASE WHEN type IN (9, 10) THEN si
   UNION ALL SELECT contract, ts, seq, price, volume, type, 'ask', NULL, NULL FROM wx WHERE placed IN ('ask', 'both')
   UNION ALL SELECT contract, ts, seq, price, volume, type, 'trade', bid, ask FROM wx WHERE type = 5 AND volume > 0)"""
 add("route_depth_exact", lambda s, d: B.route_depth_exact(depth(s, d)), _WALK)
+# Messages of six hours: changes are placed by the mid before theirs, trades meet the book after it.
+_MESSAGE = 6 * 3600 * 1_000_000
+
+
+def _batch_walk():
+    """The same walk, carrying the best prices from before the current message."""
+    x = f"x AS MATERIALIZED (SELECT *, epoch_us(ts) // {_MESSAGE} AS message, row_number() OVER (PARTITION BY contract ORDER BY ts, seq) AS rn FROM depth)"
+    fresh = "x.message <> p.message"
+    bid, ask = f"CASE WHEN {fresh} THEN list_max(p.bids) ELSE p.mb END", f"CASE WHEN {fresh} THEN list_min(p.asks) ELSE p.ma END"
+    side = f"""CASE WHEN x.type = 2 THEN 'bid' WHEN x.type = 1 THEN 'ask' WHEN x.type IN (9, 10) THEN
+  CASE WHEN {bid} IS NULL OR {ask} IS NULL OR {bid} = 0 OR {ask} = 0 OR ({bid} + {ask}) / 2 = 0 OR x.price = 0 THEN 'both' WHEN x.price <= ({bid} + {ask}) / 2 THEN 'bid' ELSE 'ask' END ELSE 'none' END"""
+
+    def live(name):
+        rest = f"list_filter(p.{name}s, lambda y: y <> x.price)"
+        return f"CASE WHEN {side} IN ('{name}', 'both') THEN CASE WHEN x.volume > 0 THEN list_append({rest}, x.price) ELSE {rest} END ELSE p.{name}s END"
+
+    return with_sql(DEPTH_SQL, x, f"""w AS (
+  SELECT contract, CAST(0 AS BIGINT) AS rn, CAST(-1 AS BIGINT) AS message, CAST([] AS DOUBLE[]) AS bids, CAST([] AS DOUBLE[]) AS asks, CAST(NULL AS DOUBLE) AS mb, CAST(NULL AS DOUBLE) AS ma, 'none' AS placed FROM x WHERE rn = 1
+  UNION ALL SELECT x.contract, x.rn, x.message, {live('bid')}, {live('ask')}, {bid}, {ask}, {side} FROM w p JOIN x ON x.contract = p.contract AND x.rn = p.rn + 1),
+wx AS (SELECT x.*, w.placed, last_value(list_max(w.bids)) OVER m AS bid, last_value(list_min(w.asks)) OVER m AS ask FROM w JOIN x ON x.contract = w.contract AND x.rn = w.rn
+  WINDOW m AS (PARTITION BY x.contract, x.message ORDER BY x.rn ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))""") + _WALK[_WALK.rindex("\nSELECT contract, ts, seq, price, volume, side, CASE"):]
+
+
+def _messages(s, d):
+    return depth(s, d).withColumn("message", F.floor(F.unix_micros("ts") / _MESSAGE))
+
+
+add("route_depth_batches", lambda s, d: B.route_depth_exact(_messages(s, d), batch="message"), _batch_walk())
 add("depth_type_counts", lambda s, d: B.depth_type_counts(depth(s, d)), with_sql(DEPTH_SQL) + """
 SELECT contract, count(*) FILTER (type = 1) AS type_1_count, count(*) FILTER (type = 2) AS type_2_count,
   count(*) FILTER (type = 5) AS type_5_count, count(*) FILTER (type = 9) AS type_9_count,

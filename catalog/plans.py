@@ -93,10 +93,12 @@ _METRICS = with_sql(DEPTH_SQL, BBO_SQL, ROUTED_SQL, BOOK_SQL, BEST_SQL, TRADES_S
 cm AS (SELECT *, sum(total_volume) OVER (PARTITION BY contract ORDER BY total_volume DESC, bucket ROWS UNBOUNDED PRECEDING) AS cum, sum(total_volume) OVER (PARTITION BY contract) AS total FROM vp),
 va AS (SELECT contract, max(avg_price) AS value_area_high, min(avg_price) AS value_area_low FROM cm WHERE cum - total_volume < CAST(0.7 AS DOUBLE) * total GROUP BY contract),
 snap AS (SELECT contract, CAST(coalesce(sum(volume) FILTER (side = 'bid'), 0) AS BIGINT) AS total_bid_volume, CAST(coalesce(sum(volume) FILTER (side = 'ask'), 0) AS BIGINT) AS total_ask_volume FROM book WHERE lvl <= 10 GROUP BY contract)""")
-add("market_metrics", lambda s, d: market.market_report(depth(s, d), asof=ASOF, flow_minutes=MINUTES, delta_minutes=MINUTES, iceberg_minutes=MINUTES, bucket_size=5.0, price_tolerance=1.0).select(
-    "contract", "best_bid", "best_ask", "total_bid_volume", "total_ask_volume", "liquid_levels", "clusters", "cumulative_delta", "imbalance_ratio", "direction", "confidence", "poc_price", "poc_volume",
+add("market_metrics", lambda s, d: market.market_report(depth(s, d), asof=ASOF, flow_minutes=MINUTES, delta_minutes=MINUTES, iceberg_minutes=MINUTES, bucket_size=5.0, price_tolerance=1.0, iceberg_volume=40).select(
+    "contract", "best_bid", "best_ask", "spread", "mid", "icebergs", "delta_trend", "buy_volume", "sell_volume", "total_bid_volume", "total_ask_volume", "liquid_levels", "clusters", "cumulative_delta", "imbalance_ratio", "direction", "confidence", "poc_price", "poc_volume",
     "value_area_high", "value_area_low", "supports", "resistances", "total_volume", "trade_count", "vwap", "data_quality", "market_activity"), _METRICS + f"""
-SELECT contract, best_bid, best_ask, total_bid_volume, total_ask_volume, (SELECT count(*) FROM liq WHERE liq.contract = best.contract) AS liquid_levels,
+SELECT contract, best_bid, best_ask, spread, mid, (SELECT count(*) FROM book WHERE book.contract = best.contract AND ts >= TIMESTAMP '2024-01-01 00:00:00' AND volume > 40 AND CAST(round(price * 100) AS BIGINT) % 50 = 0) AS icebergs,
+  CASE WHEN buy_volume - sell_volume > 500 THEN 'strongly_bullish' WHEN buy_volume - sell_volume > 100 THEN 'bullish' WHEN buy_volume - sell_volume < -500 THEN 'strongly_bearish'
+    WHEN buy_volume - sell_volume < -100 THEN 'bearish' ELSE 'neutral' END AS delta_trend, buy_volume, sell_volume, total_bid_volume, total_ask_volume, (SELECT count(*) FROM liq WHERE liq.contract = best.contract) AS liquid_levels,
   (SELECT count(*) FROM clusters WHERE clusters.contract = best.contract) AS clusters, buy_volume - sell_volume AS cumulative_delta, {r6('imbalance_ratio')} AS imbalance_ratio, direction, confidence,
   {r6('poc_price')} AS poc_price, poc_volume, {r6('value_area_high')} AS value_area_high, {r6('value_area_low')} AS value_area_low,
   (SELECT count(*) FROM sr WHERE sr.contract = best.contract AND kind = 'support') AS supports, (SELECT count(*) FROM sr WHERE sr.contract = best.contract AND kind = 'resistance') AS resistances,

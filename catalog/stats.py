@@ -59,6 +59,10 @@ _RANKS = "rk AS (SELECT " + ", ".join(
     f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in _NUM) + " FROM lineitem)"
 add("correlation_spearman", lambda s, d: S.correlation_matrix(table(s, d, "lineitem"), _NUM, "spearman"), with_sql(_RANKS) + " UNION ALL ".join(
     f"SELECT '{a}' AS \"column\", " + ", ".join(f"{r6(_c(a, b))} AS {b}" for b in _NUM) + " FROM rk" for a in _NUM))
+_BY_RANKS = ", ".join(f"rank() OVER (PARTITION BY contract ORDER BY {c}) + (count(*) OVER (PARTITION BY contract, {c}) - 1) / 2.0 AS {c}" for c in _COLS)
+add("correlation_spearman_by_contract", lambda s, d: S.correlation_matrix(hour_bars(s, d), _COLS, "spearman", by="contract"),
+    with_sql(HOUR_BARS_SQL, f"rk AS (SELECT contract, {_BY_RANKS} FROM bars)") + " UNION ALL ".join(
+    f"SELECT contract, '{a}' AS \"column\", " + ", ".join(f"{r6(_c(a, b))} AS {b}" for b in _COLS) + " FROM rk GROUP BY contract" for a in _COLS))
 
 
 def _daily(s, d):
@@ -67,9 +71,7 @@ def _daily(s, d):
     return S.returns(rollup_bars(hour_bars(s, d), "1day", by="contract", tz="UTC"), chunk=hour_split(s, d))
 
 
-_TYPES = ["view", "click", "purchase", "signup", "error"]
-_PAIRS = [(a, b) for a in _TYPES for b in _TYPES if a < b]
-add("pair_correlation", lambda s, d: S.pair_correlation(_daily(s, d), s.createDataFrame(_PAIRS, "a string, b string")),
+add("pair_correlation", lambda s, d: S.pair_correlation(_daily(s, d)),
     with_sql(HOUR_BARS_SQL, """dy AS (SELECT contract, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, last(close ORDER BY ts) AS close FROM bars GROUP BY 1, 2)""",
              f"dr AS (SELECT contract, ts, (close - {lag('close')}) / {lag('close')} AS x FROM dy)") + f"""
 SELECT p.contract AS a, q.contract AS b, {r6('corr(p.x, q.x)')} AS correlation, count(*) AS points

@@ -11,7 +11,7 @@ from tapestry.streaming import fold, sinks, state as S, windows as W
 
 from .accounts import ORDERS_SQL, _OC, _ocols
 from .book import BBO_SQL, BOOK_SQL, ROUTED_SQL
-from .tables import DEPTH_SQL, DEPTH_TYPES, HOUR_BARS_SQL, TICKS_SQL, r6, table, tidy, with_sql
+from .tables import bars_sql, DEPTH_SQL, DEPTH_TYPES, HOUR_BARS_SQL, TICKS_SQL, r6, table, tidy, with_sql
 from .flow import _QUOTES
 
 QUERIES, ORACLES = {}, {}
@@ -53,6 +53,11 @@ def depth_stream(s, d):
 _CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM ticks)"
 add("stream_bars", lambda s, d: sinks.drain(W.stream_bars(tick_stream(s, d), "1hr", by="contract", delay="10 minutes"), "bars"),
     with_sql(HOUR_BARS_SQL) + f"SELECT contract, ts, open, high, low, close, volume FROM bars WHERE ts + INTERVAL 1 HOUR <= {_CLOSED}")
+# Days and weeks of the exchange's clock, which is six hours behind UTC in these rows.
+for _tf, _unit in (("1day", "day"), ("1week", "week")):
+    add(f"stream_bars_{_tf}", lambda s, d, tf=_tf: sinks.drain(W.stream_bars(tick_stream(s, d), tf, by="contract", delay="10 minutes"), f"bars-{tf}"),
+        with_sql(TICKS_SQL, bars_sql("b", "ticks", f"CAST(date_trunc('{_unit}', ts - INTERVAL 6 HOUR) AS TIMESTAMP) + INTERVAL 6 HOUR", "ts, seq")) + f"""
+SELECT contract, ts, open, high, low, close, volume FROM b WHERE ts + INTERVAL 1 {_unit} <= {_CLOSED}""")
 _SIDE = "CASE WHEN volume % 3 = 0 THEN 'buy' WHEN volume % 3 = 1 THEN 'sell' ELSE 'unknown' END"
 
 

@@ -63,6 +63,15 @@ def _calendar_start(local: Column, name: str) -> Column:
     return F.unix_date(F.trunc(wall_date(local), name[1:])).cast("long") * DAY
 
 
+def bar_end(ts: Column, timeframe: str, tz: str = EXCHANGE_TZ) -> Column:
+    """End of the calendar bar holding ``ts`` (4 hours, day, week or month of the exchange's local clock)."""
+    name = calendar_name(timeframe)
+    start = _calendar_start(wall(ts, tz), name)
+    if name == "1month":
+        return from_wall(F.unix_date(F.add_months(wall_date(start), 1)).cast("long") * DAY, tz)
+    return from_wall(start + {"4hr": 4 * HOUR, "1day": DAY, "1week": 7 * DAY}[name], tz)
+
+
 def _ends(df: DataFrame, order, price: Column, volume: Column) -> tuple[Column, Column, Column]:
     """First price, last price and first volume of a group.
 

@@ -19,7 +19,7 @@ def market_report(depth: DataFrame, *, asof, by="contract", order=("ts", "seq"),
 
 
 def market_metrics(book: DataFrame, trades: DataFrame, *, asof, flow_minutes: float = 5, delta_minutes: float = 30, iceberg_minutes: float = 10,
-                   bucket_size: float = 0.25, price_tolerance: float = 0.25, by="contract") -> DataFrame:
+                   bucket_size: float = 0.25, price_tolerance: float = 0.25, iceberg_volume: int = 500, by="contract") -> DataFrame:
     """Liquidity, clusters, icebergs, delta, imbalance, profile, support and resistance, and flow in one row per contract."""
     by = names(by)
     # One pass over the trades for everything but the profile, which is written out for its three readers.
@@ -38,7 +38,7 @@ def market_metrics(book: DataFrame, trades: DataFrame, *, asof, flow_minutes: fl
     parts = [
         count(B.liquidity_levels(book, by=by), "liquid_levels"),
         count(B.order_clusters(book, price_tolerance, by=by), "clusters"),
-        count(X.iceberg_heuristic(book, iceberg_minutes, asof=asof, by=by), "icebergs"),
+        count(X.iceberg_heuristic(book, iceberg_minutes, asof=asof, by=by, volume_threshold=iceberg_volume), "icebergs"),
         tape.select(*by, "total_volume", "trade_count", "buy_volume", "sell_volume", "vwap", "trades", "cumulative_delta", "delta_trend"),
         B.market_imbalance(book, tape, by=by).select(*by, "imbalance_ratio", "direction", "confidence"),
         W.point_of_control(profile, by=by),
