@@ -26,9 +26,10 @@ from .common import partitions, store, whole
 from .gray_index import components
 
 SHINGLE = 5
-SAMPLE = 20_000  # texts that are looked at for frequent shingles
-FREQUENT = 4  # texts of the sample that have a frequent shingle
-MOST_FREQUENT = 200_000
+SAMPLE = 8  # one text of so many is looked at for frequent shingles
+FREQUENT = 2  # texts of the sample that have a frequent shingle
+MOST_FREQUENT = 1_000_000  # of them a task knows, the most frequent ones
+STAR_TURNS, STARS = 3, 12  # turns, and members of its lists that a set meets in one
 ROWS = 1 << 18  # values that a task holds before it passes them on
 SEEN = 1 << 18  # sets that a task remembers, not to write a copy again
 SEED = 42
@@ -54,13 +55,22 @@ def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
+            held, n = [], 0
             for body in frame["body"].tolist():
-                yield pd.DataFrame({"value": shingles(body, shingle)[1].view("<i8")})
-
-    share = min(1.0, SAMPLE / max(texts.count(), 1))
-    some = texts.filter(F.pmod(F.col("text_hash"), F.lit(1_000_000)) < share * 1_000_000).select("body")
+                held.append(shingles(body, shingle)[1].view("<i8"))
+                n += len(held[-1])
+                if n >= ROWS:
+                    yield pd.DataFrame({"value": np.concatenate(held)})
+                    held, n = [], 0
+            if held:
+                yield pd.DataFrame({"value": np.concatenate(held)})
+
+    some = texts.filter(F.pmod(F.col("text_hash"), F.lit(SAMPLE)) == 0)
+    # Copies of a text count once.
+    once = some.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"))
+    some = some.join(once, ["text_hash", "doc_id"], "left_semi").select("body")
     counted = some.mapInPandas(run, "value long").groupBy("value").agg(F.count("*").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "value").limit(MOST_FREQUENT).toPandas()
+    top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "value").limit(MOST_FREQUENT).toArrow().to_pandas()
     values = top["value"].to_numpy("int64").view("uint64")
     order = np.argsort(values)
     return values[order], top["n"].to_numpy("int64")[order]
@@ -154,7 +164,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     fits, links, roots = F.expr(most_shared("i j", "n m")), None, None
     alike = Window.partitionBy("value", F.floor(F.log("n") / F.log(F.lit(1.25))))
-    for turn in range(3):
+    for turn in range(STAR_TURNS + 1):
         if roots is not None:
             placed = lists.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             mixed = placed.withColumn("least", F.min("root").over(listed)).withColumn("most", F.max("root").over(listed))
@@ -162,11 +172,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         else:
             lists = lists.withColumn("root", F.col("node"))
         asks = lists.withColumnsRenamed({"node": "u", "at": "i"})
-        if turn < 2:
-            # Sets of like size meet the one of smallest hash in each of their lists; each asks the one it meets most often.
-            star = F.min(F.struct(F.xxhash64("u", F.lit(turn)).alias("h"), F.col("u").alias("v"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("root").alias("other"))).over(alike)
-            meet = asks.withColumn("star", star).select("u", "n", "i", "root", "star.*").filter("root != other").filter(fits)
-            often = meet.groupBy("u", "v").agg(F.count("*").alias("lists")).groupBy("u").agg(F.max_by("v", "lists").alias("v"))
+        if turn < STAR_TURNS:
+            # Each list names one member per seed and size, the same ones in all lists of a group; a set asks those it meets most often.
+            named = [F.min(F.struct(F.xxhash64("u", F.lit(turn * STARS + k)).alias("h"), F.col("u").alias("v"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("root").alias("other"))).over(alike) for k in range(STARS)]
+            meet = asks.withColumn("stars", F.array_distinct(F.array(*named))).select("u", "n", "i", "root", F.inline("stars")).filter("root != other").filter(fits)
+            counted = meet.groupBy("u", "v").agg(F.count("*").alias("lists"))
+            often = counted.withColumn("nth", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("lists"), "v"))).filter(F.col("nth") <= STARS)
             pairs = often.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         else:
             other = lists.select("value", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"), F.col("root").alias("other"))
