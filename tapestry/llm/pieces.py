@@ -36,10 +36,10 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-PIECE = {"anchor": "u8", "print": "u8", "doc": "i8", "text": "u4", "home": "u4", "start": "u4", "count": "u2", "inner": "u1"}
-SPAN = {"doc": "i8", "text": "u4", "start": "u4", "count": "u4"}
-OPEN = {"doc": "i8", "text": "u4", "bucket": "u4", "part": "u2", "start": "u4", "count": "u2"}
-HELD_PIECE = {"doc": "i8", "text": "u4", "home": "u4", "part": "u2", "start": "u4", "count": "u2", "size": "u4", "left": "u2"}
+PIECE = {"anchor": "u8", "print": "u8", "doc": "i8", "text": "i8", "home": "u4", "start": "u4", "count": "u2", "inner": "u1"}
+SPAN = {"doc": "i8", "text": "i8", "start": "u4", "count": "u4"}
+OPEN = {"doc": "i8", "text": "i8", "bucket": "u4", "part": "u2", "start": "u4", "count": "u2"}
+HELD_PIECE = {"doc": "i8", "text": "i8", "home": "u4", "part": "u2", "start": "u4", "count": "u2", "size": "u4", "left": "u2"}
 
 
 def pack(columns: dict[str, np.ndarray], kinds: dict[str, str]) -> bytes:
@@ -223,7 +223,7 @@ def gather(rows: DataFrame, windows: Windows, buckets: int) -> DataFrame:
             anchor, mark, begin, count, inner = windows.pieces(raw, bounds, np.repeat(stops, sizes))
             which = np.searchsorted(stops, begin, "right")
             of = lambda k, kind: np.array([g[k] for g in group], kind)[which]
-            return anchor, mark, of(0, "i8"), of(1, "u4"), of(2, "u4"), begin - (stops - sizes)[which] + of(3, "i8"), count, inner
+            return anchor, mark, of(0, "i8"), of(1, "i8"), of(2, "u4"), begin - (stops - sizes)[which] + of(3, "i8"), count, inner
 
         group, size = [], 0
         for frame in batches:
@@ -286,7 +286,8 @@ def _grouped(sent: DataFrame, key: str, parts: int, work: Callable, schema: str)
 
 def _at_home(rows: DataFrame, blobs: DataFrame, parts: int, work: Callable, schema: str) -> DataFrame:
     """Give ``work`` an iterator over (home, blobs of the home, its documents one frame at a time)."""
-    both = blobs.select("home", F.lit(0).alias("turn"), "blob").unionByName(rows.withColumn("turn", F.lit(1)), allowMissingColumns=True)
+    whole_ids = [F.lit(0).cast("long").alias(c) for c in ("doc", "text")]  # without nulls pandas keeps all 64 bits
+    both = blobs.select("home", F.lit(0).alias("turn"), "blob", *whole_ids).unionByName(rows.withColumn("turn", F.lit(1)), allowMissingColumns=True)
 
     def frames(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, list[bytes], pd.DataFrame]]:
         at, held = None, []
@@ -473,8 +474,8 @@ def repeated_stretches(docs: DataFrame, id_col: str, text_col: str, windows: Win
     spark = docs.sparkSession
     buckets = partitions(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole(text_col).alias("body")).select(
-        F.coalesce("doc_id", F.lit(FIRST)).alias("doc"), F.shiftrightunsigned(F.xxhash64("body"), 32).alias("text"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int").alias("home"), "body",
+        F.coalesce("doc_id", F.lit(FIRST)).alias("doc"), F.xxhash64("body").alias("text"),
+        F.pmod(F.xxhash64("doc_id", "body"), F.lit(buckets)).cast("int").alias("home"), "body",  # rows of one id spread out
     )
     gathered = store(gather(rows, windows, buckets), "pieces")
 
