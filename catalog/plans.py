@@ -213,6 +213,18 @@ def _bars_round_trip(s, d):
 add("write_read_bars", _bars_round_trip, with_sql(HOUR_BARS_SQL) + "SELECT contract, ts, open, high, low, close, volume FROM bars")
 
 
+def _bucketed(s, d):
+    """Indicators over hourly bars that were written as a bucketed table, which they read without an exchange."""
+    path = scratch_dir(s, "series")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    readers.write_series(hour_bars(s, d), name, path=path)
+    return with_indicators(readers.read_series(s, name), [("sma", {"period": 5}), "trange"], by="contract", order="ts", chunk=None).select("contract", "ts", "sma_5", "trange")
+
+
+add("series_indicators", _bucketed, with_sql(HOUR_BARS_SQL) + f"""SELECT contract, ts, {r6(roll('avg', 'close', 5))} AS sma_5,
+  {r6("greatest(high - low, abs(high - lag(close) OVER w), abs(low - lag(close) OVER w))")} AS trange FROM bars WINDOW w AS (PARTITION BY contract ORDER BY ts)""")
+
+
 def _wire_bars(s, d):
     """Bars in wire form through JSON files."""
     path = scratch_dir(s, "wire")

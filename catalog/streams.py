@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from tapestry.functions.joins import latest_state
 from tapestry.operators.book import book_asof
 from tapestry.session import scratch_dir
-from tapestry.streaming import fold, sinks, state as S, windows as W
+from tapestry.streaming import book as K, fold, sinks, state as S, windows as W
 
 from .accounts import ORDERS_SQL, _OC, _ocols
-from .book import BBO_SQL, BOOK_SQL, ROUTED_SQL
+from .book import BOOK_SQL, ORACLES as BOOK_ORACLES
 from .tables import bars_sql, DEPTH_SQL, DEPTH_TYPES, HOUR_BARS_SQL, TICKS_SQL, r6, table, tidy, with_sql
 from .flow import _QUOTES
 
@@ -120,6 +120,15 @@ add("stream_book", lambda s, d: book_asof(S.drain_changes(S.newest(_plain_update
   CASE WHEN type IN (2, 9) THEN 'bid' WHEN type IN (1, 10) THEN 'ask' ELSE 'trade' END AS type FROM depth)""", BOOK_SQL) + "SELECT contract, side, price, volume, ts, type FROM book")
 
 
+def _routed_stream(s, d):
+    """Placed by a book that lives on from batch to batch: without its state every batch would begin with an empty one."""
+    with K.map_state(s):
+        return sinks.drain(K.route_depth_stream(depth_stream(s, d)), "routed")
+
+
+add("stream_route_depth", _routed_stream, BOOK_ORACLES["route_depth_exact"])
+
+
 def _orders(s, d):
     """Order updates as a stream of the orders file."""
     st, k = F.col("o_orderstatus"), F.col("o_orderkey")

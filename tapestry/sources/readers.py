@@ -87,3 +87,21 @@ def write_bars(df: DataFrame, path: str, *, ts: str = "ts", mode: str = "append"
     d = df.withColumn("date", wall_date(wall(F.col(ts).cast("timestamp"), "UTC")))
     # Rebalancing lets AQE split a day of a hot contract over several files and merge small ones.
     write_table(d.hint("rebalance", "date", "contract").sortWithinPartitions("date", "contract", ts), path, partition_by="date", mode=mode)
+
+
+def write_series(df: DataFrame, name: str, *, by="contract", order="ts", buckets: int | None = None, mode: str = "overwrite", path: str | None = None) -> None:
+    """Histories as a table of the warehouse (its files under ``path`` if given), dealt into buckets by contract and sorted in them.
+
+    Windows and aggregations by contract over the table need no exchange, however often they run.  A contract lives in one
+    bucket, so this layout is for many contracts of like size; ``write_bars`` spreads single hot ones.
+    """
+    spark, by, order = df.sparkSession, names(by), names(order)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One file per bucket, so that its rows come back in order.
+    dealt = df.repartition(buckets, *by).sortWithinPartitions(*by, *order)
+    writer = dealt.write.mode(mode).format("parquet").bucketBy(buckets, *by).sortBy(*by, *order)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def read_series(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name)

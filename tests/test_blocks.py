@@ -236,3 +236,43 @@ def test_calendar_bars_on_a_stream(spark, tmp_path, timeframe):
     batch = B.bars(spark.createDataFrame(rows, schema), timeframe, by="contract", order=["ts", "seq"])
     closed = {tuple(r) for r in batch.filter(end <= F.lit(rows[-1][1])).collect()}
     assert len(got) == len(set(got)) and set(got) == closed and closed
+
+
+def test_routing_on_a_stream(spark, depth, tmp_path):
+    """Batches that go on with the book of the batch before give the routing of the whole table; dead levels leave the state."""
+    from tapestry.streaming import book as L
+
+    frame, rows = depth
+    path = str(tmp_path / "depth")
+    for k in range(5):
+        spark.createDataFrame(rows[140 * k : 140 * k + 140], schemas.DEPTH).coalesce(1).write.mode("append").parquet(f"{path}/part={k}")
+    stream = spark.readStream.schema(schemas.DEPTH).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+    routed, out = L.route_depth_stream(stream), str(tmp_path / "out")
+    with L.map_state(spark):
+        query = routed.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", out + "-c").trigger(availableNow=True).start()
+        query.awaitTermination()
+    got = {tuple(r) for r in spark.read.schema(routed.schema).parquet(out).collect()}
+    whole = K.route_depth_exact(frame).select(routed.columns)
+    assert got == {tuple(r) for r in whole.collect()} and len(query.recentProgress) >= 5
+    live = K.book_asof(whole).count()
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == live
+
+
+def test_series_in_buckets(spark):
+    """Indicators over a bucketed table shuffle nothing, at the second run as at the first."""
+    from tapestry import with_indicators
+    from tapestry.sources.readers import read_series, write_series
+
+    rows = [(f"c{i % 7}", T0 + dt.timedelta(minutes=i), float(100 + i % 11), float(101 + i % 11), float(99 + i % 11), 100.0 + i % 13, i % 9) for i in range(700)]
+    bars = spark.createDataFrame(rows, "contract string, ts timestamp, open double, high double, low double, close double, volume long")
+    spark.sql("DROP TABLE IF EXISTS series_test")
+    try:
+        write_series(bars.repartition(5), "series_test", buckets=3)
+        specs = ["rsi", ("sma", {"period": 5}), "trange"]
+        out = with_indicators(read_series(spark, "series_test"), specs, by="contract", order="ts", chunk=None)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        want = with_indicators(bars, specs, by="contract", order="ts", chunk=None)
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.select(out.columns).collect()))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS series_test")
