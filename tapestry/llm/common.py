@@ -62,10 +62,22 @@ def row_key(doc_id: Column, hashed: Column, *more: Column) -> Column:
     return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in (doc_id.cast("long"), hashed, *more)])
 
 
+def spare(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def restrict(docs: DataFrame, stay: DataFrame, id_col: str = "doc_id", text_col: str = "text", one: bool = False) -> DataFrame:
     """The rows of ``docs``, with all columns, whose id and text are in ``stay`` (doc_id, text_hash); ``one``: one row of each."""
-    keys = stay.select(row_key(F.col("doc_id"), F.col("text_hash")).alias("__key"))
-    rows = docs.withColumn("__key", row_key(F.col(id_col), text_hash(text_col))).join(keys, "__key", "left_semi")
+    key, nth = spare(docs, "__key", "__nth")
+    keys = stay.select(row_key(F.col("doc_id"), F.col("text_hash")).alias(key))
+    rows = docs.withColumn(key, row_key(F.col(id_col), text_hash(text_col))).join(keys, key, "left_semi")
     if one:
-        rows = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__key").orderBy(F.lit(0)))).filter("__nth = 1")
+        rows = rows.withColumn(nth, F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0)))).filter(F.col(nth) == 1)
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

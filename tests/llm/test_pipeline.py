@@ -93,3 +93,15 @@ def test_odd_rows(spark, odd, empty):
 def test_sql(spark, name):
     message, _, _, ok = compare(spark, connect(SF), SF, name, QUERIES[name], ORACLES[name])
     assert ok, message
+
+
+def test_stages_with_columns_named_like_theirs(spark, odd):
+    from pyspark.sql import functions as F
+
+    frame = odd.withColumnRenamed("n", "n_chars")
+    for name in ("__key", "__nth", "__size", "__taken", "__part", "_row"):
+        frame = frame.withColumn(name, F.lit(f"own {name}"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, frame, SF)
+        assert out.columns == frame.columns, name
+        assert all(r["__key"] == "own __key" and r["__part"] == "own __part" for r in out.collect())
