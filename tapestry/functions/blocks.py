@@ -101,9 +101,10 @@ def settled_walk(
         fresh = settle(walk(todo.unionByName(start, allowMissingColumns=True), by=by, order=order, blocks=blocks, walker=walker, schema=schema), "walked")
         done = fresh if done is None else done.join(stale, same_block(done, stale, by), "left_anti").unionByName(fresh)
         after = settle(entry_after(done), "entry")
-        stale = settle(_changed(expected, after, [*by, BLOCK], state), "stale")
+        stale = _changed(expected, after, [*by, BLOCK], state)
         if stale.isEmpty():
             break
+        stale = settle(stale, "stale")
         todo, expected = rows.join(stale, same_block(rows, stale, by), "left_semi"), after
     return done
 

@@ -31,11 +31,6 @@ def wilder_alpha(period: int) -> float:
     return 1.0 / period
 
 
-def memory(*alphas: float) -> int:
-    """Rows after which a chain of EWMs has forgotten its start."""
-    return sum(0 if a >= 1 else math.ceil(FADED / decay(a)) + 1 for a in alphas)
-
-
 def sub_length(alphas: Iterable[float]) -> int:
     rates = [decay(a) for a in alphas if a < 1]
     return max(2, int(MAX_EXPONENT / max(rates))) if rates else 1 << 20
@@ -66,11 +61,12 @@ class Mean:
         return "1D" if self.adjust else f"if({RN} = 0, 1D, {self.alpha!r}D)"
 
 
-def ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean], carry_blocks: bool = True) -> DataFrame:
+def ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean]) -> DataFrame:
     """Add the named means; ``df`` carries sub-blocks of ``length`` rows.
 
-    Where the history is cut into blocks, ``carry_blocks`` brings the exact state into each block.  Later
-    stages of a chain turn it off and rely on a look-back of ``memory(alpha)`` rows instead.
+    Where the history is cut into blocks, each gets the exact state before it: the sums of all earlier blocks, decayed by the
+    rows in between.  That holds for every stage of a chain, whose input is exact in each block; ``df`` is read twice then, so
+    a stage that is expensive to compute is written out first.
 
     Null inputs have no weight and a null mean.  An adjusted mean is divided by the weight that its non-null rows have
     gathered, which is a mean of ones and zeros through the same windows.
@@ -81,20 +77,20 @@ def ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean], ca
             weights[name] = f"__w_{m.column}_{m.alpha!r}".replace(".", "_")
             df = df.withColumn(f"__one_{m.column}", F.when(F.col(m.column).isNotNull(), 1.0).otherwise(0.0))
             outputs = {**outputs, weights[name]: Mean(f"__one_{m.column}", m.alpha)}
-    out = _ewm(df, t, length, outputs, carry_blocks)
+    out = _ewm(df, t, length, outputs)
     means = {
         n: F.when(F.col(m.column).isNotNull(), F.col(n) / F.col(weights[n]) if n in weights else F.col(n)) for n, m in final.items()
     }
     return out.withColumns(means).drop(*set(weights.values()), *{f"__one_{final[n].column}" for n in weights})
 
 
-def _ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean], carry_blocks: bool) -> DataFrame:
+def _ewm(df: DataFrame, t: Timeline, length: int, outputs: Mapping[str, Mean]) -> DataFrame:
     """The weighted sums themselves; for means that are not adjusted, the weights add up to one."""
     keys = ", ".join(f"`{k}`" for k in t.keys)
     inside = f"(PARTITION BY {keys}, {SUB} ORDER BY {RN} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     earlier = f"(PARTITION BY {keys} ORDER BY {SUB}, {RN} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     live = {n: m for n, m in outputs.items() if m.alpha < 1}
-    carried = t.split is not None and carry_blocks and bool(live)
+    carried = t.split is not None and bool(live)
     if carried:
         df = _with_block_state(df, t, live)
     sums, ends, result = {}, {}, {n: F.col(m.column).cast("double") for n, m in outputs.items() if m.alpha >= 1}
@@ -131,18 +127,13 @@ def _with_block_state(df: DataFrame, t: Timeline, live: Mapping[str, Mean]) -> D
             for n, m in live.items()
         ]
     )
-    # Chain the block sums; blocks further back than the mean remembers only count if all nearer ones are zero.
-    order = Window.partitionBy(*t.by).orderBy(BLK)
-    chained = {}
-    for n, m in live.items():
-        back = math.ceil(FADED / (decay(m.alpha) * size))
-        older = [F.coalesce(F.lag(f"__e_{n}", i).over(order), F.lit(0.0)) * (1.0 - m.alpha) ** (i * size) for i in range(1, back + 1)]
-        chained[f"__v_{n}"] = sum(older, F.col(f"__e_{n}"))
-    state = ends.withColumns(chained).select(
-        *t.keys,
-        *[
-            F.last(F.expr(f"if(`__v_{n}` != 0, struct(`__v_{n}` AS v, {last} AS at), NULL)"), ignorenulls=True).over(upto).alias(f"__b_{n}")
-            for n in live
-        ],
-    )
+    # Fold the block sums of the group in order (few per group).  A state keeps the row that it belongs to, so that it does not
+    # fade to nothing over long runs of zeros.
+    folded = {
+        f"__b_{n}": F.expr(f"""aggregate(`__list_{n}`, CAST(NULL AS struct<v: double, at: bigint>), (acc, x) -> if(
+            x.e != 0, named_struct('v', x.e + coalesce(acc.v * power({1.0 - m.alpha!r}D, x.at - acc.at), 0D), 'at', x.at), acc))""")
+        for n, m in live.items()
+    }
+    lists = {f"__list_{n}": F.collect_list(F.struct(F.col(f"__e_{n}").alias("e"), F.expr(f"CAST({last} AS bigint) AS at"))).over(upto) for n in live}
+    state = ends.withColumns(lists).select(*t.keys, *[c.alias(n) for n, c in folded.items()])
     return same_keys(df, state, t.keys, t.null_keys)

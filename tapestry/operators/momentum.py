@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.checks import ParameterError, need_less, need_period, need_positive
-from ..functions.ewm import Mean, memory, span_alpha, wilder_alpha
+from ..functions.ewm import Mean, span_alpha, wilder_alpha
 from ..functions.exprs import positive_zero, safe_div, typical_price
 from .registry import Means, register
 
@@ -66,7 +66,7 @@ def _check_macd(fast_period, slow_period, signal_period, **_):
 @register("macd", "momentum", {"column": "close", "fast_period": 12, "slow_period": 26, "signal_period": 9},
           needs=_of_column, check=_check_macd,
           alphas=lambda fast_period, slow_period, signal_period, **_: [span_alpha(p) for p in (fast_period, slow_period, signal_period)],
-          lookback=lambda signal_period, **_: memory(span_alpha(signal_period)), min_rows=lambda slow_period, **_: slow_period)
+          min_rows=lambda slow_period, **_: slow_period)
 def macd(t, x, column, fast_period, slow_period, signal_period):
     """MACD: ``macd, macd_signal, macd_histogram``."""
     yield Means({x("fast"): Mean(column, span_alpha(fast_period)), x("slow"): Mean(column, span_alpha(slow_period))})

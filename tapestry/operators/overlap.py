@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..functions.checks import ParameterError, need_period, need_positive
-from ..functions.ewm import Mean, memory, span_alpha
+from ..functions.ewm import Mean, span_alpha
 from .registry import Means, register
 
 
@@ -67,18 +67,14 @@ def _chain(x, column, period, levels):
         source = name
 
 
-def _chain_memory(levels):
-    return lambda period, **_: (levels - 1) * memory(span_alpha(period))
-
-
-@register("dema", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), alphas=_span, lookback=_chain_memory(2), min_rows=_full)
+@register("dema", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), alphas=_span, min_rows=_full)
 def dema(t, x, column, period):
     """Double EMA ``2*e1 - e2``: ``dema_{period}``."""
     yield from _chain(x, column, period, 2)
     yield {f"dema_{period}": 2.0 * F.col(x("e1")) - F.col(x("e2"))}
 
 
-@register("tema", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), alphas=_span, lookback=_chain_memory(3), min_rows=_full)
+@register("tema", "overlap", _COLUMN_PERIOD, needs=_of_column, check=_period(), alphas=_span, min_rows=_full)
 def tema(t, x, column, period):
     """Triple EMA ``3*e1 - 3*e2 + e3``: ``tema_{period}``."""
     yield from _chain(x, column, period, 3)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from ..functions.checks import ParameterError, need_columns, need_rows
 from ..functions.ewm import Mean, ewm, shareable, sub_length, with_sub_blocks
 from ..functions.history import Timeline, names, over_history, plan_split
+from ..session import settle
 
 REGISTRY: dict[str, "Indicator"] = {}
 CUSTOM: dict[str, Callable[..., DataFrame]] = {}
@@ -201,7 +202,9 @@ def _advance_together(d: DataFrame, t: Timeline, length: int, part) -> DataFrame
         out = d
         for first in (True, False):
             due = {n: m for s in steps if s.first == first for n, m in s.columns.items()}
-            out = ewm(out, t, length, due, carry_blocks=first) if due else out
+            if due:
+                # A later stage reads the one before twice: for the states of the blocks and for its rows.
+                out = ewm(out if first else settle(out, "means"), t, length, due)
         return out
 
     def plain_means(steps):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.checks import need_period
-from ..functions.ewm import Mean, memory, wilder_alpha
+from ..functions.ewm import Mean, wilder_alpha
 from ..functions.exprs import safe_div
 from .registry import Means, register
 
@@ -55,7 +55,7 @@ def natr(t, x, period):
 
 
 @register("adx", "volatility", {"period": 14}, needs=HLC, check=_check, alphas=_wilder,
-          lookback=lambda period: 1 + memory(wilder_alpha(period)), min_rows=lambda period: 2)
+          lookback=lambda period: 1, min_rows=lambda period: 2)
 def adx(t, x, period):
     """Directional movement: ``di_plus_p, di_minus_p, adx_p``."""
     up, dn, a = F.col("high") - t.lag("high"), t.lag("low") - F.col("low"), wilder_alpha(period)

@@ -4,9 +4,10 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from tapestry.functions.ewm import Mean, ewm, memory, shareable, sub_length, with_sub_blocks
+from tapestry.functions.ewm import Mean, ewm, shareable, sub_length, with_sub_blocks
 from tapestry.functions.history import over_history
 from tapestry.operators.momentum import rsi
+from tapestry.operators.registry import REGISTRY
 
 K = {"by": "contract", "order": "ts"}
 
@@ -52,4 +53,15 @@ def test_rsi_of_a_flat_price_keeps_its_level(spark, chunk):
 
 def test_helpers():
     assert shareable([2 / 13, 2 / 27, 0.2]) and not shareable([2 / 3, 2 / 201])
-    assert memory(1.0) == 0 and memory(2 / 21) > 300
+
+
+@pytest.mark.parametrize("name", ["dema", "tema", "macd", "adx", "ema"])
+@pytest.mark.parametrize("shape", ["constant", "step", "zeros"])
+def test_chains_are_exact_for_any_block_size(spark, name, shape):
+    """Every stage carries its state: the digits do not depend on where the history is cut."""
+    x = {"constant": np.full(2500, 7.3), "step": np.r_[np.full(600, 1e6), np.full(1900, 3.0)], "zeros": np.r_[np.arange(1.0, 300.0), np.zeros(2201)]}[shape]
+    d = frame(spark, x).rename(columns={"x": "close"}).assign(high=lambda f: f["close"] + 1, low=lambda f: f["close"] - 1)
+    d, indicator = spark.createDataFrame(d), REGISTRY[name]
+    whole, *cut = [indicator(d, chunk=c, **K).toPandas().sort_values("ts").drop(columns=["contract", "ts"]).to_numpy(float) for c in (None, 97, 800)]
+    for got in cut:
+        assert np.allclose(got, whole, rtol=1e-10, atol=1e-12 * np.abs(x).max(), equal_nan=True)
