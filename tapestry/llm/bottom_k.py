@@ -8,8 +8,9 @@ a passage that many texts share is in hardly any sketch; the result does not dep
 The place of a shared value bounds what two sets can have in common from there on, which drops most meetings.  For the pairs
 that are left the sketches are intersected: what they share, and what lies beyond them, bounds the similarity of the sets.
 Pairs that pass are compared on the full sets of their texts; texts are smaller than sets of hashes, so they are what travels.
-Sets first meet one member of their lists only, twice, so that a large group of near copies falls together in few links;
-members of a list that still lie apart after that all meet.
+Sets first meet a few members of their lists only, among them those that share most of their sketches: they lie in the middle
+of a group of near copies, so that a large group falls together in few links.  Members of a list that still lie apart after
+that all meet.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ SHINGLE = 5
 SAMPLE = 8  # one text of so many is looked at for frequent shingles
 FREQUENT = 2  # texts of the sample that have a frequent shingle
 MOST_FREQUENT = 1_000_000  # of them a task knows, the most frequent ones
-STAR_TURNS, STARS = 3, 12  # turns, and members of its lists that a set meets in one
+STAR_TURNS, STARS = 1, 12  # turns, and members of its lists that a set meets in one
 ROWS = 1 << 18  # values that a task holds before it passes them on
 SEEN = 1 << 18  # sets that a task remembers, not to write a copy again
 SEED = 42
@@ -161,6 +162,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     listed = Window.partitionBy("value")
     entries = entries.dropDuplicates(["value", "node"]).withColumn("members", F.count("*").over(listed))
     lists = store(entries.filter("members > 1").drop("members"), "lists")
+    # How much of its sketch a set shares: most for those in the middle of a group of near copies.
+    shared = lists.groupBy("node").agg((F.count("*") / F.max(F.expr("n div 5 + 1"))).alias("shared"))
+    lists = store(lists.join(shared, "node"), "lists")
 
     fits, links, roots = F.expr(most_shared("i j", "n m")), None, None
     alike = Window.partitionBy("value", F.floor(F.log("n") / F.log(F.lit(1.25))))
@@ -171,17 +175,22 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lists = store(mixed.filter("least < most").drop("least", "most"), "apart")
         else:
             lists = lists.withColumn("root", F.col("node"))
-        asks = lists.withColumnsRenamed({"node": "u", "at": "i"})
+        asks = lists.withColumnsRenamed({"node": "u", "at": "i"}).select("value", "u", "n", "i", "root", "shared")
         if turn < STAR_TURNS:
-            # Each list names one member per seed and size, the same ones in all lists of a group; a set asks those it meets most often.
-            named = [F.min(F.struct(F.xxhash64("u", F.lit(turn * STARS + k)).alias("h"), F.col("u").alias("v"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("root").alias("other"))).over(alike) for k in range(STARS)]
+            # Each list names one member per seed and size, the same ones in all lists of a group, every other one from its middle;
+            # a set asks those it meets most often.
+            middle = lambda k: F.floor(F.col("shared") * 10) if k % 2 else F.lit(0).cast("long")
+            named = [
+                F.min(F.struct((-middle(k)).alias("c"), F.xxhash64("u", F.lit(turn * STARS + k)).alias("h"), F.col("u").alias("v"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("root").alias("other"))).over(alike)
+                for k in range(STARS)
+            ]
             meet = asks.withColumn("stars", F.array_distinct(F.array(*named))).select("u", "n", "i", "root", F.inline("stars")).filter("root != other").filter(fits)
             counted = meet.groupBy("u", "v").agg(F.count("*").alias("lists"))
             often = counted.withColumn("nth", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("lists"), "v"))).filter(F.col("nth") <= STARS)
             pairs = often.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         else:
             other = lists.select("value", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"), F.col("root").alias("other"))
-            meet = asks.join(other, "value").filter("root < other").filter(fits)
+            meet = asks.drop("shared").join(other, "value").filter("root < other").filter(fits)
             pairs = meet.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.count("*").alias("lists")).drop("lists")
         found = _confirmed(texts, sets, nodes, pairs, shingle)
         links = found if links is None else links.unionByName(found)
