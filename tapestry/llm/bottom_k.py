@@ -163,8 +163,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     entries = entries.dropDuplicates(["value", "node"]).withColumn("members", F.count("*").over(listed))
     lists = store(entries.filter("members > 1").drop("members"), "lists")
     # How much of its sketch a set shares: most for those in the middle of a group of near copies.
-    shared = lists.groupBy("node").agg((F.count("*") / F.max(F.expr("n div 5 + 1"))).alias("shared"))
-    lists = store(lists.join(shared, "node"), "lists")
+    shared = store(lists.groupBy("node").agg((F.count("*") / F.max(F.expr("n div 5 + 1"))).cast("float").alias("shared")), "shared")
 
     fits, links, roots = F.expr(most_shared("i j", "n m")), None, None
     alike = Window.partitionBy("value", F.floor(F.log("n") / F.log(F.lit(1.25))))
@@ -175,8 +174,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lists = store(mixed.filter("least < most").drop("least", "most"), "apart")
         else:
             lists = lists.withColumn("root", F.col("node"))
-        asks = lists.withColumnsRenamed({"node": "u", "at": "i"}).select("value", "u", "n", "i", "root", "shared")
+        asks = lists.withColumnsRenamed({"node": "u", "at": "i"}).select("value", "u", "n", "i", "root")
         if turn < STAR_TURNS:
+            # Dealt here, so that what the seeds add to a row does not travel.
+            asks = asks.join(shared.withColumnRenamed("node", "u"), "u").repartition(partitions(docs.sparkSession), "value")
             # Each list names one member per seed and size, the same ones in all lists of a group, every other one from its middle;
             # a set asks those it meets most often.
             middle = lambda k: F.floor(F.col("shared") * 10) if k % 2 else F.lit(0).cast("long")
@@ -190,7 +191,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             pairs = often.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         else:
             other = lists.select("value", F.col("node").alias("v"), F.col("n").alias("m"), F.col("at").alias("j"), F.col("root").alias("other"))
-            meet = asks.drop("shared").join(other, "value").filter("root < other").filter(fits)
+            meet = asks.join(other, "value").filter("root < other").filter(fits)
             pairs = meet.groupBy(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).agg(F.count("*").alias("lists")).drop("lists")
         found = _confirmed(texts, sets, nodes, pairs, shingle)
         links = found if links is None else links.unionByName(found)
