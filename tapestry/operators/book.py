@@ -505,6 +505,7 @@ def market_imbalance(book: DataFrame, flow: DataFrame, *, by="contract") -> Data
     d = top.join(tflow, by, "left").withColumn("trade_imbalance", F.coalesce("trade_imbalance", F.lit(0.0)))
     d = d.withColumn("imbalance_ratio", F.coalesce(F.try_divide((b - a).cast("double"), (b + a).cast("double")), F.lit(0.0)))
     r, t = F.col("imbalance_ratio"), F.col("trade_imbalance")
+    # 0.3 of the book and 0.2 of the trades make a direction.
     return d.withColumns({
         "direction": F.when(r > 0.3, "bullish").when(r < -0.3, "bearish").otherwise("neutral"),
         "confidence": F.when((r > 0.3) & (t > 0.2), "high").when((r < -0.3) & (t < -0.2), "high")

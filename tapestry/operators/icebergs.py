@@ -121,6 +121,7 @@ def level_significance(updates: DataFrame, *, by=("contract", "side", "price"))
 
 def hidden_size(avg_visible: Column, confidence: Column, updates: Column, total_observed: Column) -> Column:
     """Estimated hidden volume: 3 to 10 times the visible one, more with many updates, at most 5 times the observed."""
+    # Multiples of the visible and the observed volume.
     factor = (3.0 + confidence * 7.0) * F.when(updates > 5, 1.0 + updates / 20.0).otherwise(1.0)
     return F.least(F.floor(avg_visible * factor), total_observed * 5).cast("long")
 

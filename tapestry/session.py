@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,7 +29,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder all executors can reach, under ``spark.checkpoint.dir``; a temporary one only in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="tapestry-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
