@@ -30,9 +30,10 @@ SHINGLE = 5
 SAMPLE = 8  # one text of so many is looked at for frequent shingles
 FREQUENT = 2  # texts of the sample that have a frequent shingle
 MOST_FREQUENT = 1_000_000  # of them a task knows, the most frequent ones
-STAR_TURNS, STARS = 1, 12  # turns, and members of its lists that a set meets in one
+STAR_TURNS, STARS = 1, 6  # turns, and members of its lists that a set meets in one
 ROWS = 1 << 18  # values that a task holds before it passes them on
 SEEN = 1 << 18  # sets that a task remembers, not to write a copy again
+MARKS = 1 << 17  # words of 64 bits that say which texts are asked for: at most so many rows are broadcast
 SEED = 42
 SET = "doc_id long, text_hash long, words long, node long, n int, low array<long>"
 
@@ -119,6 +120,14 @@ def most_shared(places: str, sizes: str) -> str:
     return f"9 * least({n} - {i}, {m} - {j}) >= 4 * ({n} + {m})"
 
 
+def _marked(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """The ``texts`` that may be in ``asked`` (text_hash): a bitmap of bounded size keeps nearly all others from being shuffled."""
+    word, bit = F.pmod(F.col("text_hash"), F.lit(MARKS)), F.shiftrightunsigned("text_hash", 58).cast("int")
+    marks = asked.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(text_hash, 58) as int))")).alias("bits"))
+    near = texts.withColumn("word", word).join(F.broadcast(marks), "word").filter(F.getbit("bits", bit) == 1)
+    return near.drop("word", "bits")
+
+
 def _confirmed(texts: DataFrame, sets: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """The ``pairs`` (u, v) whose sets have a similarity of 4/5 or more."""
     ends = lambda p: p.select(F.col("u").alias("node")).unionByName(p.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("pairs"))
@@ -130,7 +139,7 @@ def _confirmed(texts: DataFrame, sets: DataFrame, nodes: DataFrame, pairs: DataF
     bound = "9 * (size(array_intersect(lowu, lowv)) + greatest(nu - size(lowu), nv - size(lowv))) >= 4 * (nu + nv)"
     near = store(pairs.join(low("u"), "u").join(low("v"), "v").filter(bound).select("u", "v"), "candidates")
     asked = store(nodes.join(ends(near), "node").select("node", F.col("text").alias("text_hash")), "asked")
-    bodies = store(texts.select("text_hash", "body").join(asked, "text_hash").dropDuplicates(["node"]).select("node", "body"), "asked-texts")
+    bodies = store(_marked(texts.select("text_hash", "body"), asked).join(asked, "text_hash").dropDuplicates(["node"]).select("node", "body"), "asked-texts")
     body = lambda x: bodies.select(F.col("node").alias(x), F.col("body").alias(f"t{x}"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
