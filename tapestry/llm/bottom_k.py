@@ -72,7 +72,8 @@ def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     once = some.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"))
     some = some.join(once, ["text_hash", "doc_id"], "left_semi").select("body")
     counted = some.mapInPandas(run, "value long").groupBy("value").agg(F.count("*").alias("n"))
-    top = counted.filter(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "value").limit(MOST_FREQUENT).toArrow().to_pandas()
+    counted = store(counted.filter(F.col("n") >= FREQUENT), "frequent")  # its shuffles go when it is written
+    top = counted.orderBy(F.desc("n"), "value").limit(MOST_FREQUENT).toArrow().to_pandas()
     values = top["value"].to_numpy("int64").view("uint64")
     order = np.argsort(values)
     return values[order], top["n"].to_numpy("int64")[order]
