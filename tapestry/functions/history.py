@@ -85,6 +85,15 @@ def row_limit(spark: SparkSession, chunk) -> int:
     return int(chunk)
 
 
+def ranges_of(spark: SparkSession, total: int, rows: int) -> int:
+    """Ranges of ``rows`` rows, but no more than shuffle partitions while those stay within the session limit: each is a task.
+
+    Blocks may be much smaller than ranges, as they only group rows.
+    """
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / row_limit(spark, "auto")))
+    return max(1, min(math.ceil(total / rows), most))
+
+
 def plan_split(df: DataFrame, by, order, chunk="auto", bar_seconds: float | None = None) -> Split:
     """Measure ``df`` and say how its groups must be cut.
 
@@ -108,7 +117,7 @@ def plan_split(df: DataFrame, by, order, chunk="auto", bar_seconds: float | None
     worst = groups.agg(F.max("n").alias("n"), F.max(unnamed).alias("nulls"), F.sum("n").alias("total")).first()
     if worst.n is None or worst.n <= limit:
         return Split(limit, None, False, worst.n or 0, worst.total or 0)
-    return Split(limit, math.ceil(worst.total / limit), bool(worst.nulls), worst.n, worst.total)
+    return Split(limit, ranges_of(df.sparkSession, worst.total, limit), bool(worst.nulls), worst.n, worst.total)
 
 
 def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool = False) -> DataFrame:

@@ -105,6 +105,21 @@ def test_bursts_and_single_time_stamps_are_cut_evenly(spark, monkeypatch):
         assert max(sizes) <= 1000 and len(sizes) <= 13
 
 
+def test_small_blocks_make_no_more_tasks(spark):
+    """Blocks of a few rows in a long history: ranges stay as many as shuffle partitions, beyond them only at the session limit."""
+    rows = spark.range(0, 20_000, 1, 4).select((F.col("id") % 3).alias("contract"), F.timestamp_seconds("id").alias("ts"), "id", F.col("id").cast("double").alias("close"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert plan_split(rows, "contract", "ts", 10).ranges == parts
+    got = S.returns(rows, chunk=10).agg(F.count("returns"), F.round(F.sum("returns"), 9)).first()
+    assert got == S.returns(rows, chunk=None).agg(F.count("returns"), F.round(F.sum("returns"), 9)).first()
+    before = spark.conf.get("tapestry.maxGroupRows", None)
+    spark.conf.set("tapestry.maxGroupRows", "500")
+    try:
+        assert plan_split(rows, "contract", "ts", "auto").ranges == 40 and plan_split(rows, "contract", "ts", 10).ranges == 40
+    finally:
+        spark.conf.unset("tapestry.maxGroupRows") if before is None else spark.conf.set("tapestry.maxGroupRows", before)
+
+
 def test_plan_is_measured(frame):
     assert plan_split(frame, "contract", "ts", "auto").ranges is None
     assert plan_split(frame, "contract", "ts", 100).ranges is not None
