@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tapestry.functions.joins import latest_state
@@ -24,17 +26,27 @@ def add(name, query, sql, digits=6):
 
 
 PARTS = 4
+FILE_ROWS = 2_000_000  # rows of a file, at most on average
 
 
 def stream(spark, sf, name, ts):
-    """The given table as a stream of files in time order, so that every query runs over several micro-batches."""
+    """The given table as a stream in time order, so that every query runs over several micro-batches.
+
+    Each of the PARTS spans of time is one micro-batch at every size: it is written as the same number of files, empty ones where
+    rows lack, and a trigger takes that many.  Were a span cut over batches, the first would move the watermark past the rest.
+    """
     rows = table(spark, sf, name).withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp")))
     low, high = rows.agg(F.min("__us"), F.max("__us")).first()
-    path = scratch_dir(spark, "arrivals")
+    part = F.least(F.floor((F.col("__us") - low) / ((high - low) / PARTS + 1)), F.lit(PARTS - 1))
+    most = rows.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0]
+    files, path, schema = math.ceil(most / FILE_ROWS), scratch_dir(spark, "arrivals"), rows.drop("__us").schema
     for i in range(PARTS):
-        part = rows.filter(F.least(F.floor((F.col("__us") - low) / ((high - low) / PARTS + 1)), F.lit(PARTS - 1)) == i)
-        part.drop("__us").write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.drop("__us").schema).option("maxFilesPerTrigger", 1).parquet(path)
+        span = rows.filter(part == i).drop("__us").repartition(files)
+        span.write.mode("append").option("maxRecordsPerFile", 0).parquet(path)
+        written = len(spark.read.schema(schema).parquet(path).inputFiles())
+        for _ in range(files * (i + 1) - written):
+            spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def tick_stream(s, d):

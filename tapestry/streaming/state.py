@@ -101,18 +101,21 @@ def tracked(stream: DataFrame, *, key, order, ttl_seconds: float, delay: str = "
     ttl = int(ttl_seconds * 1000)
 
     def step(which: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            row = pd.DataFrame([dict(zip(key, which)) | {ts: pd.Timestamp(state.get[0], unit="us")}])
+        at, rows = state.get[0] if state.exists else None, None
+        if not state.hasTimedOut:
+            rows = _in_order(frames, order).tail(1)
+            came = int(rows[ts].iloc[0].value // 1000)
+            if at is None or at <= came:
+                at = came
+                yield _nullable(rows, kinds).assign(expired=False)
+        # A key may come when its time is over: Spark takes no timeout before the watermark.
+        if state.hasTimedOut or at // 1000 + ttl < state.getCurrentWatermarkMs():
+            row = pd.DataFrame([dict(zip(key, which)) | {ts: pd.Timestamp(at, unit="us")}])
             state.remove()
             yield _nullable(row.reindex(columns=columns), kinds).assign(expired=True)
             return
-        rows = _in_order(frames, order).tail(1)
-        at = int(rows[ts].iloc[0].value // 1000)
-        if state.exists and state.get[0] > at:
-            return
         state.update((at,))
-        state.setTimeoutTimestamp(at // 1000 + ttl)
-        yield _nullable(rows, kinds).assign(expired=False)
+        state.setTimeoutTimestamp(at // 1000 + ttl)  # in every call: a call without it drops the timeout
 
     grouped = stream.withWatermark(ts, delay).groupBy(*key)
     schema = f"{_ddl(stream, columns)}, expired boolean"

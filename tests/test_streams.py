@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import streams
 from tapestry.functions.history import newest
 from tapestry.functions.joins import latest_state
 from tapestry.operators import bars as B, book as K
@@ -123,3 +124,35 @@ def test_late_rows_go_to_a_side_table(spark, tmp_path):
     kept = sinks.drain(W.stream_bars(read(), "5min", by="contract"), "bars")
     dropped = len(order) - 1 - kept.agg(F.sum("volume")).first()[0]  # the last bar is still open
     assert 1 <= dropped <= len(late)
+
+
+def test_expired_on_arrival(spark, tmp_path):
+    """A key whose time is over when it comes, and one whose older row comes late, expire all the same."""
+    path = str(tmp_path / "late")
+    batches = [[("A", 0, 0), ("C", 9000, 1)], [("B", 100, 2), ("A", 7900, 3), ("C", 8000, 4)], [("D", 20000, 5)], [("D", 20001, 6)]]
+    for i, batch in enumerate(batches):
+        rows = [(c, T0 + dt.timedelta(seconds=sec), n) for c, sec, n in batch]
+        spark.createDataFrame(rows, "contract string, ts timestamp, seq long").coalesce(1).write.parquet(f"{path}/part={i}")
+    stream = spark.readStream.schema("contract string, ts timestamp, seq long").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(path)
+    changes = S.tracked(stream, key="contract", order=["ts", "seq"], ttl_seconds=1800)
+    got = S.drain_changes(changes, "t", key="contract", order=["ts", "expired"]).collect()
+    assert {r.contract: r.expired for r in got} == {"A": True, "B": True, "C": True, "D": False}
+    assert {r.contract: r.ts for r in got}["C"] == T0 + dt.timedelta(seconds=9000)
+
+
+@pytest.mark.parametrize("file_rows,files", [(1000, 1), (20, 4)])
+def test_every_span_of_time_is_one_batch(spark, tmp_path, monkeypatch, file_rows, files):
+    """However many files a table has, and where a span has no rows: four batches in time order, all rows once."""
+    days = [d for d in range(300) if not 75 < d <= 150]
+    rows = [(d, T0 + dt.timedelta(days=d)) for d in days] + [(300, T0 + dt.timedelta(days=300))]
+    spark.createDataFrame(rows, "id long, ts timestamp").repartition(7).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(streams, "FILE_ROWS", file_rows, raising=False)
+    base, seen = str(tmp_path / "stream"), []
+
+    def note(batch, number):
+        seen.append((sorted(r.id for r in batch.collect()), batch.select("file").distinct().count()))
+
+    stream = streams.stream(spark, str(tmp_path), "events", "ts").select("id", F.col("_metadata.file_name").alias("file"))
+    stream.writeStream.foreachBatch(note).option("checkpointLocation", base).trigger(availableNow=True).start().awaitTermination()
+    assert [ids for ids, _ in seen] == [[i for i, _ in rows if lo < i <= lo + 75 or i == lo == 0] for lo in range(0, 300, 75)]
+    assert max(n for _, n in seen) == files
