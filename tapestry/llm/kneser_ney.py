@@ -1,6 +1,6 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is a character model over a fixed alphabet of 64 symbols, so an n-gram is a small integer.  Documents are dealt
+The model is a character model over a fixed alphabet of 64 symbols, so an n-gram of up to 10 is an integer.  Documents are dealt
 into blocks by a hash of their id.  A block counts the n-grams of its trusted documents and names the n-grams that any of
 its documents has; both are far fewer than the characters.  Counts, continuation counts, discounts and back-off weights are
 sharded by n-gram and joined order by order; the log-probabilities go back to the blocks that asked for them, where they
@@ -10,6 +10,7 @@ are summed per document.  Thresholds are quantiles of the trusted documents' per
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import store, whole
 
 ORDER = 4
+QUERY_ORDER = 6  # of op1: 64 ** 6 n-grams are no ceiling, what is counted grows with the text
 BITS = 6
 SYMBOLS = 1 << BITS
 QUANTILE = 0.995
@@ -61,8 +63,8 @@ def symbols(text: str) -> np.ndarray:
 
 def grams(syms: np.ndarray, order: int = ORDER) -> np.ndarray:
     """The n-gram that ends at each symbol, as an integer; the text begins after ``order - 1`` start symbols."""
-    padded = np.concatenate([np.zeros(order - 1, np.int32), syms.astype(np.int32)])
-    out = np.zeros(len(syms), np.int32)
+    padded = np.concatenate([np.zeros(order - 1, np.int64), syms.astype(np.int64)])
+    out = np.zeros(len(syms), np.int64)
     for k in range(order):
         out = (out << BITS) | padded[k : k + len(syms)]
     return out
@@ -72,14 +74,19 @@ def _ungram(gram: int, order: int = ORDER) -> tuple[int, ...]:
     return tuple((gram >> (BITS * k)) & (SYMBOLS - 1) for k in range(order - 1, -1, -1))
 
 
-def _batches(texts):
-    """Row numbers and n-grams of some texts at a time; a long text is cut, with the symbols before the cut as context."""
+def _packed(texts: pd.Series) -> pd.Series:
+    """The symbols of each text, compressed: half as long as the text in a shuffle, and read off once."""
+    return pd.Series([zlib.compress(symbols(t).tobytes(), 1) for t in texts], dtype=object)
+
+
+def _batches(texts, order: int = ORDER):
+    """Row numbers and n-grams of some texts (or packed symbols) at a time; a long text is cut, with the symbols before the cut as context."""
     held, rows, n = [], [], 0
     for i, text in enumerate(texts):
-        syms = symbols(text)
+        syms = symbols(text) if isinstance(text, str) else np.frombuffer(zlib.decompress(text), np.uint8)
         for a in range(0, len(syms), BATCH):
-            lead = min(a, ORDER - 1)
-            g = grams(syms[a - lead : a + BATCH])[lead:]
+            lead = min(a, order - 1)
+            g = grams(syms[a - lead : a + BATCH], order)[lead:]
             held.append(g)
             rows.append(np.full(len(g), i, np.int32))
             n += len(g)
@@ -95,28 +102,34 @@ def _trusted(frame: pd.DataFrame) -> np.ndarray:
     return np.array([x in ids for x in frame.loc[frame["kind"] == 1, "doc_id"].tolist()], bool)
 
 
-def _count(frame: pd.DataFrame) -> pd.DataFrame:
-    """(block, gram, trusted): the n-grams of a block and how often its trusted documents have them."""
-    block, trusted = frame["block"].iloc[0], _trusted(frame)
-    counts = np.zeros(1 << (BITS * ORDER), np.int32)
-    seen = np.zeros(len(counts), bool)
-    for rows, g in _batches(frame.loc[frame["kind"] == 1, "body"].tolist()):
-        seen[g] = True
-        found, times = np.unique(g[trusted[rows]], return_counts=True)
-        counts[found] += times.astype(np.int32)
-    found = np.flatnonzero(seen)
-    return pd.DataFrame({"block": block, "gram": found, "trusted": counts[found].astype(np.int64)})
+def _counter(order: int):
+    def count(frame: pd.DataFrame) -> pd.DataFrame:
+        """(block, gram, trusted): the n-grams of a block and how often its trusted documents have them."""
+        block, trusted = frame["block"].iloc[0], _trusted(frame).astype(np.int64)
+        marked, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]  # the last bit of a marked n-gram says whether the text is trusted
+        for rows, g in _batches(frame.loc[frame["kind"] == 1, "body"].tolist(), order):
+            found, n = np.unique((g << 1) | trusted[rows], return_counts=True)
+            marked.append(found)
+            times.append(n)
+        marked, times = np.concatenate(marked), np.concatenate(times)
+        found, place = np.unique(marked >> 1, return_inverse=True)
+        counts = np.bincount(place, times * (marked & 1), len(found)).astype(np.int64)
+        return pd.DataFrame({"block": block, "gram": found, "trusted": counts})
+
+    return count
+
 
+def _scorer(order: int):
+    def score(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        docs, known = frame[frame["kind"] == 1], known.sort_values("gram")
+        gram, value = known["gram"].to_numpy(), known["logp"].to_numpy().astype(np.float32)
+        total, n = np.zeros(len(docs)), np.zeros(len(docs), np.int64)
+        for rows, g in _batches(docs["body"].tolist(), order):
+            total += np.bincount(rows, value[np.searchsorted(gram, g)] if len(g) else None, len(docs))
+            n += np.bincount(rows, minlength=len(docs))
+        return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "lang": docs["lang"], "trusted": _trusted(frame), "n_symbols": n, "logp": total})
 
-def _score(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    docs = frame[frame["kind"] == 1]
-    value = np.zeros(1 << (BITS * ORDER), np.float32)
-    value[known["gram"].to_numpy()] = known["logp"].to_numpy()
-    total, n = np.zeros(len(docs)), np.zeros(len(docs), np.int64)
-    for rows, g in _batches(docs["body"].tolist()):
-        total += np.bincount(rows, value[g], len(docs))
-        n += np.bincount(rows, minlength=len(docs))
-    return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "lang": docs["lang"], "trusted": _trusted(frame), "n_symbols": n, "logp": total})
+    return score
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -158,10 +171,11 @@ def log_probabilities(counted: DataFrame, order: int = ORDER) -> DataFrame:
 
 def classify(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", *, quantile: float = QUANTILE, slack: float = SLACK,
+    order: int = ORDER,
 ) -> DataFrame:
     """One row per input row: ``doc_id, lang, n_symbols, perplexity, threshold, kept``.
 
-    Trusted are documents with labels of quality 1 only and none of toxic 1.  A document passes if its log-perplexity is at
+    The model has n-grams of ``order`` symbols, 10 at most.  Trusted are documents with labels of quality 1 only and none of toxic 1.  A document passes if its log-perplexity is at
     most ``slack`` times that of its language's quantile of the trusted ones, plus ``SHORT / n_symbols``.  Languages with
     fewer than ``TRUSTED_LEAST`` trusted documents, and null, take the quantile over all languages.  Null and empty texts
     have no perplexity and do not pass; without any trusted document all others pass.  Rows repeated whole are scored alike;
@@ -169,13 +183,13 @@ def classify(
     """
     blocks = max(1, math.ceil(docs.count() / BLOCK_DOCS))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), whole(text_col).alias("body"))
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.pandas_udf(_packed, "binary")(whole(text_col)).alias("body"))
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter("doc_id is not null and q = 1 and coalesce(t, 0) = 0")
     rows = text.select(block, F.lit(1).alias("kind"), "*").unionByName(good.select(block, F.lit(0).alias("kind"), "doc_id"), allowMissingColumns=True)
-    counted = store(rows.groupBy("block").applyInPandas(_count, "block int, gram int, trusted long"), "grams")
-    logp = store(log_probabilities(store(counted.groupBy("gram").agg(F.sum("trusted").alias("trusted")), "all-grams")), "logp")
+    counted = store(rows.groupBy("block").applyInPandas(_counter(order), "block int, gram long, trusted long"), "grams")
+    logp = store(log_probabilities(store(counted.groupBy("gram").agg(F.sum("trusted").alias("trusted")), "all-grams"), order), "logp")
     known = counted.select("block", "gram").join(logp, "gram")
-    scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(_score, "doc_id long, lang string, trusted boolean, n_symbols long, logp double")
+    scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(_scorer(order), "doc_id long, lang string, trusted boolean, n_symbols long, logp double")
     scored = store(scored.withColumn("loss", F.when(F.col("n_symbols") > 0, -F.col("logp") / F.col("n_symbols"))), "scored")
 
     sure = scored.filter("trusted and loss is not null")

@@ -7,7 +7,7 @@ from .common import table
 
 
 def op1_kneser_ney(spark, sf):
-    return kneser_ney.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return kneser_ney.classify(table(spark, sf, "documents"), table(spark, sf, "labels"), order=kneser_ney.QUERY_ORDER)
 
 
 def op2_block_naming(spark, sf):

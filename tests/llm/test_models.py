@@ -133,3 +133,44 @@ def test_language_odd_rows(spark, odd, empty, docs, corpus):
     got = {r.doc_id: r for r in crf.identify(docs).collect()}
     for i, t, *_ in corpus:
         assert (got[i].lang_pred == "und") == (not any(c.isalpha() for c in t or "")) and 0 <= got[i].score <= 1
+
+
+def test_higher_order(spark, docs, corpus):
+    """The order of the registered query against the recursion; what it counts grows with the text, unlike 4-grams."""
+    order, pad = kneser_ney.QUERY_ORDER, lambda t, n: [0] * (n - 1) + kneser_ney.symbols(t or "").tolist()
+    labels = [(i, 1, 0) for i, *_ in corpus if i % 2]
+    counts = {order: Counter(tuple(s[k : k + order]) for i, t, *_ in corpus if i % 2 for s in [pad(t, order)] for k in range(len(s) - order + 1))}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    cut = {n: kneser_ney.discounts(*[Counter(c.values())[k] for k in (1, 2, 3, 4)]) for n, c in counts.items()}
+    follow = defaultdict(list)
+    for n, c in counts.items():
+        for g, k in c.items():
+            follow[g[:-1], n].append(k)
+
+    def p(g):
+        n = len(g)
+        if not n:
+            return 1 / 64
+        seen, d = follow.get((g[:-1], n)), lambda k: cut[n][min(k, 3) - 1]
+        if not seen:
+            return p(g[1:])
+        k = counts[n].get(g, 0)
+        return (max(k - d(k), 0) if k else 0) / sum(seen) + sum(map(d, seen)) / sum(seen) * p(g[1:])
+
+    got = {r.doc_id: r for r in kneser_ney.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), order=order).collect()}
+    for i, t, *_ in corpus[::7]:
+        if t:
+            s = pad(t, order)
+            want = math.exp(-sum(math.log(p(tuple(s[k : k + order]))) for k in range(len(t))) / len(t))
+            assert got[i].perplexity == pytest.approx(want, rel=1e-4)
+
+
+def test_the_query_has_no_ceiling_of_n_grams(monkeypatch):
+    from tapestry.llm import queries
+
+    seen = {}
+    monkeypatch.setattr(queries, "table", lambda spark, sf, name: name)
+    monkeypatch.setattr(kneser_ney, "classify", lambda docs, labels, **how: seen.update(how))
+    queries.op1_kneser_ney(None, "")
+    assert kneser_ney.SYMBOLS ** seen.get("order", kneser_ney.ORDER) > 1 << 32
