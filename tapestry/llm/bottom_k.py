@@ -2,11 +2,12 @@
 
 One hash function orders all shingles; a text's sketch is the k smallest values of its set.  k follows the set, n // 5 + 1 of
 n: two sets with a Jaccard similarity of 4/5 or more then share a value of their sketches for certain, so the inverted lists
-of sketch values miss no link.  Values that a sample of the texts finds in many of them are ordered after all others, so that
-a passage that many texts share is in hardly any sketch; the result does not depend on the sample.
+of sketch values miss no link.  The hash function begins with how frequent a sample of the texts finds a shingle, so that a
+passage that many texts share is in hardly any sketch; the result does not depend on the sample.
 
 The place of a shared value bounds what two sets can have in common from there on, which drops most meetings.  For the pairs
-that are left the sketches are intersected: what they share, and what lies beyond them, bounds the similarity of the sets.
+that are left both sketches make that of the union, the smallest values of both sets: how many of them both have, and what
+lies beyond, bounds the similarity of the sets.  Only the bound drops a pair, as the estimate (shared / k) could err.
 Pairs that pass are compared on the full sets of their texts; texts are smaller than sets of hashes, so they are what travels.
 Sets first meet a few members of their lists only, among them those that share most of their sketches: they lie in the middle
 of a group of near copies, so that a large group falls together in few links.  Members of a list that still lie apart after
@@ -95,10 +96,7 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
                 if node not in seen:
                     seen = seen if len(seen) < SEEN else set()
                     seen.add(node)
-                    if len(frequent):
-                        at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
-                        found = found[np.lexsort((found, np.where(frequent[at] == found, times[at], 0)))]
-                    low = found.view("<i8")[: n // 5 + 1].copy()
+                    low = hashed(found, frequent, times)[: n // 5 + 1].copy()
                 rows.append((None if pd.isna(doc_id) else int(doc_id), text_hash, words, node, n, low))
                 held += 1 if low is None else len(low)
                 if held >= ROWS:
@@ -115,6 +113,35 @@ def _sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInPandas(run, SET)
 
 
+def hashed(found: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The one hash function that sketches are cut by, of shingle hashes; ascending.
+
+    Five bits grow with the logarithm of how often the sample has a shingle, 0 for most; the other 58 are those of its hash.
+    """
+    rank = np.zeros(len(found), np.uint64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+        rank = np.where(frequent[at] == found, np.minimum(1.4 * np.log2(times[at]) + 1, 31), 0).astype(np.uint64)
+    return np.sort((rank << np.uint64(58)) | (found >> np.uint64(6))).view("<i8")
+
+
+def union_sketched(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (lowu, lowv, nu, nv) with the sketch of their union, which ends where the first of both sketches does.
+
+    ``shared``: its values that both sets have, ``k``: all of them, so that shared / k estimates the similarity; ``restu``,
+    ``restv``: values of each set beyond it.
+    """
+    upto = lambda low: F.filter(low, lambda x: x <= F.col("edge"))
+    ends = pairs.withColumn("edge", F.least(F.element_at("lowu", -1), F.element_at("lowv", -1)))
+    cut = ends.withColumns({"lowu": upto("lowu"), "lowv": upto("lowv")})
+    cut = cut.withColumns({"k": F.size(F.array_union("lowu", "lowv")), "restu": F.col("nu") - F.size("lowu"), "restv": F.col("nv") - F.size("lowv")})
+    return cut.withColumn("shared", F.size("lowu") + F.size("lowv") - F.col("k")).drop("edge")
+
+
+# What both sets may share at most, and their union is at least then: a similarity of 4/5 or more?
+UNION_BOUND = "5 * (shared + least(restu, restv)) >= 4 * (k + greatest(restu, restv))"
+
+
 def most_shared(places: str, sizes: str) -> str:
     """SQL: may sets of sizes n and m, whose first shared value is at places i and j, have a similarity of 4/5 or more?"""
     (i, j), (n, m) = places.split(), sizes.split()
@@ -136,9 +163,8 @@ def _confirmed(texts: DataFrame, sets: DataFrame, nodes: DataFrame, pairs: DataF
     asked = store(nodes.join(ends(pairs), "node").select("row"), "asked")
     held = store(sets.select("row", "node", "n", "low").join(asked, "row").drop("row"), "asked-sketches")
     low = lambda x: held.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("low").alias(f"low{x}"))
-    # Shared values beyond the sketches are in the rest of the set whose sketch ends first.
-    bound = "9 * (size(array_intersect(lowu, lowv)) + greatest(nu - size(lowu), nv - size(lowv))) >= 4 * (nu + nv)"
-    near = store(pairs.join(low("u"), "u").join(low("v"), "v").filter(bound).select("u", "v"), "candidates")
+    sketched = union_sketched(pairs.join(low("u"), "u").join(low("v"), "v"))
+    near = store(sketched.filter(UNION_BOUND).select("u", "v"), "candidates")
     asked = store(nodes.join(ends(near), "node").select("node", F.col("text").alias("text_hash")), "asked")
     bodies = store(_marked(texts.select("text_hash", "body"), asked).join(asked, "text_hash").dropDuplicates(["node"]).select("node", "body"), "asked-texts")
     body = lambda x: bodies.select(F.col("node").alias(x), F.col("body").alias(f"t{x}"))

@@ -76,6 +76,35 @@ def test_bound_never_drops_a_pair():
         assert eval(bottom_k.most_shared("i j", "n m").replace("least", "min"), {"min": min, "i": i, "j": j, "n": len(x), "m": len(y)})
 
 
+def test_union_sketch(spark):
+    """The k smallest values of the union, under one hash function; its bound drops no pair at 4/5 and nearly all far below."""
+    rng, rows, want = np.random.default_rng(3), [], []
+    frequent = np.sort(rng.integers(0, 1 << 63, 40).astype("<u8"))
+    times = rng.integers(2, 1 << 20, 40)
+    for _ in range(200):
+        a = rng.choice(rng.integers(0, 1 << 63, int(rng.integers(1, 300))).astype("<u8"), int(rng.integers(1, 300)))
+        a = np.unique(np.r_[a, frequent[: rng.integers(0, 40)]])
+        b = np.unique(np.r_[a[rng.random(len(a)) > rng.choice([0.02, 0.1, 0.5])], rng.integers(0, 1 << 63, int(rng.integers(0, 20))).astype("<u8")])
+        if len(b):
+            u, v = (bottom_k.hashed(x, frequent, times).tolist() for x in (a, b))
+            low = u[: len(u) // 5 + 1], v[: len(v) // 5 + 1]
+            union = [x for x in sorted(set(u) | set(v)) if x <= min(low[0][-1], low[1][-1])]
+            rows.append((*low, len(u), len(v)))
+            want.append((len(union), len(set(union) & set(u) & set(v)), len(set(u) & set(v)) / len(set(u) | set(v))))
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, lowu array<long>, lowv array<long>, nu int, nv int")
+    got = {r.i: (r.k, r.shared) for r in bottom_k.union_sketched(frame).collect()}
+    stay = {r.i for r in bottom_k.union_sketched(frame).filter(bottom_k.UNION_BOUND).collect()}
+    assert all(got[i] == w[:2] for i, w in enumerate(want))
+    assert {i for i, w in enumerate(want) if w[2] >= 0.8} <= stay
+    assert sum(w[2] < 0.6 for i, w in enumerate(want) if i in stay) < 0.5 * sum(w[2] < 0.6 for w in want)
+
+
+def test_frequent_shingles_come_last():
+    found = np.array([1 << 20, 2 << 20, 3 << 20], "<u8")
+    values = bottom_k.hashed(found, found[:2], np.array([4, 1 << 30]))
+    assert (values & ((1 << 58) - 1)).tolist() == [3 << 14, 1 << 14, 2 << 14] and (values >= 0).all()
+
+
 def test_large_group_and_long_text(spark):
     rng = random.Random(2)
     base = [f"b{rng.randrange(5000)}" for _ in range(200)]
