@@ -2,21 +2,24 @@
 
 The model is a character model over a fixed alphabet of 64 symbols, so an n-gram of up to 10 is an integer.  Documents are dealt
 into blocks by a hash of their id.  A block counts the n-grams of its trusted documents and names the n-grams that any of
-its documents has; both are far fewer than the characters.  Counts, continuation counts, discounts and back-off weights are
-sharded by n-gram and joined order by order; the log-probabilities go back to the blocks that asked for them, where they
-are summed per document.  Thresholds are quantiles of the trusted documents' perplexities, language by language.
+its documents has; both are far fewer than the characters.  The frequent n-grams of a bounded sample of the documents are in
+most blocks, so all tasks know them: their counts travel as arrays and nobody asks for them.  The sample changes no result.
+Counts, continuation counts, discounts and back-off weights are sharded by n-gram and joined order by order; the
+log-probabilities go back to the blocks that asked for them, those of the frequent n-grams to all, where they are summed
+per document.  Thresholds are quantiles of the trusted documents' perplexities, language by language.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import store, whole
+from .common import partitions, store, whole
 
 ORDER = 4
 QUERY_ORDER = 6  # of op1: 64 ** 6 n-grams are no ceiling, what is counted grows with the text
@@ -28,6 +31,9 @@ SHORT = 12.0  # a text of n symbols may exceed the threshold's log-perplexity by
 TRUSTED_LEAST = 30  # trusted documents a language needs for a quantile of its own
 BATCH = 1 << 20
 BLOCK_DOCS = 4096  # documents of a block, on average: its n-grams and its texts meet in one task
+SAMPLE_DOCS = 1 << 14  # documents that are looked at for frequent n-grams, on average at most twice as many
+FREQUENT = 1 << 20  # n-grams that all tasks know, the most frequent ones of the sample
+SLICE = 1 << 10  # of them in one array of counts
 
 
 def _symbol_table() -> np.ndarray:
@@ -102,9 +108,23 @@ def _trusted(frame: pd.DataFrame) -> np.ndarray:
     return np.array([x in ids for x in frame.loc[frame["kind"] == 1, "doc_id"].tolist()], bool)
 
 
-def _counter(order: int):
+def _frequent(docs: DataFrame, id_col: str, text_col: str, times: int, order: int) -> np.ndarray:
+    """The most frequent n-grams in one document of ``times``, ascending."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in batches:
+            for _, g in _batches(frame["body"].tolist(), order):
+                found, n = np.unique(g, return_counts=True)
+                yield pd.DataFrame({"gram": found, "n": n})
+
+    some = docs.filter(F.pmod(F.xxhash64(id_col, text_col), F.lit(times)) == 0).select(whole(text_col).alias("body"))
+    counted = store(some.mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "frequent")
+    return np.sort(counted.orderBy(F.desc("n"), "gram").limit(FREQUENT).select("gram").toArrow()["gram"].to_numpy())
+
+
+def _counter(order: int, frequent: np.ndarray):
     def count(frame: pd.DataFrame) -> pd.DataFrame:
-        """(block, gram, trusted): the n-grams of a block and how often its trusted documents have them."""
+        """How often a block's trusted documents have its n-grams: ``counts`` of a slice of ``frequent``, if any; (block, gram, trusted) of all others."""
         block, trusted = frame["block"].iloc[0], _trusted(frame).astype(np.int64)
         marked, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]  # the last bit of a marked n-gram says whether the text is trusted
         for rows, g in _batches(frame.loc[frame["kind"] == 1, "body"].tolist(), order):
@@ -114,15 +134,38 @@ def _counter(order: int):
         marked, times = np.concatenate(marked), np.concatenate(times)
         found, place = np.unique(marked >> 1, return_inverse=True)
         counts = np.bincount(place, times * (marked & 1), len(found)).astype(np.int64)
-        return pd.DataFrame({"block": block, "gram": found, "trusted": counts})
+        at = np.searchsorted(frequent, found)
+        known = np.append(frequent, -1)[at] == found
+        dense = np.zeros(-(-len(frequent) // SLICE) * SLICE, np.int64)
+        dense[at[known]] = counts[known]
+        slices = [(k, v) for k, v in enumerate(dense.reshape(-1, SLICE)) if v.any()]
+        rare = pd.DataFrame({"block": block, "gram": found[~known], "trusted": counts[~known]})
+        arrays = pd.DataFrame({"slice": pd.array([k for k, _ in slices], "Int32"), "counts": pd.Series([v for _, v in slices], dtype=object)})
+        out = pd.concat([rare.astype({"block": "Int32", "gram": "Int64", "trusted": "Int64"}), arrays], ignore_index=True)
+        return out[["block", "gram", "trusted", "slice", "counts"]].assign(counts=out["counts"].where(out["counts"].notna(), None))
 
     return count
 
 
-def _scorer(order: int):
-    def score(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        docs, known = frame[frame["kind"] == 1], known.sort_values("gram")
-        gram, value = known["gram"].to_numpy(), known["logp"].to_numpy().astype(np.float32)
+def _summed(counted: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(gram, trusted) over all blocks, of every n-gram that is in one or in ``frequent``."""
+    spark = counted.sparkSession
+    rare = counted.filter("gram is not null").groupBy("gram").agg(F.sum("trusted").alias("trusted"))
+    gram_at = F.pandas_udf(lambda at: pd.Series(frequent[at.to_numpy()]), "long")
+    arrays = counted.filter("counts is not null").select("slice", "counts").repartition(partitions(spark), "slice")  # an array is opened where it is summed
+    sums = arrays.select("slice", F.posexplode("counts").alias("nth", "c")).groupBy("slice", "nth").agg(F.sum("c").alias("trusted"))
+    # Those that no trusted document has are asked for all the same, and no array need hold them.
+    every = spark.range(len(frequent)).select(F.col("id").alias("at"))
+    sums = every.join(sums.select((F.col("slice") * F.lit(SLICE) + F.col("nth")).cast("long").alias("at"), "trusted"), "at", "left")
+    return sums.select(gram_at("at").alias("gram"), F.coalesce("trusted", F.lit(0).cast("long")).alias("trusted")).unionByName(rare)
+
+
+def _scorer(order: int, frequent: np.ndarray, logp: np.ndarray):
+    def score(frame: pd.DataFrame, rare: pd.DataFrame) -> pd.DataFrame:
+        docs = frame[frame["kind"] == 1]
+        gram, value = np.append(frequent, rare["gram"].to_numpy("int64")), np.append(logp, rare["logp"].to_numpy("float32"))
+        by = np.argsort(gram, kind="stable")
+        gram, value = gram[by], value[by]
         total, n = np.zeros(len(docs)), np.zeros(len(docs), np.int64)
         for rows, g in _batches(docs["body"].tolist(), order):
             total += np.bincount(rows, value[np.searchsorted(gram, g)] if len(g) else None, len(docs))
@@ -181,15 +224,20 @@ def classify(
     have no perplexity and do not pass; without any trusted document all others pass.  Rows repeated whole are scored alike;
     other columns are ignored, and labels of unknown documents have no effect.
     """
-    blocks = max(1, math.ceil(docs.count() / BLOCK_DOCS))
+    n_docs = docs.count()
+    blocks = max(1, math.ceil(n_docs / BLOCK_DOCS))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int").alias("block")
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"), F.pandas_udf(_packed, "binary")(whole(text_col)).alias("body"))
     good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter("doc_id is not null and q = 1 and coalesce(t, 0) = 0")
     rows = text.select(block, F.lit(1).alias("kind"), "*").unionByName(good.select(block, F.lit(0).alias("kind"), "doc_id"), allowMissingColumns=True)
-    counted = store(rows.groupBy("block").applyInPandas(_counter(order), "block int, gram long, trusted long"), "grams")
-    logp = store(log_probabilities(store(counted.groupBy("gram").agg(F.sum("trusted").alias("trusted")), "all-grams"), order), "logp")
-    known = counted.select("block", "gram").join(logp, "gram")
-    scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(_scorer(order), "doc_id long, lang string, trusted boolean, n_symbols long, logp double")
+    frequent = _frequent(docs, id_col, text_col, max(1, n_docs // SAMPLE_DOCS), order)
+    counted = store(rows.groupBy("block").applyInPandas(_counter(order, frequent), "block int, gram long, trusted long, slice int, counts array<long>"), "grams")
+    logp = store(log_probabilities(store(_summed(counted, frequent), "all-grams"), order).withColumn("logp", F.col("logp").cast("float")), "logp")
+    rare = store(counted.filter("gram is not null").select("block", "gram").join(logp, "gram"), "rare")
+    # At most FREQUENT values, for all tasks.
+    is_frequent = F.pandas_udf(lambda g: pd.Series(np.append(frequent, -1)[np.searchsorted(frequent, g.to_numpy())] == g.to_numpy()), "boolean")
+    values = logp.filter(is_frequent("gram")).toArrow().to_pandas().sort_values("gram")["logp"].to_numpy("float32")
+    scored = rows.groupBy("block").cogroup(rare.groupBy("block")).applyInPandas(_scorer(order, frequent, values), "doc_id long, lang string, trusted boolean, n_symbols long, logp double")
     scored = store(scored.withColumn("loss", F.when(F.col("n_symbols") > 0, -F.col("logp") / F.col("n_symbols"))), "scored")
 
     sure = scored.filter("trusted and loss is not null")

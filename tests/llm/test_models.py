@@ -174,3 +174,28 @@ def test_the_query_has_no_ceiling_of_n_grams(monkeypatch):
     monkeypatch.setattr(kneser_ney, "classify", lambda docs, labels, **how: seen.update(how))
     queries.op1_kneser_ney(None, "")
     assert kneser_ney.SYMBOLS ** seen.get("order", kneser_ney.ORDER) > 1 << 32
+
+
+def test_frequent_n_grams_do_not_travel_as_rows(spark, monkeypatch):
+    """Blocks of a few documents that have nearly the same n-grams: no row per block and n-gram, and the same result whatever is frequent."""
+    rng, stored, store = random.Random(3), {}, kneser_ney.store
+    rows = [(i if i % 9 else None, " ".join(rng.choice(["red", "green", "blue", "black", "white"]) for _ in range(60)) + f" {i * 7919 % 1000}", "en") for i in range(160)] + [(500, None, None), (501, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 160, 2)], "doc_id long, quality int, toxic int")
+
+    def kept(df, label):
+        stored[label] = store(df, label)
+        return stored[label]
+
+    def result():
+        got = kneser_ney.classify(docs, labels, order=6).collect()
+        return sorted((r.doc_id is None, r.doc_id or 0, r.n_symbols, round(r.perplexity or 0, 4), round(r.threshold, 4), r.kept) for r in got)
+
+    monkeypatch.setattr(kneser_ney, "BLOCK_DOCS", 8)
+    monkeypatch.setattr(kneser_ney, "store", kept)
+    want = result()
+    assert stored["grams"].filter("gram is not null").count() < stored["logp"].count()
+    for name, value in (("FREQUENT", 100), ("SLICE", 7), ("SAMPLE_DOCS", 20)):
+        monkeypatch.setattr(kneser_ney, name, value, raising=False)
+        assert result() == want
+    assert stored["grams"].filter("gram is not null").count() > stored["logp"].count()
