@@ -148,25 +148,28 @@ def most_shared(places: str, sizes: str) -> str:
     return f"9 * least({n} - {i}, {m} - {j}) >= 4 * ({n} + {m})"
 
 
-def _marked(texts: DataFrame, asked: DataFrame) -> DataFrame:
-    """The ``texts`` that may be in ``asked`` (text_hash): a bitmap of bounded size keeps nearly all others from being shuffled."""
-    word, bit = F.pmod(F.col("text_hash"), F.lit(MARKS)), F.shiftrightunsigned("text_hash", 58).cast("int")
-    marks = asked.groupBy(word.alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(shiftrightunsigned(text_hash, 58) as int))")).alias("bits"))
-    near = texts.withColumn("word", word).join(F.broadcast(marks), "word").filter(F.getbit("bits", bit) == 1)
+def _marked(frame: DataFrame, asked: DataFrame, key: str) -> DataFrame:
+    """The rows of ``frame`` whose ``key`` may be in ``asked`` (key): a bitmap of bounded size keeps nearly all others from being shuffled."""
+    hashed = F.xxhash64(key)
+    word, bit = F.pmod(hashed, F.lit(MARKS)), F.shiftrightunsigned(hashed, 58).cast("int")
+    marks = asked.groupBy(word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64({key}), 58) as int))")).alias("bits"))
+    near = frame.withColumn("word", word).join(F.broadcast(marks), "word").filter(F.getbit("bits", bit) == 1)
     return near.drop("word", "bits")
 
 
 def _confirmed(texts: DataFrame, sets: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     """The ``pairs`` (u, v) whose sets have a similarity of 4/5 or more."""
     ends = lambda p: p.select(F.col("u").alias("node")).unionByName(p.select(F.col("v").alias("node"))).groupBy("node").agg(F.count("*").alias("pairs"))
-    pairs = store(pairs, "pairs")
-    asked = store(nodes.join(ends(pairs), "node").select("row"), "asked")
-    held = store(sets.select("row", "node", "n", "low").join(asked, "row").drop("row"), "asked-sketches")
-    low = lambda x: held.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("low").alias(f"low{x}"))
-    sketched = union_sketched(pairs.join(low("u"), "u").join(low("v"), "v"))
+    row = lambda x: nodes.select(F.col("node").alias(x), F.col("row").alias(f"row{x}"))
+    pairs = store(pairs.join(row("u"), "u").join(row("v"), "v"), "pairs")
+    # Sketches go from the table of sets to the pairs that ask for them; no copy of them is written, and the others do not travel.
+    low = lambda x: _marked(sets.select("row", "n", "low"), pairs.select(F.col(f"row{x}").alias("row")), "row").toDF(f"row{x}", f"n{x}", f"low{x}")
+    sketched = union_sketched(pairs.join(low("u"), "rowu").join(low("v"), "rowv"))
     near = store(sketched.filter(UNION_BOUND).select("u", "v"), "candidates")
     asked = store(nodes.join(ends(near), "node").select("node", F.col("text").alias("text_hash")), "asked")
-    bodies = store(_marked(texts.select("text_hash", "body"), asked).join(asked, "text_hash").dropDuplicates(["node"]).select("node", "body"), "asked-texts")
+    # Dealt by text_hash already, so that copies are dropped where they meet.
+    found = _marked(texts.select("text_hash", "body"), asked, "text_hash").join(asked, "text_hash").dropDuplicates(["text_hash", "node"])
+    bodies = store(found.select("node", "body"), "asked-texts")
     body = lambda x: bodies.select(F.col("node").alias(x), F.col("body").alias(f"t{x}"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -194,10 +197,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         sets.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("text_hash").alias("text"), F.min(F.when(F.col("low").isNotNull(), F.col("row"))).alias("row")), "nodes"
     )
     sets = sets.filter("low IS NOT NULL")
-    entries = sets.select("node", "n", F.posexplode("low").alias("at", "value")).repartition(partitions(docs.sparkSession), "value")
+    # Size and place travel as one number, as most entries are in no list.
+    entries = sets.select("node", "n", F.posexplode("low").alias("at", "value")).select("value", "node", F.expr("shiftleft(cast(at as long), 32) | n").alias("place"))
+    entries = entries.repartition(partitions(docs.sparkSession), "value")
     listed = Window.partitionBy("value")
     entries = entries.dropDuplicates(["value", "node"]).withColumn("members", F.count("*").over(listed))
-    lists = store(entries.filter("members > 1").drop("members"), "lists")
+    lists = store(entries.filter("members > 1").selectExpr("node", "cast(place & 2147483647 as int) n", "cast(shiftright(place, 32) as int) at", "value"), "lists")
     # How much of its sketch a set shares: most for those in the middle of a group of near copies.
     shared = store(lists.groupBy("node").agg((F.count("*") / F.max(F.expr("n div 5 + 1"))).cast("float").alias("shared")), "shared")
 

@@ -135,3 +135,28 @@ def test_odd_rows(spark, odd, empty):
 def test_shingles(text, n):
     words, values = bottom_k.shingles(text)
     assert words == len(text.split()) and len(values) == n and (np.diff(values.astype(object)) > 0).all()
+
+
+def test_sketches_are_written_once_and_unasked_ones_stay(spark, monkeypatch):
+    """No table but that of the sets has sketches; those of texts without a near copy are not fetched."""
+    rng, stored, fetched, store, marked = random.Random(5), {}, [], bottom_k.store, bottom_k._marked
+    words = lambda: [f"w{rng.randrange(10**6)}" for _ in range(40)]
+    near = words()
+    rows = [(i, " ".join(words())) for i in range(60)] + [(100 + i, " ".join([*near, f"end{i}"])) for i in range(4)]
+
+    def kept(df, label):
+        stored.setdefault(label, []).append(df.columns)
+        return store(df, label)
+
+    def seen(frame, asked, key):
+        out = marked(frame, asked, key)
+        if "low" in frame.columns:
+            fetched.append(out)
+        return out
+
+    monkeypatch.setattr(bottom_k, "store", kept)
+    monkeypatch.setattr(bottom_k, "_marked", seen)
+    got = result(bottom_k.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)))
+    assert got == brute(rows) and {got[100 + i][1] for i in range(4)} == {100}
+    assert [label for label, tables in stored.items() for columns in tables if "low" in columns] == ["sets"]
+    assert 2 <= fetched[0].count() + fetched[1].count() <= 8
